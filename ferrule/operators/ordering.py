@@ -85,7 +85,7 @@ def chunk_offsets(local: DataFrame, by: Sequence[str], measure: str,
 
 
 def number_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "rn",
-                start: int = 0, chunk_rows: int = 1_000_000) -> DataFrame:
+                start: int = 0, chunk_rows: int = 1_000_000, total: str | None = None) -> DataFrame:
     """Dense row number within ``by`` following ``order`` (ascending).
 
     ``order`` must be unique within a group (append a key column to break ties);
@@ -98,6 +98,8 @@ def number_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], name: st
     local = chunked.withColumn("_lrn", F.row_number().over(w) - 1).withColumn("_one", F.lit(1))
     out = chunk_offsets(local, by, "_one")
     out = out.withColumn(name, (F.col("_lrn") + F.col("_off") + F.lit(start)).cast("long"))
+    if total:
+        out = out.withColumn(total, F.col("_total").cast("long"))
     return out.drop("_chunk", "_lrn", "_one", "_off", "_total")
 
 
