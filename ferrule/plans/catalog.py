@@ -282,3 +282,172 @@ FROM orders GROUP BY ALL""")
 def q_fold_class_weights(spark, d):
     from ..operators import folds
     return round_all(folds.balanced_class_weights(_orders(spark, d), "o_orderpriority"))
+
+
+# --------------------------------------------------------------------------- profiling
+
+LI_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+MISS_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _li(spark, d):
+    return tables.read_table(spark, d, "lineitem")
+
+
+def _union_cols(cols, template):
+    return "\nUNION ALL\n".join(template.format(c=c) for c in cols)
+
+
+def _q(c, p, src="lineitem"):
+    return f"(SELECT quantile_cont({c}, {p}) FROM {src})"
+
+
+@register("prof_iqr_bounds", _union_cols(LI_COLS, """SELECT '{c}' AS column, round(q1, 6) AS q1, round(q3, 6) AS q3,
+  round(q3 - q1, 6) AS iqr, round(q1 - 3 * (q3 - q1), 6) AS lower, round(q3 + 3 * (q3 - q1), 6) AS upper
+FROM (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM lineitem)"""))
+def q_prof_iqr_bounds(spark, d):
+    from ..operators import profile
+    return round_all(profile.iqr_bounds(_li(spark, d), LI_COLS, 3.0))
+
+
+def _fence_sql(cols, m, src):
+    parts = []
+    for c in cols:
+        q1, q3 = _q(c, 0.25, src), _q(c, 0.75, src)
+        parts.append(f"coalesce({c} >= {q1} - {m} * ({q3} - {q1}) AND {c} <= {q3} + {m} * ({q3} - {q1}), false)")
+    return " AND ".join(parts)
+
+
+@register("prof_iqr_outlier_rows", f"""WITH {S.MISSING_CTE}
+SELECT * FROM miss WHERE NOT ({_fence_sql(MISS_COLS, 3.0, 'miss')})""")
+def q_prof_iqr_outlier_rows(spark, d):
+    from ..operators import profile
+    _, out = profile.iqr_split(tables.missing_frame(spark, d), MISS_COLS, 3.0)
+    return out
+
+
+@register("prof_iqr_inlier_count", f"""WITH {S.MISSING_CTE}
+SELECT ({_fence_sql(MISS_COLS, 1.5, 'miss')}) AS inlier, count(*) AS n_rows FROM miss GROUP BY ALL""")
+def q_prof_iqr_inlier_count(spark, d):
+    from ..operators import profile
+    f = profile.iqr_flag(tables.missing_frame(spark, d), MISS_COLS, 1.5)
+    return f.groupBy("inlier").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _sweep_sql():
+    from ..operators.profile import IQR_MULTIPLIERS
+    rows = []
+    for m in IQR_MULTIPLIERS:
+        rows.append(f"""SELECT CAST({float(m)} AS DOUBLE) AS multiplier, count(*) FILTER (WHERE NOT ({_fence_sql(LI_COLS, float(m), 'lineitem')})) AS n_outliers,
+  round(count(*) FILTER (WHERE NOT ({_fence_sql(LI_COLS, float(m), 'lineitem')})) / count(*), 6) AS share FROM lineitem""")
+    return "\nUNION ALL\n".join(rows)
+
+
+@register("prof_iqr_sweep", _sweep_sql())
+def q_prof_iqr_sweep(spark, d):
+    from ..operators import profile
+    return round_all(profile.iqr_sweep(_li(spark, d), LI_COLS))
+
+
+@register("prof_spread_ratio", _union_cols(LI_COLS, """SELECT '{c}' AS column,
+  round(stddev_samp({c}) / nullif(quantile_cont({c}, 0.95) - quantile_cont({c}, 0.05), 0), 6) AS spread_ratio FROM lineitem"""))
+def q_prof_spread_ratio(spark, d):
+    from ..operators import profile
+    return round_all(profile.spread_ratio(_li(spark, d), LI_COLS))
+
+
+@register("prof_coefficient_of_variation", _union_cols(LI_COLS, """SELECT '{c}' AS column,
+  round(stddev_samp({c}) / nullif(abs(avg({c})), 0), 6) AS cv FROM lineitem"""))
+def q_prof_cv(spark, d):
+    from ..operators import profile
+    return round_all(profile.coefficient_of_variation(_li(spark, d), LI_COLS))
+
+
+@register("prof_describe", f"""WITH {S.MISSING_CTE}
+""" + _union_cols(MISS_COLS, """SELECT '{c}' AS column, count({c}) AS count, round(avg({c}), 6) AS mean,
+  round(stddev_samp({c}), 6) AS std, round(min({c}), 6) AS min, round(max({c}), 6) AS max,
+  round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50,
+  round(quantile_cont({c}, 0.75), 6) AS q75 FROM miss"""))
+def q_prof_describe(spark, d):
+    from ..operators import profile
+    return round_all(profile.describe(tables.missing_frame(spark, d), MISS_COLS))
+
+
+@register("prof_missing_rates", f"""WITH {S.MISSING_CTE}
+""" + _union_cols(MISS_COLS, """SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS n_missing,
+  round(count(*) FILTER (WHERE {c} IS NULL) / count(*), 6) AS missing_rate FROM miss"""))
+def q_prof_missing_rates(spark, d):
+    from ..operators import profile
+    return round_all(profile.missing_rates(tables.missing_frame(spark, d), MISS_COLS))
+
+
+@register("prof_missing_patterns", f"""WITH {S.MISSING_CTE}
+SELECT {" || ".join(f"CAST(CAST({c} IS NULL AS INTEGER) AS VARCHAR)" for c in MISS_COLS)} AS pattern,
+       count(*) AS n_rows FROM miss GROUP BY ALL""")
+def q_prof_missing_patterns(spark, d):
+    from ..operators import profile
+    return profile.missing_patterns(tables.missing_frame(spark, d), MISS_COLS)
+
+
+HIST_COLS = ["l_quantity", "l_discount", "l_tax"]
+
+
+@register("prof_shared_histogram", f"""WITH long AS (
+  {_union_cols(HIST_COLS, "SELECT '{c}' AS column, {c} AS value FROM lineitem WHERE {c} IS NOT NULL")}),
+rng AS (SELECT min(value) AS lo, max(value) AS hi, CAST(floor(max(value) - min(value)) + 1 AS INTEGER) AS nb FROM long),
+cnt AS (SELECT "column", CAST(least(coalesce(floor((value - lo) / nullif((hi - lo) / nb, 0)), 0), nb - 1) AS INTEGER) AS bin,
+               count(*) AS c FROM long, rng GROUP BY ALL),
+grid AS (SELECT c."column", CAST(b.bin AS INTEGER) AS bin FROM (SELECT DISTINCT "column" FROM long) c,
+         (SELECT unnest(range(nb)) AS bin FROM rng) b)
+SELECT g."column", g.bin, round(lo + g.bin * (hi - lo) / nb, 6) AS bin_lo, round(lo + (g.bin + 1) * (hi - lo) / nb, 6) AS bin_hi,
+       coalesce(cnt.c, 0) AS count
+FROM grid g CROSS JOIN rng LEFT JOIN cnt ON cnt."column" = g."column" AND cnt.bin = g.bin""")
+def q_prof_shared_histogram(spark, d):
+    from ..operators import profile
+    return round_all(profile.shared_histogram(_li(spark, d), HIST_COLS))
+
+
+@register("prof_class_quantiles", _union_cols(LI_COLS, """SELECT l_returnflag, '{c}' AS column,
+  round(quantile_cont({c}, 0.0), 6) AS q0, round(quantile_cont({c}, 0.25), 6) AS q25,
+  round(quantile_cont({c}, 0.5), 6) AS q50, round(quantile_cont({c}, 0.75), 6) AS q75,
+  round(quantile_cont({c}, 1.0), 6) AS q100 FROM lineitem GROUP BY l_returnflag"""))
+def q_prof_class_quantiles(spark, d):
+    from ..operators import profile
+    return round_all(profile.class_quantile_summary(_li(spark, d), LI_COLS, ["l_returnflag"]))
+
+
+@register("prof_trimmed_mean", _union_cols(LI_COLS, """SELECT '{c}' AS column, round(avg(v), 6) AS trimmed_mean FROM (
+  SELECT {c} AS v, row_number() OVER (ORDER BY {c}) - 1 AS r, count(*) OVER () AS n FROM lineitem WHERE {c} IS NOT NULL)
+WHERE r >= floor(n * 0.1) AND r < n - floor(n * 0.1)"""))
+def q_prof_trimmed_mean(spark, d):
+    from ..operators import profile
+    return round_all(profile.trimmed_mean(_li(spark, d), LI_COLS, 0.1))
+
+
+@register("prof_bounding_box", f"""WITH {S.SEQ_CTE}
+SELECT round(min(x) * 1.1, 6) AS x_min, round(max(x) * 1.1, 6) AS x_max,
+       round(min(y) * 1.1, 6) AS y_min, round(max(y) * 1.1, 6) AS y_max FROM seq""")
+def q_prof_bounding_box(spark, d):
+    from ..operators import profile
+    ev = tables.read_table(spark, d, "events").select(
+        F.col("value").alias("x"), F.regexp_extract("props", tables.PROPS_NUMBER, 1).cast("double").alias("y"))
+    return round_all(profile.bounding_box(ev, ["x"], ["y"], 0.1))
+
+
+NC_COLS = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+
+
+@register("prof_near_constant", _union_cols(NC_COLS, """SELECT "column", round(range, 6) AS range, round(zero_share, 6) AS zero_share,
+  round(median, 6) AS median, round(mad, 6) AS mad, round(dominant_share, 6) AS dominant_share,
+  (range = 0 OR zero_share >= 0.95 OR mad <= 1e-12 OR mad / (abs(median) + 1e-12) <= 0.001 OR dominant_share >= 0.95) AS drop
+FROM (SELECT '{c}' AS column, max({c}) - min({c}) AS range,
+        count(*) FILTER (WHERE {c} = 0) / count(*) AS zero_share,
+        quantile_cont({c}, 0.5) AS median,
+        (SELECT quantile_cont(abs({c} - (SELECT quantile_cont({c}, 0.5) FROM lineitem)), 0.5) FROM lineitem) AS mad,
+        (SELECT max(c) FROM (SELECT count(*) AS c FROM lineitem GROUP BY {c})) / count(*) AS dominant_share
+      FROM lineitem)"""))
+def q_prof_near_constant(spark, d):
+    from ..operators import profile
+    st = profile.near_constant_stats(_li(spark, d), NC_COLS)
+    dec = profile.near_constant_filter(st, exact_dominant=True)
+    return round_all(st.join(dec, "column"))

@@ -43,13 +43,36 @@ def rows_of(columns, rows):
     return sorted(out, key=repr)
 
 
+def _spark_kind(t):
+    n = t.typeName()
+    if n in ("byte", "short", "integer", "long"):
+        return "int"
+    if n in ("float", "double", "decimal"):
+        return "float"
+    return {"string": "str", "boolean": "bool"}.get(n, n)
+
+
+def _duck_kind(t):
+    n = str(t).upper()
+    if n in ("TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "UTINYINT", "USMALLINT", "UINTEGER", "UBIGINT"):
+        return "int"
+    if n in ("FLOAT", "DOUBLE") or n.startswith("DECIMAL"):
+        return "float"
+    return {"VARCHAR": "str", "BOOLEAN": "bool"}.get(n, n.lower())
+
+
 def compare(spark_df, con, sql):
     s_cols = spark_df.columns
+    s_kinds = {f.name: _spark_kind(f.dataType) for f in spark_df.schema.fields}
     s_rows = rows_of(s_cols, [tuple(r) for r in spark_df.collect()])
     res = con.execute(sql)
     d_cols = [c[0] for c in res.description]
+    d_kinds = {c[0]: _duck_kind(c[1]) for c in res.description}
     d_rows = rows_of(d_cols, res.fetchall())
     problems = []
+    kind_diff = {c: (s_kinds[c], d_kinds.get(c)) for c in s_kinds if d_kinds.get(c) not in (None, s_kinds[c])}
+    if kind_diff:
+        problems.append(f"types differ (spark, duck): {kind_diff}")
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns differ: spark={sorted(s_cols)} duck={sorted(d_cols)}")
     if len(s_rows) != len(d_rows):
