@@ -451,3 +451,215 @@ def q_prof_near_constant(spark, d):
     st = profile.near_constant_stats(_li(spark, d), NC_COLS)
     dec = profile.near_constant_filter(st, exact_dominant=True)
     return round_all(st.join(dec, "column"))
+
+
+# --------------------------------------------------------------------------- selection & scaling
+
+SEL_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _pairs_sql(cols, src="lineitem", by=None):
+    import itertools
+    parts = []
+    for i, j in itertools.combinations(range(len(cols)), 2):
+        g = f"{by}, " if by else ""
+        parts.append(f"SELECT {g}{i} AS i, {j} AS j, '{cols[i]}' AS a, '{cols[j]}' AS b, "
+                     f'round(corr("{cols[i]}", "{cols[j]}"), 6) AS corr, round(abs(corr("{cols[i]}", "{cols[j]}")), 6) AS abs_corr '
+                     f"FROM {src}" + (f" GROUP BY {by}" if by else ""))
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("sel_corr_pairs", _pairs_sql(SEL_COLS))
+def q_sel_corr_pairs(spark, d):
+    from ..operators import select
+    return round_all(select.corr_pairs(_li(spark, d), SEL_COLS))
+
+
+@register("sel_corr_pairs_by_class", _pairs_sql(SEL_COLS, by="l_returnflag"))
+def q_sel_corr_pairs_by_class(spark, d):
+    from ..operators import select
+    return round_all(select.corr_pairs(_li(spark, d), SEL_COLS, by=["l_returnflag"]))
+
+
+POLY_COLS = ["l_quantity", "l_discount", "l_tax"]
+
+
+def _poly_sql(degree=2):
+    from ..operators.select import polynomial_terms
+    return ", ".join(f'{" * ".join(combo)} AS "{name}"' for name, combo in polynomial_terms(POLY_COLS, degree))
+
+
+@register("sel_drop_correlated", f"""WITH p AS (SELECT {_poly_sql()}, l_extendedprice FROM lineitem),
+pairs AS ({_pairs_sql([n for n, _ in __import__('ferrule.operators.select', fromlist=['x']).polynomial_terms(POLY_COLS, 2)], 'p').replace("corr(", "corr(").replace("'", "'")})
+SELECT DISTINCT b AS "column", j AS position FROM pairs WHERE abs_corr > 0.9""")
+def q_sel_drop_correlated(spark, d):
+    from ..operators import select
+    poly = select.polynomial_features(_li(spark, d), POLY_COLS, 2)
+    names = [n for n, _ in select.polynomial_terms(POLY_COLS, 2)]
+    return select.drop_highly_correlated(round_all(select.corr_pairs(poly, [f"`{n}`" for n in names])
+                                                   .withColumn("a", F.regexp_replace("a", "`", ""))
+                                                   .withColumn("b", F.regexp_replace("b", "`", ""))), 0.9)
+
+
+def _target_corr_sql(cols, target, src):
+    return "\nUNION ALL\n".join(f"SELECT '{c}' AS column, round(corr({c}, {target}), 6) AS corr, "
+                                f"round(abs(corr({c}, {target})), 6) AS abs_corr FROM {src}" for c in cols)
+
+
+@register("sel_target_corr", _target_corr_sql(["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "lineitem"))
+def q_sel_target_corr(spark, d):
+    from ..operators import select
+    return round_all(select.corr_with_target(_li(spark, d), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice"))
+
+
+@register("sel_keep_target_correlated", f"""WITH t AS ({_target_corr_sql(["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "lineitem")})
+SELECT "column" FROM t WHERE abs_corr > 0.05""")
+def q_sel_keep_target_correlated(spark, d):
+    from ..operators import select
+    tc = round_all(select.corr_with_target(_li(spark, d), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice"))
+    return select.keep_target_correlated(tc, 0.05)
+
+
+@register("sel_target_threshold_counts", f"""WITH t AS ({_target_corr_sql(["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "lineitem")})
+""" + "\nUNION ALL\n".join(f"SELECT CAST({t} AS DOUBLE) AS threshold, count(*) FILTER (WHERE abs_corr < {t}) AS n_features FROM t"
+                           for t in [0.01, 0.05, 0.1, 1.0]))
+def q_sel_target_threshold_counts(spark, d):
+    from ..operators import select
+    tc = round_all(select.corr_with_target(_li(spark, d), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice"))
+    return select.target_threshold_counts(tc)
+
+
+@register("sel_pair_threshold_counts", f"""WITH t AS ({_pairs_sql(SEL_COLS)})
+""" + "\nUNION ALL\n".join(f"SELECT CAST({t} AS DOUBLE) AS threshold, count(*) FILTER (WHERE abs_corr > {t}) AS n_pairs FROM t"
+                           for t in [0.99, 0.95, 0.9, 0.5, 0.0]))
+def q_sel_pair_threshold_counts(spark, d):
+    from ..operators import select
+    return select.pair_threshold_counts(round_all(select.corr_pairs(_li(spark, d), SEL_COLS)))
+
+
+@register("sel_weak_pairs", f"""WITH t AS ({_pairs_sql(SEL_COLS)}) SELECT a, b, abs_corr FROM t WHERE abs_corr < 0.5""")
+def q_sel_weak_pairs(spark, d):
+    from ..operators import select
+    return select.weak_pairs(round_all(select.corr_pairs(_li(spark, d), SEL_COLS)), 0.5)
+
+
+def _poly3_target_sql():
+    from ..operators.select import polynomial_terms
+    terms = polynomial_terms(POLY_COLS, 3)
+    body = ", ".join(f'{" * ".join(c)} AS "{n}"' for n, c in terms)
+    corr = "\nUNION ALL\n".join(f"""SELECT '{n}' AS name, round(abs(corr("{n}", l_extendedprice)), 6) AS score FROM p"""
+                                for n, _ in terms)
+    return f"WITH p AS (SELECT {body}, l_extendedprice FROM lineitem), items AS ({corr})"
+
+
+@register("sel_dominant_sets", _poly3_target_sql() + """
+SELECT i.name, i.score FROM items i WHERE NOT EXISTS (
+  SELECT 1 FROM items j WHERE j.name <> i.name AND j.score > i.score
+    AND list_has_all(string_split(i.name, ' '), string_split(j.name, ' ')))""")
+def q_sel_dominant_sets(spark, d):
+    from ..operators import select
+    terms = select.polynomial_terms(POLY_COLS, 3)
+    poly = select.polynomial_features(_li(spark, d), POLY_COLS, 3, keep=["l_extendedprice"])
+    tc = select.corr_with_target(poly, [f"`{n}`" for n, _ in terms], "l_extendedprice")
+    items = round_all(tc.select(F.regexp_replace("column", "`", "").alias("name"), F.col("abs_corr").alias("score")))
+    return select.dominant_sets(items, "name", "score")
+
+
+@register("sel_covariance", "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, round(covar_samp({a}, {b}), 4) AS cov FROM lineitem"
+    for i, a in enumerate(SEL_COLS) for b in SEL_COLS[i:]))
+def q_sel_covariance(spark, d):
+    from ..operators import select
+    return round_all(select.covariance_pairs(_li(spark, d), SEL_COLS), 4)
+
+
+@register("sel_standardized_covariance", "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, round({('corr(' + a + ', ' + b + ')') if a != b else '1.0'} * count(*) / (count(*) - 1), 6) AS cov "
+    f"FROM lineitem" for i, a in enumerate(SEL_COLS) for b in SEL_COLS[i:]))
+def q_sel_standardized_covariance(spark, d):
+    from ..operators import select
+    return round_all(select.standardized_covariance(_li(spark, d), SEL_COLS))
+
+
+def _mi_sql(cols, target, bins=10):
+    feats = cols + [target]
+    edges = ", ".join(f"list_sort([{', '.join(f'quantile_cont({c}, {k / bins})' for k in range(1, bins))}]) AS e_{c}"
+                      for c in feats)
+    binned = lambda c: f"len(list_filter(e_{c}, lambda e: e < {c}))"
+    longs = "\nUNION ALL\n".join(f"SELECT '{c}' AS column, {binned(c)} AS bx, {binned(target)} AS bb FROM lineitem, edges"
+                                 for c in cols)
+    return f"""WITH edges AS (SELECT {edges} FROM lineitem),
+long AS ({longs}),
+j AS (SELECT "column", bx, bb, count(*) AS nxy FROM long GROUP BY ALL),
+mx AS (SELECT "column", bx, sum(nxy) AS nx FROM j GROUP BY ALL),
+my AS (SELECT "column", bb, sum(nxy) AS ny FROM j GROUP BY ALL),
+n AS (SELECT "column", sum(nxy) AS n FROM j GROUP BY ALL)
+SELECT j."column", round(sum((nxy / n) * ln((nxy * n) / (nx * ny))), 6) AS mutual_information
+FROM j JOIN mx USING ("column", bx) JOIN my USING ("column", bb) JOIN n USING ("column") GROUP BY ALL"""
+
+
+@register("sel_mutual_information", _mi_sql(["l_quantity", "l_discount", "l_tax"], "l_extendedprice"))
+def q_sel_mutual_information(spark, d):
+    from ..operators import select
+    return round_all(select.binned_mutual_information(_li(spark, d), ["l_quantity", "l_discount", "l_tax"],
+                                                      "l_extendedprice", 10))
+
+
+@register("scale_standardize", """SELECT round((l_quantity - avg(l_quantity) OVER ()) / nullif(stddev_pop(l_quantity) OVER (), 0), 6) AS l_quantity,
+  round((l_discount - avg(l_discount) OVER ()) / nullif(stddev_pop(l_discount) OVER (), 0), 6) AS l_discount,
+  round((l_tax - avg(l_tax) OVER ()) / nullif(stddev_pop(l_tax) OVER (), 0), 6) AS l_tax FROM lineitem""")
+def q_scale_standardize(spark, d):
+    from ..operators import scale
+    return round_all(scale.standardize(_li(spark, d).select("l_quantity", "l_discount", "l_tax"),
+                                       ["l_quantity", "l_discount", "l_tax"]))
+
+
+@register("scale_robust", "SELECT " + ", ".join(
+    f"round(({c} - (SELECT quantile_cont({c}, 0.5) FROM lineitem)) / (SELECT CASE WHEN quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) = 0 THEN 1 "
+    f"ELSE quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) END FROM lineitem), 6) AS {c}"
+    for c in ["l_quantity", "l_extendedprice", "l_tax"]) + " FROM lineitem")
+def q_scale_robust(spark, d):
+    from ..operators import scale
+    cols = ["l_quantity", "l_extendedprice", "l_tax"]
+    return round_all(scale.robust_scale(_li(spark, d).select(*cols), cols))
+
+
+@register("scale_min_max", "SELECT " + ", ".join(
+    f"round(coalesce(({c} - min({c}) OVER ()) / nullif(max({c}) OVER () - min({c}) OVER (), 0), 0), 6) AS {c}"
+    for c in ["l_quantity", "l_discount", "l_tax"]) + " FROM lineitem")
+def q_scale_min_max(spark, d):
+    from ..operators import scale
+    cols = ["l_quantity", "l_discount", "l_tax"]
+    return round_all(scale.min_max_scale(_li(spark, d).select(*cols), cols))
+
+
+@register("scale_fold_standardize", f"""WITH f AS (SELECT o_orderkey, o_totalprice,
+  CAST((row_number() OVER (ORDER BY {H_ORDER}, o_orderkey) - 1) % 5 AS INTEGER) AS fold FROM orders),
+st AS (SELECT k.fold, avg(f.o_totalprice) AS mu, stddev_pop(f.o_totalprice) AS sd
+       FROM (SELECT DISTINCT fold FROM f) k JOIN f ON f.fold <> k.fold GROUP BY k.fold)
+SELECT f.o_orderkey, f.fold, round((f.o_totalprice - st.mu) / CASE WHEN st.sd = 0 THEN 1 ELSE st.sd END, 6) AS o_totalprice
+FROM f JOIN st USING (fold)""")
+def q_scale_fold_standardize(spark, d):
+    from ..operators import folds, ordering, scale
+    o = _orders(spark, d).select("o_orderkey", "o_totalprice")
+    o = ordering.number_rows(o.withColumn("_h", folds.portable_hash("o_orderkey")), [], ["_h", "o_orderkey"], "_rn")
+    o = o.select("o_orderkey", "o_totalprice", (F.col("_rn") % 5).cast("int").alias("fold"))
+    return round_all(scale.fold_standardize(o, ["o_totalprice"]))
+
+
+RBF_CENTROIDS = [[10.0, 0.02, 0.01], [25.0, 0.05, 0.04], [40.0, 0.08, 0.07]]
+
+
+@register("scale_rbf_features", "SELECT " + ", ".join(
+    "round(exp(-(" + " + ".join(f"({c} - {v}) * ({c} - {v})" for c, v in zip(POLY_COLS, cen)) +
+    f") / (2 * {__import__('ferrule.operators.scale', fromlist=['x']).rbf_sigma(__import__('numpy').array(RBF_CENTROIDS))} ^ 2)), 6) AS rbf{m}"
+    for m, cen in enumerate(RBF_CENTROIDS)) + " FROM lineitem")
+def q_scale_rbf_features(spark, d):
+    from ..operators import scale
+    return round_all(scale.rbf_features(_li(spark, d), POLY_COLS, RBF_CENTROIDS))
+
+
+@register("scale_polynomial", f"SELECT {_poly_sql(2)} FROM lineitem")
+def q_scale_polynomial(spark, d):
+    from ..operators import select
+    return select.polynomial_features(_li(spark, d), POLY_COLS, 2)
