@@ -663,3 +663,190 @@ def q_scale_rbf_features(spark, d):
 def q_scale_polynomial(spark, d):
     from ..operators import select
     return select.polynomial_features(_li(spark, d), POLY_COLS, 2)
+
+
+# --------------------------------------------------------------------------- metrics
+
+REG_SCORE_SQL = """SELECT {keys}, count(*) AS n, round(avg((y_pred - y_true) ^ 2), 4) AS mse,
+  round(sqrt(avg((y_pred - y_true) ^ 2)), 6) AS rmse,
+  round(avg(abs(y_pred - y_true) / greatest(abs(y_true), 2.220446049250313e-16)), 6) AS mape,
+  round(1 - sum((y_pred - y_true) ^ 2) / (sum(y_true * y_true) - sum(y_true) * sum(y_true) / count(*)), 6) AS r2,
+  round(avg(2 * abs(y_pred - y_true) / (abs(y_true) + abs(y_pred))) * 100, 6) AS smape,
+  round(sum(y_pred - y_true) / sum(abs(y_true) + abs(y_pred)), 6) AS signed_smape
+FROM preds GROUP BY ALL"""
+
+
+def _reg_scores_rounded(df):
+    return round_all(round_all(df, 6), 4, ["mse"])
+
+
+@register("metric_regression_scores", f"WITH {S.REG_PRED_CTE} " + REG_SCORE_SQL.format(keys="model, fold, set"))
+def q_metric_regression_scores(spark, d):
+    from ..operators import metrics
+    return _reg_scores_rounded(metrics.regression_scores(tables.regression_predictions(spark, d),
+                                                         ["model", "fold", "set"]))
+
+
+@register("metric_winsorized_mape", f"""WITH {S.REG_PRED_CTE},
+e AS (SELECT model, set, abs(y_pred - y_true) / greatest(abs(y_true), 2.220446049250313e-16) AS err FROM preds),
+t AS (SELECT model, set, quantile_cont(err, 0.95) AS thr FROM e GROUP BY ALL)
+SELECT model, set, round(avg(least(err, thr)), 6) AS wmape FROM e JOIN t USING (model, set) GROUP BY ALL""")
+def q_metric_winsorized_mape(spark, d):
+    from ..operators import metrics
+    return round_all(metrics.winsorized_mape(tables.regression_predictions(spark, d), ["model", "set"]))
+
+
+@register("metric_confusion", f"""WITH {S.CLS_PRED_CTE},
+lab AS (SELECT DISTINCT l FROM (SELECT y_true AS l FROM preds UNION ALL SELECT y_pred FROM preds)),
+grid AS (SELECT g.model, t.l AS "true", p.l AS pred FROM (SELECT DISTINCT model FROM preds) g, lab t, lab p),
+c AS (SELECT model, y_true AS "true", y_pred AS pred, count(*) AS n FROM preds GROUP BY ALL)
+SELECT grid.model, grid."true", grid.pred, coalesce(c.n, 0) AS n FROM grid LEFT JOIN c USING (model, "true", pred)""")
+def q_metric_confusion(spark, d):
+    from ..operators import metrics
+    return metrics.confusion(tables.classification_predictions(spark, d), ["model"])
+
+
+CLS_REPORT_SQL = f"""WITH {S.CLS_PRED_CTE},
+lab AS (SELECT DISTINCT l FROM (SELECT y_true AS l FROM preds UNION ALL SELECT y_pred FROM preds)),
+g AS (SELECT DISTINCT model, fold FROM preds),
+pc AS (SELECT g.model, g.fold, lab.l AS label,
+         count(p.y_true) FILTER (WHERE p.y_true = lab.l AND p.y_pred = lab.l) AS tp,
+         count(p.y_true) FILTER (WHERE p.y_true = lab.l) AS support,
+         count(p.y_true) FILTER (WHERE p.y_pred = lab.l) AS predicted
+       FROM g CROSS JOIN lab LEFT JOIN preds p ON p.model = g.model AND p.fold = g.fold GROUP BY ALL),
+m AS (SELECT *, coalesce(tp / nullif(predicted, 0), 0) AS precision, coalesce(tp / nullif(support, 0), 0) AS recall FROM pc),
+f AS (SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) AS f1 FROM m),
+acc AS (SELECT model, fold, avg(CAST(y_true = y_pred AS DOUBLE)) AS acc, count(*) AS s FROM preds GROUP BY ALL),
+rep AS (
+  SELECT model, fold, CAST(label AS VARCHAR) AS row, precision, recall, f1, CAST(support AS DOUBLE) AS support FROM f
+  UNION ALL SELECT model, fold, 'accuracy', acc, acc, acc, CAST(s AS DOUBLE) FROM acc
+  UNION ALL SELECT model, fold, 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS DOUBLE) FROM f GROUP BY ALL
+  UNION ALL SELECT model, fold, 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+                   sum(f1 * support) / sum(support), CAST(sum(support) AS DOUBLE) FROM f GROUP BY ALL)"""
+
+
+@register("metric_classification_report", CLS_REPORT_SQL + """
+SELECT model, fold, row, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM rep""")
+def q_metric_classification_report(spark, d):
+    from ..operators import metrics
+    return round_all(metrics.classification_report(tables.classification_predictions(spark, d), ["model", "fold"]))
+
+
+@register("metric_classification_scores", CLS_REPORT_SQL + """
+SELECT model, fold,
+  round(max(precision) FILTER (WHERE row = 'accuracy'), 6) AS accuracy,
+  round(max(precision) FILTER (WHERE row = 'macro avg'), 6) AS macro_precision,
+  round(max(recall) FILTER (WHERE row = 'macro avg'), 6) AS macro_recall,
+  round(max(f1) FILTER (WHERE row = 'macro avg'), 6) AS macro_f1,
+  round(max(recall) FILTER (WHERE row = 'macro avg'), 6) AS balanced_accuracy,
+  round(1 - max(f1) FILTER (WHERE row = 'macro avg'), 6) AS f1_loss
+FROM rep GROUP BY ALL""")
+def q_metric_classification_scores(spark, d):
+    from ..operators import metrics
+    return round_all(metrics.classification_scores(tables.classification_predictions(spark, d), ["model", "fold"]))
+
+
+@register("metric_fold_average_report", CLS_REPORT_SQL + """
+SELECT model, row, round(avg(precision), 6) AS precision_mean, round(stddev_pop(precision), 6) AS precision_std,
+  round(avg(recall), 6) AS recall_mean, round(stddev_pop(recall), 6) AS recall_std,
+  round(avg(f1), 6) AS f1_mean, round(stddev_pop(f1), 6) AS f1_std FROM rep GROUP BY ALL""")
+def q_metric_fold_average_report(spark, d):
+    from ..operators import metrics
+    rep = metrics.classification_report(tables.classification_predictions(spark, d), ["model", "fold"])
+    return round_all(metrics.fold_average_report(rep, ["model", "row"]))
+
+
+@register("metric_roc_auc", """WITH r AS (
+  SELECT l_returnflag = 'R' AS pos, rank() OVER (ORDER BY l_discount) AS r0,
+         count(*) OVER (PARTITION BY l_discount) AS c FROM lineitem),
+a AS (SELECT pos, r0 + (c - 1) / 2.0 AS avg_rank FROM r)
+SELECT round((sum(avg_rank) FILTER (WHERE pos) - count(*) FILTER (WHERE pos) * (count(*) FILTER (WHERE pos) + 1) / 2.0)
+             / (count(*) FILTER (WHERE pos) * count(*) FILTER (WHERE NOT pos)), 6) AS roc_auc FROM a""")
+def q_metric_roc_auc(spark, d):
+    from ..operators import metrics
+    li = _li(spark, d).select((F.col("l_returnflag") == "R").cast("int").alias("y_true"),
+                              F.col("l_discount").alias("score"))
+    return round_all(metrics.roc_auc(li))
+
+
+@register("metric_fold_summary", f"WITH {S.REG_PRED_CTE}, sc AS (" + REG_SCORE_SQL.format(keys="model, fold, set") + """)
+SELECT model, set, round(avg(r2), 6) AS mean, round(stddev_pop(r2), 6) AS std, round(max(r2), 6) AS max,
+       round(min(r2), 6) AS min, count(DISTINCT fold) AS n_folds FROM sc GROUP BY ALL""")
+def q_metric_fold_summary(spark, d):
+    from ..operators import metrics
+    sc = _reg_scores_rounded(metrics.regression_scores(tables.regression_predictions(spark, d), ["model", "fold", "set"]))
+    return round_all(metrics.fold_summary(sc, ["model", "set"], "r2"))
+
+
+@register("metric_group_scores", f"""WITH {S.CLS_PRED_CTE},
+acc AS (SELECT fold, avg(CAST(y_true = y_pred AS DOUBLE)) AS a FROM preds WHERE model = 'rater' GROUP BY ALL)
+SELECT DISTINCT p.fold, p.row_id % 14 AS grp, round(acc.a, 6) AS fold_accuracy
+FROM preds p JOIN acc USING (fold) WHERE p.model = 'rater'""")
+def q_metric_group_scores(spark, d):
+    from ..operators import metrics
+    p = tables.classification_predictions(spark, d).where(F.col("model") == "rater") \
+        .withColumn("grp", F.col("row_id") % 14)
+    return round_all(metrics.group_scores(p, "fold", "grp"))
+
+
+@register("metric_overfit_table", f"WITH {S.REG_PRED_CTE}, sc AS (" + REG_SCORE_SQL.format(keys="model, fold, set") + """),
+lng AS (SELECT model, 'r2' AS metric, set, r2 AS score FROM sc UNION ALL SELECT model, 'mape', set, mape FROM sc),
+gap AS (SELECT metric, model, avg(score) FILTER (WHERE set = 'train') - avg(score) FILTER (WHERE set = 'val') AS v
+        FROM lng GROUP BY ALL),
+r AS (SELECT metric, v, row_number() OVER (PARTITION BY metric ORDER BY v) - 1 AS k, count(*) OVER (PARTITION BY metric) AS n FROM gap)
+SELECT metric, round(avg(v), 6) AS trimmed_gap FROM r WHERE k >= floor(n * 0.1) AND k < n - floor(n * 0.1) GROUP BY ALL""")
+def q_metric_overfit_table(spark, d):
+    from ..operators import metrics
+    sc = _reg_scores_rounded(metrics.regression_scores(tables.regression_predictions(spark, d), ["model", "fold", "set"]))
+    lng = sc.select("model", F.lit("r2").alias("metric"), "set", F.col("r2").alias("score")).unionByName(
+        sc.select("model", F.lit("mape").alias("metric"), "set", F.col("mape").alias("score")))
+    return round_all(metrics.overfit_table(lng, []))
+
+
+def _candidate_scores(spark, d):
+    from ..operators import metrics
+    preds = tables.regression_predictions(spark, d, [(f"a{int(a)}", a) for a in tables.CANDIDATE_FACTORS])
+    sc = metrics.regression_scores(preds, ["model", "fold", "set"])
+    piv = sc.groupBy("model").pivot("set", ["train", "val"]).agg(*[
+        F.max(F.when(F.col("fold") == f, F.round("r2", 6))).alias(f"split{f}") for f in range(5)])
+    return piv.select(F.col("model").alias("candidate"),
+                      *[F.col(f"val_split{f}").alias(f"split{f}_test_score") for f in range(5)],
+                      *[F.col(f"train_split{f}").alias(f"split{f}_train_score") for f in range(5)])
+
+
+CAND_SQL = f"""WITH preds AS (
+  SELECT 'a' || CAST(CAST(m.a AS INTEGER) AS VARCHAR) AS model, CAST(l_linenumber % 5 AS INTEGER) AS fold,
+         CASE WHEN l_orderkey % 4 = 0 THEN 'val' ELSE 'train' END AS set,
+         l_extendedprice AS y_true, l_quantity * m.a AS y_pred
+  FROM lineitem, (SELECT unnest([1000.0, 1250.0, 1500.0, 1750.0, 2000.0])::DOUBLE AS a) m),
+sc AS (SELECT model, fold, set, round(1 - sum((y_pred - y_true) ^ 2) / (sum(y_true * y_true) - sum(y_true) * sum(y_true) / count(*)), 6) AS r2
+       FROM preds GROUP BY ALL),
+c AS (SELECT model AS candidate,
+  {", ".join(f"max(r2) FILTER (WHERE fold = {f} AND set = 'val') AS split{f}_test_score" for f in range(5))},
+  {", ".join(f"max(r2) FILTER (WHERE fold = {f} AND set = 'train') AS split{f}_train_score" for f in range(5))}
+  FROM sc GROUP BY ALL)"""
+
+
+@register("board_candidate_leaderboard", CAND_SQL + f"""
+SELECT candidate, {", ".join(f"split{f}_test_score" for f in range(5))},
+  round(({" + ".join(f"split{f}_test_score" for f in range(5))}) / 5, 6) AS mean_test_score,
+  round(sqrt(({" + ".join(f"(split{f}_test_score - ({' + '.join(f'split{g}_test_score' for g in range(5))}) / 5) ^ 2" for f in range(5))}) / 5), 6) AS std_test_score,
+  CAST(rank() OVER (ORDER BY ({" + ".join(f"split{f}_test_score" for f in range(5))}) / 5 DESC) AS INTEGER) AS rank_test_score
+FROM c""")
+def q_board_candidate_leaderboard(spark, d):
+    from ..operators import metrics
+    c = _candidate_scores(spark, d)
+    lb = metrics.candidate_leaderboard(c, [f"split{f}_test_score" for f in range(5)], ["candidate"])
+    return round_all(lb)
+
+
+@register("board_train_cv_gap", CAND_SQL + f"""
+SELECT candidate, round(({" + ".join(f"split{f}_train_score" for f in range(5))}) / 5, 6) AS mean_train,
+  round(({" + ".join(f"split{f}_test_score" for f in range(5))}) / 5, 6) AS mean_test,
+  round(({" + ".join(f"split{f}_train_score" for f in range(5))}) / 5 - ({" + ".join(f"split{f}_test_score" for f in range(5))}) / 5, 6) AS gap
+FROM c""")
+def q_board_train_cv_gap(spark, d):
+    from ..operators import metrics
+    c = _candidate_scores(spark, d)
+    return round_all(metrics.train_cv_gap(c, [f"split{f}_train_score" for f in range(5)],
+                                          [f"split{f}_test_score" for f in range(5)], ["candidate"]))

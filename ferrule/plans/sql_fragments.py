@@ -54,3 +54,15 @@ POSE_CTE = """pose AS (
 
 def portable_hash_sql(expr: str, seed: int | str = 42) -> str:
     return f"CAST(('0x' || substr(md5(CAST({expr} AS VARCHAR) || '{seed}'), 1, 8)) AS BIGINT)"
+
+
+REG_PRED_CTE = """preds AS (
+  SELECT m.model, CAST(l_linenumber % 5 AS INTEGER) AS fold,
+         CASE WHEN l_orderkey % 4 = 0 THEN 'val' ELSE 'train' END AS set,
+         l_extendedprice AS y_true, l_quantity * m.a AS y_pred
+  FROM lineitem, (VALUES ('qty_x_1500', 1500.0::DOUBLE), ('qty_x_2000', 2000.0::DOUBLE)) m(model, a))"""
+
+CLS_PRED_CTE = """preds AS (
+  SELECT m.model, CAST(doc_id % 5 AS INTEGER) AS fold, doc_id AS row_id, quality AS y_true,
+         CAST(CASE WHEN m.model = 'rater' THEN toxic ELSE 1 - toxic END AS INTEGER) AS y_pred
+  FROM labels, (VALUES ('rater'), ('inverse_rater')) m(model))"""

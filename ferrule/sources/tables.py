@@ -91,3 +91,30 @@ def prediction_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     lb = read_table(spark, sf_dir, "labels")
     return lb.select(F.col("doc_id").alias("row_id"), F.col("quality").alias("y_true"),
                      F.col("toxic").alias("y_pred"))
+
+
+# Closed-form regression "models" used to build prediction tables
+# (y_pred = l_quantity * factor).
+REGRESSION_MODELS = [("qty_x_1500", 1500.0), ("qty_x_2000", 2000.0)]
+CANDIDATE_FACTORS = [1000.0, 1250.0, 1500.0, 1750.0, 2000.0]
+
+
+def regression_predictions(spark: SparkSession, sf_dir: str, models=None) -> DataFrame:
+    """Long prediction store ``(model, fold, set, y_true, y_pred)`` over all of lineitem:
+    fold = l_linenumber % 5, set = 'val' when l_orderkey % 4 == 0 else 'train'."""
+    li = read_table(spark, sf_dir, "lineitem")
+    ms = F.array(*[F.struct(F.lit(m).alias("model"), F.lit(a).alias("a")) for m, a in (models or REGRESSION_MODELS)])
+    return li.select(F.explode(ms).alias("m"), "l_quantity", "l_extendedprice", "l_linenumber", "l_orderkey").select(
+        F.col("m.model").alias("model"), (F.col("l_linenumber") % 5).cast("int").alias("fold"),
+        F.when(F.col("l_orderkey") % 4 == 0, "val").otherwise("train").alias("set"),
+        F.col("l_extendedprice").alias("y_true"), (F.col("l_quantity") * F.col("m.a")).alias("y_pred"))
+
+
+def classification_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(model, fold, row_id, y_true, y_pred)``: quality vs. toxic rater and its inverse."""
+    lb = read_table(spark, sf_dir, "labels")
+    ms = F.array(F.struct(F.lit("rater").alias("model"), F.col("toxic").alias("p")),
+                 F.struct(F.lit("inverse_rater").alias("model"), (1 - F.col("toxic")).alias("p")))
+    return lb.select(F.explode(ms).alias("m"), "doc_id", "quality").select(
+        F.col("m.model").alias("model"), (F.col("doc_id") % 5).cast("int").alias("fold"),
+        F.col("doc_id").alias("row_id"), F.col("quality").alias("y_true"), F.col("m.p").cast("int").alias("y_pred"))
