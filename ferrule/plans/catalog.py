@@ -850,3 +850,189 @@ def q_board_train_cv_gap(spark, d):
     c = _candidate_scores(spark, d)
     return round_all(metrics.train_cv_gap(c, [f"split{f}_train_score" for f in range(5)],
                                           [f"split{f}_test_score" for f in range(5)], ["candidate"]))
+
+
+# --------------------------------------------------------------------------- pose arrays
+
+def _pose(spark, d):
+    return tables.pose_frame(spark, d)
+
+
+def _sk():
+    from ..operators.pose import POSE16
+    return POSE16
+
+
+def _pc(c, j, n=16, arr="features"):
+    off = {"xmean": 2 * j, "ymean": 2 * j + 1, "xstd": 2 * n + 2 * j, "ystd": 2 * n + 2 * j + 1}[c]
+    return f"{arr}[{off + 1}]"
+
+
+@register("pose_unpack", f"WITH {S.POSE_CTE} SELECT row_id, " + ", ".join(
+    (f"-{_pc(c, j)}" if c == "ymean" else _pc(c, j)) + f" AS {c}{j}"
+    for c in ("xmean", "ymean", "xstd", "ystd") for j in range(16)) + " FROM pose")
+def q_pose_unpack(spark, d):
+    from ..operators import pose
+    return pose.unpack(_pose(spark, d), "features", 16, keep=["row_id"], negate_y=True)
+
+
+@register("pose_interleaved", f"""WITH {S.POSE_CTE},
+il AS (SELECT row_id, flatten(list_transform(range(16), lambda i: [features[2 * i + 1], features[2 * i + 2],
+        features[32 + 2 * i + 1], features[32 + 2 * i + 2]])) AS il FROM pose)
+SELECT row_id, CAST(k - 1 AS INTEGER) AS pos, il[k] AS value FROM il, range(1, 65) t(k)""")
+def q_pose_interleaved(spark, d):
+    from ..operators import pose
+    p = pose.check_width(_pose(spark, d), "features", 16)
+    return p.select("row_id", F.posexplode(pose.to_interleaved("features", 16)).alias("pos", "value"))
+
+
+def _feature_row_sql():
+    sk = _sk()
+    hand = {}
+    out = []
+    for side, joints in sk.hands.items():
+        for c in ("xmean", "ymean", "xstd", "ystd"):
+            hand[(c, side)] = "((" + " + ".join(_pc(c, j) for j in joints) + f") / {float(len(joints))})"
+            out.append(f"round({hand[(c, side)]}, 6) AS {c}{side}_hand")
+    ls, lh, rs, rh = sk.torso
+    dist = lambda a, b: f"sqrt(({_pc('xmean', a)} - {_pc('xmean', b)}) ^ 2 + ({_pc('ymean', a)} - {_pc('ymean', b)}) ^ 2)"
+    torso = f"({dist(ls, lh)} / 2.0 + {dist(rs, rh)} / 2.0)"
+    pt = lambda c, a: hand[(c, a.split('_')[0])] if isinstance(a, str) else _pc(c, a)
+    for a, b in sk.diff_pairs:
+        for c in ("xmean", "ymean"):
+            out.append(f'round(({pt(c, a)} - {pt(c, b)}) / nullif({torso}, 0), 6) AS "{c}diff{a}-{b}"')
+    for j in sk.knees:
+        for c in ("xstd", "ystd"):
+            out.append(f"round({_pc(c, j)}, 6) AS {c}{j}")
+    for side, joints in sk.sides.items():
+        out.append("round(" + " + ".join(f"{_pc('xstd', j)} + {_pc('ystd', j)}" for j in joints) + f", 6) AS {side}_std")
+    out.append(f"round({torso}, 6) AS torso_length")
+    return ", ".join(out)
+
+
+@register("pose_feature_row", f"WITH {S.POSE_CTE} SELECT row_id, patient_id, {_feature_row_sql()} FROM pose")
+def q_pose_feature_row(spark, d):
+    from ..operators import pose
+    return round_all(pose.feature_row(_pose(spark, d), "features", _sk(), keep=["row_id", "patient_id"]))
+
+
+@register("pose_impairment_side", f"""WITH {S.POSE_CTE}, fr AS (SELECT row_id, patient_id, {_feature_row_sql()} FROM pose),
+t AS (SELECT patient_id, sum(left_std) AS left_total, sum(right_std) AS right_total FROM fr GROUP BY ALL)
+SELECT fr.row_id, fr.patient_id, round(t.left_total, 4) AS left_total, round(t.right_total, 4) AS right_total,
+       CAST(t.left_total > t.right_total AS INTEGER) AS impairment_side FROM fr JOIN t USING (patient_id)""")
+def q_pose_impairment_side(spark, d):
+    from ..operators import pose
+    fr = round_all(pose.feature_row(_pose(spark, d), "features", _sk(), keep=["row_id", "patient_id"]))
+    out = pose.impairment_side(fr, None, "patient_id")
+    return round_all(out.select("row_id", "patient_id", "left_total", "right_total", "impairment_side"), 4,
+                     ["left_total", "right_total"])
+
+
+W_COLS = ["xstdleft_hand", "ystdleft_hand", "xstdright_hand", "ystdright_hand", "xstd13", "ystd13", "xstd14", "ystd14"]
+
+
+@register("pose_sample_weights", f"""WITH {S.POSE_CTE}, fr AS (SELECT row_id, patient_id, {_feature_row_sql()} FROM pose),
+w AS (SELECT row_id, ({" + ".join(f"coalesce(({c} - min({c}) OVER ()) / nullif(max({c}) OVER () - min({c}) OVER (), 0), 0)" for c in W_COLS)}) ^ 2 AS w2 FROM fr)
+SELECT row_id, round(w2 / max(w2) OVER (), 6) AS weight FROM w""")
+def q_pose_sample_weights(spark, d):
+    from ..operators import pose
+    fr = round_all(pose.feature_row(_pose(spark, d), "features", _sk(), keep=["row_id", "patient_id"]))
+    return round_all(pose.sample_weights(fr, W_COLS).select("row_id", "weight"))
+
+
+@register("pose_weighted_class_means", f"""WITH {S.POSE_CTE}, fr AS (SELECT row_id, target, {_feature_row_sql()} FROM pose)
+SELECT target, {", ".join(f"round(sum({c} * torso_length) / nullif(sum(torso_length), 0), 6) AS {c}" for c in ["left_std", "right_std", "xmean13", "ymean13"] if True).replace("xmean13", "xstd13").replace("ymean13", "ystd13")}
+FROM fr GROUP BY ALL""")
+def q_pose_weighted_class_means(spark, d):
+    from ..operators import pose
+    fr = round_all(pose.feature_row(_pose(spark, d), "features", _sk(), keep=["row_id", "target"]))
+    return round_all(pose.weighted_class_means(fr, ["left_std", "right_std", "xstd13", "ystd13"], "torso_length",
+                                               ["target"]))
+
+
+@register("pose_mean_by_patient_class", f"""WITH {S.POSE_CTE}
+SELECT patient_id, target, {", ".join(f"round(avg({_pc(c, j)}), 6) AS {c}{j}" for j in (7, 8, 9, 10) for c in ("xmean", "ymean"))}
+FROM pose GROUP BY ALL""")
+def q_pose_mean_by_patient_class(spark, d):
+    from ..operators import pose
+    u = pose.unpack(_pose(spark, d), "features", 16, keep=["patient_id", "target"])
+    cols = [f"{c}{j}" for j in (7, 8, 9, 10) for c in ("xmean", "ymean")]
+    return round_all(u.groupBy("patient_id", "target").agg(*[F.avg(c).alias(c) for c in cols]))
+
+
+def _activity_sql(joints):
+    return "(" + " + ".join(f"{_pc('xstd', j)} + {_pc('ystd', j)}" for j in joints) + ")"
+
+
+@register("pose_top_activity", f"""WITH {S.POSE_CTE},
+s AS (SELECT row_id, target, round(CASE WHEN target < 5 THEN {_activity_sql([7, 8, 9, 10])} ELSE {_activity_sql([13, 14, 15])} END, 6) AS score FROM pose)
+SELECT row_id, target, score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY target ORDER BY score DESC, row_id) AS rank FROM s) WHERE rank <= 5""")
+def q_pose_top_activity(spark, d):
+    from ..operators import ordering, pose
+    sk = _sk()
+    p = _pose(spark, d)
+    score = F.when(F.col("target") < 5, pose.activity_score("features", sk, [7, 8, 9, 10])).otherwise(
+        pose.activity_score("features", sk, [13, 14, 15]))
+    s = p.select("row_id", "target", F.round(score, 6).alias("score"))
+    return ordering.first_n_per_group(s, ["target"], [F.desc("score"), "row_id"], 5).withColumn(
+        "rank", F.col("rank").cast("int"))
+
+
+@register("pose_centre_scale", f"""WITH {S.POSE_CTE},
+c AS (SELECT row_id, features,
+        list_median(list_transform(range(16), lambda i: features[2 * i + 1])) AS cx,
+        list_median(list_transform(range(16), lambda i: features[2 * i + 2])) AS cy FROM pose),
+s AS (SELECT *, list_avg(list_transform(range(16), lambda i: sqrt((features[2 * i + 1] - cx) ^ 2 + (features[2 * i + 2] - cy) ^ 2))) AS s0 FROM c)
+SELECT row_id, round(CASE WHEN abs(s0) < 1e-9 THEN 1 ELSE s0 END, 6) AS scale, round(cx, 6) AS cx, round(cy, 6) AS cy,
+  round(list_sum(list_transform(range(64), lambda i: CASE WHEN i < 32 AND i % 2 = 0 THEN (features[i + 1] - cx)
+     WHEN i < 32 THEN (features[i + 1] - cy) ELSE features[i + 1] END)) / CASE WHEN abs(s0) < 1e-9 THEN 1 ELSE s0 END, 4) AS feature_sum
+FROM s""")
+def q_pose_centre_scale(spark, d):
+    from ..operators import pose
+    p = _pose(spark, d).select("row_id", pose.centre_and_scale("features", 16, "root", None, "torso").alias("n"))
+    return p.select("row_id", F.round("n.scale", 6).alias("scale"), F.round("n.cx", 6).alias("cx"),
+                    F.round("n.cy", 6).alias("cy"),
+                    F.round(F.aggregate("n.features", F.lit(0.0), lambda a, x: a + x), 4).alias("feature_sum"))
+
+
+@register("pose_limb_lengths", None)
+def q_pose_limb_lengths(spark, d):
+    from ..operators import pose
+    return round_all(pose.limb_lengths(_pose(spark, d), "features", _sk(), keep=["row_id"]))
+
+
+@register("pose_arm_over_patient_max", None)
+def q_pose_arm_over_patient_max(spark, d):
+    from ..operators import pose
+    g = pose.limb_lengths(_pose(spark, d), "features", _sk(), keep=["row_id", "patient_id"])
+    return round_all(pose.arm_over_patient_max(g, "arm_l", "patient_id").select("row_id", "patient_id", "arm_rel"))
+
+
+@register("pose_mirror", f"""WITH {S.POSE_CTE}, fr AS (SELECT row_id, {_feature_row_sql()} FROM pose)
+SELECT row_id, CAST(left_std > right_std AS INTEGER) AS mirrored,
+       CASE WHEN left_std > right_std THEN right_std ELSE left_std END AS left_std,
+       CASE WHEN left_std > right_std THEN left_std ELSE right_std END AS right_std FROM fr""")
+def q_pose_mirror(spark, d):
+    from ..operators import pose
+    fr = round_all(pose.feature_row(_pose(spark, d), "features", _sk(), keep=["row_id", "features"]))
+    return pose.mirror_rows(fr, "features", 16).select("row_id", "mirrored", "left_std", "right_std")
+
+
+@register("pose_argmax_threshold", f"""WITH {S.POSE_CTE}
+SELECT row_id, CAST(list_position(features, list_max(features)) - 1 AS INTEGER) AS argmax,
+       CAST(features[1] >= 0.0 AS INTEGER) AS above FROM pose""")
+def q_pose_argmax_threshold(spark, d):
+    from ..operators import pose
+    p = _pose(spark, d)
+    return p.select("row_id", pose.argmax_class("features").alias("argmax"),
+                    pose.threshold_class(F.col("features")[0], 0.0).alias("above"))
+
+
+@register("pose_one_hot_exercise", f"""WITH {S.SEQ_CTE}
+SELECT DISTINCT patient_id, exercise_id, {", ".join(f"CAST(exercise_id = 'E{i}' AS INTEGER) AS exercise_id_E{i}" for i in range(1, 6))}
+FROM seq""")
+def q_pose_one_hot_exercise(spark, d):
+    from ..operators import pose
+    s = tables.sequence_frame(spark, d).select("patient_id", "exercise_id").distinct()
+    return pose.one_hot_closed(s, "exercise_id", tables.EXERCISE_CODES)
