@@ -1036,3 +1036,132 @@ def q_pose_one_hot_exercise(spark, d):
     from ..operators import pose
     s = tables.sequence_frame(spark, d).select("patient_id", "exercise_id").distinct()
     return pose.one_hot_closed(s, "exercise_id", tables.EXERCISE_CODES)
+
+
+# --------------------------------------------------------------------------- quality
+
+@register("quality_fill_constant", f"""WITH {S.MISSING_CTE}
+SELECT l_quantity, l_extendedprice, coalesce(l_discount, 0) AS l_discount, coalesce(l_tax, 0) AS l_tax FROM miss""")
+def q_quality_fill_constant(spark, d):
+    from ..operators import quality
+    return quality.fill_constant(tables.missing_frame(spark, d), 0.0)
+
+
+@register("quality_stage_sizes", f"""WITH {S.MISSING_CTE}
+SELECT 'raw' AS stage, count(*) AS n_rows, 4 AS n_features FROM miss
+UNION ALL SELECT 'complete', count(*), 4 FROM miss WHERE l_discount IS NOT NULL AND l_tax IS NOT NULL
+UNION ALL SELECT 'numeric_pair', count(*), 2 FROM miss""")
+def q_quality_stage_sizes(spark, d):
+    from ..operators import quality
+    m = tables.missing_frame(spark, d)
+    return quality.stage_sizes([("raw", m), ("complete", m.dropna()), ("numeric_pair", m.select("l_quantity", "l_tax"))])
+
+
+@register("quality_impute_eval", f"""WITH v AS (
+  SELECT p_partkey, 'p_retailprice' AS "column", p_retailprice AS value FROM part
+  UNION ALL SELECT p_partkey, 'p_size', CAST(p_size AS DOUBLE) FROM part),
+r AS (SELECT s.seed, v.*, row_number() OVER (PARTITION BY s.seed, "column"
+        ORDER BY CAST(('0x' || substr(md5(CAST(p_partkey AS VARCHAR) || 'imp' || s.seed), 1, 8)) AS BIGINT), p_partkey) - 1 AS rn,
+        count(*) OVER (PARTITION BY s.seed, "column") AS n
+      FROM v, (SELECT unnest([0, 1, 2]) AS seed) s),
+f AS (SELECT seed, "column", avg(value) AS fill FROM r WHERE rn >= floor(n * 0.1) GROUP BY ALL),
+e AS (SELECT r.seed, r."column", sqrt(avg((value - fill) ^ 2)) AS score, count(*) AS nm
+      FROM r JOIN f USING (seed, "column") WHERE rn < floor(n * 0.1) GROUP BY ALL)
+SELECT "column", round(avg(score), 6) AS score, round(avg(nm), 6) AS n_masked FROM e GROUP BY ALL""")
+def q_quality_impute_eval(spark, d):
+    from ..operators import quality
+    p = tables.read_table(spark, d, "part").select("p_partkey", "p_retailprice", "p_size")
+    return round_all(quality.evaluate_imputer(p, "p_partkey", ["p_retailprice", "p_size"], "mean", 0.1))
+
+
+@register("quality_little_mcar", None)
+def q_quality_little_mcar(spark, d):
+    from ..operators import quality
+    return quality.little_mcar(tables.missing_frame(spark, d), MISS_COLS)
+
+
+# --------------------------------------------------------------------------- reshaping
+
+@register("reshape_melt", f"""WITH {S.POSE_CTE}, u AS (SELECT row_id, features[1] AS xmean0_l, features[2] AS ymean0_l,
+  features[33] AS xstd0_l, features[34] AS ystd0_l FROM pose)
+SELECT row_id, regexp_replace(variable, '_l$', '') AS variable, value FROM (
+  SELECT row_id, 'xmean0_l' AS variable, xmean0_l AS value FROM u UNION ALL SELECT row_id, 'ymean0_l', ymean0_l FROM u
+  UNION ALL SELECT row_id, 'xstd0_l', xstd0_l FROM u UNION ALL SELECT row_id, 'ystd0_l', ystd0_l FROM u)""")
+def q_reshape_melt(spark, d):
+    from ..operators import reshape
+    p = _pose(spark, d).select("row_id", *[F.col("features")[i].alias(n) for i, n in
+                                           ((0, "xmean0_l"), (1, "ymean0_l"), (32, "xstd0_l"), (33, "ystd0_l"))])
+    return reshape.melt(p, ["row_id"], ["xmean0_l", "ymean0_l", "xstd0_l", "ystd0_l"], strip_suffix="_l$")
+
+
+@register("reshape_pivot_sets", f"WITH {S.REG_PRED_CTE}, sc AS (" + REG_SCORE_SQL.format(keys="model, set") + """)
+SELECT model, 'r2' AS metric, max(r2) FILTER (WHERE set = 'train') AS train, max(r2) FILTER (WHERE set = 'val') AS val
+FROM sc GROUP BY ALL""")
+def q_reshape_pivot_sets(spark, d):
+    from ..operators import metrics, reshape
+    sc = _reg_scores_rounded(metrics.regression_scores(tables.regression_predictions(spark, d), ["model", "set"]))
+    lng = sc.select("model", F.lit("r2").alias("metric"), "set", "r2")
+    return reshape.pivot_first(lng, ["model", "metric"], "set", ["train", "val"], "r2")
+
+
+@register("reshape_pivot_split_name", f"WITH {S.REG_PRED_CTE}, sc AS (" + REG_SCORE_SQL.format(keys="model, set") + """)
+SELECT split_part(model, '_x_', 1) AS family, round(avg(r2) FILTER (WHERE split_part(model, '_x_', 2) = '1500'), 6) AS "1500",
+       round(avg(r2) FILTER (WHERE split_part(model, '_x_', 2) = '2000'), 6) AS "2000" FROM sc GROUP BY ALL""")
+def q_reshape_pivot_split_name(spark, d):
+    from ..operators import metrics, reshape
+    sc = _reg_scores_rounded(metrics.regression_scores(tables.regression_predictions(spark, d), ["model", "set"]))
+    return round_all(reshape.pivot_split_name(sc, "model", "_x_", "family", "factor", "r2", ["1500", "2000"]))
+
+
+@register("reshape_expand_json", """SELECT event_id, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events""")
+def q_reshape_expand_json(spark, d):
+    from ..operators import reshape
+    return reshape.expand_json(tables.read_table(spark, d, "events"), "props", ["k"], keep=["event_id"])
+
+
+@register("reshape_first_per_key", """SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM (
+  SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS r FROM orders) WHERE r = 1""")
+def q_reshape_first_per_key(spark, d):
+    from ..operators import reshape
+    o = _orders(spark, d).select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    return reshape.first_per_key(o, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+
+
+@register("reshape_holdout_groups", """SELECT o_orderkey, o_custkey, CASE WHEN o_custkey IN (1, 2, 3, 4) THEN 'test' ELSE 'train' END AS side
+FROM orders""")
+def q_reshape_holdout_groups(spark, d):
+    from ..operators import reshape
+    o = _orders(spark, d).select("o_orderkey", "o_custkey")
+    tr, te = reshape.hold_out(o, "o_custkey", [1, 2, 3, 4])
+    return tr.withColumn("side", F.lit("train")).unionByName(te.withColumn("side", F.lit("test")))
+
+
+@register("reshape_semi_anti", """SELECT c_custkey, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) AS has_orders
+FROM customer""")
+def q_reshape_semi_anti(spark, d):
+    from ..operators import reshape
+    c = tables.read_table(spark, d, "customer").select("c_custkey")
+    o = _orders(spark, d).select(F.col("o_custkey").alias("c_custkey"))
+    return reshape.semi(c, o, ["c_custkey"]).withColumn("has_orders", F.lit(True)).unionByName(
+        reshape.anti(c, o, ["c_custkey"]).withColumn("has_orders", F.lit(False)))
+
+
+@register("reshape_bar_table", """WITH t AS (SELECT l_returnflag AS x, l_linestatus AS label, CAST(l_linenumber AS VARCHAR) AS facet,
+  count(*) AS value FROM lineitem GROUP BY ALL),
+grid AS (SELECT a.x, b.label, a.facet FROM (SELECT DISTINCT x, facet FROM t) a JOIN (SELECT DISTINCT label, facet FROM t) b USING (facet))
+SELECT grid.x, grid.label, grid.facet, coalesce(t.value, 0) AS value FROM grid LEFT JOIN t USING (x, label, facet)""")
+def q_reshape_bar_table(spark, d):
+    from ..operators import reshape
+    c = _li(spark, d).groupBy("l_returnflag", "l_linestatus", "l_linenumber").agg(F.count(F.lit(1)).alias("value"))
+    c = c.select(F.col("l_returnflag").alias("x"), F.col("l_linestatus").alias("label"),
+                 F.col("l_linenumber").alias("facet"), "value")
+    return reshape.bar_table(c, "x", "label", "facet", "value")
+
+
+@register("reshape_smallest_abs", """SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+ORDER BY abs(l_extendedprice), l_orderkey, l_linenumber LIMIT 10""")
+def q_reshape_smallest_abs(spark, d):
+    from ..operators import reshape
+    return reshape.smallest_abs(_li(spark, d).select("l_orderkey", "l_linenumber", "l_extendedprice"),
+                                "l_extendedprice", 10)

@@ -49,7 +49,7 @@ def _spark_kind(t):
         return "int"
     if n in ("float", "double", "decimal"):
         return "float"
-    return {"string": "str", "boolean": "bool"}.get(n, n)
+    return {"string": "str", "boolean": "bool", "timestamp_ntz": "timestamp"}.get(n, n)
 
 
 def _duck_kind(t):
