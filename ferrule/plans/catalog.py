@@ -1165,3 +1165,52 @@ def q_reshape_smallest_abs(spark, d):
     from ..operators import reshape
     return reshape.smallest_abs(_li(spark, d).select("l_orderkey", "l_linenumber", "l_extendedprice"),
                                 "l_extendedprice", 10)
+
+
+# --------------------------------------------------------------------------- models
+
+@register("ml_ols_single", """SELECT '_1' AS term, round(regr_intercept(l_extendedprice, l_quantity), 4) AS coef FROM lineitem
+UNION ALL SELECT 'l_quantity', round(regr_slope(l_extendedprice, l_quantity), 4) FROM lineitem""")
+def q_ml_ols_single(spark, d):
+    from ..operators import models
+    return round_all(models.ols_normal_equations(_li(spark, d), ["l_quantity"], "l_extendedprice"), 4)
+
+
+@register("ml_rfe_ranking", None)
+def q_ml_rfe_ranking(spark, d):
+    from ..operators import models
+    li = _li(spark, d).withColumn("fold", (F.col("l_linenumber") % 5).cast("long"))
+    return models.rfe_ranking(li, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", 1, fold="fold")
+
+
+@register("ml_isolation_forest_counts", None)
+def q_ml_isolation_forest_counts(spark, d):
+    from ..operators import models
+    li = _li(spark, d).select("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    scored = models.isolation_forest(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], n_trees=50)
+    return scored.agg(F.count(F.lit(1)).alias("n_before"), F.count_if("inlier").alias("n_after"),
+                      F.count_if(~F.col("inlier")).alias("n_dropped"))
+
+
+@register("ml_group_vote_gbt", None)
+def q_ml_group_vote_gbt(spark, d):
+    from ..operators import folds, models
+    feats = seq.motion_features(tables.sequence_frame(spark, d), KEYS)
+    lab = tables.group_labels(spark, d)
+    rows = feats.join(lab, "patient_id").withColumn("label", F.col("label").cast("double"))
+    rows = folds.strict_group_folds(rows, "patient_id", "label", k=3)
+    cols = ["path_length", "speed_mean", "amp_x", "amp_y", "direction_changes", "jitter_mean"]
+    vec = models.assemble(rows, cols)
+    train, test = vec.where(F.col("fold") != 0), vec.where(F.col("fold") == 0)
+    model = models.classifier("gbt", label="label", multiclass=False, maxIter=10).fit(train)
+    preds = model.transform(test).select("patient_id", F.col("prediction").cast("int").alias("prediction"))
+    return models.vote_table(preds, "patient_id").join(lab, "patient_id")
+
+
+@register("quality_mar_test", None)
+def q_quality_mar_test(spark, d):
+    from ..operators import models
+    m = tables.read_table(spark, d, "lineitem").select(
+        (F.col("l_linenumber") % 2).alias("fold"), "l_quantity", "l_extendedprice",
+        F.when(F.col("l_orderkey") % 7 == 0, None).otherwise(F.col("l_discount")).alias("l_discount"))
+    return models.mar_test(m, ["l_quantity", "l_extendedprice", "l_discount"], "fold")
