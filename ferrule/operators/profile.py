@@ -70,23 +70,22 @@ def iqr_split(df: DataFrame, cols: Sequence[str], multiplier: float = 3.0):
 
 def iqr_sweep(df: DataFrame, cols: Sequence[str],
               multipliers: Sequence[float] = tuple(IQR_MULTIPLIERS)) -> DataFrame:
-    """Number of outlier rows for every multiplier, one pass with conditional counts."""
+    """Number of outlier rows for every multiplier in one pass: each row is
+    paired with the multiplier list (generated, pipelined) and one conditional
+    count runs keyed by the multiplier -- a small aggregate that stays in
+    whole-stage codegen, unlike one count per multiplier."""
     q = quantile_wide(df, cols, {"q1": 0.25, "q3": 0.75}).agg(
         *[F.max(F.when(F.col("column") == c, F.col(k))).alias(f"{c}__{k}") for c in cols for k in ("q1", "q3")])
     t = attach_row(df.select(*cols), q)
-    exprs = []
-    for m in multipliers:
-        inside = F.lit(True)
-        for c in cols:
-            iqr = F.col(f"{c}__q3") - F.col(f"{c}__q1")
-            inside = inside & F.coalesce((F.col(c) >= F.col(f"{c}__q1") - float(m) * iqr)
-                                         & (F.col(c) <= F.col(f"{c}__q3") + float(m) * iqr), F.lit(False))
-        exprs.append(F.count_if(~inside).alias(f"m{len(exprs)}"))
-    row = t.agg(*exprs, F.count(F.lit(1)).alias("_n"))
-    stacked = F.explode(F.array(*[F.struct(F.lit(float(m)).alias("multiplier"), F.col(f"m{i}").alias("n_outliers"))
-                                  for i, m in enumerate(multipliers)]))
-    return row.select(stacked.alias("s"), "_n").select(
-        "s.multiplier", "s.n_outliers", F.try_divide(F.col("s.n_outliers"), F.col("_n")).alias("share"))
+    t = t.select("*", F.explode(F.array(*[F.lit(float(m)) for m in multipliers])).alias("multiplier"))
+    inside = F.lit(True)
+    m = F.col("multiplier")
+    for c in cols:
+        iqr = F.col(f"{c}__q3") - F.col(f"{c}__q1")
+        inside = inside & F.coalesce((F.col(c) >= F.col(f"{c}__q1") - m * iqr)
+                                     & (F.col(c) <= F.col(f"{c}__q3") + m * iqr), F.lit(False))
+    return t.groupBy("multiplier").agg(F.count_if(~inside).alias("n_outliers"),
+                                       F.try_divide(F.count_if(~inside), F.count(F.lit(1))).alias("share"))
 
 
 def spread_ratio(df: DataFrame, cols: Sequence[str], tail: float = 0.05) -> DataFrame:

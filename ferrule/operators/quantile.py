@@ -33,7 +33,7 @@ def to_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
 
 
 def value_ranks(long: DataFrame, by: Sequence[str], value: str = "value",
-                chunk_rows: int = 1_000_000) -> DataFrame:
+                chunk_rows: int = 100_000) -> DataFrame:
     """Per distinct value: ``cnt``, ``cum_before`` (rows with smaller value) and ``n``."""
     by = list(by)
     hist = long.groupBy(*by, value).agg(F.count(F.lit(1)).alias("cnt"))

@@ -97,3 +97,22 @@ def smallest_abs(df: DataFrame, col: str, k: int) -> DataFrame:
 def rename_models(df: DataFrame, col: str, pattern: str, replacement: str) -> DataFrame:
     """C20: regex replace in a name column."""
     return df.withColumn(col, F.regexp_replace(col, pattern, replacement))
+
+
+def crosstab(df: DataFrame, group: str, cls: str, classes: Sequence, total: bool = False) -> DataFrame:
+    """A2/A3: rows per (group x class) as columns (explicit class list); empty cells
+    stay NULL; ``total`` adds the row sum (A3)."""
+    piv = df.groupBy(group).pivot(cls, list(classes)).agg(F.count(F.lit(1)))
+    if total:
+        piv = piv.withColumn("total", sum((F.coalesce(F.col(f"`{c}`"), F.lit(0)) for c in classes), F.lit(0)))
+    return piv
+
+
+def label_counts(df: DataFrame, label: str) -> DataFrame:
+    """A4: count per label."""
+    return df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
+
+
+def abs_differences(df: DataFrame, pairs: Sequence[tuple[str, str]], keep: Sequence[str] = ()) -> DataFrame:
+    """C17: generated |a - b| columns for the given column pairs."""
+    return df.select(*keep, *[F.abs(F.col(a) - F.col(b)).alias(f"absdiff_{a}_{b}") for a, b in pairs])

@@ -1214,3 +1214,128 @@ def q_quality_mar_test(spark, d):
         (F.col("l_linenumber") % 2).alias("fold"), "l_quantity", "l_extendedprice",
         F.when(F.col("l_orderkey") % 7 == 0, None).otherwise(F.col("l_discount")).alias("l_discount"))
     return models.mar_test(m, ["l_quantity", "l_extendedprice", "l_discount"], "fold")
+
+
+# --------------------------------------------------------------------------- multi-joint sequences & remaining tables
+
+JKEYS = ["recording", "joint"]
+
+
+def _part_stats(spark, d, include_first, ddof):
+    js = tables.joint_sequence_frame(spark, d)
+    st = seq.step_table(js, JKEYS, include_first=include_first).select("recording", "joint", "frame", "step")
+    return seq.part_stats(st, tables.joint_parts(spark), ["recording"], "step", ddof=ddof)
+
+
+@register("seq_part_stats", f"""WITH {S.JSEQ_CTE},
+pf AS (SELECT recording, frame, part, side, sum(step) AS v FROM jsteps JOIN parts USING (joint) WHERE has_prev GROUP BY ALL)
+SELECT recording, part, side, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, round(quantile_cont(v, 0.5), 6) AS median
+FROM pf GROUP BY ALL""")
+def q_seq_part_stats(spark, d):
+    return round_all(_part_stats(spark, d, include_first=False, ddof=0))
+
+
+@register("seq_part_stats_with_first", f"""WITH {S.JSEQ_CTE},
+pf AS (SELECT recording, frame, part, side, sum(step) AS v FROM jsteps JOIN parts USING (joint) GROUP BY ALL)
+SELECT recording, part, side, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std, round(quantile_cont(v, 0.5), 6) AS median
+FROM pf GROUP BY ALL""")
+def q_seq_part_stats_with_first(spark, d):
+    return round_all(_part_stats(spark, d, include_first=True, ddof=1))
+
+
+@register("seq_side_totals", f"""WITH {S.JSEQ_CTE},
+pf AS (SELECT recording, frame, part, side, sum(step) AS v FROM jsteps JOIN parts USING (joint) WHERE has_prev GROUP BY ALL),
+ps AS (SELECT recording, part, side, avg(v) AS mean, stddev_pop(v) AS std, quantile_cont(v, 0.5) AS median FROM pf GROUP BY ALL)
+SELECT recording, side, round(sum(mean), 6) AS total_mean, round(sum(std), 6) AS total_std, round(sum(median), 6) AS total_median
+FROM ps GROUP BY ALL""")
+def q_seq_side_totals(spark, d):
+    return round_all(seq.side_totals(_part_stats(spark, d, include_first=False, ddof=0), ["recording"]))
+
+
+@register("seq_pair_distance", f"""WITH {S.JSEQ_CTE},
+a AS (SELECT recording, frame, x, y FROM jseq WHERE joint = 0), b AS (SELECT recording, frame, x, y FROM jseq WHERE joint = 1)
+SELECT recording, round(avg(sqrt((a.x - b.x) ^ 2 + (a.y - b.y) ^ 2)), 6) AS mean_distance,
+       round(sqrt(sum((a.x - b.x) ^ 2 + (a.y - b.y) ^ 2)), 6) AS frobenius
+FROM a JOIN b USING (recording, frame) GROUP BY ALL""")
+def q_seq_pair_distance(spark, d):
+    return round_all(seq.pair_distance(tables.joint_sequence_frame(spark, d), ["recording"], 0, 1))
+
+
+@register("seq_per_frame_totals", f"""WITH {S.JSEQ_CTE}
+SELECT recording, side, round(sum(step) / count(DISTINCT frame), 6) AS per_frame FROM jsteps JOIN parts USING (joint) GROUP BY ALL""")
+def q_seq_per_frame_totals(spark, d):
+    js = seq.step_table(tables.joint_sequence_frame(spark, d), JKEYS).join(tables.joint_parts(spark), "joint")
+    return round_all(seq.per_frame_totals(js, ["recording", "side"]))
+
+
+@register("seq_side_asymmetry", f"""WITH {S.JSEQ_CTE},
+f AS (SELECT recording, joint, sum(step) AS path_length, max(x) - min(x) AS amp_x FROM jsteps GROUP BY ALL),
+s AS (SELECT f.*, p.side FROM f JOIN parts p USING (joint))
+SELECT recording, round(avg(path_length) FILTER (WHERE side = 'l') - avg(path_length) FILTER (WHERE side = 'r'), 6) AS path_length_diff,
+       round(avg(amp_x) FILTER (WHERE side = 'l') - avg(amp_x) FILTER (WHERE side = 'r'), 6) AS amp_x_diff FROM s GROUP BY ALL""")
+def q_seq_side_asymmetry(spark, d):
+    f = seq.motion_features(tables.joint_sequence_frame(spark, d), JKEYS).join(tables.joint_parts(spark), "joint")
+    return round_all(seq.side_asymmetry(f, "recording", "side", ["path_length", "amp_x"]))
+
+
+@register("agg_crosstab_total", """SELECT o_custkey,
+  count(*) FILTER (WHERE o_orderstatus = 'F') AS F, count(*) FILTER (WHERE o_orderstatus = 'O') AS O,
+  count(*) FILTER (WHERE o_orderstatus = 'P') AS P, count(*) AS total FROM orders GROUP BY ALL""")
+def q_agg_crosstab_total(spark, d):
+    from ..operators import reshape
+    ct = reshape.crosstab(_orders(spark, d), "o_custkey", "o_orderstatus", ["F", "O", "P"], total=True)
+    return ct.select("o_custkey", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("F", "O", "P")], "total")
+
+
+@register("agg_label_counts", "SELECT label, count(*) AS count FROM embeddings GROUP BY ALL")
+def q_agg_label_counts(spark, d):
+    from ..operators import reshape
+    return reshape.label_counts(tables.read_table(spark, d, "embeddings"), "label")
+
+
+@register("pose_abs_differences", f"""WITH {S.POSE_CTE} SELECT row_id,
+  abs(features[23] - features[25]) AS absdiff_xmean11_xmean12, abs(features[2] - features[16]) AS absdiff_ymean0_ymean7 FROM pose""")
+def q_pose_abs_differences(spark, d):
+    from ..operators import pose, reshape
+    u = pose.unpack(_pose(spark, d), "features", 16, keep=["row_id"])
+    return reshape.abs_differences(u, [("xmean11", "xmean12"), ("ymean0", "ymean7")], keep=["row_id"])
+
+
+@register("board_param_key_groups", """WITH p AS (
+  SELECT o_orderkey, o_orderpriority, CAST(o_orderkey % 3 AS VARCHAR) AS a FROM orders)
+SELECT '{"reg__a":"' || a || '","reg__prio":"' || o_orderpriority || '"}' AS param_key, count(*) AS n_candidates
+FROM p GROUP BY ALL""")
+def q_board_param_key_groups(spark, d):
+    from ..operators import reshape
+    o = _orders(spark, d).select(F.create_map(F.lit("reg__prio"), F.col("o_orderpriority"), F.lit("other"),
+                                              F.col("o_orderstatus"), F.lit("reg__a"),
+                                              (F.col("o_orderkey") % 3).cast("string")).alias("params"))
+    return o.groupBy(reshape.param_group_key("params", "reg__").alias("param_key")).agg(
+        F.count(F.lit(1)).alias("n_candidates"))
+
+
+@register("sel_correlated_groups", None)
+def q_sel_correlated_groups(spark, d):
+    from ..operators import select
+    poly = select.polynomial_features(_li(spark, d), POLY_COLS, 2)
+    names = [n for n, _ in select.polynomial_terms(POLY_COLS, 2)]
+    safe = poly.toDF(*[n.replace(" ", "*").replace("^", "_") for n in poly.columns])
+    groups = select.greedy_correlated_groups(safe, safe.columns, 0.8)
+    rows = [(g["keep"], m) for g in groups for m in [g["keep"], *g["drop"]]]
+    return spark.createDataFrame(rows, "keep string, member string")
+
+
+@register("scale_pca_variance", None)
+def q_scale_pca_variance(spark, d):
+    from ..operators import scale
+    return scale.pca_variance(_li(spark, d), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+
+
+@register("fold_learning_curve", None)
+def q_fold_learning_curve(spark, d):
+    from ..operators import folds, metrics
+    preds = tables.regression_predictions(spark, d, [(f"a{int(a)}", a) for a in tables.CANDIDATE_FACTORS])
+    sized = preds.withColumn("size", (F.col("fold") + 1) * 100)
+    sc = metrics.regression_scores(sized.withColumn("param", F.regexp_replace("model", "a", "").cast("double")),
+                                   ["size", "param"])
+    return folds.learning_curve(sc, "size", "param", "r2", 700.0)

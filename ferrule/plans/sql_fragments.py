@@ -66,3 +66,15 @@ CLS_PRED_CTE = """preds AS (
   SELECT m.model, CAST(doc_id % 5 AS INTEGER) AS fold, doc_id AS row_id, quality AS y_true,
          CAST(CASE WHEN m.model = 'rater' THEN toxic ELSE 1 - toxic END AS INTEGER) AS y_pred
   FROM labels, (VALUES ('rater'), ('inverse_rater')) m(model))"""
+
+
+JSEQ_CTE = """jseq AS (
+  SELECT label AS recording, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS frame,
+         CAST(j AS INTEGER) AS joint, CAST(embedding[2 * j + 1] AS DOUBLE) AS x, CAST(embedding[2 * j + 2] AS DOUBLE) AS y
+  FROM embeddings, range(32) t(j)),
+jsteps AS (
+  SELECT *, CASE WHEN lag(frame) OVER w IS NULL THEN 0 ELSE sqrt((x - lag(x) OVER w) ^ 2 + (y - lag(y) OVER w) ^ 2) END AS step,
+         lag(frame) OVER w IS NOT NULL AS has_prev
+  FROM jseq WINDOW w AS (PARTITION BY recording, joint ORDER BY frame)),
+parts AS (SELECT CAST(j AS INTEGER) AS joint, 'p' || CAST(j // 8 AS VARCHAR) AS part,
+                 CASE WHEN j % 2 = 0 THEN 'l' ELSE 'r' END AS side FROM range(32) t(j))"""

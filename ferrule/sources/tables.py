@@ -118,3 +118,23 @@ def classification_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lb.select(F.explode(ms).alias("m"), "doc_id", "quality").select(
         F.col("m.model").alias("model"), (F.col("doc_id") % 5).cast("int").alias("fold"),
         F.col("doc_id").alias("row_id"), F.col("quality").alias("y_true"), F.col("m.p").cast("int").alias("y_pred"))
+
+
+def joint_sequence_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multi-joint frame table from ``embeddings``: recording = label, frame = order
+    of vec_id within the label, joint j = 0..31 with (x, y) = (e[2j], e[2j+1])."""
+    emb = read_table(spark, sf_dir, "embeddings").select(
+        F.col("label").alias("recording"), "vec_id", F.col("embedding").cast("array<double>").alias("e"))
+    framed = number_rows(emb, ["recording"], ["vec_id"], "frame")
+    return framed.select("recording", "frame", F.posexplode(F.expr(
+        "transform(sequence(0, 31), j -> named_struct('x', e[2 * j], 'y', e[2 * j + 1]))")).alias("joint", "p")) \
+        .select("recording", "frame", F.col("joint").cast("int").alias("joint"), F.col("p.x").alias("x"),
+                F.col("p.y").alias("y"))
+
+
+def joint_parts(spark: SparkSession, n_joints: int = 32) -> DataFrame:
+    """Body-part dimension built from a rule: part = p<joint div 8>, side = l for even
+    joints, r for odd joints (an argument to the part operators)."""
+    return spark.range(n_joints).select(F.col("id").cast("int").alias("joint"),
+                                        F.concat(F.lit("p"), (F.col("id") / 8).cast("int").cast("string")).alias("part"),
+                                        F.when(F.col("id") % 2 == 0, "l").otherwise("r").alias("side"))
