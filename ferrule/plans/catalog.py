@@ -996,13 +996,31 @@ def q_pose_centre_scale(spark, d):
                     F.round(F.aggregate("n.features", F.lit(0.0), lambda a, x: a + x), 4).alias("feature_sum"))
 
 
-@register("pose_limb_lengths", None)
+def _limb_sql():
+    sk = _sk()
+    d = lambda a, b: f"sqrt(({_pc('xmean', a)} - {_pc('xmean', b)}) ^ 2 + ({_pc('ymean', a)} - {_pc('ymean', b)}) ^ 2)"
+    (ls, rs), (le, re), (lw, rw), (lh, rh), (la, ra) = sk.shoulders, sk.elbows, sk.wrists, sk.hips, sk.ankles
+    arm_l, arm_r = f"({d(ls, le)} + {d(le, lw)})", f"({d(rs, re)} + {d(re, rw)})"
+    leg_l, leg_r = d(lh, la), d(rh, ra)
+    h = f"greatest(abs({_pc('ymean', ls)} - {_pc('ymean', la)}), abs({_pc('ymean', rs)} - {_pc('ymean', ra)}))"
+    w = d(ls, rs)
+    ny = _pc("ymean", sk.nose)
+    cols = {"arm_l": arm_l, "arm_r": arm_r, "leg_l": leg_l, "leg_r": leg_r, "height": h, "width": w,
+            "hand_nose_dy_l": f"({_pc('ymean', lw)} - {ny})", "hand_nose_dy_r": f"({_pc('ymean', rw)} - {ny})",
+            "arm_l_h": f"{arm_l} / nullif({h}, 0)", "arm_r_h": f"{arm_r} / nullif({h}, 0)",
+            "leg_l_h": f"{leg_l} / nullif({h}, 0)", "leg_r_h": f"{leg_r} / nullif({h}, 0)",
+            "width_h": f"{w} / nullif({h}, 0)"}
+    return ", ".join(f"round({e}, 6) AS {n}" for n, e in cols.items()), arm_l
+
+
+@register("pose_limb_lengths", f"WITH {S.POSE_CTE} SELECT row_id, {_limb_sql()[0]} FROM pose")
 def q_pose_limb_lengths(spark, d):
     from ..operators import pose
     return round_all(pose.limb_lengths(_pose(spark, d), "features", _sk(), keep=["row_id"]))
 
 
-@register("pose_arm_over_patient_max", None)
+@register("pose_arm_over_patient_max", f"""WITH {S.POSE_CTE}, a AS (SELECT row_id, patient_id, {_limb_sql()[1]} AS arm FROM pose)
+SELECT row_id, patient_id, round(arm / nullif(max(arm) OVER (PARTITION BY patient_id), 0), 6) AS arm_rel FROM a""")
 def q_pose_arm_over_patient_max(spark, d):
     from ..operators import pose
     g = pose.limb_lengths(_pose(spark, d), "features", _sk(), keep=["row_id", "patient_id"])

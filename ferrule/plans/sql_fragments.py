@@ -68,10 +68,13 @@ CLS_PRED_CTE = """preds AS (
   FROM labels, (VALUES ('rater'), ('inverse_rater')) m(model))"""
 
 
-JSEQ_CTE = """jseq AS (
-  SELECT label AS recording, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS frame,
-         CAST(j AS INTEGER) AS joint, CAST(embedding[2 * j + 1] AS DOUBLE) AS x, CAST(embedding[2 * j + 2] AS DOUBLE) AS y
-  FROM embeddings, range(32) t(j)),
+JSEQ_CTE = """fr AS (
+  SELECT label AS recording, embedding, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS frame
+  FROM embeddings),
+jseq AS (
+  SELECT recording, frame, CAST(j AS INTEGER) AS joint,
+         CAST(embedding[2 * j + 1] AS DOUBLE) AS x, CAST(embedding[2 * j + 2] AS DOUBLE) AS y
+  FROM fr, range(32) t(j)),
 jsteps AS (
   SELECT *, CASE WHEN lag(frame) OVER w IS NULL THEN 0 ELSE sqrt((x - lag(x) OVER w) ^ 2 + (y - lag(y) OVER w) ^ 2) END AS step,
          lag(frame) OVER w IS NOT NULL AS has_prev
