@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import common, substring_dedup
+from . import common, near_dedup, substring_dedup
 
 
 def _query(fn):
@@ -15,8 +15,10 @@ def _query(fn):
 
 QUERIES = {name: _query(fn) for name, fn in {
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
+    "op4_minhash_near_dedup": near_dedup.op4_minhash_near_dedup,
 }.items()}
 
 ORACLES = {
     "op3_substring_dedup": substring_dedup.ORACLE,
+    "op4_minhash_near_dedup": near_dedup.ORACLE,
 }

@@ -88,6 +88,15 @@ class Words:
         at = np.flatnonzero(self.doc[: n - k + 1] == self.doc[k - 1:])
         return at, window_hash(h, k, second)[at]
 
+    def text_hashes(self, h: np.ndarray, second: bool = False) -> np.ndarray:
+        """Hash of each text's whole word sequence (its number of words included)."""
+        r = _R_WIN2 if second else _R_WIN
+        up, down = _powers(r, len(h))
+        prefix = np.zeros(len(h) + 1, np.uint64)
+        np.cumsum(h * up[: len(h)], out=prefix[1:])
+        lo, hi = self.first[:-1], self.first[1:]
+        return mix((prefix[hi] - prefix[lo]) * down[lo] + self.count.astype(np.uint64))
+
 
 def window_hash(h: np.ndarray, k: int, second: bool = False) -> np.ndarray:
     """Hash of ``h[i:i+k]`` for every i (len(h) - k + 1 values)."""
