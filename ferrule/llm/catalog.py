@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import common, near_dedup, substring_dedup
+from . import common, mixing, near_dedup, substring_dedup, topk
 
 
 def _query(fn):
@@ -16,9 +16,13 @@ def _query(fn):
 QUERIES = {name: _query(fn) for name, fn in {
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_minhash_near_dedup": near_dedup.op4_minhash_near_dedup,
+    "op7_maxscore_topk": topk.op7_maxscore_topk,
+    "op8_pareto_mix": mixing.op8_pareto_mix,
 }.items()}
 
 ORACLES = {
     "op3_substring_dedup": substring_dedup.ORACLE,
     "op4_minhash_near_dedup": near_dedup.ORACLE,
+    "op7_maxscore_topk": topk.ORACLE,
+    "op8_pareto_mix": mixing.ORACLE,
 }
