@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import common, langid, mixing, near_dedup, pii, substring_dedup, topk
+from . import common, decontamination, langid, mixing, near_dedup, pii, quality, substring_dedup, tokens, topk
 
 
 def _query(fn):
@@ -14,12 +14,15 @@ def _query(fn):
 
 
 QUERIES = {name: _query(fn) for name, fn in {
+    "op1_training_order": tokens.op1_training_order,
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_minhash_near_dedup": near_dedup.op4_minhash_near_dedup,
     "op5_langid": langid.op5_langid,
+    "op6_decontamination": decontamination.op6_decontamination,
     "op7_maxscore_topk": topk.op7_maxscore_topk,
     "op8_pareto_mix": mixing.op8_pareto_mix,
     "op9_pii": pii.op9_pii,
+    "op10_quality": quality.op10_quality,
 }.items()}
 
 ORACLES = {

@@ -85,3 +85,12 @@ def total_bytes(df: DataFrame, text: str = "text") -> tuple[int, int]:
     """(rows, text bytes) of a table, in one aggregate."""
     r = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(F.col(text))), F.lit(0)).alias("b")).first()
     return int(r["n"]), int(r["b"])
+
+
+def ordered_chunks(ids: np.ndarray, bounds: list[float], sub: int, lo: float, hi: float) -> np.ndarray:
+    """Order-preserving chunk of each id: its range among ``bounds``, cut ``sub`` times."""
+    edges = np.array([lo, *bounds, hi], float)
+    at = np.searchsorted(edges[1:-1], ids, side="right")
+    width = np.maximum(edges[at + 1] - edges[at], 1.0)
+    part = np.clip(np.floor((ids - edges[at]) / width * sub), 0, sub - 1)
+    return at * sub + part.astype(np.int64)

@@ -62,22 +62,13 @@ def _unplanes(b: bytes, dtype) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(raw.reshape(size, -1).T).view(dtype).ravel(), dtype=dtype)
 
 
-def _chunks(ids: np.ndarray, bounds: list[float], sub: int, lo: float, hi: float) -> np.ndarray:
-    """Order-preserving chunk of each id: its range among ``bounds``, cut ``sub`` times."""
-    edges = np.array([lo, *bounds, hi], float)
-    at = np.searchsorted(edges[1:-1], ids, side="right")
-    width = np.maximum(edges[at + 1] - edges[at], 1.0)
-    part = np.clip(np.floor((ids - edges[at]) / width * sub), 0, sub - 1)
-    return at * sub + part.astype(np.int64)
-
-
 def _packer(bounds, sub, lo, hi):
     def pack(batches):
         for batch in batches:
             ids = batch.column(0)
             known = ids.is_valid().to_numpy(zero_copy_only=False)
             num = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            chunk = np.where(known, _chunks(num, bounds, sub, lo, hi), -1)
+            chunk = np.where(known, common.ordered_chunks(num, bounds, sub, lo, hi), -1)
             texts = batch.column(1)
             for c in np.unique(chunk):
                 rows = np.flatnonzero(chunk == c)
