@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import common, decontamination, langid, mixing, near_dedup, pii, quality, substring_dedup, tokens, topk
+from . import common, decontamination, langid, licences, mixing, near_dedup, pii, quality, substring_dedup, tokens, topk
 
 
 def _query(fn):
@@ -15,6 +15,7 @@ def _query(fn):
 
 QUERIES = {name: _query(fn) for name, fn in {
     "op1_training_order": tokens.op1_training_order,
+    "op2_licences": licences.op2_licences,
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_minhash_near_dedup": near_dedup.op4_minhash_near_dedup,
     "op5_langid": langid.op5_langid,
@@ -26,6 +27,7 @@ QUERIES = {name: _query(fn) for name, fn in {
 }.items()}
 
 ORACLES = {
+    "op2_licences": licences.ORACLE,
     "op3_substring_dedup": substring_dedup.ORACLE,
     "op4_minhash_near_dedup": near_dedup.ORACLE,
     "op7_maxscore_topk": topk.ORACLE,
