@@ -38,7 +38,7 @@ def _letters() -> np.ndarray:
 def gram_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(doc, gram, count) of all n-grams, by document and gram.  A gram is its length and
     its letters as 18-bit code points; 0 stands for the boundary of a word."""
-    chars = [b"\x00\x00\x00\x00" + t.decode("utf-8", "replace").lower().encode("utf-32-le", "replace") for t in texts]
+    chars = [b"\x00\x00\x00\x00" + t.decode("utf-8", "replace").lower().encode("utf-32-le", "replace") + b"\x00\x00\x00\x00" for t in texts]
     size = np.fromiter((len(c) // 4 for c in chars), np.int64, len(chars))
     cp = np.frombuffer(b"".join(chars) + b"\x00\x00\x00\x00", np.uint32)
     letter = _letters()
