@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import portable_hash
-from .ordering import number_rows
+from ..storage import save
+from .ordering import attach_group, number_rows
 
 
 def _hashed(df: DataFrame, id_col: str, seed) -> DataFrame:
@@ -66,12 +67,12 @@ def strict_group_folds(df: DataFrame, group: str, label: str, k: int = 5, seed=4
     groups.  Returns the rows with the fold of their group."""
     g = majority_label(df, group, label, "_gl")
     g = number_rows(_hashed(g, group, seed), ["_gl"], ["_h", group], "_rn", total="_ng")
-    g = g.select(F.col(group).alias("_g"),
+    g = g.select(group,
                  F.when(F.col("_ng") < k, F.raise_error(F.concat(
                      F.lit("class "), F.col("_gl").cast("string"),
                      F.lit(" has fewer groups than folds"))))
                   .otherwise((F.col("_rn") % k).cast("int")).alias(name))
-    return df.join(g, df[group] == g["_g"], "inner").drop("_g")
+    return attach_group(df, g, [group])
 
 
 def stratified_group_kfold(df: DataFrame, group: str, label: str, k: int = 5, seed=42,
@@ -80,18 +81,18 @@ def stratified_group_kfold(df: DataFrame, group: str, label: str, k: int = 5, se
     groups sorted by size (largest first, hash tie-break) are dealt round-robin,
     which balances class counts and fold sizes.  No group is on both sides."""
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
-    g = majority_label(df, group, label, "_gl").join(sizes, group)
+    g = attach_group(majority_label(df, group, label, "_gl"), sizes, [group])
     g = _hashed(g, group, seed).withColumn("_neg", -F.col("_size"))
     g = number_rows(g, ["_gl"], ["_neg", "_h", group], "_rn")
-    g = g.select(F.col(group).alias("_g"), (F.col("_rn") % k).cast("int").alias(name))
-    return df.join(g, df[group] == g["_g"], "inner").drop("_g")
+    g = g.select(group, (F.col("_rn") % k).cast("int").alias(name))
+    return attach_group(df, g, [group])
 
 
 def leave_one_group_out(df: DataFrame, group: str, name: str = "fold") -> DataFrame:
     """V6: fold = 0-based rank of the group id (k = number of groups)."""
     g = number_rows(df.select(group).distinct(), [], [group], name)
-    g = g.select(F.col(group).alias("_g"), F.col(name).cast("int").alias(name))
-    return df.join(g, df[group] == g["_g"], "inner").drop("_g")
+    g = g.select(group, F.col(name).cast("int").alias(name))
+    return attach_group(df, g, [group])
 
 
 def nested_group_folds(df: DataFrame, group: str, label: str, k_outer: int, k_inner: int,
@@ -109,11 +110,25 @@ def nested_group_folds(df: DataFrame, group: str, label: str, k_outer: int, k_in
 
 
 def fold_audit(df: DataFrame, fold: str, group: str, label: str, k: int) -> DataFrame:
-    """V8: per fold and side (train/test): number of rows, groups and rows per class."""
-    sides = df.select(F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_f"), group, label, fold)
-    sides = sides.withColumn("side", F.when(F.col(fold) == F.col("_f"), "test").otherwise("train"))
-    return sides.groupBy(F.col("_f").cast("int").alias("fold"), "side", label).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct(group).alias("n_groups"))
+    """V8: per fold and side (train/test): number of rows, groups and rows per class.
+
+    Rows are counted once into (fold, group, label) cells; the train side is the total
+    less the fold (a group counts there unless all its rows of the class lie in the fold)."""
+    cells = save(df.groupBy(F.col(fold).alias("fold"), group, label).agg(F.count(F.lit(1)).alias("c")), "fold-cells")
+    own = Window.partitionBy(group, label)
+    cells = cells.withColumn("only", F.count(F.lit(1)).over(own) == 1)
+    test = cells.groupBy(F.col("fold").cast("int").alias("fold"), label).agg(
+        F.sum("c").alias("rows"), F.count(F.lit(1)).alias("groups"), F.count_if("only").alias("only"))
+    total = cells.groupBy(label).agg(F.sum("c").alias("all_rows"), F.count_distinct(F.struct(group)).alias("all_groups"))
+    grid = total.select(F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("fold"), label, "all_rows", "all_groups")
+    t = test.select(F.col("fold").alias("_f"), F.col(label).alias("_l"), "rows", "groups", "only")
+    x = grid.join(t, (F.col("fold") == F.col("_f")) & F.col(label).eqNullSafe(F.col("_l")), "left")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    sides = F.explode(F.array(
+        F.struct(F.lit("test").alias("side"), zero("rows").alias("n_rows"), zero("groups").alias("n_groups")),
+        F.struct(F.lit("train").alias("side"), (F.col("all_rows") - zero("rows")).alias("n_rows"),
+                 (F.col("all_groups") - zero("only")).alias("n_groups"))))
+    return x.select("fold", label, sides.alias("s")).select("fold", "s.side", label, "s.n_rows", "s.n_groups").where("n_rows > 0")
 
 
 def balanced_class_weights(df: DataFrame, label: str, name: str = "class_weight") -> DataFrame:

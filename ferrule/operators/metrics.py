@@ -12,64 +12,74 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .profile import attach_row
-from .quantile import quantiles_long, trimmed_mean_long, value_ranks
+from ..functions.columns import div_or
+from ..storage import save
+from .ordering import attach_group
+from .quantile import histogram_ranks, read_quantiles, trimmed_mean_long, value_ranks
 
+MAX_LABELS = 10_000  # labels of one group's confusion table
 EPS = 2.220446049250313e-16  # float64 machine epsilon (MAPE denominator floor)
 
 
 def regression_scores(preds: DataFrame, keys: Sequence[str], y: str = "y_true", p: str = "y_pred") -> DataFrame:
     """M1/M3/M4/M5: MSE, RMSE, MAPE (|y| floored at eps), R², sMAPE (percent) and
-    signed sMAPE per group, one aggregate."""
+    signed sMAPE per group, one aggregate.  The total sum of squares comes from the
+    running variance (no large sums cancel); a row with y = p = 0 has sMAPE 0."""
     e = F.col(p) - F.col(y)
+    scale = F.abs(F.col(y)) + F.abs(F.col(p))
     agg = preds.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.avg(e * e).alias("mse"),
         F.avg(F.abs(e) / F.greatest(F.abs(y), F.lit(EPS))).alias("mape"),
-        F.sum(e * e).alias("_sse"), F.sum(y).alias("_sy"), F.sum(F.col(y) * F.col(y)).alias("_syy"),
-        (F.avg(2 * F.abs(e) / (F.abs(y) + F.abs(p))) * 100).alias("smape"),
-        F.try_divide(F.sum(e), F.sum(F.abs(y) + F.abs(p))).alias("signed_smape"))
-    sst = F.col("_syy") - F.col("_sy") * F.col("_sy") / F.col("n")
+        F.var_pop(y).alias("_var"),
+        (F.avg(div_or(2 * F.abs(e), scale)) * 100).alias("smape"),
+        F.try_divide(F.sum(e), F.sum(scale)).alias("signed_smape"))
     return agg.select(*keys, "n", "mse", F.sqrt("mse").alias("rmse"), "mape",
-                      (1 - F.try_divide(F.col("_sse"), sst)).alias("r2"), "smape", "signed_smape")
+                      (1 - F.try_divide(F.col("mse"), F.col("_var"))).alias("r2"), "smape", "signed_smape")
 
 
 def winsorized_mape(preds: DataFrame, keys: Sequence[str], q: float = 0.95,
                     y: str = "y_true", p: str = "y_pred") -> DataFrame:
-    """M2: relative errors capped at their q-quantile (exact, per group), then averaged."""
+    """M2: relative errors capped at their q-quantile (exact, per group), then averaged.
+    Both come from one histogram of the errors; a NULL key is a group."""
+    keys = list(keys)
     err = preds.select(*keys, (F.abs(F.col(p) - F.col(y)) / F.greatest(F.abs(y), F.lit(EPS))).alias("value"))
-    thr = quantiles_long(err, keys, [q]).select(*keys, F.col("quantile").alias("_thr"))
-    return err.join(thr, list(keys)).groupBy(*keys).agg(
-        F.avg(F.least(F.col("value"), F.col("_thr"))).alias("wmape"))
+    ranks = save(value_ranks(err.where("value IS NOT NULL"), keys), "error-ranks")
+    thr = read_quantiles(ranks, keys, [q]).select(*keys, F.col("quantile").alias("_thr"))
+    return attach_group(ranks, thr, keys).groupBy(*keys).agg(
+        (F.sum(F.least(F.col("value"), F.col("_thr")) * F.col("cnt")) / F.sum("cnt")).alias("wmape"))
 
 
 def confusion(preds: DataFrame, keys: Sequence[str] = (), y: str = "y_true", p: str = "y_pred",
               weight: str | None = None) -> DataFrame:
-    """M7: (keys, true, pred, n) over ALL labels x labels (zero-filled).  The label set
-    is the union of observed true and predicted labels (small)."""
+    """M7: (keys, true, pred, n), zero-filled over the labels that the group itself holds,
+    true or predicted.  The label list is per group; a table of more than
+    ``MAX_LABELS`` labels is refused."""
+    keys = list(keys)
     w = F.col(weight) if weight else F.lit(1)
     counts = preds.groupBy(*keys, F.col(y).alias("true"), F.col(p).alias("pred")).agg(F.sum(w).alias("n"))
-    labels = counts.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array("true", "pred")))))
-                        .alias("_ls"))
-    groups = counts.select(*keys).distinct() if keys else counts.sparkSession.range(1).select()
-    grid = attach_row(groups, labels).select(*keys, F.explode("_ls").alias("true"), "_ls") \
-        .select(*keys, "true", F.explode("_ls").alias("pred"))
-    return grid.join(counts, [*keys, "true", "pred"], "left").select(
-        *keys, "true", "pred", F.coalesce(F.col("n"), F.lit(0)).alias("n"))
+    pair = counts.groupBy(*keys).agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array("true", "pred"))))).alias("_ls"),
+        F.map_from_entries(F.collect_list(F.struct(F.struct("true", "pred"), "n"))).alias("_m"))
+    ok = F.when(F.size("_ls") <= MAX_LABELS, F.col("_ls")).otherwise(
+        F.raise_error(F.lit(f"more than {MAX_LABELS} labels in a group")))
+    grid = pair.select(*keys, F.explode(ok).alias("true"), "_ls", "_m").select(
+        *keys, "true", F.explode("_ls").alias("pred"), "_m")
+    return grid.select(*keys, "true", "pred", F.coalesce(F.try_element_at("_m", F.struct("true", "pred")), F.lit(0)).alias("n"))
 
 
 def per_class(conf: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Per class precision, recall, F1 (zero division -> 0) and support."""
+    """Per class of the group precision, recall, F1 (zero division -> 0) and support,
+    from one pass over the confusion cells."""
     keys = list(keys)
-    tp = conf.where(F.col("true") == F.col("pred")).select(*keys, F.col("true").alias("label"), F.col("n").alias("tp"))
-    support = conf.groupBy(*keys, F.col("true").alias("label")).agg(F.sum("n").alias("support"))
-    predicted = conf.groupBy(*keys, F.col("pred").alias("label")).agg(F.sum("n").alias("predicted"))
-    t = tp.join(support, [*keys, "label"]).join(predicted, [*keys, "label"])
-    prec = F.coalesce(F.try_divide(F.col("tp"), F.col("predicted")), F.lit(0.0))
-    rec = F.coalesce(F.try_divide(F.col("tp"), F.col("support")), F.lit(0.0))
-    t = t.select(*keys, "label", prec.alias("precision"), rec.alias("recall"), "support")
-    f1 = F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")),
-                    F.lit(0.0))
-    return t.withColumn("f1", f1)
+    cells = conf.select(*keys, F.explode(F.array(
+        F.struct(F.col("true").alias("label"), F.col("n").alias("s"), F.lit(0).cast(conf.schema["n"].dataType).alias("p"),
+                 F.when(F.col("true") == F.col("pred"), F.col("n")).otherwise(0).alias("tp")),
+        F.struct(F.col("pred").alias("label"), F.lit(0).cast(conf.schema["n"].dataType).alias("s"), F.col("n").alias("p"),
+                 F.lit(0).cast(conf.schema["n"].dataType).alias("tp")))).alias("c")).select(*keys, "c.*")
+    t = cells.groupBy(*keys, "label").agg(F.sum("tp").alias("tp"), F.sum("s").alias("support"), F.sum("p").alias("predicted"))
+    prec, rec = div_or("tp", "predicted"), div_or("tp", "support")
+    t = t.select(*keys, "label", prec.alias("precision"), rec.alias("recall"), "support", "tp")
+    return t.withColumn("f1", div_or(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
 
 
 def classification_report(preds: DataFrame, keys: Sequence[str] = (), y: str = "y_true", p: str = "y_pred",
@@ -77,19 +87,14 @@ def classification_report(preds: DataFrame, keys: Sequence[str] = (), y: str = "
     """M8: per-class rows plus ``accuracy``, ``macro avg`` and ``weighted avg`` rows:
     ``(keys, row, precision, recall, f1, support)``."""
     keys = list(keys)
-    conf = confusion(preds, keys, y, p, weight)
-    pc = per_class(conf, keys)
+    pc = save(per_class(confusion(preds, keys, y, p, weight), keys), "class-scores")
     cls = pc.select(*keys, F.col("label").cast("string").alias("row"), "precision", "recall", "f1",
                     F.col("support").cast("double").alias("support"))
+    weighted = lambda c: F.try_divide(F.sum(F.col(c) * F.col("support")), F.sum("support"))
     tot = pc.groupBy(*keys).agg(
         F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
-        F.sum("support").alias("s"),
-        (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("wp"),
-        (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("wr"),
-        (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("wf"))
-    acc = conf.groupBy(*keys).agg((F.sum(F.when(F.col("true") == F.col("pred"), F.col("n")).otherwise(0))
-                                   / F.sum("n")).alias("acc"))
-    tot = tot.join(acc, keys) if keys else attach_row(tot, acc)
+        F.sum("support").alias("s"), weighted("precision").alias("wp"), weighted("recall").alias("wr"),
+        weighted("f1").alias("wf"), F.try_divide(F.sum("tp"), F.sum("support")).alias("acc"))
     rows = F.explode(F.array(
         F.struct(F.lit("accuracy").alias("row"), F.col("acc").alias("precision"), F.col("acc").alias("recall"),
                  F.col("acc").alias("f1"), F.col("s").cast("double").alias("support")),
@@ -103,16 +108,16 @@ def classification_report(preds: DataFrame, keys: Sequence[str] = (), y: str = "
 
 def classification_scores(preds: DataFrame, keys: Sequence[str] = (), y: str = "y_true", p: str = "y_pred",
                           weight: str | None = None) -> DataFrame:
-    """Accuracy, macro precision/recall/F1, balanced accuracy and the
-    macro-F1 loss 1 - F1 per group (weights replace counts when given)."""
+    """Accuracy, macro precision/recall/F1, balanced accuracy (mean recall over
+    the classes that occur) and the macro-F1 loss 1 - F1 per group (weights replace
+    counts when given)."""
     keys = list(keys)
-    rep = classification_report(preds, keys, y, p, weight)
-    pick = lambda r, c: F.max(F.when(F.col("row") == r, F.col(c)))
-    return rep.groupBy(*keys).agg(
-        pick("accuracy", "precision").alias("accuracy"), pick("macro avg", "precision").alias("macro_precision"),
-        pick("macro avg", "recall").alias("macro_recall"), pick("macro avg", "f1").alias("macro_f1"),
-        pick("macro avg", "recall").alias("balanced_accuracy"),
-        (1 - pick("macro avg", "f1")).alias("f1_loss"))
+    pc = per_class(confusion(preds, keys, y, p, weight), keys)
+    return pc.groupBy(*keys).agg(
+        F.try_divide(F.sum("tp"), F.sum("support")).alias("accuracy"), F.avg("precision").alias("macro_precision"),
+        F.avg("recall").alias("macro_recall"), F.avg("f1").alias("macro_f1"),
+        F.avg(F.when(F.col("support") > 0, F.col("recall"))).alias("balanced_accuracy"),
+        (1 - F.avg("f1")).alias("f1_loss"))
 
 
 def roc_auc(preds: DataFrame, keys: Sequence[str] = (), y: str = "y_true", score: str = "score") -> DataFrame:
@@ -120,8 +125,9 @@ def roc_auc(preds: DataFrame, keys: Sequence[str] = (), y: str = "y_true", score
     the distributed rank table (no single sorted pass)."""
     keys = list(keys)
     long = preds.select(*keys, F.col(score).cast("double").alias("value"), F.col(y).cast("int").alias("_y"))
-    pos = long.groupBy(*keys, "value").agg(F.sum("_y").alias("_pos"))
-    r = value_ranks(long, keys, "value").join(pos, [*keys, "value"])
+    long = long.where("value IS NOT NULL AND _y IS NOT NULL")
+    hist = save(long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cnt"), F.sum("_y").alias("_pos")), "score-histogram")
+    r = attach_group(histogram_ranks(hist, keys), hist.select(*keys, "value", "_pos"), [*keys, "value"])
     avg_rank = F.col("cum_before") + (F.col("cnt") + 1) / 2.0
     agg = r.groupBy(*keys).agg(F.sum(avg_rank * F.col("_pos")).alias("_rs"), F.sum("_pos").alias("_np"),
                                F.first("n").alias("_n"))
@@ -145,10 +151,10 @@ def fold_average_report(reports: DataFrame, keys: Sequence[str] = ("row",)) -> D
 
 def group_scores(preds: DataFrame, fold: str, group: str, y: str = "y_true", p: str = "y_pred") -> DataFrame:
     """Accuracy of every held-out fold with the groups it holds, long form
-    ``(fold, group, fold_accuracy)`` (no list collection); sort by the score."""
+    ``(fold, group, fold_accuracy)``, best fold first (O6)."""
     acc = preds.groupBy(fold).agg(F.avg((F.col(y) == F.col(p)).cast("double")).alias("fold_accuracy"))
     groups = preds.select(fold, group).distinct()
-    return groups.join(acc, fold)
+    return groups.join(acc, fold).orderBy(F.desc("fold_accuracy"), fold, group)
 
 
 def overfit_table(scores: DataFrame, keys: Sequence[str], metric: str = "metric", model: str = "model",
@@ -184,8 +190,20 @@ def train_cv_gap(cands: DataFrame, train_cols: Sequence[str], test_cols: Sequenc
                         (mean(train_cols) - mean(test_cols)).alias("gap"))
 
 
-def best_per_group(df: DataFrame, group: Sequence[str], order_desc: str, k: int = 1, name: str = "rank") -> DataFrame:
-    """Best k rows per group by a descending score (``row_number`` with a
-    limit, planned with a partial per-task limit before the shuffle)."""
-    w = Window.partitionBy(*group).orderBy(F.desc(order_desc))
+def score_curve(scores: DataFrame, param: str, value: str, model: str | None = None, model_col: str = "model",
+                by: Sequence[str] = ()) -> DataFrame:
+    """L3/L4: mean score against a parameter, per model and remaining hyper-parameters
+    ``by``, sorted by them.  An unknown ``model`` raises."""
+    if model is not None:
+        if not scores.where(F.col(model_col) == model).limit(1).count():
+            raise ValueError(f"unknown model {model}")
+        scores = scores.where(F.col(model_col) == model)
+    keys = [model_col, *by, param]
+    return scores.groupBy(*keys).agg(F.avg(value).alias("mean_score"), F.count(F.lit(1)).alias("n_scores")).orderBy(*keys)
+
+
+def best_per_group(df: DataFrame, group: Sequence[str], order_desc: str, tie: Sequence[str], k: int = 1, name: str = "rank") -> DataFrame:
+    """Best k rows per group by a descending score, ties by the ``tie`` columns
+    (``row_number`` with a limit, planned with a partial per-task limit before the shuffle)."""
+    w = Window.partitionBy(*group).orderBy(F.desc(order_desc), *tie)
     return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)

@@ -1,4 +1,4 @@
-"""Model fitting, search and scoring on Spark ML (ML1-ML11, FS10, FS11, D2, D7).
+"""Model fitting, search and scoring on Spark ML (ML1-ML11, M16, FS10, FS11, D2).
 
 Statistics-based models (OLS, recursive elimination) collect only p x p Gram
 matrices (one distributed pass, per fold when needed); iterative learners are
@@ -11,15 +11,39 @@ import random
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ..storage import save
+
+
+def complete(cols: Sequence[str]):
+    """True where every column has a value (neither NULL nor NaN)."""
+    ok = F.lit(True)
+    for c in cols:
+        ok = ok & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return ok
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
+    """Feature vectors for a fit; a missing value raises (drop or fill rows first)."""
     from pyspark.ml.feature import VectorAssembler
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip").transform(df)
+    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="error").transform(df)
+
+
+def fit_rows(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) -> tuple[DataFrame, int]:
+    """(rows with all of ``cols`` and ``extra``, number of rows left out of the fit)."""
+    ok = complete([*cols, *extra])
+    return df.where(ok), df.where(~ok).count()
+
+
+def score_rows(model, df: DataFrame, cols: Sequence[str], column: str = "prediction") -> DataFrame:
+    """ML10 scoring: one prediction per input row; NULL where a feature is missing."""
+    filled = df.withColumn("_ok", complete(cols)).withColumns(
+        {f"_x_{c}": F.when(F.col("_ok"), F.col(c).cast("double")).otherwise(0.0) for c in cols})
+    names = [f"_x_{c}" for c in cols]
+    out = model.transform(assemble(filled, names))
+    return out.withColumn(column, F.when(F.col("_ok"), F.col(column))).drop("_ok", "features", *names)
 
 
 def gram(df: DataFrame, cols: Sequence[str], target: str, by: Sequence[str] = (), intercept: bool = True) -> DataFrame:
@@ -58,31 +82,25 @@ def ols_normal_equations(df: DataFrame, cols: Sequence[str], target: str, interc
 def rfe_ranking(df: DataFrame, cols: Sequence[str], target: str, n_keep: int = 1, fold: str | None = None) -> DataFrame:
     """FS10: recursive feature elimination with a linear model: repeatedly drop the
     feature with the smallest |coef| (standardised by the feature std) until
-    ``n_keep`` remain.  With ``fold`` the ranking is made per fold from that fold's
-    training Gram matrix (totals minus own fold), all from one distributed pass."""
-    by = [fold] if fold else []
-    g = gram(df, cols, target, by=by).collect()
-    p = len(cols) + 1
-    rows = []
-    totals = {k: sum(r[k] for r in g) for k in g[0].asDict() if k.startswith(("xx_", "xy_", "n", "yy"))}
-    for r in g:
-        d = r.asDict()
-        train = {k: totals[k] - d[k] for k in totals} if fold else d
-        n = train["n"]
-        std = {i: np.sqrt(max(train[f"xx_{i}_{i}"] / n - (train[f"xx_0_{i}"] / n) ** 2, 0.0)) for i in range(1, p)}
-        alive = list(range(1, p))
-        rank_of = {}
+    ``n_keep`` remain.  With ``fold`` the ranking is made per fold from the other folds'
+    moments, merged; all from one distributed pass of centred moments."""
+    key = F.col(fold).cast("long") if fold else F.lit(-1).cast("long")
+    rows = df.select(key.alias("_fold"), *[F.col(c).cast("double").alias(c) for c in [*cols, target]]).dropna(subset=[*cols, target])
+    parts = fold_moments(rows, [*cols, target], "_fold")
+    out = []
+    for f in sorted(parts):
+        n, mean, m2 = _merge([m for k, m in parts.items() if k != f]) if fold else parts[f]
+        std = np.sqrt(np.maximum(np.diag(m2) / n, 0.0))
+        y = len(cols)
+        alive, rank_of = list(range(len(cols))), {}
         while len(alive) > n_keep:
-            b = _solve(train, p, [0] + alive)
-            score = {a: abs(b[k + 1]) * std[a] for k, a in enumerate(alive)}
-            worst = min(alive, key=lambda a: (score[a], a))
-            rank_of[worst] = len(alive)
-            alive.remove(worst)
-        for a in alive:
-            rank_of[a] = 1
-        for a, rk in rank_of.items():
-            rows.append(((d[fold] if fold else None), cols[a - 1], int(rk)))
-    return df.sparkSession.createDataFrame(rows, "fold long, feature string, ranking int")
+            b = np.linalg.pinv(m2[np.ix_(alive, alive)]) @ m2[alive, y]
+            worst = min(range(len(alive)), key=lambda k: (abs(b[k]) * std[alive[k]], alive[k]))
+            rank_of[alive[worst]] = len(alive)
+            del alive[worst]
+        rank_of.update({a: 1 for a in alive})
+        out += [(f if fold else None, cols[a], int(rk)) for a, rk in rank_of.items()]
+    return df.sparkSession.createDataFrame(out, "fold long, feature string, ranking int")
 
 
 def linear_regression(df: DataFrame, cols: Sequence[str], target: str, reg: float = 0.0, l1_ratio: float = 0.0,
@@ -115,7 +133,9 @@ def classifier(kind: str, label: str = "label", weight: str | None = None, seed:
         est = C.OneVsRest(classifier=C.LinearSVC(**kw), **common)
     else:
         raise ValueError(f"unknown model {kind}")
-    if weight and hasattr(est, "setWeightCol"):
+    if weight:
+        if not hasattr(est, "setWeightCol"):
+            raise ValueError(f"{kind} takes no row weights")
         est = est.setWeightCol(weight)
     return est
 
@@ -134,13 +154,13 @@ def random_search(grid: list[dict], n: int, seed: int = 42) -> list[dict]:
     return grid if n >= len(grid) else rnd.sample(grid, n)
 
 
-def save_and_score(model, path: str, df: DataFrame) -> DataFrame:
-    """ML10: persist a fitted pipeline, load it back and score a batch; the output
-    must have one prediction per input row."""
+def save_and_score(model, path: str, df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """ML10: persist a fitted pipeline, load it back and score a batch; the number of
+    predictions rows must be that of the input rows."""
     from pyspark.ml import PipelineModel
     model.write().overwrite().save(path)
-    loaded = PipelineModel.load(path)
-    out = loaded.transform(df)
+    out = save(score_rows(PipelineModel.load(path), df, cols), "scored")
+    check_same_count(df, out)
     return out
 
 
@@ -150,6 +170,75 @@ def check_same_count(inp: DataFrame, out: DataFrame) -> None:
         raise ValueError(f"scored {b} rows for {a} inputs")
 
 
+def grid_fold_scores(df: DataFrame, cols: Sequence[str], target: str, grid: Sequence[dict], fold: str = "fold", max_folds: int = 100) -> DataFrame:
+    """M16 / ML1 / ML9: every grid point (``{"model": name, "reg": alpha, "l1_ratio": r}``)
+    is fitted on the rows outside a fold and scores all rows: ``(model, fold, set,
+    y_true, y_pred)``, the store of the metric operators.
+
+    Least squares and ridge are solved from one centred moment pass per fold (the training
+    moments of a fold are those of the other folds, merged); other penalties go through
+    MLlib.  Rows without a feature or the target are left out of the fit and have no score.
+    """
+    rows = save(df.where(complete([*cols, target]) & F.col(fold).isNotNull()).select(fold, *[F.col(c).cast("double").alias(c) for c in [*cols, target]]), "fit-rows")
+    folds = [r[0] for r in rows.select(fold).distinct().limit(max_folds + 1).collect()]
+    if len(folds) > max_folds:
+        raise ValueError(f"more than {max_folds} folds")
+    moments = fold_moments(rows, [*cols, target], fold)
+    out = []
+    for f in sorted(folds):
+        train = [m for k, m in moments.items() if k != f]
+        if not train:
+            raise ValueError("one fold only: nothing to train on")
+        for g in grid:
+            reg, l1 = float(g.get("reg", 0.0)), float(g.get("l1_ratio", 0.0))
+            if l1 == 0.0:
+                beta, b0 = _ridge(_merge(train), reg)
+            else:
+                m = linear_regression(rows.where(F.col(fold) != f), cols, target, reg=reg, l1_ratio=l1)
+                beta, b0 = [float(v) for v in m.coefficients], float(m.intercept)
+            pred = F.lit(float(b0))
+            for c, v in zip(cols, beta):
+                pred = pred + F.col(c) * F.lit(float(v))
+            out.append(F.struct(F.lit(str(g["model"])).alias("model"), F.lit(f).alias("fold"), pred.alias("y_pred")))
+    scored = rows.select(F.explode(F.array(*out)).alias("s"), F.col(fold).alias("_own"), F.col(target).alias("y_true"))
+    return scored.select("s.model", F.col("s.fold").alias("fold"), F.when(F.col("_own") == F.col("s.fold"), "val").otherwise("train").alias("set"),
+                         "y_true", F.col("s.y_pred").alias("y_pred"))
+
+
+def fold_moments(rows: DataFrame, cols: Sequence[str], fold: str) -> dict:
+    """{fold: (n, means, centred cross products)}: running means and covariances, so
+    large offsets do not cancel; (columns + 1)^2 numbers per fold reach the driver."""
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    got = rows.groupBy(fold).agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
+                                 *[F.covar_pop(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs]).collect()
+    out = {}
+    for r in got:
+        m2 = np.zeros((len(cols), len(cols)))
+        for i, j in pairs:
+            m2[i, j] = m2[j, i] = r[f"c{i}_{j}"] * r["n"]
+        out[r[fold]] = (r["n"], np.array([r[f"m{i}"] for i in range(len(cols))]), m2)
+    return out
+
+
+def _merge(parts):
+    """Moments of several parts together (pairwise update of means and cross products)."""
+    n, mean, m2 = parts[0][0], parts[0][1].copy(), parts[0][2].copy()
+    for k, mu, c in parts[1:]:
+        d = mu - mean
+        m2 += c + np.outer(d, d) * (n * k / (n + k))
+        mean += d * (k / (n + k))
+        n += k
+    return n, mean, m2
+
+
+def _ridge(moments, reg: float):
+    """Slope and intercept of ridge regression with penalty n * reg (0: least squares)."""
+    n, mean, m2 = moments
+    p = len(mean) - 1
+    beta = np.linalg.pinv(m2[:p, :p] / n + reg * np.eye(p)) @ (m2[:p, p] / n)
+    return [float(b) for b in beta], float(mean[p] - mean[:p] @ beta)
+
+
 def feature_importances(model, names: Sequence[str], k: int = 20) -> DataFrame:
     """FS11: importance table of a fitted tree model, top k."""
     from pyspark.sql import SparkSession
@@ -158,89 +247,41 @@ def feature_importances(model, names: Sequence[str], k: int = 20) -> DataFrame:
     return SparkSession.getActiveSession().createDataFrame(rows, "feature string, importance double")
 
 
-def mar_test(df: DataFrame, cols: Sequence[str], fold: str, seed: int = 42) -> DataFrame:
+def mar_test(df: DataFrame, cols: Sequence[str], fold: str, seed: int = 42, max_folds: int = 100) -> DataFrame:
     """D2 (re-aimed): for every column, predict its null indicator from the other
-    columns (NULL -> 0) with logistic regression, one fit per fold; exact ROC AUC of
-    the held-out fold; mean and std (ddof 1) over folds."""
+    columns (NULL -> 0) with logistic regression, one fit per fold; exact ROC AUC of the
+    training rows and of the held-out fold.  ``(column, set, auc_mean, auc_std, n_folds,
+    n_undefined)``: a fold whose rows have one class only has no AUC and is counted in
+    ``n_undefined``, not left out silently.  ddof 1."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import vector_to_array
     from .metrics import roc_auc
+    src = save(df.select(fold, *cols), "mar-rows")
+    folds = [r[0] for r in src.select(fold).where(F.col(fold).isNotNull()).distinct().limit(max_folds + 1).collect()]
+    if len(folds) > max_folds:
+        raise ValueError(f"more than {max_folds} folds")
     out = []
-    folds = [r[0] for r in df.select(fold).distinct().collect()]
     for c in cols:
         others = [o for o in cols if o != c]
-        t = df.select(fold, F.col(c).isNull().cast("double").alias("_y"),
-                      *[F.coalesce(F.col(o).cast("double"), F.lit(0.0)).alias(o) for o in others])
+        t = src.select(fold, F.col(c).isNull().cast("double").alias("_y"),
+                       *[F.coalesce(F.col(o).cast("double"), F.lit(0.0)).alias(o) for o in others])
         t = assemble(t, others)
-        for f in folds:
-            tr, te = t.where(F.col(fold) != f), t.where(F.col(fold) == f)
-            if tr.select("_y").distinct().count() < 2:
-                continue
-            m = LogisticRegression(featuresCol="features", labelCol="_y").fit(tr)
-            s = m.transform(te).select("_y", vector_to_array("probability")[1].alias("score"))
-            out.append(roc_auc(s.withColumnRenamed("_y", "y_true")).withColumn("column", F.lit(c))
-                       .withColumn("fold", F.lit(f)))
+        both = {r[0]: (r[1], r[2]) for r in t.groupBy(fold).agg(F.sum("_y"), F.count(F.lit(1))).collect()}
+        pos, n = sum(v[0] for v in both.values()), sum(v[1] for v in both.values())
+        for f in sorted(folds):
+            if 0 < pos - both[f][0] < n - both[f][1]:
+                m = LogisticRegression(featuresCol="features", labelCol="_y").fit(t.where(F.col(fold) != f))
+                s = m.transform(t).select(F.when(F.col(fold) == f, "test").otherwise("train").alias("set"), F.col("_y").alias("y_true"),
+                                          vector_to_array("probability")[1].alias("score"))
+                out.append(roc_auc(s, ["set"]).select(F.lit(c).alias("column"), "set", "roc_auc"))
+            else:
+                out.append(src.sparkSession.range(1).select(F.explode(F.array(F.lit("train"), F.lit("test"))).alias("set")).select(
+                    F.lit(c).alias("column"), "set", F.lit(None).cast("double").alias("roc_auc")))
     res = out[0]
     for o in out[1:]:
         res = res.unionByName(o)
-    return res.groupBy("column").agg(F.avg("roc_auc").alias("auc_mean"), F.stddev_samp("roc_auc").alias("auc_std"))
-
-
-def _c(n: int) -> float:
-    return 2.0 * (np.log(n - 1) + 0.5772156649) - 2.0 * (n - 1) / n if n > 2 else (1.0 if n == 2 else 0.0)
-
-
-def _grow(x: np.ndarray, depth: int, limit: int, rng: np.random.Generator):
-    if depth >= limit or len(x) <= 1:
-        return ("leaf", len(x))
-    j = int(rng.integers(x.shape[1]))
-    lo, hi = x[:, j].min(), x[:, j].max()
-    if lo == hi:
-        return ("leaf", len(x))
-    s = float(rng.uniform(lo, hi))
-    m = x[:, j] < s
-    return ("node", j, s, _grow(x[m], depth + 1, limit, rng), _grow(x[~m], depth + 1, limit, rng))
-
-
-def _path(tree, row: np.ndarray, depth: int = 0) -> float:
-    while tree[0] == "node":
-        _, j, s, left, right = tree
-        tree = left if row[j] < s else right
-        depth += 1
-    return depth + _c(tree[1])
-
-
-def isolation_forest(df: DataFrame, cols: Sequence[str], n_trees: int = 100, sample_size: int = 256,
-                     seed: int = 42, threshold: float = 0.5) -> DataFrame:
-    """D7 (re-aimed): isolation trees grown on a bounded sample (n_trees x sample_size
-    rows, the only data on the driver), broadcast, and applied to every row with an
-    Arrow-batched ``mapInPandas``.  Adds ``anomaly_score`` (2^(-E[h]/c(psi))) and
-    ``inlier`` (score <= threshold)."""
-    spark = df.sparkSession
-    n = df.count()
-    need = n_trees * sample_size
-    frac = min(1.0, 2.0 * need / max(n, 1))
-    sample = np.array(df.select(*cols).dropna().sample(fraction=frac, seed=seed).limit(need).collect(), dtype=float)
-    rng = np.random.default_rng(seed)
-    psi = min(sample_size, len(sample))
-    limit = int(np.ceil(np.log2(max(psi, 2))))
-    trees = [_grow(sample[rng.choice(len(sample), psi, replace=False)], 0, limit, rng) for _ in range(n_trees)]
-    bc = spark.sparkContext.broadcast((trees, _c(psi)))
-    schema = T.StructType(df.schema.fields + [T.StructField("anomaly_score", T.DoubleType()),
-                                              T.StructField("inlier", T.BooleanType())])
-
-    def score(batches):
-        ts, cpsi = bc.value
-        for pdf in batches:
-            x = pdf[list(cols)].to_numpy(dtype=float)
-            h = np.array([np.mean([_path(t, r) for t in ts]) for r in x]) if len(x) else np.array([])
-            s = np.power(2.0, -h / cpsi) if len(x) else h
-            out = pdf.copy()
-            out["anomaly_score"] = s
-            out["inlier"] = s <= threshold
-            yield out
-
-    return df.mapInPandas(score, schema)
+    return res.groupBy("column", "set").agg(F.avg("roc_auc").alias("auc_mean"), F.stddev_samp("roc_auc").alias("auc_std"),
+                                            F.count(F.lit(1)).alias("n_folds"), F.count_if(F.col("roc_auc").isNull()).alias("n_undefined"))
 
 
 def vote_table(preds: DataFrame, group: str, pred: str = "prediction") -> DataFrame:

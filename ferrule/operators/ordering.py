@@ -5,16 +5,12 @@ of a group to one task; when one group holds a third of the data that task
 holds a third of the data.  The helpers here never do that:
 
 ``number_rows``
-    splits every group into order-preserving chunks of about ``chunk_rows``
-    rows (equal-width ranges of the first order key between the group's min
-    and max, so a hot group spans many tasks), numbers each ``(group, chunk)``
-    piece locally and adds the piece's offset, taken from a per-chunk count
-    table whose size is about ``#groups + rows/chunk_rows``.  The joins with
-    the small tables are left to AQE, which broadcasts a side only when its
-    measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
-    and otherwise keeps the shuffle join.  (Partition ids of a range
-    repartition are *not* used: the sampled bounds differ between plan
-    branches, so they cannot be joined back.)
+    deals the rows out by ranges of ``(group, order)`` (Spark's range partitioning,
+    so a hot group, an outlier key or a heavy tail spreads evenly, and keys may be of
+    any ordered type), writes them with the number of their range, numbers every
+    ``(group, range)`` piece locally and adds the piece's offset, taken from a count
+    table of about ``#groups + #ranges`` rows.  The ranges are fixed by the written
+    table, so all plan branches agree, and the numbers do not depend on them.
 
 ``with_lookback`` / ``block_window`` / ``own_rows``
     once rows carry a dense frame number, a look-back of ``h`` rows only needs
@@ -30,16 +26,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-DEFAULT_BLOCK_ROWS = 1 << 20
 
+from ..storage import save
 
-def _order_number(c: str, dtype) -> Column:
-    """Monotone numeric image of an order column (timestamps as microseconds)."""
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
-    return F.col(c).cast("double")
+DEFAULT_BLOCK_ROWS = 1 << 20
 
 
 def _key_join(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
@@ -50,31 +40,16 @@ def _key_join(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: st
     return left.join(right, cond, "inner").drop(*[prefix + k for k in keys])
 
 
-def assign_chunks(df: DataFrame, by: Sequence[str], key: Column, chunk_rows: int,
-                  name: str = "_chunk") -> DataFrame:
-    """Deterministic, order-preserving split of every group into pieces of about
-    ``chunk_rows`` rows: equal-width intervals of ``key`` between the group's min and
-    max.  min/max/count do not depend on task order, so a re-run gives the same pieces."""
-    by = list(by)
-    keyed = df.withColumn("_ck", key)
-    stats = keyed.groupBy(*by).agg(F.min("_ck").alias("_lo"), F.max("_ck").alias("_hi"),
-                                    F.count(F.lit(1)).alias("_n"))
-    stats = stats.select(*[F.col(b).alias("_s_" + b) for b in by], "_lo",
-                         F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(chunk_rows))).alias("_k"),
-                         F.try_divide(F.col("_hi") - F.col("_lo"),
-                                      F.ceil(F.col("_n") / F.lit(chunk_rows))).alias("_wd"))
-    out = _key_join(keyed, stats, by, "_s_")
-    pos = F.coalesce(F.floor(F.try_divide(F.col("_ck") - F.col("_lo"), F.col("_wd"))), F.lit(0))
-    out = out.withColumn(name, F.when(F.col("_k") == 1, F.lit(0)).otherwise(
-        F.least(F.col("_k") - 1, F.greatest(F.lit(0), pos))).cast("long"))
-    return out.drop("_ck", "_lo", "_k", "_wd")
-
-
-def chunk_offsets(local: DataFrame, by: Sequence[str], measure: str,
-                  chunk: str = "_chunk") -> DataFrame:
+def ranged(df: DataFrame, keys: Sequence[str], tag: str = "ranged") -> DataFrame:
+    """``df`` dealt out by ranges of ``keys`` and saved, with the range number ``_chunk``
+    (ascending with the keys).  Rows that agree in all keys share a range."""
+    return save(df.repartitionByRange(*keys).withColumn("_chunk", F.spark_partition_id().cast("long")), tag)
+
+
+def chunk_offsets(local: DataFrame, by: Sequence[str], measure: str, chunk: str = "_chunk") -> DataFrame:
     """Attach ``_off`` (sum of ``measure`` over earlier chunks of the group) and
-    ``_total`` (whole group).  The per-chunk table is tiny; AQE broadcasts it when
-    its measured size allows and shuffles otherwise."""
+    ``_total`` (whole group).  The per-chunk table has a row per group and range it
+    touches; without groups its window runs in one task over the ranges."""
     by = list(by)
     per = local.groupBy(*by, chunk).agg(F.sum(measure).alias("_cs"))
     prev = Window.partitionBy(*by).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
@@ -85,17 +60,15 @@ def chunk_offsets(local: DataFrame, by: Sequence[str], measure: str,
 
 
 def number_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "rn",
-                start: int = 0, chunk_rows: int = 1_000_000, total: str | None = None) -> DataFrame:
-    """Dense row number within ``by`` following ``order`` (ascending).
+                start: int = 0, total: str | None = None) -> DataFrame:
+    """Dense row number within ``by`` following ``order`` (ascending, NULL first).
 
-    ``order`` must be unique within a group (append a key column to break ties);
-    the first order column must be numeric or a timestamp (it defines the chunks).
+    ``order`` must be unique within a group (append a key column to break ties).
     """
     by, order = list(by), list(order)
-    dtype = df.schema[order[0]].dataType
-    chunked = assign_chunks(df, by, _order_number(order[0], dtype), chunk_rows)
+    dealt = ranged(df, [*by, *order], "numbered")
     w = Window.partitionBy(*by, "_chunk").orderBy(*order)
-    local = chunked.withColumn("_lrn", F.row_number().over(w) - 1).withColumn("_one", F.lit(1))
+    local = dealt.withColumn("_lrn", F.row_number().over(w) - 1).withColumn("_one", F.lit(1))
     out = chunk_offsets(local, by, "_one")
     out = out.withColumn(name, (F.col("_lrn") + F.col("_off") + F.lit(start)).cast("long"))
     if total:
@@ -103,6 +76,13 @@ def number_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], name: st
     return out.drop("_chunk", "_lrn", "_one", "_off", "_total")
 
 
+def attach_group(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join per-group columns to the rows; a NULL key is a group like any other, so
+    every row stays."""
+    renamed = groups.select(*[F.col(c).alias("_g_" + c) if c in keys else F.col(c) for c in groups.columns])
+    return _key_join(df, renamed, list(keys), "_g_")
+
+
 def with_lookback(df: DataFrame, frame: str, halo: int,
                   block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Tag rows with ``_blk``; the last ``halo`` frames of a block also go to the next block."""

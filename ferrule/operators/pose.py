@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordering import attach_group
 from .profile import attach_row
 
 EPS = 1e-9  # |scale| below this is replaced by 1
@@ -207,7 +208,7 @@ def impairment_side(df: DataFrame, row_features: DataFrame | None, patient: str,
     ``impairment_side`` = 1 when the left total is larger."""
     tot = df.groupBy(patient).agg(F.sum(left).alias("left_total"), F.sum(right).alias("right_total"))
     tot = tot.withColumn("impairment_side", (F.col("left_total") > F.col("right_total")).cast("int"))
-    return df.join(tot, patient)
+    return attach_group(df, tot, [patient])
 
 
 def sample_weights(df: DataFrame, cols: Sequence[str], name: str = "weight") -> DataFrame:
@@ -246,11 +247,13 @@ def one_hot_closed(df: DataFrame, col: str, codes: Sequence[str], prefix: str |
     return df.withColumns({f"{pre}{c}": ((F.col(col) == c).cast("int") * guard).alias(f"{pre}{c}") for c in codes})
 
 
-def one_hot_observed(df: DataFrame, col: str, prefix: str | None = None) -> DataFrame:
-    """One column per observed value (the distinct set is small and read first)."""
-    values = sorted(r[0] for r in df.select(col).distinct().collect() if r[0] is not None)
+def one_hot_observed(df: DataFrame, col: str, prefix: str | None = None, limit: int = 1000) -> DataFrame:
+    """One column per observed value; more than ``limit`` values raise."""
+    found = df.select(col).where(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()
+    if len(found) > limit:
+        raise ValueError(f"{col} has more than {limit} values")
     pre = prefix if prefix is not None else f"{col}_"
-    return df.withColumns({f"{pre}{v}": (F.col(col) == v).cast("int") for v in values})
+    return df.withColumns({f"{pre}{v}": F.coalesce((F.col(col) == v).cast("int"), F.lit(0)) for v in sorted(r[0] for r in found)})
 
 
 def threshold_class(p: str | Column, threshold: float = 0.5) -> Column:
@@ -290,7 +293,7 @@ def limb_lengths(df: DataFrame, col: str, sk: Skeleton, keep: Sequence[str] = ()
 def arm_over_patient_max(df: DataFrame, arm: str, patient: str, name: str = "arm_rel") -> DataFrame:
     """Arm length divided by the patient's largest arm length (group max joined back)."""
     mx = df.groupBy(patient).agg(F.max(arm).alias("_amax"))
-    return df.join(mx, patient).withColumn(name, F.try_divide(F.col(arm), F.col("_amax"))).drop("_amax")
+    return attach_group(df, mx, [patient]).withColumn(name, F.try_divide(F.col(arm), F.col("_amax"))).drop("_amax")
 
 
 def mirror_rows(df: DataFrame, col: str, n_joints: int, left: str = "left_std", right: str = "right_std") -> DataFrame:

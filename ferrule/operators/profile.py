@@ -14,7 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .quantile import quantile_wide, quantiles_long, to_long, trimmed_mean_long
+from ..functions.columns import nan_to_null
+from ..storage import save
+from .ordering import attach_group
+from .quantile import histogram_ranks, quantile_wide, read_quantiles, to_long, trimmed_mean_long
 
 # Fence multipliers swept by the outlier report, in order.
 IQR_MULTIPLIERS = [1.5, 2, 3, 4, 5, 6, 7, 8, 9, 10.0, 100.0, 1000.0, 10000.0]
@@ -70,22 +73,28 @@ def iqr_split(df: DataFrame, cols: Sequence[str], multiplier: float = 3.0):
 
 def iqr_sweep(df: DataFrame, cols: Sequence[str],
               multipliers: Sequence[float] = tuple(IQR_MULTIPLIERS)) -> DataFrame:
-    """Number of outlier rows for every multiplier in one pass: each row is
-    paired with the multiplier list (generated, pipelined) and one conditional
-    count runs keyed by the multiplier -- a small aggregate that stays in
-    whole-stage codegen, unlike one count per multiplier."""
+    """Number of outlier rows for every (ascending) multiplier in one pass: the fences
+    are nested, so a row is described by the number of multipliers that leave it out;
+    one aggregate counts rows by that number and sums over its few rows follow."""
+    ms = [float(m) for m in multipliers]
+    if ms != sorted(ms):
+        raise ValueError("multipliers must ascend")
     q = quantile_wide(df, cols, {"q1": 0.25, "q3": 0.75}).agg(
         *[F.max(F.when(F.col("column") == c, F.col(k))).alias(f"{c}__{k}") for c in cols for k in ("q1", "q3")])
     t = attach_row(df.select(*cols), q)
-    t = t.select("*", F.explode(F.array(*[F.lit(float(m)) for m in multipliers])).alias("multiplier"))
-    inside = F.lit(True)
-    m = F.col("multiplier")
-    for c in cols:
-        iqr = F.col(f"{c}__q3") - F.col(f"{c}__q1")
-        inside = inside & F.coalesce((F.col(c) >= F.col(f"{c}__q1") - m * iqr)
-                                     & (F.col(c) <= F.col(f"{c}__q3") + m * iqr), F.lit(False))
-    return t.groupBy("multiplier").agg(F.count_if(~inside).alias("n_outliers"),
-                                       F.try_divide(F.count_if(~inside), F.count(F.lit(1))).alias("share"))
+    left_out = F.lit(0)
+    for m in ms:
+        inside = F.lit(True)
+        for c in cols:
+            iqr = F.col(f"{c}__q3") - F.col(f"{c}__q1")
+            inside = inside & F.coalesce((F.col(c) >= F.col(f"{c}__q1") - m * iqr)
+                                         & (F.col(c) <= F.col(f"{c}__q3") + m * iqr), F.lit(False))
+        left_out = left_out + (~inside).cast("int")
+    counts = t.groupBy(left_out.alias("k")).agg(F.count(F.lit(1)).alias("c"))
+    each = F.array(*[F.struct(F.lit(m).alias("multiplier"), F.sum(F.when(F.col("k") > i, F.col("c")).otherwise(0)).alias("n_outliers"))
+                     for i, m in enumerate(ms)])
+    row = counts.agg(each.alias("a"), F.sum("c").alias("n"))
+    return row.select(F.explode("a").alias("s"), "n").select("s.multiplier", "s.n_outliers", F.try_divide("s.n_outliers", "n").alias("share"))
 
 
 def spread_ratio(df: DataFrame, cols: Sequence[str], tail: float = 0.05) -> DataFrame:
@@ -97,7 +106,9 @@ def spread_ratio(df: DataFrame, cols: Sequence[str], tail: float = 0.05) -> Data
 
 
 def column_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``(column, count, mean, std, min, max)`` from one aggregate over all columns."""
+    """``(column, count, mean, std, min, max)`` from one aggregate over all columns; NaN is
+    missing."""
+    df = nan_to_null(df, cols)
     aggs = []
     for c in cols:
         aggs += [F.count(c).alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"),
@@ -141,28 +152,37 @@ def missing_patterns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.groupBy(pat.alias("pattern")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+MAX_BINS = 1_000_000  # bins of a shared histogram, all columns together
+
+
 def shared_histogram(df: DataFrame, cols: Sequence[str], nbins: int | None = None,
-                     x_range: tuple[float, float] | None = None) -> DataFrame:
+                     x_range: tuple[float, float] | None = None, empty: bool = True) -> DataFrame:
     """Equal-width bins over one range shared by all columns.  Default range is
     the global min/max, default bin count ``int(max - min) + 1``; the last bin is
-    closed; NULLs are dropped; empty bins are reported with count 0.
+    closed; NULLs are dropped; empty bins have count 0, or are left out with
+    ``empty=False`` (a range of more than ``MAX_BINS`` bins needs that or ``nbins``).
     Returns ``(column, bin, bin_lo, bin_hi, count)``."""
     long = to_long(df, cols)
+    spark = df.sparkSession
     if x_range is None:
         rng = long.agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
     else:
-        rng = long.sparkSession.range(1).select(F.lit(float(x_range[0])).alias("_lo"),
-                                                F.lit(float(x_range[1])).alias("_hi"))
-    nb = F.lit(int(nbins)) if nbins else (F.floor(F.col("_hi") - F.col("_lo")) + 1).cast("int")
+        rng = spark.range(1).select(F.lit(float(x_range[0])).alias("_lo"), F.lit(float(x_range[1])).alias("_hi"))
+    nb = F.lit(int(nbins)).cast("long") if nbins else F.floor(F.col("_hi") - F.col("_lo")) + 1
     rng = rng.withColumn("_nb", nb).withColumn("_w", (F.col("_hi") - F.col("_lo")) / F.col("_nb"))
     t = attach_row(long, rng).where((F.col("value") >= F.col("_lo")) & (F.col("value") <= F.col("_hi")))
     b = F.least(F.coalesce(F.floor(F.try_divide(F.col("value") - F.col("_lo"), F.col("_w"))), F.lit(0)),
                 F.col("_nb") - 1)
     counts = t.groupBy("column", b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    names = long.sparkSession.createDataFrame([(c,) for c in cols], "column string")
-    grid = attach_row(names, rng).select(
-        "column", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("bin"), "_lo", "_w")
-    return grid.join(counts, ["column", "bin"], "left").select(
+    if empty:
+        names = spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in cols])).alias("column"))
+        fits = F.when(F.col("_nb") * len(cols) <= MAX_BINS, F.col("_nb")).otherwise(
+            F.raise_error(F.lit(f"more than {MAX_BINS} bins: give nbins, or empty=False")).cast("long"))
+        grid = attach_row(names, rng).select("column", F.explode(F.sequence(F.lit(0).cast("long"), fits - 1)).alias("bin"), "_lo", "_w")
+        found = grid.withColumn("bin", F.col("bin").cast("int")).join(counts, ["column", "bin"], "left")
+    else:
+        found = attach_row(counts, rng)
+    return found.select(
         "column", "bin", (F.col("_lo") + F.col("bin") * F.col("_w")).alias("bin_lo"),
         (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("bin_hi"),
         F.coalesce(F.col("count"), F.lit(0)).alias("count"))
@@ -185,45 +205,48 @@ def trimmed_mean(df: DataFrame, cols: Sequence[str], proportion: float = 0.1,
 
 
 def bounding_box(df: DataFrame, xcols: Sequence[str], ycols: Sequence[str], pad: float = 0.1) -> DataFrame:
-    """min/max over all x and all y columns, each multiplied by (1 + pad)."""
-    lo = lambda cs: F.least(*[F.min(c) for c in cs]) if len(cs) > 1 else F.min(cs[0])
-    hi = lambda cs: F.greatest(*[F.max(c) for c in cs]) if len(cs) > 1 else F.max(cs[0])
-    row = df.agg(lo(xcols).alias("x_min"), hi(xcols).alias("x_max"),
-                 lo(ycols).alias("y_min"), hi(ycols).alias("y_max"))
-    return row.select(*[(F.col(c) * (1 + pad)).alias(c) for c in ("x_min", "x_max", "y_min", "y_max")])
+    """One range over all x and y columns together, each end times (1 + pad)."""
+    cols = [*xcols, *ycols]
+    lo = F.least(*[F.min(c) for c in cols]) if len(cols) > 1 else F.min(cols[0])
+    hi = F.greatest(*[F.max(c) for c in cols]) if len(cols) > 1 else F.max(cols[0])
+    return df.agg((lo * (1 + pad)).alias("box_min"), (hi * (1 + pad)).alias("box_max"))
 
 
 def near_constant_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Range, zero share, median, MAD (median |x - median|) and dominant-value
-    share (largest value count / n rows) per column.  Two passes for the MAD."""
+    share (largest value count / n rows) per column, all from one histogram
+    ``(column, value) -> count``.  A column (of a group) without a value stays, with
+    NULL statistics and zero shares."""
     by = list(by)
-    long = to_long(df, cols, by)
-    n_rows = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows")) if by else \
-        df.agg(F.count(F.lit(1)).alias("n_rows"))
-    base = long.groupBy(*by, "column").agg(
-        (F.max("value") - F.min("value")).alias("range"),
-        F.count_if(F.col("value") == 0).alias("_zeros"))
-    med = quantiles_long(long, [*by, "column"], [0.5]).select(*by, "column", F.col("quantile").alias("median"))
-    dev = long.join(med, [*by, "column"]).select(*by, "column",
-                                                  F.abs(F.col("value") - F.col("median")).alias("value"))
-    mad = quantiles_long(dev, [*by, "column"], [0.5]).select(*by, "column", F.col("quantile").alias("mad"))
-    dom = long.groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("_c")) \
-              .groupBy(*by, "column").agg(F.max("_c").alias("_top"))
-    out = base.join(med, [*by, "column"]).join(mad, [*by, "column"]).join(dom, [*by, "column"])
-    out = attach_row(out, n_rows) if not by else out.join(n_rows, by)
-    return out.select(*by, "column", "range", (F.col("_zeros") / F.col("n_rows")).alias("zero_share"),
-                      "median", "mad", (F.col("_top") / F.col("n_rows")).alias("dominant_share"))
+    keys = [*by, "column"]
+    r = save(histogram_ranks(to_long(df, cols, by).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cnt")), keys), "value-ranks")
+    base = r.groupBy(*keys).agg((F.max("value") - F.min("value")).alias("range"), F.max("cnt").alias("_top"),
+                                F.sum(F.when(F.col("value") == 0, F.col("cnt")).otherwise(0)).alias("_zeros"))
+    med = save(read_quantiles(r, keys, [0.5]).select(*keys, F.col("quantile").alias("median")), "medians")
+    dev = attach_group(r, med, keys).select(*keys, F.abs(F.col("value") - F.col("median")).alias("value"), "cnt") \
+        .groupBy(*keys, "value").agg(F.sum("cnt").alias("cnt"))
+    mad = read_quantiles(histogram_ranks(dev, keys), keys, [0.5]).select(*keys, F.col("quantile").alias("mad"))
+    found = attach_group(attach_group(base, med, keys), mad, keys)
+    n_rows = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"))
+    grid = n_rows.select(*by, "n_rows", F.explode(F.array(*[F.lit(c) for c in cols])).alias("column"))
+    f = found.select(*[F.col(c).alias("_f_" + c) for c in keys], "range", "_zeros", "median", "mad", "_top")
+    cond = F.lit(True)
+    for c in keys:
+        cond = cond & grid[c].eqNullSafe(f["_f_" + c])
+    out = grid.join(f, cond, "left")
+    return out.select(*by, "column", "range", (F.coalesce("_zeros", F.lit(0)) / F.col("n_rows")).alias("zero_share"),
+                      "median", "mad", (F.coalesce("_top", F.lit(0)) / F.col("n_rows")).alias("dominant_share"))
 
 
 def near_constant_filter(stats: DataFrame, tol: float = 0.95, mad_eps: float = 1e-12,
                          rcv_thresh: float = 1e-3, use_zero_proxy: bool = True,
                          exact_dominant: bool = False) -> DataFrame:
-    """FS4 decision per column from ``near_constant_stats``: constant, zero-dominant,
-    flat by MAD (absolute or relative to |median|), optionally dominant value."""
-    drop = (F.col("range") == 0)
+    """FS4 decision per column from ``near_constant_stats``: no value at all, constant,
+    zero-dominant, flat by MAD (absolute or relative to |median|), optionally dominant value."""
+    drop = F.col("range").isNull() | (F.col("range") == 0)
     if use_zero_proxy:
         drop = drop | (F.col("zero_share") >= tol)
     drop = drop | (F.col("mad") <= mad_eps) | (F.col("mad") / (F.abs("median") + 1e-12) <= rcv_thresh)
     if exact_dominant:
         drop = drop | (F.col("dominant_share") >= tol)
-    return stats.select("column", drop.alias("drop"))
+    return stats.select("column", F.coalesce(drop, F.lit(False)).alias("drop"))

@@ -9,11 +9,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import portable_hash
-from .ordering import number_rows
+from ..storage import save
+from .ordering import attach_group, number_rows
+from .quantile import quantiles_long, to_long
 from .select import chi2_sf
 
 
@@ -60,33 +62,36 @@ def evaluate_imputer(df: DataFrame, id_col: str, cols: Sequence[str], strategy:
                      sample_frac: float = 0.1, repeats: Sequence[int] = (0, 1, 2)) -> DataFrame:
     """D3: for every column and repeat, hide floor(frac * n_known) known values (the
     first in a seeded hash order), impute them from the remaining values with the
-    mean / median / mode, and score RMSE (numeric) or accuracy (``strategy='mode'``
-    on categorical columns).  Averaged over repeats; everything distributed."""
-    from .quantile import quantiles_long, to_long
-    outs = []
-    for seed in repeats:
-        long = to_long(df, cols, [id_col]).withColumn("_h", portable_hash(F.col(id_col), f"imp{seed}"))
-        long = number_rows(long, ["column"], ["_h", id_col], "_rn", total="_n")
-        long = long.withColumn("_masked", F.col("_rn") < F.floor(F.col("_n") * F.lit(float(sample_frac))))
-        known = long.where(~F.col("_masked"))
-        if strategy == "mean":
-            fill = known.groupBy("column").agg(F.avg("value").alias("_fill"))
-        elif strategy == "median":
-            fill = quantiles_long(known, ["column"], [0.5]).select("column", F.col("quantile").alias("_fill"))
-        elif strategy == "mode":
-            fill = known.groupBy("column").agg(F.mode("value", deterministic=True).alias("_fill"))
-        else:
-            raise ValueError(strategy)
-        masked = long.where("_masked").join(fill, "column")
-        err = (F.col("value") - F.col("_fill"))
-        score = (F.avg((F.col("value") == F.col("_fill")).cast("double")) if strategy == "mode"
-                 else F.sqrt(F.avg(err * err)))
-        outs.append(masked.groupBy("column").agg(score.alias("score"), F.count(F.lit(1)).alias("n_masked"))
-                    .withColumn("repeat", F.lit(seed)))
-    allr = outs[0]
-    for o in outs[1:]:
-        allr = allr.unionByName(o)
-    return allr.groupBy("column").agg(F.avg("score").alias("score"), F.avg("n_masked").alias("n_masked"))
+    mean / median / mode, and score RMSE, or accuracy for ``mode`` (columns of any
+    type, compared as text).  The repeats are a key of one numbering; scores are
+    averaged over repeats."""
+    if strategy not in ("mean", "median", "mode"):
+        raise ValueError(strategy)
+    if strategy == "mode":
+        long = df.select(id_col, *[F.col(c).cast("string").alias(c) for c in cols]).unpivot(
+            [id_col], list(cols), "column", "value").where("value IS NOT NULL")
+    else:
+        long = to_long(df, cols, [id_col])
+    seeds = F.explode(F.array(*[F.struct(F.lit(int(s)).alias("repeat"), portable_hash(F.col(id_col), f"imp{s}").alias("_h")) for s in repeats]))
+    long = long.select(id_col, "column", "value", seeds.alias("s")).select(id_col, "column", "value", "s.*")
+    keys = ["column", "repeat"]
+    long = number_rows(long, keys, ["_h", id_col], "_rn", total="_n")
+    long = save(long.withColumn("_masked", F.col("_rn") < F.floor(F.col("_n") * F.lit(float(sample_frac)))), "masked")
+    known = long.where(~F.col("_masked"))
+    if strategy == "mean":
+        fill = known.groupBy(*keys).agg(F.avg("value").alias("_fill"))
+    elif strategy == "median":
+        fill = quantiles_long(known, keys, [0.5]).select(*keys, F.col("quantile").alias("_fill"))
+    else:  # most frequent, ties to the smallest
+        counts = known.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("c"))
+        fill = counts.groupBy(*keys).agg(F.min_by("value", F.struct(-F.col("c"), F.col("value"))).alias("_fill"))
+    masked = attach_group(long.where("_masked"), fill, keys)
+    if strategy == "mode":
+        score = F.avg((F.col("value") == F.col("_fill")).cast("double"))
+    else:
+        score = F.sqrt(F.avg((F.col("value") - F.col("_fill")) * (F.col("value") - F.col("_fill"))))
+    per = masked.groupBy(*keys).agg(score.alias("score"), F.count(F.lit(1)).alias("n_masked"))
+    return per.groupBy("column").agg(F.avg("score").alias("score"), F.avg("n_masked").alias("n_masked"))
 
 
 def stage_sizes(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
@@ -97,9 +102,3 @@ def stage_sizes(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def observe_size(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """D8 as a side channel: row count collected while the plan runs (no extra job)."""
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("n_rows")), obs

@@ -5,8 +5,9 @@ aggregation buffer, so a continuous column over 100 TB ends in one task.  Here
 the exact answer is computed from a distributed rank table instead:
 
 1. ``(group, value) -> count`` with map-side combine (hot values collapse);
-2. that histogram is cut into order-preserving chunks per group; every chunk gets
-   local cumulative counts and an offset from a tiny per-chunk totals table;
+2. that histogram is dealt out by ranges of ``(group, value)`` and written once (so
+   the input is scanned once and skewed values spread evenly); every range gets local
+   cumulative counts and an offset from a small per-range totals table;
 3. a quantile at probability ``p`` is read from the one or two histogram rows
    that cover positions ``floor(p(n-1))`` and ``ceil(p(n-1))`` and linearly
    interpolated -- the rule of DuckDB ``quantile_cont`` and numpy ``linear``.
@@ -21,32 +22,35 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import assign_chunks, chunk_offsets
+from .ordering import chunk_offsets, ranged
 
 
 def to_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
             name: str = "column", value: str = "value") -> DataFrame:
-    """Unpivot ``cols`` to ``(by..., column, value)`` as DOUBLE, NULLs dropped."""
+    """Unpivot ``cols`` to ``(by..., column, value)`` as DOUBLE; NULL and NaN are dropped."""
     long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         list(by), list(cols), name, value)
-    return long.where(F.col(value).isNotNull())
+    return long.where(F.col(value).isNotNull() & ~F.isnan(value))
 
 
-def value_ranks(long: DataFrame, by: Sequence[str], value: str = "value",
-                chunk_rows: int = 100_000) -> DataFrame:
-    """Per distinct value: ``cnt``, ``cum_before`` (rows with smaller value) and ``n``."""
+def histogram_ranks(hist: DataFrame, by: Sequence[str], value: str = "value", cnt: str = "cnt") -> DataFrame:
+    """Ranks of a table ``(by..., value, cnt)`` of distinct values: adds ``cum_before``
+    (rows with a smaller value) and ``n``."""
     by = list(by)
-    hist = long.groupBy(*by, value).agg(F.count(F.lit(1)).alias("cnt"))
-    v = F.col(value)
-    # chunk on a log-compressed image so heavy-tailed columns still split evenly
-    chunked = assign_chunks(hist, by, F.signum(v) * F.log1p(F.abs(v)), chunk_rows)
+    dealt = ranged(hist.select(*by, value, F.col(cnt).alias("cnt")), [*by, value], "histogram")
     local = Window.partitionBy(*by, "_chunk").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    chunked = chunked.withColumn("_lcum", F.coalesce(F.sum("cnt").over(local), F.lit(0)))
-    out = chunk_offsets(chunked, by, "cnt")
+    dealt = dealt.withColumn("_lcum", F.coalesce(F.sum("cnt").over(local), F.lit(0)))
+    out = chunk_offsets(dealt, by, "cnt")
     return out.select(*by, value, "cnt", (F.col("_lcum") + F.col("_off")).alias("cum_before"),
                       F.col("_total").cast("long").alias("n"))
 
 
+def value_ranks(long: DataFrame, by: Sequence[str], value: str = "value") -> DataFrame:
+    """Per distinct value: ``cnt``, ``cum_before`` (rows with smaller value) and ``n``."""
+    by = list(by)
+    return histogram_ranks(long.groupBy(*by, value).agg(F.count(F.lit(1)).alias("cnt")), by, value)
+
+
 def _probs_literal(probs: Sequence[float]):
     return F.array(*[F.lit(float(p)) for p in probs])
 
@@ -54,8 +58,13 @@ def _probs_literal(probs: Sequence[float]):
 def quantiles_long(long: DataFrame, by: Sequence[str], probs: Sequence[float],
                    value: str = "value", prob_name: str = "prob", out: str = "quantile") -> DataFrame:
     """Exact linear-interpolated quantiles per group: ``(by..., prob, quantile)``."""
+    return read_quantiles(value_ranks(long, by, value), by, probs, value, prob_name, out)
+
+
+def read_quantiles(r: DataFrame, by: Sequence[str], probs: Sequence[float],
+                   value: str = "value", prob_name: str = "prob", out: str = "quantile") -> DataFrame:
+    """Quantiles from a rank table (see ``histogram_ranks``)."""
     by = list(by)
-    r = value_ranks(long, by, value)
     hits = F.filter(
         F.transform(_probs_literal(probs), lambda p: F.struct(
             p.alias("p"), (p * (F.col("n") - 1)).alias("pos"))),

@@ -12,6 +12,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .models import complete
+from .ordering import attach_group
 from .profile import attach_row
 from .quantile import quantile_wide
 
@@ -57,22 +59,32 @@ def min_max_scale(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def fold_standardize(df: DataFrame, cols: Sequence[str], fold: str = "fold") -> DataFrame:
     """T4: standardise the rows of fold f with mean/std (ddof 0) of the rows NOT in f
-    (the training part).  One pass: per-fold sums, totals minus own fold."""
-    aggs = [F.count(F.lit(1)).alias("_nf")]
+    (the training part).  One pass of per-fold counts, means and variances; the fold's
+    own part is taken out of the whole by the update formulas of mean and squared
+    deviations, so large offsets do not cancel.  The fold table is joined by key (a
+    NULL fold is a fold); Spark broadcasts it only when it is small."""
+    aggs = []
     for c in cols:
-        aggs += [F.count(c).alias(f"{c}__n"), F.sum(c).alias(f"{c}__s"), F.sum(F.col(c) * F.col(c)).alias(f"{c}__q")]
+        aggs += [F.count(c).alias(f"{c}__n"), F.avg(c).alias(f"{c}__m"), (F.var_pop(c) * F.count(c)).alias(f"{c}__q")]
     per = df.groupBy(fold).agg(*aggs)
     whole = Window.partitionBy()
-    out = [F.col(fold).alias("_f")]
+    out = [F.col(fold)]
+    for c in cols:
+        n, m, q = F.col(f"{c}__n"), F.coalesce(F.col(f"{c}__m"), F.lit(0.0)), F.coalesce(F.col(f"{c}__q"), F.lit(0.0))
+        n_all = F.sum(n).over(whole)
+        m_all = F.sum(m * F.try_divide(n, n_all)).over(whole)
+        out += [n.alias(f"{c}__n"), m.alias(f"{c}__m"), q.alias(f"{c}__q"), n_all.alias(f"{c}__an"), m_all.alias(f"{c}__am")]
+    t = per.select(*out)
+    t = t.withColumns({f"{c}__aq": F.sum(F.col(f"{c}__q") + F.col(f"{c}__n") * (F.col(f"{c}__m") - F.col(f"{c}__am")) * (F.col(f"{c}__m") - F.col(f"{c}__am"))).over(whole) for c in cols})
+    stats = [F.col(fold)]
     for c in cols:
-        n = F.sum(f"{c}__n").over(whole) - F.col(f"{c}__n")
-        s = F.sum(f"{c}__s").over(whole) - F.col(f"{c}__s")
-        q = F.sum(f"{c}__q").over(whole) - F.col(f"{c}__q")
-        mu = s / n
-        sd = F.sqrt(F.greatest(q / n - mu * mu, F.lit(0.0)))
-        out += [mu.alias(f"{c}__mu"), F.when(sd == 0, 1.0).otherwise(sd).alias(f"{c}__sd")]
-    stats = per.select(*out)
-    t = df.join(F.broadcast(stats), df[fold] == stats["_f"]).drop("_f")
+        n, m, q, n_all, m_all, q_all = (F.col(f"{c}__{k}") for k in ("n", "m", "q", "an", "am", "aq"))
+        left = n_all - n
+        mu = m_all + (m_all - m) * F.try_divide(n, left)
+        m2 = q_all - q - (m - mu) * (m - mu) * F.try_divide(n * left, n_all)
+        sd = F.sqrt(F.greatest(F.try_divide(m2, left), F.lit(0.0)))
+        stats += [mu.alias(f"{c}__mu"), F.when(sd == 0, 1.0).otherwise(sd).alias(f"{c}__sd")]
+    t = attach_group(df, t.select(*stats), [fold])
     return t.withColumns({c: (F.col(c) - F.col(f"{c}__mu")) / F.col(f"{c}__sd") for c in cols}).drop(
         *[f"{c}__{k}" for c in cols for k in ("mu", "sd")])
 
@@ -105,8 +117,8 @@ def rbf_features(df: DataFrame, cols: Sequence[str], centroids: Sequence[Sequenc
 def kmeans_centroids(df: DataFrame, cols: Sequence[str], k: int, seed: int = 42) -> np.ndarray:
     """T6 fit: MLlib k-means (distributed Lloyd iterations); centroids are k x d."""
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-    vec = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(df)
+    from .models import assemble, fit_rows
+    vec = assemble(fit_rows(df, cols)[0], cols, "_v")
     model = KMeans(k=k, seed=seed, featuresCol="_v").fit(vec)
     return np.array([list(c) for c in model.clusterCenters()])
 
@@ -138,31 +150,31 @@ def pca_components_for(ratio_df: DataFrame, target: float) -> int:
 
 
 def pca_project(df: DataFrame, cols: Sequence[str], k: int, keep: Sequence[str] = ()) -> DataFrame:
-    """T8 projection with MLlib PCA (distributed covariance, distributed transform)."""
-    from pyspark.ml.feature import PCA, VectorAssembler
+    """T8 projection with MLlib PCA, fitted on the complete rows; a row with a missing
+    value stays, with NULL components."""
+    from pyspark.ml.feature import PCA
     from pyspark.ml.functions import vector_to_array
-    vec = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(df)
-    model = PCA(k=k, inputCol="_v", outputCol="_p").fit(vec)
-    out = model.transform(vec).withColumn("_a", vector_to_array("_p"))
-    return out.select(*keep, *[F.col("_a")[i].alias(f"pc{i}") for i in range(k)])
+
+    from .models import assemble, fit_rows
+    model = PCA(k=k, inputCol="_v", outputCol="_p").fit(assemble(fit_rows(df, cols)[0], cols, "_v"))
+    t = df.select(*keep, complete(cols).alias("_ok"), *[F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(f"_x{i}") for i, c in enumerate(cols)])
+    out = model.transform(assemble(t, [f"_x{i}" for i in range(len(cols))], "_v")).withColumn("_a", vector_to_array("_p"))
+    return out.select(*keep, *[F.when(F.col("_ok"), F.col("_a")[i]).alias(f"pc{i}") for i in range(k)])
 
 
 def pls_weights(df: DataFrame, cols: Sequence[str], target: str, n_components: int = 2) -> dict:
-    """PLS1 (NIPALS on centred data) from XᵀX and Xᵀy gathered in one distributed
-    pass; the k deflation steps are p x p algebra on the driver."""
-    aggs = [F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m_{c}") for c in cols], F.avg(target).alias("m_y")]
-    for i, a in enumerate(cols):
-        aggs.append(F.avg(F.col(a) * F.col(target)).alias(f"xy_{i}"))
-        for j, b in enumerate(cols[i:], start=i):
-            aggs.append(F.avg(F.col(a) * F.col(b)).alias(f"xx_{i}_{j}"))
-    r = df.select(*cols, target).dropna().agg(*aggs).first().asDict()
+    """PLS1 (NIPALS) from the covariances of one distributed pass (running means, no
+    cancelling sums); the k deflation steps are p x p algebra on the driver."""
+    names = [*cols, target]
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+    r = df.select(*names).dropna().agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
+                                       *[F.covar_pop(names[i], names[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
     p = len(cols)
-    mu = np.array([r[f"m_{c}"] for c in cols])
-    sxx = np.zeros((p, p))
-    for i in range(p):
-        for j in range(i, p):
-            sxx[i, j] = sxx[j, i] = r[f"xx_{i}_{j}"] - mu[i] * mu[j]
-    sxy = np.array([r[f"xy_{i}"] - mu[i] * r["m_y"] for i in range(p)])
+    mu, y_mean = np.array([r[f"m{i}"] for i in range(p)]), r[f"m{p}"]
+    cov = np.zeros((p + 1, p + 1))
+    for i, j in pairs:
+        cov[i, j] = cov[j, i] = r[f"c{i}_{j}"]
+    sxx, sxy = cov[:p, :p].copy(), cov[:p, p].copy()
     W, P, Q = [], [], []
     for _ in range(n_components):
         w = sxy / (np.linalg.norm(sxy) or 1.0)
@@ -174,7 +186,7 @@ def pls_weights(df: DataFrame, cols: Sequence[str], target: str, n_components: i
         sxy = sxy - tt * q * pvec
     W, P = np.array(W).T, np.array(P).T
     rot = W @ np.linalg.pinv(P.T @ W)
-    return {"mean": mu, "rotation": rot, "y_loadings": np.array(Q), "y_mean": r["m_y"]}
+    return {"mean": mu, "rotation": rot, "y_loadings": np.array(Q), "y_mean": y_mean}
 
 
 def pls_scores(df: DataFrame, cols: Sequence[str], fit: dict, keep: Sequence[str] = ()) -> DataFrame:

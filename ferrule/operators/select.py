@@ -1,9 +1,8 @@
 """Correlation tables and feature selection (FS1-FS9, FS12, J4-J6, T10, T11).
 
-All pairwise statistics come from ONE aggregate over the rows (one
-``corr``/``covar_samp`` expression per column pair, generated from the schema),
-so the data is scanned once whatever the number of pairs; the pair table has
-p(p-1)/2 rows for p columns and never grows with the data.
+Correlation tables come from centred Gram matrices added up per task (one matrix
+product per batch, no row is copied); covariances from one aggregate.  The pair table
+has p(p-1)/2 rows for p columns and never grows with the data.
 """
 
 from __future__ import annotations
@@ -12,10 +11,12 @@ import itertools
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..functions.columns import nan_to_null
 from .quantile import quantiles_long, to_long
 
 
@@ -23,23 +24,51 @@ def _stack(row: DataFrame, structs) -> DataFrame:
     return row.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
 
+def _gram_rows(n_by: int, p: int, centre: list[float]):
+    """Arrow batches (by..., columns) to rows (by..., i, j, n, sx, sy, sxx, syy, sxy):
+    pairwise-complete sums of the values less ``centre``, one matrix product per batch
+    and group, added up over the whole task."""
+    def run(batches):
+        total: dict = {}
+        for b in batches:
+            x = np.stack([c.cast(pa.float64()).fill_null(float("nan")).to_numpy(zero_copy_only=False) for c in b.columns[n_by:]], axis=1) - centre
+            there = ~np.isnan(x)
+            x = np.where(there, x, 0.0)
+            keys = list(zip(*[c.to_pylist() for c in b.columns[:n_by]])) if n_by else [()] * b.num_rows
+            names = {k: i for i, k in enumerate(dict.fromkeys(keys))}
+            code = np.fromiter((names[k] for k in keys), np.int64, len(keys))
+            for k, i in names.items():
+                v, m = x[code == i], there[code == i].astype(float)
+                got = np.stack([m.T @ m, v.T @ m, m.T @ v, (v * v).T @ m, m.T @ (v * v), v.T @ v])
+                total[k] = total[k] + got if k in total else got
+        for k, g in total.items():
+            i, j = np.triu_indices(p, 1)
+            cols = [pa.array([key] * len(i)) for key in k] + [pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32))] + [pa.array(g[q][i, j]) for q in range(6)]
+            yield pa.RecordBatch.from_arrays(cols, names=[*[f"_b{q}" for q in range(len(k))], "i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    return run
+
+
 def corr_pairs(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Upper-triangle Pearson correlation table ``(by..., i, j, a, b, corr, abs_corr)``
-    (pairwise-complete rows, like pandas ``corr``).  J6 + FS12 (with ``by``).
-
-    Long form: every row is expanded into its p(p-1)/2 column pairs and ONE ``corr``
-    aggregate runs keyed by the pair (map-side combined, so each task ships one
-    buffer per pair).  A single aggregate with one ``corr`` per pair grows past the
-    whole-stage-codegen limits at a few dozen pairs and is ~4x slower."""
-    pairs = list(itertools.combinations(range(len(cols)), 2))
+    (pairwise-complete rows, like pandas ``corr``; NaN is missing).  J6 + FS12 (with
+    ``by``).  No row is copied: a first aggregate gives the column means, then every
+    task adds up one p x p Gram matrix of the centred values per group and ships one
+    row per pair."""
+    by, p = list(by), len(cols)
     names = [c.strip("`") for c in cols]
-    expanded = df.select(*by, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(cols[i]).cast("double").alias("_x"),
-                 F.col(cols[j]).cast("double").alias("_y")) for i, j in pairs])).alias("_p")).select(*by, "_p.*")
-    agg = expanded.groupBy(*by, "i", "j").agg(F.corr("_x", "_y").alias("corr"))
+    src = df.select(*[F.col(b) for b in by], *[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(cols)])
+    row = nan_to_null(src, [f"_c{i}" for i in range(p)]).agg(*[F.avg(f"_c{i}").alias(f"_c{i}") for i in range(p)]).first()
+    centre = [float(row[f"_c{i}"] or 0.0) for i in range(p)]
+    fields = ", ".join([*[f"_b{q} {src.schema[b].dataType.simpleString()}" for q, b in enumerate(by)], "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"])
+    sums = src.mapInArrow(_gram_rows(len(by), p, centre), fields)
+    g = sums.groupBy(*[f"_b{q}" for q in range(len(by))], "i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    cov = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
+    vx, vy = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n"), F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+    corr = F.when((F.col("n") > 0) & (vx > 0) & (vy > 0), cov / F.sqrt(vx) / F.sqrt(vy))
     lookup = F.array(*[F.lit(n) for n in names])
-    return agg.select(*by, "i", "j", lookup[F.col("i")].alias("a"), lookup[F.col("j")].alias("b"), "corr",
-                      F.abs("corr").alias("abs_corr"))
+    return g.select(*[F.col(f"_b{q}").alias(b) for q, b in enumerate(by)], "i", "j", lookup[F.col("i")].alias("a"), lookup[F.col("j")].alias("b"), corr.alias("corr"),
+                    F.abs(corr).alias("abs_corr"))
 
 
 def corr_with_target(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
@@ -265,5 +294,3 @@ def chi2_sf(x: float, dof: int) -> float:
             break
     return math.exp(-z + a * math.log(z) - math.lgamma(a)) * h
 
-
-T_DOUBLE = T.DoubleType()

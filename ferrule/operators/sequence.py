@@ -21,10 +21,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import block_window, number_rows, own_rows, with_lookback
+from .ordering import attach_group, block_window, number_rows, own_rows, with_lookback
 from .quantile import quantiles_long
 
 
@@ -115,7 +115,11 @@ def sign_flips_1d(df: DataFrame, by: Sequence[str], frame: str = "frame", x: str
     flips = t.groupBy(*by).agg(F.count_if(F.col("_prev").isNotNull() & (F.col("_prev") != F.col("sg")))
                                .alias("sign_flips"))
     keys = df.select(*by).distinct()
-    return keys.join(flips, by, "left").select(*by, F.coalesce("sign_flips", F.lit(0)).alias("sign_flips"))
+    f = flips.select(*[F.col(b).alias("_f_" + b) for b in by], "sign_flips")
+    same = F.lit(True)
+    for b in by:
+        same = same & keys[b].eqNullSafe(f["_f_" + b])
+    return keys.join(f, same, "left").select(*by, F.coalesce("sign_flips", F.lit(0)).alias("sign_flips"))
 
 
 def step_table(df: DataFrame, by: Sequence[str], frame: str = "frame", x: str = "x",
@@ -129,8 +133,9 @@ def step_table(df: DataFrame, by: Sequence[str], frame: str = "frame", x: str =
 
 def frame_position(df: DataFrame, by: Sequence[str], frame: str = "frame") -> DataFrame:
     """T / max(t) per sequence, 0 when the sequence has one frame."""
-    mx = F.max(frame).over(Window.partitionBy(*by))
-    return df.withColumn("t_norm", F.coalesce(F.try_divide(F.col(frame), mx), F.lit(0.0)))
+    last = df.groupBy(*by).agg(F.max(frame).alias("_last"))
+    return attach_group(df, last, list(by)).withColumn(
+        "t_norm", F.coalesce(F.try_divide(F.col(frame), F.col("_last")), F.lit(0.0))).drop("_last")
 
 
 def per_frame_totals(df: DataFrame, by: Sequence[str], frame: str = "frame",

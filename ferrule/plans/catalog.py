@@ -132,7 +132,7 @@ def q_seq_patient_exercise_matrix(spark, d):
 
 
 FLAGSHIP_SQL = f"""WITH {S.STEPS_CTE},
-feat AS (SELECT patient_id, exercise_id, round(coalesce(avg(step) FILTER (WHERE has_prev), 0), 6) AS speed_mean
+feat AS (SELECT patient_id, exercise_id, coalesce(avg(step) FILTER (WHERE has_prev), 0) AS speed_mean
          FROM steps GROUP BY ALL),
 thr AS (SELECT quantile_cont(speed_mean, 0.5) AS m FROM feat),
 pred AS (SELECT patient_id, CAST(speed_mean > m AS INTEGER) AS pred FROM feat, thr),
@@ -151,20 +151,19 @@ FROM g JOIN vote v USING (patient_id) JOIN nrec USING (patient_id)"""
 @register("flagship_group_vote", FLAGSHIP_SQL)
 def q_flagship_group_vote(spark, d):
     from ..operators import folds, quantile
-    frames = tables.sequence_frame(spark, d)
-    feats = seq.motion_features(frames, KEYS).select(
-        "patient_id", "exercise_id", F.round("speed_mean", 6).alias("speed_mean"))
+    from ..operators.profile import attach_row
+    from ..storage import save
+    # The features are needed for the median and for the votes: computed once.
+    feats = save(seq.motion_features(tables.sequence_frame(spark, d), KEYS).select("patient_id", "exercise_id", "speed_mean"), "flagship")
     med = quantile.quantiles_long(feats.select(F.col("speed_mean").alias("value")), [], [0.5])
-    scored = feats.withColumn("_k", F.lit(1)).join(
-        med.select(F.lit(1).alias("_k"), F.col("quantile").alias("_m")), "_k")
-    preds = scored.select("patient_id", (F.col("speed_mean") > F.col("_m")).cast("int").alias("pred"))
-    votes = folds.majority_label(preds, "patient_id", "pred", "vote")
-    nrec = feats.groupBy("patient_id").agg(F.count(F.lit(1)).alias("n_recordings"))
-    labels = tables.group_labels(spark, d)
-    fold = folds.strict_group_folds(labels, "patient_id", "label", k=5)
-    return (fold.join(votes, "patient_id").join(nrec, "patient_id")
-                .select("patient_id", "label", "fold", "vote", "n_recordings",
-                        (F.col("vote") == F.col("label")).alias("correct")))
+    preds = attach_row(feats, med.select(F.col("quantile").alias("_m"))).select(
+        "patient_id", (F.col("speed_mean") > F.col("_m")).cast("int").alias("pred"))
+    counts = preds.groupBy("patient_id", "pred").agg(F.count(F.lit(1)).alias("c"))
+    votes = counts.groupBy("patient_id").agg(F.min_by("pred", F.struct(-F.col("c"), F.col("pred"))).alias("vote"),
+                                             F.sum("c").alias("n_recordings"))
+    fold = folds.strict_group_folds(tables.group_labels(spark, d), "patient_id", "label", k=5)
+    return fold.join(votes, "patient_id").select("patient_id", "label", "fold", "vote", "n_recordings",
+                                                 (F.col("vote") == F.col("label")).alias("correct"))
 
 
 # --------------------------------------------------------------------------- folds
@@ -389,7 +388,7 @@ def q_prof_missing_patterns(spark, d):
     return profile.missing_patterns(tables.missing_frame(spark, d), MISS_COLS)
 
 
-HIST_COLS = ["l_quantity", "l_discount", "l_tax"]
+HIST_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @register("prof_shared_histogram", f"""WITH long AS (
@@ -424,14 +423,11 @@ def q_prof_trimmed_mean(spark, d):
     return round_all(profile.trimmed_mean(_li(spark, d), LI_COLS, 0.1))
 
 
-@register("prof_bounding_box", f"""WITH {S.SEQ_CTE}
-SELECT round(min(x) * 1.1, 6) AS x_min, round(max(x) * 1.1, 6) AS x_max,
-       round(min(y) * 1.1, 6) AS y_min, round(max(y) * 1.1, 6) AS y_max FROM seq""")
+@register("prof_bounding_box", f"""WITH {S.JSEQ_CTE}
+SELECT round(least(min(x), min(y)) * 1.1, 6) AS box_min, round(greatest(max(x), max(y)) * 1.1, 6) AS box_max FROM jseq""")
 def q_prof_bounding_box(spark, d):
     from ..operators import profile
-    ev = tables.read_table(spark, d, "events").select(
-        F.col("value").alias("x"), F.regexp_extract("props", tables.PROPS_NUMBER, 1).cast("double").alias("y"))
-    return round_all(profile.bounding_box(ev, ["x"], ["y"], 0.1))
+    return round_all(profile.bounding_box(tables.joint_sequence_frame(spark, d), ["x"], ["y"], 0.1))
 
 
 NC_COLS = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
@@ -458,13 +454,14 @@ def q_prof_near_constant(spark, d):
 SEL_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-def _pairs_sql(cols, src="lineitem", by=None):
+def _pairs_sql(cols, src="lineitem", by=None, digits=6):
     import itertools
     parts = []
+    rnd = (lambda e: f"round({e}, {digits})") if digits else (lambda e: e)
     for i, j in itertools.combinations(range(len(cols)), 2):
         g = f"{by}, " if by else ""
         parts.append(f"SELECT {g}{i} AS i, {j} AS j, '{cols[i]}' AS a, '{cols[j]}' AS b, "
-                     f'round(corr("{cols[i]}", "{cols[j]}"), 6) AS corr, round(abs(corr("{cols[i]}", "{cols[j]}")), 6) AS abs_corr '
+                     f"""{rnd(f'corr("{cols[i]}", "{cols[j]}")')} AS corr, {rnd(f'abs(corr("{cols[i]}", "{cols[j]}"))')} AS abs_corr """
                      f"FROM {src}" + (f" GROUP BY {by}" if by else ""))
     return "\nUNION ALL\n".join(parts)
 
@@ -490,20 +487,19 @@ def _poly_sql(degree=2):
 
 
 @register("sel_drop_correlated", f"""WITH p AS (SELECT {_poly_sql()}, l_extendedprice FROM lineitem),
-pairs AS ({_pairs_sql([n for n, _ in __import__('ferrule.operators.select', fromlist=['x']).polynomial_terms(POLY_COLS, 2)], 'p').replace("corr(", "corr(").replace("'", "'")})
+pairs AS ({_pairs_sql([n for n, _ in __import__('ferrule.operators.select', fromlist=['x']).polynomial_terms(POLY_COLS, 2)], 'p', digits=None)})
 SELECT DISTINCT b AS "column", j AS position FROM pairs WHERE abs_corr > 0.9""")
 def q_sel_drop_correlated(spark, d):
     from ..operators import select
     poly = select.polynomial_features(_li(spark, d), POLY_COLS, 2)
     names = [n for n, _ in select.polynomial_terms(POLY_COLS, 2)]
-    return select.drop_highly_correlated(round_all(select.corr_pairs(poly, [f"`{n}`" for n in names])
-                                                   .withColumn("a", F.regexp_replace("a", "`", ""))
-                                                   .withColumn("b", F.regexp_replace("b", "`", ""))), 0.9)
+    return select.drop_highly_correlated(select.corr_pairs(poly, [f"`{n}`" for n in names]), 0.9)
 
 
-def _target_corr_sql(cols, target, src):
-    return "\nUNION ALL\n".join(f"SELECT '{c}' AS column, round(corr({c}, {target}), 6) AS corr, "
-                                f"round(abs(corr({c}, {target})), 6) AS abs_corr FROM {src}" for c in cols)
+def _target_corr_sql(cols, target, src, digits=6):
+    rnd = (lambda e: f"round({e}, {digits})") if digits else (lambda e: e)
+    return "\nUNION ALL\n".join(f"SELECT '{c}' AS column, {rnd(f'corr({c}, {target})')} AS corr, "
+                                f"{rnd(f'abs(corr({c}, {target}))')} AS abs_corr FROM {src}" for c in cols)
 
 
 @register("sel_target_corr", _target_corr_sql(["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "lineitem"))
@@ -512,48 +508,48 @@ def q_sel_target_corr(spark, d):
     return round_all(select.corr_with_target(_li(spark, d), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice"))
 
 
-@register("sel_keep_target_correlated", f"""WITH t AS ({_target_corr_sql(["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "lineitem")})
-SELECT "column" FROM t WHERE abs_corr > 0.05""")
+@register("sel_keep_target_correlated", f"""WITH t AS ({_target_corr_sql(["l_quantity", "l_discount", "l_tax"], "l_extendedprice * (1 + l_tax)", "lineitem", None)})
+SELECT "column" FROM t WHERE abs_corr > 0.01""")
 def q_sel_keep_target_correlated(spark, d):
     from ..operators import select
-    tc = round_all(select.corr_with_target(_li(spark, d), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice"))
-    return select.keep_target_correlated(tc, 0.05)
+    li = _li(spark, d).withColumn("charge", F.col("l_extendedprice") * (1 + F.col("l_tax")))
+    return select.keep_target_correlated(select.corr_with_target(li, ["l_quantity", "l_discount", "l_tax"], "charge"), 0.01)
 
 
-@register("sel_target_threshold_counts", f"""WITH t AS ({_target_corr_sql(["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "lineitem")})
+@register("sel_target_threshold_counts", f"""WITH t AS ({_target_corr_sql(["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "lineitem", None)})
 """ + "\nUNION ALL\n".join(f"SELECT CAST({t} AS DOUBLE) AS threshold, count(*) FILTER (WHERE abs_corr < {t}) AS n_features FROM t"
                            for t in [0.01, 0.05, 0.1, 1.0]))
 def q_sel_target_threshold_counts(spark, d):
     from ..operators import select
-    tc = round_all(select.corr_with_target(_li(spark, d), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice"))
+    tc = select.corr_with_target(_li(spark, d), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
     return select.target_threshold_counts(tc)
 
 
-@register("sel_pair_threshold_counts", f"""WITH t AS ({_pairs_sql(SEL_COLS)})
+@register("sel_pair_threshold_counts", f"""WITH t AS ({_pairs_sql(SEL_COLS, digits=None)})
 """ + "\nUNION ALL\n".join(f"SELECT CAST({t} AS DOUBLE) AS threshold, count(*) FILTER (WHERE abs_corr > {t}) AS n_pairs FROM t"
                            for t in [0.99, 0.95, 0.9, 0.5, 0.0]))
 def q_sel_pair_threshold_counts(spark, d):
     from ..operators import select
-    return select.pair_threshold_counts(round_all(select.corr_pairs(_li(spark, d), SEL_COLS)))
+    return select.pair_threshold_counts(select.corr_pairs(_li(spark, d), SEL_COLS))
 
 
-@register("sel_weak_pairs", f"""WITH t AS ({_pairs_sql(SEL_COLS)}) SELECT a, b, abs_corr FROM t WHERE abs_corr < 0.5""")
+@register("sel_weak_pairs", f"""WITH t AS ({_pairs_sql(SEL_COLS, digits=None)}) SELECT a, b, round(abs_corr, 6) AS abs_corr FROM t WHERE abs_corr < 0.5""")
 def q_sel_weak_pairs(spark, d):
     from ..operators import select
-    return select.weak_pairs(round_all(select.corr_pairs(_li(spark, d), SEL_COLS)), 0.5)
+    return round_all(select.weak_pairs(select.corr_pairs(_li(spark, d), SEL_COLS), 0.5))
 
 
 def _poly3_target_sql():
     from ..operators.select import polynomial_terms
     terms = polynomial_terms(POLY_COLS, 3)
     body = ", ".join(f'{" * ".join(c)} AS "{n}"' for n, c in terms)
-    corr = "\nUNION ALL\n".join(f"""SELECT '{n}' AS name, round(abs(corr("{n}", l_extendedprice)), 6) AS score FROM p"""
+    corr = "\nUNION ALL\n".join(f"""SELECT '{n}' AS name, abs(corr("{n}", l_extendedprice)) AS score FROM p"""
                                 for n, _ in terms)
     return f"WITH p AS (SELECT {body}, l_extendedprice FROM lineitem), items AS ({corr})"
 
 
 @register("sel_dominant_sets", _poly3_target_sql() + """
-SELECT i.name, i.score FROM items i WHERE NOT EXISTS (
+SELECT i.name, round(i.score, 6) AS score FROM items i WHERE NOT EXISTS (
   SELECT 1 FROM items j WHERE j.name <> i.name AND j.score > i.score
     AND list_has_all(string_split(i.name, ' '), string_split(j.name, ' ')))""")
 def q_sel_dominant_sets(spark, d):
@@ -561,8 +557,8 @@ def q_sel_dominant_sets(spark, d):
     terms = select.polynomial_terms(POLY_COLS, 3)
     poly = select.polynomial_features(_li(spark, d), POLY_COLS, 3, keep=["l_extendedprice"])
     tc = select.corr_with_target(poly, [f"`{n}`" for n, _ in terms], "l_extendedprice")
-    items = round_all(tc.select(F.regexp_replace("column", "`", "").alias("name"), F.col("abs_corr").alias("score")))
-    return select.dominant_sets(items, "name", "score")
+    items = tc.select(F.regexp_replace("column", "`", "").alias("name"), F.col("abs_corr").alias("score"))
+    return round_all(select.dominant_sets(items, "name", "score"))
 
 
 @register("sel_covariance", "\nUNION ALL\n".join(
@@ -667,20 +663,23 @@ def q_scale_polynomial(spark, d):
 
 # --------------------------------------------------------------------------- metrics
 
-REG_SCORE_SQL = """SELECT {keys}, count(*) AS n, round(avg((y_pred - y_true) ^ 2), 4) AS mse,
-  round(sqrt(avg((y_pred - y_true) ^ 2)), 6) AS rmse,
-  round(avg(abs(y_pred - y_true) / greatest(abs(y_true), 2.220446049250313e-16)), 6) AS mape,
-  round(1 - sum((y_pred - y_true) ^ 2) / (sum(y_true * y_true) - sum(y_true) * sum(y_true) / count(*)), 6) AS r2,
-  round(avg(2 * abs(y_pred - y_true) / (abs(y_true) + abs(y_pred))) * 100, 6) AS smape,
-  round(sum(y_pred - y_true) / sum(abs(y_true) + abs(y_pred)), 6) AS signed_smape
-FROM preds GROUP BY ALL"""
+def reg_score_sql(keys: str, digits: bool = True) -> str:
+    """Scores per group from rows and the group's mean (two passes, written apart from
+    the running variance that the operator uses)."""
+    rnd = (lambda e, n: f"round({e}, {n})") if digits else (lambda e, n: e)
+    return f"""SELECT {keys}, count(*) AS n, {rnd("avg(e * e)", 1)} AS mse, {rnd("sqrt(avg(e * e))", 6)} AS rmse,
+  {rnd("avg(abs(e) / greatest(abs(y_true), 2.220446049250313e-16))", 6)} AS mape,
+  {rnd("1 - sum(e * e) / nullif(sum((y_true - y_mean) * (y_true - y_mean)), 0)", 6)} AS r2,
+  {rnd("avg(coalesce(2 * abs(e) / nullif(abs(y_true) + abs(y_pred), 0), 0)) * 100", 6)} AS smape,
+  {rnd("sum(e) / nullif(sum(abs(y_true) + abs(y_pred)), 0)", 6)} AS signed_smape
+FROM (SELECT *, y_pred - y_true AS e, avg(y_true) OVER (PARTITION BY {keys}) AS y_mean FROM preds) GROUP BY {keys}"""
 
 
 def _reg_scores_rounded(df):
-    return round_all(round_all(df, 6), 4, ["mse"])
+    return round_all(round_all(df, 6), 1, ["mse"])
 
 
-@register("metric_regression_scores", f"WITH {S.REG_PRED_CTE} " + REG_SCORE_SQL.format(keys="model, fold, set"))
+@register("metric_regression_scores", f"WITH {S.REG_PRED_CTE} " + reg_score_sql("model, fold, set"))
 def q_metric_regression_scores(spark, d):
     from ..operators import metrics
     return _reg_scores_rounded(metrics.regression_scores(tables.regression_predictions(spark, d),
@@ -696,35 +695,71 @@ def q_metric_winsorized_mape(spark, d):
     return round_all(metrics.winsorized_mape(tables.regression_predictions(spark, d), ["model", "set"]))
 
 
-@register("metric_confusion", f"""WITH {S.CLS_PRED_CTE},
-lab AS (SELECT DISTINCT l FROM (SELECT y_true AS l FROM preds UNION ALL SELECT y_pred FROM preds)),
-grid AS (SELECT g.model, t.l AS "true", p.l AS pred FROM (SELECT DISTINCT model FROM preds) g, lab t, lab p),
-c AS (SELECT model, y_true AS "true", y_pred AS pred, count(*) AS n FROM preds GROUP BY ALL)
-SELECT grid.model, grid."true", grid.pred, coalesce(c.n, 0) AS n FROM grid LEFT JOIN c USING (model, "true", pred)""")
+# Folds by id; a third, rare class is missing in some of them.
+THREE_CLASS_CTE = """preds AS (
+  SELECT CAST(doc_id % 11 AS INTEGER) AS fold, doc_id AS row_id,
+         CAST(CASE WHEN doc_id % 97 = 3 THEN 2 ELSE quality END AS INTEGER) AS y_true,
+         CAST(CASE WHEN doc_id % 89 = 5 THEN 2 ELSE toxic END AS INTEGER) AS y_pred,
+         CAST(1 + doc_id % 3 AS DOUBLE) AS w FROM labels)"""
+
+
+def _three_class(spark, d):
+    i = F.col("doc_id")
+    return tables.read_table(spark, d, "labels").select(
+        (i % 11).cast("int").alias("fold"), i.alias("row_id"), F.when(i % 97 == 3, 2).otherwise(F.col("quality")).cast("int").alias("y_true"),
+        F.when(i % 89 == 5, 2).otherwise(F.col("toxic")).cast("int").alias("y_pred"), (1 + i % 3).cast("double").alias("w"))
+
+
+@register("metric_confusion", f"""WITH {THREE_CLASS_CTE},
+lab AS (SELECT fold, y_true AS l FROM preds UNION SELECT fold, y_pred FROM preds),
+c AS (SELECT fold, y_true, y_pred, count(*) AS n FROM preds GROUP BY ALL)
+SELECT t.fold, t.l AS "true", p.l AS pred, coalesce(c.n, 0) AS n FROM lab t JOIN lab p USING (fold)
+LEFT JOIN c ON c.fold = t.fold AND c.y_true = t.l AND c.y_pred = p.l""")
 def q_metric_confusion(spark, d):
     from ..operators import metrics
-    return metrics.confusion(tables.classification_predictions(spark, d), ["model"])
-
-
-CLS_REPORT_SQL = f"""WITH {S.CLS_PRED_CTE},
-lab AS (SELECT DISTINCT l FROM (SELECT y_true AS l FROM preds UNION ALL SELECT y_pred FROM preds)),
-g AS (SELECT DISTINCT model, fold FROM preds),
-pc AS (SELECT g.model, g.fold, lab.l AS label,
-         count(p.y_true) FILTER (WHERE p.y_true = lab.l AND p.y_pred = lab.l) AS tp,
-         count(p.y_true) FILTER (WHERE p.y_true = lab.l) AS support,
-         count(p.y_true) FILTER (WHERE p.y_pred = lab.l) AS predicted
-       FROM g CROSS JOIN lab LEFT JOIN preds p ON p.model = g.model AND p.fold = g.fold GROUP BY ALL),
-m AS (SELECT *, coalesce(tp / nullif(predicted, 0), 0) AS precision, coalesce(tp / nullif(support, 0), 0) AS recall FROM pc),
-f AS (SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) AS f1 FROM m),
-acc AS (SELECT model, fold, avg(CAST(y_true = y_pred AS DOUBLE)) AS acc, count(*) AS s FROM preds GROUP BY ALL),
+    return metrics.confusion(_three_class(spark, d), ["fold"])
+
+
+def report_sql(cte: str, keys: str, weight: str = "1") -> str:
+    """Per label that occurs in the group itself, from the rows."""
+    same = " AND ".join(f"p.{k.strip()} = lab.{k.strip()}" for k in keys.split(","))
+    lab_keys = ", ".join(f"lab.{k.strip()}" for k in keys.split(","))
+    return f"""WITH {cte},
+lab AS (SELECT {keys}, y_true AS label FROM preds UNION SELECT {keys}, y_pred FROM preds),
+pc AS (SELECT {lab_keys}, lab.label,
+         sum({weight}) FILTER (WHERE p.y_true = lab.label AND p.y_pred = lab.label) AS tp0,
+         sum({weight}) FILTER (WHERE p.y_true = lab.label) AS support0, sum({weight}) FILTER (WHERE p.y_pred = lab.label) AS predicted0
+       FROM lab JOIN preds p ON {same} GROUP BY ALL),
+m AS (SELECT *, coalesce(support0, 0) AS support, coalesce(tp0 / nullif(predicted0, 0), 0) AS precision, coalesce(tp0 / nullif(support0, 0), 0) AS recall FROM pc),
+f AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1 FROM m),
+acc AS (SELECT {keys}, sum(CASE WHEN y_true = y_pred THEN {weight} ELSE 0 END) / sum({weight}) AS acc, sum({weight}) AS s FROM preds GROUP BY ALL),
 rep AS (
-  SELECT model, fold, CAST(label AS VARCHAR) AS row, precision, recall, f1, CAST(support AS DOUBLE) AS support FROM f
-  UNION ALL SELECT model, fold, 'accuracy', acc, acc, acc, CAST(s AS DOUBLE) FROM acc
-  UNION ALL SELECT model, fold, 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS DOUBLE) FROM f GROUP BY ALL
-  UNION ALL SELECT model, fold, 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+  SELECT {keys}, CAST(label AS VARCHAR) AS row, precision, recall, f1, CAST(support AS DOUBLE) AS support FROM f
+  UNION ALL SELECT {keys}, 'accuracy', acc, acc, acc, CAST(s AS DOUBLE) FROM acc
+  UNION ALL SELECT {keys}, 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS DOUBLE) FROM f GROUP BY ALL
+  UNION ALL SELECT {keys}, 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
                    sum(f1 * support) / sum(support), CAST(sum(support) AS DOUBLE) FROM f GROUP BY ALL)"""
 
 
+CLS_REPORT_SQL = report_sql(S.CLS_PRED_CTE, "model, fold")
+
+
+@register("metric_report_rare_class", report_sql(THREE_CLASS_CTE, "fold", "w") + """
+SELECT fold, row, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM rep""")
+def q_metric_report_rare_class(spark, d):
+    from ..operators import metrics
+    return round_all(metrics.classification_report(_three_class(spark, d), ["fold"], weight="w"))
+
+
+@register("metric_scores_rare_class", report_sql(THREE_CLASS_CTE, "fold") + """
+SELECT fold, round(acc.acc, 6) AS accuracy, round(avg(precision), 6) AS macro_precision, round(avg(recall), 6) AS macro_recall,
+  round(avg(f1), 6) AS macro_f1, round(avg(recall) FILTER (WHERE support > 0), 6) AS balanced_accuracy, round(1 - avg(f1), 6) AS f1_loss
+FROM f JOIN acc USING (fold) GROUP BY fold, acc.acc""")
+def q_metric_scores_rare_class(spark, d):
+    from ..operators import metrics
+    return round_all(metrics.classification_scores(_three_class(spark, d), ["fold"]))
+
+
 @register("metric_classification_report", CLS_REPORT_SQL + """
 SELECT model, fold, row, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM rep""")
 def q_metric_classification_report(spark, d):
@@ -733,14 +768,9 @@ def q_metric_classification_report(spark, d):
 
 
 @register("metric_classification_scores", CLS_REPORT_SQL + """
-SELECT model, fold,
-  round(max(precision) FILTER (WHERE row = 'accuracy'), 6) AS accuracy,
-  round(max(precision) FILTER (WHERE row = 'macro avg'), 6) AS macro_precision,
-  round(max(recall) FILTER (WHERE row = 'macro avg'), 6) AS macro_recall,
-  round(max(f1) FILTER (WHERE row = 'macro avg'), 6) AS macro_f1,
-  round(max(recall) FILTER (WHERE row = 'macro avg'), 6) AS balanced_accuracy,
-  round(1 - max(f1) FILTER (WHERE row = 'macro avg'), 6) AS f1_loss
-FROM rep GROUP BY ALL""")
+SELECT model, fold, round(acc.acc, 6) AS accuracy, round(avg(precision), 6) AS macro_precision, round(avg(recall), 6) AS macro_recall,
+  round(avg(f1), 6) AS macro_f1, round(avg(recall) FILTER (WHERE support > 0), 6) AS balanced_accuracy, round(1 - avg(f1), 6) AS f1_loss
+FROM f JOIN acc USING (model, fold) GROUP BY model, fold, acc.acc""")
 def q_metric_classification_scores(spark, d):
     from ..operators import metrics
     return round_all(metrics.classification_scores(tables.classification_predictions(spark, d), ["model", "fold"]))
@@ -769,27 +799,26 @@ def q_metric_roc_auc(spark, d):
     return round_all(metrics.roc_auc(li))
 
 
-@register("metric_fold_summary", f"WITH {S.REG_PRED_CTE}, sc AS (" + REG_SCORE_SQL.format(keys="model, fold, set") + """)
+@register("metric_fold_summary", f"WITH {S.REG_PRED_CTE}, sc AS (" + reg_score_sql("model, fold, set", False) + """)
 SELECT model, set, round(avg(r2), 6) AS mean, round(stddev_pop(r2), 6) AS std, round(max(r2), 6) AS max,
        round(min(r2), 6) AS min, count(DISTINCT fold) AS n_folds FROM sc GROUP BY ALL""")
 def q_metric_fold_summary(spark, d):
     from ..operators import metrics
-    sc = _reg_scores_rounded(metrics.regression_scores(tables.regression_predictions(spark, d), ["model", "fold", "set"]))
+    sc = metrics.regression_scores(tables.regression_predictions(spark, d), ["model", "fold", "set"])
     return round_all(metrics.fold_summary(sc, ["model", "set"], "r2"))
 
 
-@register("metric_group_scores", f"""WITH {S.CLS_PRED_CTE},
-acc AS (SELECT fold, avg(CAST(y_true = y_pred AS DOUBLE)) AS a FROM preds WHERE model = 'rater' GROUP BY ALL)
-SELECT DISTINCT p.fold, p.row_id % 14 AS grp, round(acc.a, 6) AS fold_accuracy
-FROM preds p JOIN acc USING (fold) WHERE p.model = 'rater'""")
+@register("metric_group_scores", f"""WITH {S.CLS_PRED_CTE}, k AS (SELECT *, model || '/' || fold AS mf FROM preds),
+acc AS (SELECT mf, avg(CAST(y_true = y_pred AS DOUBLE)) AS a FROM k GROUP BY ALL)
+SELECT DISTINCT k.mf, k.row_id % 14 AS grp, round(acc.a, 6) AS fold_accuracy FROM k JOIN acc USING (mf)""")
 def q_metric_group_scores(spark, d):
     from ..operators import metrics
-    p = tables.classification_predictions(spark, d).where(F.col("model") == "rater") \
-        .withColumn("grp", F.col("row_id") % 14)
-    return round_all(metrics.group_scores(p, "fold", "grp"))
+    p = tables.classification_predictions(spark, d).withColumn("grp", F.col("row_id") % 14) \
+        .withColumn("mf", F.concat_ws("/", "model", "fold"))
+    return round_all(metrics.group_scores(p, "mf", "grp"))
 
 
-@register("metric_overfit_table", f"WITH {S.REG_PRED_CTE}, sc AS (" + REG_SCORE_SQL.format(keys="model, fold, set") + """),
+@register("metric_overfit_table", f"WITH {S.REG_PRED_CTE}, sc AS (" + reg_score_sql("model, fold, set", False) + """),
 lng AS (SELECT model, 'r2' AS metric, set, r2 AS score FROM sc UNION ALL SELECT model, 'mape', set, mape FROM sc),
 gap AS (SELECT metric, model, avg(score) FILTER (WHERE set = 'train') - avg(score) FILTER (WHERE set = 'val') AS v
         FROM lng GROUP BY ALL),
@@ -797,7 +826,7 @@ r AS (SELECT metric, v, row_number() OVER (PARTITION BY metric ORDER BY v) - 1 A
 SELECT metric, round(avg(v), 6) AS trimmed_gap FROM r WHERE k >= floor(n * 0.1) AND k < n - floor(n * 0.1) GROUP BY ALL""")
 def q_metric_overfit_table(spark, d):
     from ..operators import metrics
-    sc = _reg_scores_rounded(metrics.regression_scores(tables.regression_predictions(spark, d), ["model", "fold", "set"]))
+    sc = metrics.regression_scores(tables.regression_predictions(spark, d), ["model", "fold", "set"])
     lng = sc.select("model", F.lit("r2").alias("metric"), "set", F.col("r2").alias("score")).unionByName(
         sc.select("model", F.lit("mape").alias("metric"), "set", F.col("mape").alias("score")))
     return round_all(metrics.overfit_table(lng, []))
@@ -808,7 +837,7 @@ def _candidate_scores(spark, d):
     preds = tables.regression_predictions(spark, d, [(f"a{int(a)}", a) for a in tables.CANDIDATE_FACTORS])
     sc = metrics.regression_scores(preds, ["model", "fold", "set"])
     piv = sc.groupBy("model").pivot("set", ["train", "val"]).agg(*[
-        F.max(F.when(F.col("fold") == f, F.round("r2", 6))).alias(f"split{f}") for f in range(5)])
+        F.max(F.when(F.col("fold") == f, F.col("r2"))).alias(f"split{f}") for f in range(5)])
     return piv.select(F.col("model").alias("candidate"),
                       *[F.col(f"val_split{f}").alias(f"split{f}_test_score") for f in range(5)],
                       *[F.col(f"train_split{f}").alias(f"split{f}_train_score") for f in range(5)])
@@ -819,8 +848,8 @@ CAND_SQL = f"""WITH preds AS (
          CASE WHEN l_orderkey % 4 = 0 THEN 'val' ELSE 'train' END AS set,
          l_extendedprice AS y_true, l_quantity * m.a AS y_pred
   FROM lineitem, (SELECT unnest([1000.0, 1250.0, 1500.0, 1750.0, 2000.0])::DOUBLE AS a) m),
-sc AS (SELECT model, fold, set, round(1 - sum((y_pred - y_true) ^ 2) / (sum(y_true * y_true) - sum(y_true) * sum(y_true) / count(*)), 6) AS r2
-       FROM preds GROUP BY ALL),
+sc AS (SELECT model, fold, set, 1 - sum((y_pred - y_true) ^ 2) / sum((y_true - m) ^ 2) AS r2
+       FROM (SELECT *, avg(y_true) OVER (PARTITION BY model, fold, set) AS m FROM preds) GROUP BY ALL),
 c AS (SELECT model AS candidate,
   {", ".join(f"max(r2) FILTER (WHERE fold = {f} AND set = 'val') AS split{f}_test_score" for f in range(5))},
   {", ".join(f"max(r2) FILTER (WHERE fold = {f} AND set = 'train') AS split{f}_train_score" for f in range(5))}
@@ -828,7 +857,7 @@ c AS (SELECT model AS candidate,
 
 
 @register("board_candidate_leaderboard", CAND_SQL + f"""
-SELECT candidate, {", ".join(f"split{f}_test_score" for f in range(5))},
+SELECT candidate, {", ".join(f"round(split{f}_test_score, 6) AS split{f}_test_score" for f in range(5))},
   round(({" + ".join(f"split{f}_test_score" for f in range(5))}) / 5, 6) AS mean_test_score,
   round(sqrt(({" + ".join(f"(split{f}_test_score - ({' + '.join(f'split{g}_test_score' for g in range(5))}) / 5) ^ 2" for f in range(5))}) / 5), 6) AS std_test_score,
   CAST(rank() OVER (ORDER BY ({" + ".join(f"split{f}_test_score" for f in range(5))}) / 5 DESC) AS INTEGER) AS rank_test_score
@@ -886,27 +915,31 @@ def q_pose_interleaved(spark, d):
     return p.select("row_id", F.posexplode(pose.to_interleaved("features", 16)).alias("pos", "value"))
 
 
-def _feature_row_sql():
-    sk = _sk()
-    hand = {}
-    out = []
+def _feature_row_sql(digits=6):
+    return _feature_exprs(_sk(), 16, digits)
+
+
+def _feature_exprs(sk, n, digits):
+    pc = lambda c, j: _pc(c, j, n)
+    rnd = (lambda e: f"round({e}, {digits})") if digits else (lambda e: e)
+    hand, out = {}, []
     for side, joints in sk.hands.items():
         for c in ("xmean", "ymean", "xstd", "ystd"):
-            hand[(c, side)] = "((" + " + ".join(_pc(c, j) for j in joints) + f") / {float(len(joints))})"
-            out.append(f"round({hand[(c, side)]}, 6) AS {c}{side}_hand")
+            hand[(c, side)] = "((" + " + ".join(pc(c, j) for j in joints) + f") / {float(len(joints))})"
+            out.append(f"{rnd(hand[(c, side)])} AS {c}{side}_hand")
     ls, lh, rs, rh = sk.torso
-    dist = lambda a, b: f"sqrt(({_pc('xmean', a)} - {_pc('xmean', b)}) ^ 2 + ({_pc('ymean', a)} - {_pc('ymean', b)}) ^ 2)"
+    dist = lambda a, b: f"sqrt(({pc('xmean', a)} - {pc('xmean', b)}) ^ 2 + ({pc('ymean', a)} - {pc('ymean', b)}) ^ 2)"
     torso = f"({dist(ls, lh)} / 2.0 + {dist(rs, rh)} / 2.0)"
-    pt = lambda c, a: hand[(c, a.split('_')[0])] if isinstance(a, str) else _pc(c, a)
+    pt = lambda c, a: hand[(c, a.split('_')[0])] if isinstance(a, str) else pc(c, a)
     for a, b in sk.diff_pairs:
         for c in ("xmean", "ymean"):
-            out.append(f'round(({pt(c, a)} - {pt(c, b)}) / nullif({torso}, 0), 6) AS "{c}diff{a}-{b}"')
+            out.append(rnd(f"({pt(c, a)} - {pt(c, b)}) / nullif({torso}, 0)") + f' AS "{c}diff{a}-{b}"')
     for j in sk.knees:
         for c in ("xstd", "ystd"):
-            out.append(f"round({_pc(c, j)}, 6) AS {c}{j}")
+            out.append(f"{rnd(pc(c, j))} AS {c}{j}")
     for side, joints in sk.sides.items():
-        out.append("round(" + " + ".join(f"{_pc('xstd', j)} + {_pc('ystd', j)}" for j in joints) + f", 6) AS {side}_std")
-    out.append(f"round({torso}, 6) AS torso_length")
+        out.append(rnd(" + ".join(f"{pc('xstd', j)} + {pc('ystd', j)}" for j in joints)) + f" AS {side}_std")
+    out.append(f"{rnd(torso)} AS torso_length")
     return ", ".join(out)
 
 
@@ -916,13 +949,13 @@ def q_pose_feature_row(spark, d):
     return round_all(pose.feature_row(_pose(spark, d), "features", _sk(), keep=["row_id", "patient_id"]))
 
 
-@register("pose_impairment_side", f"""WITH {S.POSE_CTE}, fr AS (SELECT row_id, patient_id, {_feature_row_sql()} FROM pose),
+@register("pose_impairment_side", f"""WITH {S.POSE_CTE}, fr AS (SELECT row_id, patient_id, {_feature_row_sql(None)} FROM pose),
 t AS (SELECT patient_id, sum(left_std) AS left_total, sum(right_std) AS right_total FROM fr GROUP BY ALL)
 SELECT fr.row_id, fr.patient_id, round(t.left_total, 4) AS left_total, round(t.right_total, 4) AS right_total,
        CAST(t.left_total > t.right_total AS INTEGER) AS impairment_side FROM fr JOIN t USING (patient_id)""")
 def q_pose_impairment_side(spark, d):
     from ..operators import pose
-    fr = round_all(pose.feature_row(_pose(spark, d), "features", _sk(), keep=["row_id", "patient_id"]))
+    fr = pose.feature_row(_pose(spark, d), "features", _sk(), keep=["row_id", "patient_id"])
     out = pose.impairment_side(fr, None, "patient_id")
     return round_all(out.select("row_id", "patient_id", "left_total", "right_total", "impairment_side"), 4,
                      ["left_total", "right_total"])
@@ -931,21 +964,21 @@ def q_pose_impairment_side(spark, d):
 W_COLS = ["xstdleft_hand", "ystdleft_hand", "xstdright_hand", "ystdright_hand", "xstd13", "ystd13", "xstd14", "ystd14"]
 
 
-@register("pose_sample_weights", f"""WITH {S.POSE_CTE}, fr AS (SELECT row_id, patient_id, {_feature_row_sql()} FROM pose),
+@register("pose_sample_weights", f"""WITH {S.POSE_CTE}, fr AS (SELECT row_id, patient_id, {_feature_row_sql(None)} FROM pose),
 w AS (SELECT row_id, ({" + ".join(f"coalesce(({c} - min({c}) OVER ()) / nullif(max({c}) OVER () - min({c}) OVER (), 0), 0)" for c in W_COLS)}) ^ 2 AS w2 FROM fr)
 SELECT row_id, round(w2 / max(w2) OVER (), 6) AS weight FROM w""")
 def q_pose_sample_weights(spark, d):
     from ..operators import pose
-    fr = round_all(pose.feature_row(_pose(spark, d), "features", _sk(), keep=["row_id", "patient_id"]))
+    fr = pose.feature_row(_pose(spark, d), "features", _sk(), keep=["row_id", "patient_id"])
     return round_all(pose.sample_weights(fr, W_COLS).select("row_id", "weight"))
 
 
-@register("pose_weighted_class_means", f"""WITH {S.POSE_CTE}, fr AS (SELECT row_id, target, {_feature_row_sql()} FROM pose)
+@register("pose_weighted_class_means", f"""WITH {S.POSE_CTE}, fr AS (SELECT row_id, target, {_feature_row_sql(None)} FROM pose)
 SELECT target, {", ".join(f"round(sum({c} * torso_length) / nullif(sum(torso_length), 0), 6) AS {c}" for c in ["left_std", "right_std", "xmean13", "ymean13"] if True).replace("xmean13", "xstd13").replace("ymean13", "ystd13")}
 FROM fr GROUP BY ALL""")
 def q_pose_weighted_class_means(spark, d):
     from ..operators import pose
-    fr = round_all(pose.feature_row(_pose(spark, d), "features", _sk(), keep=["row_id", "target"]))
+    fr = pose.feature_row(_pose(spark, d), "features", _sk(), keep=["row_id", "target"])
     return round_all(pose.weighted_class_means(fr, ["left_std", "right_std", "xstd13", "ystd13"], "torso_length",
                                                ["target"]))
 
@@ -979,21 +1012,34 @@ def q_pose_top_activity(spark, d):
         "rank", F.col("rank").cast("int"))
 
 
-@register("pose_centre_scale", f"""WITH {S.POSE_CTE},
-c AS (SELECT row_id, features,
-        list_median(list_transform(range(16), lambda i: features[2 * i + 1])) AS cx,
-        list_median(list_transform(range(16), lambda i: features[2 * i + 2])) AS cy FROM pose),
-s AS (SELECT *, list_avg(list_transform(range(16), lambda i: sqrt((features[2 * i + 1] - cx) ^ 2 + (features[2 * i + 2] - cy) ^ 2))) AS s0 FROM c)
-SELECT row_id, round(CASE WHEN abs(s0) < 1e-9 THEN 1 ELSE s0 END, 6) AS scale, round(cx, 6) AS cx, round(cy, 6) AS cy,
-  round(list_sum(list_transform(range(64), lambda i: CASE WHEN i < 32 AND i % 2 = 0 THEN (features[i + 1] - cx)
-     WHEN i < 32 THEN (features[i + 1] - cy) ELSE features[i + 1] END)) / CASE WHEN abs(s0) < 1e-9 THEN 1 ELSE s0 END, 4) AS feature_sum
-FROM s""")
+CENTRE_MODES = [("centroid", None), ("root", None), ("root", 3)]
+SCALE_MODES = ["none", "bbox", "std", "torso", "pair"]
+
+
+def _centre_sql(k, centre, root, scale):
+    xs, ys = "list_transform(range(16), lambda i: features[2 * i + 1])", "list_transform(range(16), lambda i: features[2 * i + 2])"
+    cx, cy = {"centroid": (f"list_avg({xs})", f"list_avg({ys})"), "root": (f"list_median({xs})", f"list_median({ys})")}[centre] if root is None else (
+        f"features[{2 * root + 1}]", f"features[{2 * root + 2}]")
+    px, py = "list_transform(range(16), lambda i: features[2 * i + 1] - cx)", "list_transform(range(16), lambda i: features[2 * i + 2] - cy)"
+    s0 = {"none": "1.0", "bbox": f"greatest(list_max({px}) - list_min({px}), list_max({py}) - list_min({py}))", "std": f"list_stddev_pop(list_concat({px}, {py}))",
+          "torso": "list_avg(list_transform(range(16), lambda i: sqrt((features[2 * i + 1] - cx) ^ 2 + (features[2 * i + 2] - cy) ^ 2)))",
+          "pair": f"sqrt(({_pc('xmean', 1)} - {_pc('xmean', 11)}) ^ 2 + ({_pc('ymean', 1)} - {_pc('ymean', 11)}) ^ 2)"}[scale]
+    return (f"SELECT {k} AS mode, row_id, features, cx, cy, CASE WHEN abs(s0) < 1e-9 THEN 1 ELSE s0 END AS scale "
+            f"FROM (SELECT *, {s0} AS s0 FROM (SELECT row_id, features, {cx} AS cx, {cy} AS cy FROM pose))")
+
+
+@register("pose_centre_scale", f"WITH {S.POSE_CTE}, n AS (" + "\nUNION ALL\n".join(
+    _centre_sql(k * 10 + m, c, r, sc) for k, (c, r) in enumerate(CENTRE_MODES) for m, sc in enumerate(SCALE_MODES)) + """)
+SELECT CAST(mode AS INTEGER) AS mode, row_id, CAST(k - 1 AS INTEGER) AS pos, round(CASE WHEN k <= 32 AND k % 2 = 1 THEN features[k] - cx WHEN k <= 32 THEN features[k] - cy ELSE features[k] END / scale, 6) AS value,
+  round(scale, 6) AS scale, round(cx, 6) AS cx, round(cy, 6) AS cy FROM n, range(1, 65) t(k)""")
 def q_pose_centre_scale(spark, d):
     from ..operators import pose
-    p = _pose(spark, d).select("row_id", pose.centre_and_scale("features", 16, "root", None, "torso").alias("n"))
-    return p.select("row_id", F.round("n.scale", 6).alias("scale"), F.round("n.cx", 6).alias("cx"),
-                    F.round("n.cy", 6).alias("cy"),
-                    F.round(F.aggregate("n.features", F.lit(0.0), lambda a, x: a + x), 4).alias("feature_sum"))
+    modes = [F.struct(F.lit(k * 10 + m).alias("mode"), pose.centre_and_scale(
+        "features", 16, c, r, "torso" if sc == "pair" else sc, (1, 11) if sc == "pair" else None).alias("n"))
+        for k, (c, r) in enumerate(CENTRE_MODES) for m, sc in enumerate(SCALE_MODES)]
+    x = _pose(spark, d).select("row_id", F.explode(F.array(*modes)).alias("m"))
+    return round_all(x.select("m.mode", "row_id", F.posexplode("m.n.features").alias("pos", "value"), F.col("m.n.scale").alias("scale"),
+                              F.col("m.n.cx").alias("cx"), F.col("m.n.cy").alias("cy")))
 
 
 def _limb_sql():
@@ -1027,14 +1073,16 @@ def q_pose_arm_over_patient_max(spark, d):
     return round_all(pose.arm_over_patient_max(g, "arm_l", "patient_id").select("row_id", "patient_id", "arm_rel"))
 
 
-@register("pose_mirror", f"""WITH {S.POSE_CTE}, fr AS (SELECT row_id, {_feature_row_sql()} FROM pose)
-SELECT row_id, CAST(left_std > right_std AS INTEGER) AS mirrored,
-       CASE WHEN left_std > right_std THEN right_std ELSE left_std END AS left_std,
-       CASE WHEN left_std > right_std THEN left_std ELSE right_std END AS right_std FROM fr""")
+@register("pose_mirror", f"""WITH {S.POSE_CTE}, fr AS (SELECT row_id, features, {_feature_row_sql(None)} FROM pose),
+m AS (SELECT *, left_std > right_std AS flip FROM fr)
+SELECT m.row_id, CAST(k - 1 AS INTEGER) AS pos, CASE WHEN flip AND k <= 32 AND k % 2 = 1 THEN -features[k] ELSE features[k] END AS value,
+  CAST(flip AS INTEGER) AS mirrored, round(least(left_std, right_std), 6) AS left_std, round(greatest(left_std, right_std), 6) AS right_std
+FROM m, range(1, 65) t(k)""")
 def q_pose_mirror(spark, d):
     from ..operators import pose
-    fr = round_all(pose.feature_row(_pose(spark, d), "features", _sk(), keep=["row_id", "features"]))
-    return pose.mirror_rows(fr, "features", 16).select("row_id", "mirrored", "left_std", "right_std")
+    fr = pose.feature_row(_pose(spark, d), "features", _sk(), keep=["row_id", "features"])
+    m = pose.mirror_rows(fr, "features", 16)
+    return round_all(m.select("row_id", F.posexplode("features").alias("pos", "value"), "mirrored", "left_std", "right_std"), 6, ["left_std", "right_std"])
 
 
 @register("pose_argmax_threshold", f"""WITH {S.POSE_CTE}
@@ -1112,7 +1160,7 @@ def q_reshape_melt(spark, d):
     return reshape.melt(p, ["row_id"], ["xmean0_l", "ymean0_l", "xstd0_l", "ystd0_l"], strip_suffix="_l$")
 
 
-@register("reshape_pivot_sets", f"WITH {S.REG_PRED_CTE}, sc AS (" + REG_SCORE_SQL.format(keys="model, set") + """)
+@register("reshape_pivot_sets", f"WITH {S.REG_PRED_CTE}, sc AS (" + reg_score_sql("model, set") + """)
 SELECT model, 'r2' AS metric, max(r2) FILTER (WHERE set = 'train') AS train, max(r2) FILTER (WHERE set = 'val') AS val
 FROM sc GROUP BY ALL""")
 def q_reshape_pivot_sets(spark, d):
@@ -1122,7 +1170,7 @@ def q_reshape_pivot_sets(spark, d):
     return reshape.pivot_first(lng, ["model", "metric"], "set", ["train", "val"], "r2")
 
 
-@register("reshape_pivot_split_name", f"WITH {S.REG_PRED_CTE}, sc AS (" + REG_SCORE_SQL.format(keys="model, set") + """)
+@register("reshape_pivot_split_name", f"WITH {S.REG_PRED_CTE}, sc AS (" + reg_score_sql("model, set") + """)
 SELECT split_part(model, '_x_', 1) AS family, round(avg(r2) FILTER (WHERE split_part(model, '_x_', 2) = '1500'), 6) AS "1500",
        round(avg(r2) FILTER (WHERE split_part(model, '_x_', 2) = '2000'), 6) AS "2000" FROM sc GROUP BY ALL""")
 def q_reshape_pivot_split_name(spark, d):
@@ -1201,15 +1249,6 @@ def q_ml_rfe_ranking(spark, d):
     return models.rfe_ranking(li, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", 1, fold="fold")
 
 
-@register("ml_isolation_forest_counts", None)
-def q_ml_isolation_forest_counts(spark, d):
-    from ..operators import models
-    li = _li(spark, d).select("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-    scored = models.isolation_forest(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], n_trees=50)
-    return scored.agg(F.count(F.lit(1)).alias("n_before"), F.count_if("inlier").alias("n_after"),
-                      F.count_if(~F.col("inlier")).alias("n_dropped"))
-
-
 @register("ml_group_vote_gbt", None)
 def q_ml_group_vote_gbt(spark, d):
     from ..operators import folds, models
@@ -1296,13 +1335,13 @@ def q_seq_side_asymmetry(spark, d):
     return round_all(seq.side_asymmetry(f, "recording", "side", ["path_length", "amp_x"]))
 
 
-@register("agg_crosstab_total", """SELECT o_custkey,
-  count(*) FILTER (WHERE o_orderstatus = 'F') AS F, count(*) FILTER (WHERE o_orderstatus = 'O') AS O,
-  count(*) FILTER (WHERE o_orderstatus = 'P') AS P, count(*) AS total FROM orders GROUP BY ALL""")
+@register("agg_crosstab_total", """SELECT o_custkey, nullif(count(*) FILTER (WHERE o_orderstatus = 'F'), 0) AS F,
+  nullif(count(*) FILTER (WHERE o_orderstatus = 'O'), 0) AS O, nullif(count(*) FILTER (WHERE o_orderstatus = 'P'), 0) AS P, count(*) AS total
+FROM orders GROUP BY ALL""")
 def q_agg_crosstab_total(spark, d):
     from ..operators import reshape
     ct = reshape.crosstab(_orders(spark, d), "o_custkey", "o_orderstatus", ["F", "O", "P"], total=True)
-    return ct.select("o_custkey", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("F", "O", "P")], "total")
+    return ct.select("o_custkey", "F", "O", "P", "total")
 
 
 @register("agg_label_counts", "SELECT label, count(*) AS count FROM embeddings GROUP BY ALL")

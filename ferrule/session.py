@@ -1,15 +1,11 @@
 """Spark session helpers.
 
-The library never creates its own storage locations on a cluster: the
-checkpoint directory is read from ``spark.checkpoint.dir``; only when that
-setting is absent (local tests) is a scratch directory created.
+Intermediate tables go to the folder in ``spark.checkpoint.dir`` (see ``storage``).
 """
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -33,28 +29,8 @@ def get_session(master: str | None = None, app: str = "ferrule",
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared checkpoint dir; create a scratch one only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="ferrule-ckpt-")
-    sc.setCheckpointDir(configured)
-    return configured
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss); never a local checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -1,34 +1,16 @@
 """Structured Streaming entry points.
 
-The reference has no streams; what carries over is batch scoring (ML10) and the
-per-recording feature jobs, run incrementally:
-
-* ``score_stream``: a fitted Spark ML model applied to a streaming DataFrame
-  (``transform`` is stateless, so each micro-batch is scored independently);
-* ``features_per_batch``: a ``foreachBatch`` sink that runs a batch operator
-  (e.g. ``sequence.motion_features``) on every micro-batch and appends the
-  result to a table directory -- each batch is a complete set of recordings,
-  so no cross-batch state is needed.
+The reference has no streams; what carries over is batch scoring (ML10): a fitted
+Spark ML model applied to a streaming DataFrame (``transform`` is stateless, so each
+micro-batch is scored independently).  Per-recording features need whole recordings
+and are batch jobs only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 
 
 def score_stream(model, stream: DataFrame, keep: list[str] | None = None) -> DataFrame:
     out = model.transform(stream)
     return out.select(*(keep or []), "prediction") if keep is not None else out
-
-
-def features_per_batch(stream: DataFrame, op: Callable[[DataFrame], DataFrame], out_path: str,
-                       checkpoint: str, trigger_once: bool = True):
-    def run(batch: DataFrame, batch_id: int) -> None:
-        op(batch).write.mode("append").parquet(out_path)
-
-    writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    if trigger_once:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()

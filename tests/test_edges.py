@@ -114,17 +114,95 @@ def test_exact_quantiles_match_numpy_on_skewed_group(spark):
             assert abs(q[(g, p)] - np.quantile(arr, p)) < 1e-12
 
 
-def test_number_rows_many_chunks(spark):
-    df = spark.range(5000).select((F.col("id") % 2).alias("g"), ((F.col("id") * 7919) % 5000).alias("o"))
-    out = folds.number_rows(df, ["g"], ["o"], "rn", chunk_rows=100) if hasattr(folds, "number_rows") else None
-    from ferrule.operators.ordering import number_rows
-    out = number_rows(df, ["g"], ["o"], "rn", chunk_rows=100)
-    got = sorted((r.g, r.o, r.rn) for r in out.collect())
-    exp = []
-    for g in (0, 1):
-        os_ = sorted(r.o for r in df.where(F.col("g") == g).collect())
-        exp += [(g, o, i) for i, o in enumerate(os_)]
-    assert got == sorted(exp)
+def test_number_rows_under_skew(spark):
+    """One outlier key, a tied first key, a heavy tail and a NULL group: numbers are dense
+    and no range holds more than twice its share."""
+    from ferrule.operators.ordering import number_rows, ranged
+    n = 20_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 7 == 0, None).otherwise(F.lit("hot")).alias("g"),
+        F.when(F.col("id") == 5, 1e12).when(F.col("id") % 2 == 0, F.exp((F.col("id") % 97) / 5.0)).otherwise((F.col("id") % 10).cast("double")).alias("o"), "id")
+    got = number_rows(df, ["g"], ["o", "id"], "rn", total="n").toPandas()
+    assert len(got) == n
+    for _, part in got.groupby("g", dropna=False):
+        part = part.sort_values(["o", "id"])
+        assert list(part["rn"]) == list(range(len(part))) and set(part["n"]) == {len(part)}
+    sizes = [r["count"] for r in ranged(df, ["g", "o", "id"]).groupBy("_chunk").count().collect()]
+    assert max(sizes) <= 2 * n / len(sizes)
+    text = df.select(F.concat(F.lit("k"), "id").alias("k"), "id")
+    assert [r.k for r in number_rows(text, [], ["k"], "rn").orderBy("rn").collect()] == sorted(f"k{i}" for i in range(n))
+
+
+def test_null_groups_keep_their_rows(spark):
+    df = spark.createDataFrame([(None if i % 5 == 0 else f"g{i % 9}", i % 2, float(i), i) for i in range(90)], "g string, y int, v double, id long")
+    for out in (folds.strict_group_folds(df, "g", "y", k=2), folds.stratified_group_kfold(df, "g", "y", k=2), folds.leave_one_group_out(df, "g")):
+        assert out.count() == 90 and out.where("fold IS NULL").count() == 0
+        assert out.groupBy("g").agg(F.count_distinct("fold").alias("n")).where("n <> 1").count() == 0
+    assert metrics.winsorized_mape(df.withColumnRenamed("v", "y_true").withColumn("y_pred", F.lit(1.0)), ["g"]).where("g IS NULL").count() == 1
+    nc = profile.near_constant_stats(df.withColumn("none", F.lit(None).cast("double")), ["v", "none"], ["g"])
+    assert nc.where("g IS NULL").count() == 2 and nc.where("column = 'none' AND range IS NULL").count() == 10
+    assert pose.arm_over_patient_max(df, "v", "g").count() == 90
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (3.0,)], "v double")
+    r = profile.describe(df, ["v"]).first()
+    assert (r["count"], r["mean"], r["q75"]) == (3, 2.0, 2.5)
+
+
+def test_large_offsets_do_not_cancel(spark):
+    from ferrule.operators import scale
+    off = 1e9
+    df = spark.createDataFrame([(off + i % 7, off + i % 7 + 0.01 * (i % 2), i % 3) for i in range(300)], "y_true double, y_pred double, fold int")
+    import numpy as np
+    y = np.array([i % 7 for i in range(300)], float)
+    want = 1 - np.mean([(0.01 * (i % 2)) ** 2 for i in range(300)]) / y.var()
+    assert metrics.regression_scores(df, []).first()["r2"] == pytest.approx(want, abs=1e-7)
+    got = [r.y_true for r in scale.fold_standardize(df.select("fold", "y_true"), ["y_true"]).where("fold = 0").collect()]
+    train = np.array([i % 7 for i in range(300) if i % 3], float)
+    want = sorted((np.array([i % 7 for i in range(0, 300, 3)]) - train.mean()) / train.std())
+    assert sorted(got) == pytest.approx(want, abs=1e-5)
+    c = select.corr_pairs(df, ["y_true", "y_pred"]).first()["corr"]
+    assert c == pytest.approx(np.corrcoef(y, y + np.array([0.01 * (i % 2) for i in range(300)]))[0, 1], abs=1e-6)
+
+
+def test_scores_use_the_labels_of_their_group(spark):
+    df = spark.createDataFrame([(0, 0, 0), (0, 1, 1), (0, 0, 0), (1, 0, 0), (1, 1, 1), (1, 2, 2)], "fold int, y_true int, y_pred int")
+    got = {r.fold: r for r in metrics.classification_scores(df, ["fold"]).collect()}
+    assert got[0].macro_f1 == 1.0 and got[1].macro_f1 == 1.0
+    extra = spark.createDataFrame([(0, 0), (0, 0), (1, 1), (1, 2)], "y_true int, y_pred int")
+    r = metrics.classification_scores(extra).first()
+    assert r.balanced_accuracy == 0.75 and r.macro_recall == 0.5
+    zero = spark.createDataFrame([(0.0, 0.0), (1.0, 2.0)], "y_true double, y_pred double")
+    assert metrics.regression_scores(zero, []).first()["smape"] == pytest.approx(100 * (2 / 3) / 2)
+
+
+def test_scoring_keeps_every_row(spark):
+    from ferrule.operators import models, scale
+    df = spark.createDataFrame([(float(i), float(i % 4) if i % 5 else None, 3.0 * i + (i % 4 if i % 5 else 0)) for i in range(40)], "a double, b double, y double")
+    train, left = models.fit_rows(df, ["a", "b"], ["y"])
+    assert (train.count(), left) == (32, 8)
+    m = models.linear_regression(train, ["a", "b"], "y")
+    out = models.score_rows(m, df, ["a", "b"])
+    assert out.count() == 40 and out.where("prediction IS NULL").count() == 8 and out.columns == [*df.columns, "prediction"]
+    assert scale.pca_project(df, ["a", "b"], 1).count() == 40
+    with pytest.raises(ValueError):
+        models.classifier("mlp", weight="a", layers=[2, 2])
+
+
+def test_imputer_on_text_columns(spark):
+    from ferrule.operators import quality
+    df = spark.createDataFrame([(i, "a" if i % 3 else "b") for i in range(60)], "id long, c string")
+    r = quality.evaluate_imputer(df, "id", ["c"], "mode", 0.2).first()
+    assert r["n_masked"] == 12 and 0.3 < r["score"] <= 1.0
+
+
+def test_histogram_of_a_wide_range(spark):
+    df = spark.createDataFrame([(0.0,), (3e6,), (3e6 - 1,)], "v double")
+    assert profile.shared_histogram(df, ["v"], empty=False).count() == 3
+    with pytest.raises(Exception):
+        profile.shared_histogram(df, ["v"]).collect()
+    assert profile.shared_histogram(df, ["v"], nbins=10).agg(F.sum("count")).first()[0] == 3
 
 
 def test_confusion_sums_to_n_and_auc_ties(spark):
