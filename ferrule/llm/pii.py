@@ -109,6 +109,9 @@ _DISGUISED = re.compile(rf"(?<![A-Za-z0-9._%+-])([A-Za-z0-9_%+-]++(?:{_DOT}[A-Za
 _DOTTED = re.compile(_DOT, re.I)
 _HINT = re.compile(r"[\[({<][ ]*(?:at|dot|\.)[ ]*[\])}>]|[ ]dot[ ]", re.I)
 _AROUND = 120
+_BARE = re.compile(r"[ ]dot[ ]+([A-Za-z0-9-]+)$", re.I)
+# Last labels that a bare "dot" may lead to (a sentence has "dot" too).
+_TOP = frozenset("com org net edu gov mil info biz io co uk de fr es it nl eu ru cn jp br au ca ch".split())
 
 
 class _Tape:
@@ -179,7 +182,8 @@ def _addresses(t: _Tape) -> _Tape:
             continue
         lo = max(done, h.start() - _AROUND)
         for m in _DISGUISED.finditer(t.text, lo, min(len(t.text), h.end() + _AROUND)):
-            if m.start() < done:
+            bare = _BARE.search(m[0])
+            if m.start() < done or bare and bare[1].lower() not in _TOP:
                 continue
             at, parts = m.start(), []
             inner = [(m.start(2), m.end(2), "@")] + [(d.start(), d.end(), ".") for g in (1, 3) for d in _DOTTED.finditer(t.text, m.start(g), m.end(g))]
@@ -243,11 +247,14 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = find_pii(common.table(spark, sf_dir, "documents"))
     base = F.filter("found", lambda s: s["base"])
 
+    def count(kind):
+        return F.size(F.filter("found", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
     return x.select(
         F.col("id").alias("doc_id"),
-        *[F.size(F.filter("found", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}") for k in KINDS],
+        *[count(k) for k in KINDS],
         F.sha2(F.encode(joined(base), "UTF-8"), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"),
         F.size(F.filter("found", lambda s: ~s["base"])).cast("long").alias("n_added"))
