@@ -32,12 +32,6 @@ class Skeleton:
     diff_pairs: tuple = ()                             # (a, b) joint ids or '<side>_hand'
     knees: tuple = ()                                  # joint ids whose stds pass through
     sides: dict = field(default_factory=dict)          # side -> joint ids (std sums)
-    nose: int = 0
-    shoulders: tuple = (0, 0)                          # left, right
-    elbows: tuple = (0, 0)
-    wrists: tuple = (0, 0)
-    hips: tuple = (0, 0)
-    ankles: tuple = (0, 0)
 
 
 # The 33-keypoint layout used by the pose-summary feature row of the
@@ -46,11 +40,11 @@ POSE33 = Skeleton(
     n_joints=33,
     hands={"left": [15, 17, 19, 21], "right": [16, 18, 20, 22]},
     torso=(11, 23, 12, 24),
-    diff_pairs=((25, 23), (26, 24), ("left_hand", 0), ("right_hand", 0), (13, 0), (14, 0)),
+    diff_pairs=((25, 23), (26, 24), (27, 23), (28, 24), ("left_hand", 0), ("right_hand", 0),
+                ("left_hand", 11), ("right_hand", 12), (13, 0), (14, 0), (13, 11), (14, 12)),
     knees=(25, 26),
     sides={"left": [4, 5, 6, 8, 10, 12, 14, 16, 18, 20, 22, 24, 26, 28, 30, 32],
-           "right": [1, 2, 3, 7, 9, 11, 13, 15, 17, 19, 21, 23, 25, 27, 29, 31]},
-    nose=0, shoulders=(11, 12), elbows=(13, 14), wrists=(15, 16), hips=(23, 24), ankles=(27, 28))
+           "right": [1, 2, 3, 7, 9, 11, 13, 15, 17, 19, 21, 23, 25, 27, 29, 31]})
 
 # The driver's 64-wide embedding stands in for a 16-joint skeleton (4 x 16 = 64):
 # nose 0; odd ids on the left, even ids on the right.
@@ -60,8 +54,7 @@ POSE16 = Skeleton(
     torso=(1, 11, 2, 12),
     diff_pairs=((13, 11), (14, 12), ("left_hand", 0), ("right_hand", 0), (3, 0), (4, 0)),
     knees=(13, 14),
-    sides={"left": [1, 3, 5, 7, 9, 11, 13, 15], "right": [2, 4, 6, 8, 10, 12, 14]},
-    nose=0, shoulders=(1, 2), elbows=(3, 4), wrists=(5, 6), hips=(11, 12), ankles=(15, 14))
+    sides={"left": [1, 3, 5, 7, 9, 11, 13, 15], "right": [2, 4, 6, 8, 10, 12, 14]})
 
 COMPONENTS = ("xmean", "ymean", "xstd", "ystd")
 
@@ -268,28 +261,6 @@ def argmax_class(probs: str | Column) -> Column:
     return (F.array_position(c, F.array_max(c)) - 1).cast("int")
 
 
-def limb_lengths(df: DataFrame, col: str, sk: Skeleton, keep: Sequence[str] = ()) -> DataFrame:
-    """C14 (core geometry): arm and leg lengths per side, body height (max of the two
-    shoulder-to-ankle spans), shoulder width and hand-to-nose vertical distance, plus
-    the lengths normalised by height/width."""
-    p = Pose(col, sk.n_joints)
-    d = lambda a, b: F.hypot(p.comp("xmean", a) - p.comp("xmean", b), p.comp("ymean", a) - p.comp("ymean", b))
-    (ls, rs), (le, re), (lw, rw), (lh, rh), (la, ra) = sk.shoulders, sk.elbows, sk.wrists, sk.hips, sk.ankles
-    arm_l, arm_r = d(ls, le) + d(le, lw), d(rs, re) + d(re, rw)
-    leg_l, leg_r = d(lh, la), d(rh, ra)
-    height = F.greatest(F.abs(p.comp("ymean", ls) - p.comp("ymean", la)),
-                        F.abs(p.comp("ymean", rs) - p.comp("ymean", ra)))
-    width = d(ls, rs)
-    nose_y = p.comp("ymean", sk.nose)
-    return df.select(*keep, arm_l.alias("arm_l"), arm_r.alias("arm_r"), leg_l.alias("leg_l"), leg_r.alias("leg_r"),
-                     height.alias("height"), width.alias("width"),
-                     (p.comp("ymean", lw) - nose_y).alias("hand_nose_dy_l"),
-                     (p.comp("ymean", rw) - nose_y).alias("hand_nose_dy_r"),
-                     F.try_divide(arm_l, height).alias("arm_l_h"), F.try_divide(arm_r, height).alias("arm_r_h"),
-                     F.try_divide(leg_l, height).alias("leg_l_h"), F.try_divide(leg_r, height).alias("leg_r_h"),
-                     F.try_divide(width, height).alias("width_h"))
-
-
 def arm_over_patient_max(df: DataFrame, arm: str, patient: str, name: str = "arm_rel") -> DataFrame:
     """Arm length divided by the patient's largest arm length (group max joined back)."""
     mx = df.groupBy(patient).agg(F.max(arm).alias("_amax"))
@@ -304,3 +275,120 @@ def mirror_rows(df: DataFrame, col: str, n_joints: int, left: str = "left_std",
     return df.withColumns({col: xneg, left: F.when(flip, F.col(right)).otherwise(F.col(left)),
                            right: F.when(flip, F.col(left)).otherwise(F.col(right)),
                            "mirrored": flip.cast("int")})
+
+
+@dataclass(frozen=True)
+class Body:
+    """Joints of the body geometry set; pairs are (left, right)."""
+    n_joints: int
+    nose: int
+    shoulders: tuple
+    hands: tuple
+    eyes: tuple
+    feet: tuple
+    hips: tuple
+    bend: tuple            # elbows and knees whose spread is reported
+    hand_sets: tuple
+    foot_sets: tuple
+    kept: tuple            # joints whose raw slots the "kept" variant passes on
+
+
+# Joints of the 33-keypoint layout.
+BODY33 = Body(n_joints=33, nose=0, shoulders=(11, 12), hands=(19, 20), eyes=(3, 6), feet=(29, 30), hips=(23, 24), bend=(13, 14, 25, 26),
+              hand_sets=((15, 17, 19, 21), (16, 18, 20, 22)), foot_sets=((27, 29, 31), (28, 30, 32)), kept=(15, 16, 17, 18, 19, 20, 21, 22, 27, 28))
+
+# Feature groups of each variant, in output order, and what raw slots lead the row.
+GEOMETRY = {
+    "base": (None, ("limbs", "hand_spread", "nose", "bend_spread", "size", "end_position", "end_difference")),
+    "kept": ("kept", ("limbs", "hand_spread", "nose", "bend_spread", "end_spread", "end_position")),
+    "full": ("all", ("limbs", "hand_spread", "nose", "bend_spread", "end_spread", "end_position")),
+    "final": ("all", ("nose", "bend_spread", "end_spread", "end_position")),
+}
+
+
+def body_geometry(df: DataFrame, col: str, body: Body, variant: str = "final", flip_y: bool = False, std_slots: str = "blocked",
+                  keep: Sequence[str] = ()) -> DataFrame:
+    """C14a-d: raw slots (``g_raw<i>``) and body proportions of a pose row, one projection.
+
+    Height is the larger signed eye-foot difference in y, width the signed hip difference
+    in x.  Arms (shoulder to hand) and legs (hip to foot) are in heights; x positions and
+    spreads in widths, y ones in heights; nose-hand differences stay as they are.  ``flip_y``
+    negates the y means first.  ``std_slots='blocked'`` reads spreads from the second half
+    of the array, ``'stride'`` from slots 4j and 4j + 1.  A zero height or width gives NULL.
+    """
+    raw, groups = GEOMETRY[variant]
+    n = body.n_joints
+    a = F.col(col)
+    slot = lambda i: -a[i] if flip_y and i < 2 * n and i % 2 else a[i]
+    x, y = (lambda j: slot(2 * j)), (lambda j: slot(2 * j + 1))
+    at = (lambda j: 2 * n + 2 * j) if std_slots == "blocked" else (lambda j: 4 * j)
+    sx, sy = (lambda j: slot(at(j))), (lambda j: slot(at(j) + 1))
+    span = lambda p, q: F.hypot(x(p) - x(q), y(p) - y(q))
+
+    def mean(f, joints):
+        total = f(joints[0])
+        for j in joints[1:]:
+            total = total + f(j)
+        return total / float(len(joints))
+
+    height = F.greatest(*[y(e) - y(f) for e, f in zip(body.eyes, body.feet)])
+    width = x(body.hips[0]) - x(body.hips[1])
+    per_h, per_w = (lambda e: F.try_divide(e, height)), (lambda e: F.try_divide(e, width))
+    sides = ("l", "r")
+    ends = [(f"{s}_{k}", sets[i]) for k, sets in (("foot", body.foot_sets), ("hand", body.hand_sets)) for i, s in ((1, "r"), (0, "l"))]
+    out = {
+        "limbs": [(f"{s}_arm", per_h(span(h, sh))) for s, h, sh in zip(sides, body.hands, body.shoulders)]
+        + [(f"{s}_leg", per_h(span(hp, ft))) for s, hp, ft in zip(sides, body.hips, body.feet)],
+        "hand_spread": [(f"{s}_hand_spread", per_w(sy(h))) for s, h in zip(sides, body.hands)],
+        "nose": [(f"{s}_nose_hand", y(body.nose) - y(h)) for s, h in zip(sides, body.hands)],
+        "bend_spread": [(f"x_spread{j}", per_w(sx(j))) for j in body.bend] + [(f"y_spread{j}", per_h(sy(j))) for j in body.bend],
+        "end_spread": [v for name, js in ends for v in ((f"{name}_sx", per_w(mean(sx, js))), (f"{name}_sy", per_h(mean(sy, js))))],
+        "size": [("height", height), ("width", width)],
+        "end_position": [v for name, js in ends for v in ((f"{name}_x", per_w(mean(x, js))), (f"{name}_y", per_h(mean(y, js))))],
+        "end_difference": [v for i, s in ((1, "r"), (0, "l")) for v in (
+            (f"{s}_foot_hand_x", per_w(mean(x, body.foot_sets[i]) - mean(x, body.hand_sets[i]))),
+            (f"{s}_foot_hand_y", per_h(mean(y, body.foot_sets[i]) - mean(y, body.hand_sets[i]))))],
+    }
+    slots = {None: [], "all": list(range(4 * n)),
+             "kept": [2 * j for j in body.kept] + [2 * j + 1 for j in body.kept] + [4 * j for j in body.kept] + [4 * j + 1 for j in body.kept]}[raw]
+    return df.select(*keep, *[slot(i).alias(f"g_raw{k}") for k, i in enumerate(slots)], *[e.alias(name) for g in groups for name, e in out[g]])
+
+
+def side_normalised(df: DataFrame, col: str, n_joints: int, sides: dict, shoulders: dict, keep: Sequence[str] = ()) -> DataFrame:
+    """The joints of each side over the absolute coordinates of that side's shoulder
+    (x slots over |x|, y slots over |y|, spreads alike), then the side's sum of spreads.
+    Sides are taken in order, so a shoulder listed under an earlier side is read after that
+    side was scaled.  A zero coordinate gives NULL; joints of no side stay."""
+    n, a = n_joints, F.col(col)
+    slots = [a[i] for i in range(4 * n)]
+    for side, joints in sides.items():
+        dx, dy = F.abs(slots[2 * shoulders[side]]), F.abs(slots[2 * shoulders[side] + 1])
+        for j in joints:
+            for i in (2 * j, 2 * n + 2 * j):
+                slots[i], slots[i + 1] = F.try_divide(slots[i], dx), F.try_divide(slots[i + 1], dy)
+    sums = [F.aggregate(F.array(*[slots[2 * n + 2 * j + k] for j in joints for k in (0, 1)]), F.lit(0.0), lambda s, v: s + v).alias(f"{side}std")
+            for side, joints in sides.items()]
+    return df.select(*keep, F.inline(F.array(F.struct(F.array(*slots).alias(col), *sums))))
+
+
+def shoulder_frame(df: DataFrame, col: str, n_joints: int, sides: dict, shoulders: tuple, hips: tuple, wrists: tuple, knees: tuple, nose: int,
+                   keep: Sequence[str] = ()) -> DataFrame:
+    """Y means negated; x slots over the shoulder width, y slots over the mean torso
+    height; side sums of spreads; rows whose left sum is larger mirrored (x means negated,
+    sums swapped); then hand-nose distances and knee-hip differences in x."""
+    n, a = n_joints, F.col(col)
+    (ls, rs), (lh, rh) = shoulders, hips
+    w = F.abs(a[2 * ls] - a[2 * rs])
+    h = (F.abs(a[2 * ls + 1] - a[2 * lh + 1]) + F.abs(a[2 * rs + 1] - a[2 * rh + 1])) / 2.0
+    slots = [F.try_divide(-a[i] if i < 2 * n and i % 2 else a[i], h if i % 2 else w) for i in range(4 * n)]
+    sums = [F.aggregate(F.array(*[slots[2 * n + 2 * j + k] for j in joints for k in (0, 1)]), F.lit(0.0), lambda s, v: s + v).alias(f"{side}std")
+            for side, joints in sides.items()]
+    # Generators keep Catalyst from inlining the arrays into each of their many uses.
+    t = df.select(*keep, F.inline(F.array(F.struct(F.array(*slots).alias(col), *sums))))
+    flip = F.col("lstd") > F.col("rstd")
+    mirrored = [F.when(flip & F.lit(i % 2 == 0 and i < 2 * n), -a[i]).otherwise(a[i]) for i in range(4 * n)]
+    t = t.select(*keep, F.inline(F.array(F.struct(F.array(*mirrored).alias(col), F.when(flip, F.col("rstd")).otherwise(F.col("lstd")).alias("lstd"),
+                                                  F.when(flip, F.col("lstd")).otherwise(F.col("rstd")).alias("rstd"), flip.cast("int").alias("mirrored")))))
+    out = [F.hypot(a[2 * j] - a[2 * nose], a[2 * j + 1] - a[2 * nose + 1]).alias(f"{s}hand_dist") for s, j in zip("lr", wrists)]
+    out += [(a[2 * k] - a[2 * p]).alias(f"{s}hip_diff") for s, k, p in zip("lr", knees, hips)]
+    return t.select(*keep, col, "lstd", "rstd", "mirrored", *out)

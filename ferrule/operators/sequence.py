@@ -24,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import div_or
 from .ordering import attach_group, block_window, number_rows, own_rows, with_lookback
 from .quantile import quantiles_long
 
@@ -210,3 +211,102 @@ def side_asymmetry(features: DataFrame, patient: str, side: str, value_cols: Seq
         for c in value_cols for s in (left, right)])
     return agg.select(patient, *[(F.col(f"{c}_{left}") - F.col(f"{c}_{right}")).alias(f"{c}_diff")
                                  for c in value_cols])
+
+
+# Joints of the recording features (name -> joint id in the sequence layout).
+MOTION_JOINTS = {"pinky_r": 17, "pinky_l": 18, "index_r": 19, "index_l": 20, "wrist_r": 16, "wrist_l": 15, "knee_r": 27, "knee_l": 26, "toe_r": 31, "toe_l": 30}
+
+
+def joint_motion(df: DataFrame, recording: Sequence[str], joints: dict, fps: float = 1.0, joint: str = "joint") -> DataFrame:
+    """Motion features of the named joints, one wide row per recording: columns
+    ``<name>__<feature>`` of ``motion_features``.  One grouped aggregate over the long frame
+    table, then a pivot over the fixed names (a joint that is missing gives NULL)."""
+    rec = list(recording)
+    names = F.create_map(*[v for n, j in joints.items() for v in (F.lit(j), F.lit(n))])
+    picked = df.where(F.col(joint).isin([int(j) for j in joints.values()])).withColumn("_name", names[F.col(joint)])
+    f = motion_features(picked, [*rec, "_name"], fps=fps)
+    feats = ["path_length", "speed_mean", "speed_per_frame", "amp_x", "amp_y", "amplitude", "direction_changes", "orientation_changes", "path_norm_2amp", "path_norm_amp"]
+    return f.groupBy(*rec).agg(*[F.max(F.when(F.col("_name") == n, F.col(c))).alias(f"{n}__{c}") for n in joints for c in feats])
+
+
+def recording_features(df: DataFrame, recording: Sequence[str], joints: dict = MOTION_JOINTS, fps: float = 1.0) -> DataFrame:
+    """26 scalars per recording: pinky speed, distance, amplitudes, direction changes and
+    mean gap to the index finger, knee amplitudes, distance, speed and direction changes,
+    and the distances over the y amplitude (over 1 where that is 0)."""
+    rec = list(recording)
+    used = {n: joints[n] for n in ("pinky_r", "pinky_l", "knee_r", "knee_l")}
+    m = joint_motion(df, rec, used, fps)
+    out = []
+    for s in "rl":
+        c = lambda f, j=f"pinky_{s}": F.col(f"{j}__{f}")
+        out += [c("speed_mean").alias(f"pinky_vel_{s}"), c("path_length").alias(f"pinky_dist_{s}"), c("amp_x").alias(f"pinky_amp_x_{s}"),
+                c("amp_y").alias(f"pinky_amp_y_{s}"), c("direction_changes").alias(f"pinky_turns_{s}"), c("path_norm_amp").alias(f"pinky_dist_norm_{s}")]
+        k = lambda f, j=f"knee_{s}": F.col(f"{j}__{f}")
+        out += [k("speed_mean").alias(f"knee_vel_{s}"), k("path_length").alias(f"knee_dist_{s}"), k("amp_x").alias(f"knee_amp_x_{s}"),
+                k("amp_y").alias(f"knee_amp_y_{s}"), k("direction_changes").alias(f"knee_turns_{s}"), k("path_norm_amp").alias(f"knee_dist_norm_{s}")]
+    t = m.select(*rec, *out)
+    for s in "rl":
+        gap = pair_distance(df, rec, joints[f"pinky_{s}"], joints[f"index_{s}"]).select(*rec, F.col("mean_distance").alias(f"finger_gap_{s}"))
+        t = _attach_left(t, gap, rec)
+    return t
+
+
+def _attach_left(df: DataFrame, other: DataFrame, keys: list) -> DataFrame:
+    o = other.select(*[F.col(c).alias("_k_" + c) if c in keys else F.col(c) for c in other.columns])
+    same = F.lit(True)
+    for c in keys:
+        same = same & df[c].eqNullSafe(o["_k_" + c])
+    return df.join(o, same, "left").drop(*["_k_" + c for c in keys])
+
+
+def exercise_features(df: DataFrame, recording: Sequence[str], exercise: str, joints: dict = MOTION_JOINTS, fps: float = 30.0) -> DataFrame:
+    """Features that belong to the recording's exercise, NULL for the others.  E3: pinky
+    speed, y amplitude and gap to the index finger (root of summed squares), wrist speed;
+    E4: pinky speed, y amplitude and path over twice the amplitude; E5: knee y amplitude,
+    normalised path, speed and orientation changes.  Speeds are path * fps / frames."""
+    rec = list(recording)
+    m = joint_motion(df, [*rec, exercise], {n: j for n, j in joints.items() if n[:-2] in ("pinky", "wrist", "knee")}, fps)
+    for s in "rl":
+        gap = pair_distance(df, [*rec, exercise], joints[f"pinky_{s}"], joints[f"index_{s}"]).select(*rec, exercise, F.col("frobenius").alias(f"_gap_{s}"))
+        m = _attach_left(m, gap, [*rec, exercise])
+    on = lambda *codes: F.col(exercise).isin(*codes)
+    out = []
+    for s in "rl":
+        c = lambda j, f, s=s: F.col(f"{j}_{s}__{f}")
+        out += [F.when(on("E3", "E4"), c("pinky", "speed_per_frame")).alias(f"pinky_speed_{s}"), F.when(on("E3", "E4"), c("pinky", "amp_y")).alias(f"pinky_amp_{s}"),
+                F.when(on("E3"), F.col(f"_gap_{s}")).alias(f"finger_gap_{s}"), F.when(on("E3"), c("wrist", "speed_per_frame")).alias(f"wrist_speed_{s}"),
+                F.when(on("E4"), c("pinky", "path_norm_2amp")).alias(f"pinky_path_{s}"), F.when(on("E5"), c("knee", "amp_y")).alias(f"knee_amp_{s}"),
+                F.when(on("E5"), c("knee", "path_norm_2amp")).alias(f"knee_path_{s}"), F.when(on("E5"), c("knee", "speed_per_frame")).alias(f"knee_speed_{s}"),
+                F.when(on("E5"), c("knee", "orientation_changes")).alias(f"knee_turns_{s}")]
+    return m.select(*rec, exercise, *out)
+
+
+# Joints measured per exercise group in the feature families.
+FAMILY_JOINTS = {"pinky": ("E1", "E2", "E3", "E4"), "toe": ("E4", "E5"), "knee": ("E4", "E5")}
+
+
+def feature_families(df: DataFrame, recording: Sequence[str], exercise: str, joints: dict = MOTION_JOINTS, fps: float = 30.0) -> DataFrame:
+    """Distance, velocity (path * fps / frames) and amplitude (x + y range) of the joints
+    that the exercise uses (``FAMILY_JOINTS``), NULL elsewhere."""
+    rec = list(recording)
+    used = {n: j for n, j in joints.items() if n[:-2] in FAMILY_JOINTS}
+    m = joint_motion(df, [*rec, exercise], used, fps)
+    return m.select(*rec, exercise, *[F.when(F.col(exercise).isin(*FAMILY_JOINTS[n[:-2]]), F.col(f"{n}__{c}")).alias(f"{n}_{name}")
+                                      for n in used for name, c in (("distance", "path_length"), ("velocity", "speed_per_frame"), ("amplitude", "amplitude"))])
+
+
+def asymmetry_vector(df: DataFrame, patient: str, recording: str, exercise: str, joints: dict = MOTION_JOINTS, fps: float = 1.0) -> DataFrame:
+    """Per patient 8 right-minus-left differences of exercise means: E3 pinky speed and y
+    amplitude; E4 the same and the mean distance over twice the mean amplitude; E5 the same
+    three for the knee.  A missing exercise or a zero amplitude counts 0."""
+    m = joint_motion(df, [patient, recording, exercise], {n: joints[n] for n in ("pinky_r", "pinky_l", "knee_r", "knee_l")}, fps)
+    mean = lambda e, c: F.coalesce(F.avg(F.when(F.col(exercise) == e, F.col(c))), F.lit(0.0))
+    parts = [("E3", "pinky"), ("E4", "pinky"), ("E5", "knee")]
+    agg = m.groupBy(patient).agg(*[mean(e, f"{j}_{s}__{f}").alias(f"{e}_{s}_{f}") for e, j in parts for s in "rl" for f in ("speed_mean", "amp_y", "path_length")])
+    out = []
+    for e, j in parts:
+        side = {s: div_or(F.col(f"{e}_{s}_path_length"), 2 * F.col(f"{e}_{s}_amp_y")) for s in "rl"}
+        out += [(F.col(f"{e}_r_speed_mean") - F.col(f"{e}_l_speed_mean")).alias(f"{j}_speed_{e}"), (F.col(f"{e}_r_amp_y") - F.col(f"{e}_l_amp_y")).alias(f"{j}_amp_{e}")]
+        if e != "E3":
+            out.append((side["r"] - side["l"]).alias(f"{j}_path_{e}"))
+    return agg.select(patient, *out)

@@ -1042,35 +1042,96 @@ def q_pose_centre_scale(spark, d):
                               F.col("m.n.cx").alias("cx"), F.col("m.n.cy").alias("cy")))
 
 
-def _limb_sql():
-    sk = _sk()
-    d = lambda a, b: f"sqrt(({_pc('xmean', a)} - {_pc('xmean', b)}) ^ 2 + ({_pc('ymean', a)} - {_pc('ymean', b)}) ^ 2)"
-    (ls, rs), (le, re), (lw, rw), (lh, rh), (la, ra) = sk.shoulders, sk.elbows, sk.wrists, sk.hips, sk.ankles
-    arm_l, arm_r = f"({d(ls, le)} + {d(le, lw)})", f"({d(rs, re)} + {d(re, rw)})"
-    leg_l, leg_r = d(lh, la), d(rh, ra)
-    h = f"greatest(abs({_pc('ymean', ls)} - {_pc('ymean', la)}), abs({_pc('ymean', rs)} - {_pc('ymean', ra)}))"
-    w = d(ls, rs)
-    ny = _pc("ymean", sk.nose)
-    cols = {"arm_l": arm_l, "arm_r": arm_r, "leg_l": leg_l, "leg_r": leg_r, "height": h, "width": w,
-            "hand_nose_dy_l": f"({_pc('ymean', lw)} - {ny})", "hand_nose_dy_r": f"({_pc('ymean', rw)} - {ny})",
-            "arm_l_h": f"{arm_l} / nullif({h}, 0)", "arm_r_h": f"{arm_r} / nullif({h}, 0)",
-            "leg_l_h": f"{leg_l} / nullif({h}, 0)", "leg_r_h": f"{leg_r} / nullif({h}, 0)",
-            "width_h": f"{w} / nullif({h}, 0)"}
-    return ", ".join(f"round({e}, 6) AS {n}" for n, e in cols.items()), arm_l
-
-
-@register("pose_limb_lengths", f"WITH {S.POSE_CTE} SELECT row_id, {_limb_sql()[0]} FROM pose")
-def q_pose_limb_lengths(spark, d):
+# Slot numbers of the geometry set, written apart from the operator (1-based, 33 joints).
+def _geometry_sql(variant, flip, std):
+    n = 33
+    raw = lambda i: f"-features[{i + 1}]" if flip and i < 2 * n and i % 2 == 1 else f"features[{i + 1}]"
+    x, y = (lambda j: f"({raw(2 * j)})"), (lambda j: f"({raw(2 * j + 1)})")
+    base = (lambda j: 66 + 2 * j) if std == "blocked" else (lambda j: 4 * j)
+    sx, sy = (lambda j: f"({raw(base(j))})"), (lambda j: f"({raw(base(j) + 1)})")
+    avg = lambda f, js: "((" + " + ".join(f(j) for j in js) + f") / {float(len(js))})"
+    d = lambda p, q: f"sqrt(({x(p)} - {x(q)}) ^ 2 + ({y(p)} - {y(q)}) ^ 2)"
+    h, w = f"greatest({y(3)} - {y(29)}, {y(6)} - {y(30)})", f"({x(23)} - {x(24)})"
+    ph, pw = (lambda e: f"({e}) / nullif({h}, 0)"), (lambda e: f"({e}) / nullif({w}, 0)")
+    rf, lf, rh, lh = (28, 30, 32), (27, 29, 31), (16, 18, 20, 22), (15, 17, 19, 21)
+    groups = {
+        "limbs": {"l_arm": ph(d(19, 11)), "r_arm": ph(d(20, 12)), "l_leg": ph(d(23, 29)), "r_leg": ph(d(24, 30))},
+        "hand_spread": {"l_hand_spread": pw(sy(19)), "r_hand_spread": pw(sy(20))},
+        "nose": {"l_nose_hand": f"{y(0)} - {y(19)}", "r_nose_hand": f"{y(0)} - {y(20)}"},
+        "bend_spread": {**{f"x_spread{j}": pw(sx(j)) for j in (13, 14, 25, 26)}, **{f"y_spread{j}": ph(sy(j)) for j in (13, 14, 25, 26)}},
+        "end_spread": {k: v for nme, js in (("r_foot", rf), ("l_foot", lf), ("r_hand", rh), ("l_hand", lh)) for k, v in ((f"{nme}_sx", pw(avg(sx, js))), (f"{nme}_sy", ph(avg(sy, js))))},
+        "size": {"height": h, "width": w},
+        "end_position": {k: v for nme, js in (("r_foot", rf), ("l_foot", lf), ("r_hand", rh), ("l_hand", lh)) for k, v in ((f"{nme}_x", pw(avg(x, js))), (f"{nme}_y", ph(avg(y, js))))},
+        "end_difference": {k: v for nme, a, b in (("r", rf, rh), ("l", lf, lh)) for k, v in ((f"{nme}_foot_hand_x", pw(f"{avg(x, a)} - {avg(x, b)}")), (f"{nme}_foot_hand_y", ph(f"{avg(y, a)} - {avg(y, b)}")))},
+    }
+    lead, use = {"base": ([], ["limbs", "hand_spread", "nose", "bend_spread", "size", "end_position", "end_difference"]),
+                 "kept": ([i for m, o in ((2, 0), (2, 1), (4, 0), (4, 1)) for i in (m * j + o for j in (15, 16, 17, 18, 19, 20, 21, 22, 27, 28))], ["limbs", "hand_spread", "nose", "bend_spread", "end_spread", "end_position"]),
+                 "full": (list(range(132)), ["limbs", "hand_spread", "nose", "bend_spread", "end_spread", "end_position"]),
+                 "final": (list(range(132)), ["nose", "bend_spread", "end_spread", "end_position"])}[variant]
+    cols = [f"round({raw(i)}, 6) AS g_raw{k}" for k, i in enumerate(lead)] + [f"round({e}, 6) AS {k}" for g in use for k, e in groups[g].items()]
+    return f"WITH {S.POSE33_CTE} SELECT row_id, {', '.join(cols)} FROM pose33"
+
+
+def _geometry_query(variant, flip, std):
+    def run(spark, d):
+        from ..operators import pose
+        return round_all(pose.body_geometry(tables.pose33_frame(spark, d), "features", pose.BODY33, variant, flip, std, keep=["row_id"]))
+    return run
+
+
+for _name, _args in {"pose_geometry_base": ("base", False, "blocked"), "pose_geometry_kept": ("kept", False, "stride"),
+                     "pose_geometry_full": ("full", True, "blocked"), "pose_geometry_final": ("final", True, "stride")}.items():
+    register(_name, _geometry_sql(*_args))(_geometry_query(*_args))
+
+
+@register("pose_feature_row_33", f"WITH {S.POSE33_CTE} SELECT row_id, {_feature_exprs(__import__('ferrule.operators.pose', fromlist=['x']).POSE33, 33, 6)} FROM pose33")
+def q_pose_feature_row_33(spark, d):
+    from ..operators import pose
+    return round_all(pose.feature_row(tables.pose33_frame(spark, d), "features", pose.POSE33, keep=["row_id"]))
+
+
+SIDES33 = {"l": [0, 4, 5, 6, 8, 10, 12, 14, 16, 18, 20, 22, 24, 26, 28, 30, 32], "r": [1, 2, 3, 7, 9, 11, 13, 15, 17, 19, 21, 23, 25, 27, 29, 31]}
+SIDES33_FRAME = {"r": [4, 5, 6, 8, 10, 12, 14, 16, 18, 20, 22, 24, 26, 28, 30, 32], "l": [0, 1, 2, 3, 7, 9, 11, 13, 15, 17, 19, 21, 23, 25, 27, 29, 31]}
+
+
+def _std_sum(arr, joints):
+    return "(" + " + ".join(f"{arr}[{66 + 2 * j + 1}] + {arr}[{66 + 2 * j + 2}]" for j in joints) + ")"
+
+
+@register("pose_side_normalised", f"""WITH {S.POSE33_CTE},
+l AS (SELECT row_id, list_transform(features, lambda v, k: CASE WHEN list_contains({SIDES33['l']}, ((k - 1) % 66) // 2)
+        THEN v / nullif(abs(features[CASE WHEN k % 2 = 1 THEN 23 ELSE 24 END]), 0) ELSE v END) AS f FROM pose33),
+r AS (SELECT row_id, list_transform(f, lambda v, k: CASE WHEN list_contains({SIDES33['r']}, ((k - 1) % 66) // 2)
+        THEN v / nullif(abs(f[CASE WHEN k % 2 = 1 THEN 25 ELSE 26 END]), 0) ELSE v END) AS f FROM l)
+SELECT row_id, CAST(k - 1 AS INTEGER) AS pos, round(f[k], 4) AS value, round({_std_sum('f', SIDES33['l'])}, 4) AS lstd, round({_std_sum('f', SIDES33['r'])}, 4) AS rstd
+FROM r, range(1, 133) t(k)""")
+def q_pose_side_normalised(spark, d):
+    from ..operators import pose
+    t = pose.side_normalised(tables.pose33_frame(spark, d), "features", 33, SIDES33, {"l": 11, "r": 12}, keep=["row_id"])
+    return round_all(t.select("row_id", F.posexplode("features").alias("pos", "value"), "lstd", "rstd"), 4)
+
+
+@register("pose_shoulder_frame", f"""WITH {S.POSE33_CTE},
+s AS (SELECT row_id, features AS f, nullif(abs(features[23] - features[25]), 0) AS w, nullif((abs(features[24] - features[48]) + abs(features[26] - features[50])) / 2, 0) AS h FROM pose33),
+n AS (SELECT row_id, list_transform(f, lambda v, k: CASE WHEN k % 2 = 1 THEN v / w WHEN k <= 66 THEN -v / h ELSE v / h END) AS f FROM s),
+q AS (SELECT *, {_std_sum('f', SIDES33_FRAME['l'])} AS ls, {_std_sum('f', SIDES33_FRAME['r'])} AS rs FROM n),
+m AS (SELECT row_id, ls, rs, ls > rs AS flip, list_transform(f, lambda v, k: CASE WHEN ls > rs AND k <= 66 AND k % 2 = 1 THEN -v ELSE v END) AS f FROM q)
+SELECT row_id, CAST(k - 1 AS INTEGER) AS pos, round(f[k], 4) AS value, round(CASE WHEN flip THEN rs ELSE ls END, 4) AS lstd, round(CASE WHEN flip THEN ls ELSE rs END, 4) AS rstd,
+  CAST(flip AS INTEGER) AS mirrored, round(sqrt((f[31] - f[1]) ^ 2 + (f[32] - f[2]) ^ 2), 4) AS lhand_dist, round(sqrt((f[33] - f[1]) ^ 2 + (f[34] - f[2]) ^ 2), 4) AS rhand_dist,
+  round(f[51] - f[47], 4) AS lhip_diff, round(f[53] - f[49], 4) AS rhip_diff FROM m, range(1, 133) t(k)""")
+def q_pose_shoulder_frame(spark, d):
     from ..operators import pose
-    return round_all(pose.limb_lengths(_pose(spark, d), "features", _sk(), keep=["row_id"]))
+    t = pose.shoulder_frame(tables.pose33_frame(spark, d), "features", 33, SIDES33_FRAME, (11, 12), (23, 24), (15, 16), (25, 26), 0, keep=["row_id"])
+    return round_all(t.select("row_id", F.posexplode("features").alias("pos", "value"), "lstd", "rstd", "mirrored", "lhand_dist", "rhand_dist", "lhip_diff", "rhip_diff"), 4)
 
 
-@register("pose_arm_over_patient_max", f"""WITH {S.POSE_CTE}, a AS (SELECT row_id, patient_id, {_limb_sql()[1]} AS arm FROM pose)
-SELECT row_id, patient_id, round(arm / nullif(max(arm) OVER (PARTITION BY patient_id), 0), 6) AS arm_rel FROM a""")
+@register("pose_arm_over_patient_max", f"""WITH {S.POSE33_CTE}, a AS (SELECT row_id, patient_id, sqrt((features[39] - features[23]) ^ 2 + (features[40] - features[24]) ^ 2)
+  / nullif(greatest(features[8] - features[60], features[14] - features[62]), 0) AS arm, features[2] - features[40] AS dy FROM pose33)
+SELECT row_id, patient_id, round(arm / nullif(max(arm) OVER (PARTITION BY patient_id), 0), 6) AS arm_rel, round(dy, 6) AS l_nose_hand FROM a""")
 def q_pose_arm_over_patient_max(spark, d):
     from ..operators import pose
-    g = pose.limb_lengths(_pose(spark, d), "features", _sk(), keep=["row_id", "patient_id"])
-    return round_all(pose.arm_over_patient_max(g, "arm_l", "patient_id").select("row_id", "patient_id", "arm_rel"))
+    g = pose.body_geometry(tables.pose33_frame(spark, d), "features", pose.BODY33, "base", keep=["row_id", "patient_id"])
+    return round_all(pose.arm_over_patient_max(g, "l_arm", "patient_id").select("row_id", "patient_id", "arm_rel", "l_nose_hand"))
 
 
 @register("pose_mirror", f"""WITH {S.POSE_CTE}, fr AS (SELECT row_id, features, {_feature_row_sql(None)} FROM pose),
@@ -1396,3 +1457,97 @@ def q_fold_learning_curve(spark, d):
     sc = metrics.regression_scores(sized.withColumn("param", F.regexp_replace("model", "a", "").cast("double")),
                                    ["size", "param"])
     return folds.learning_curve(sc, "size", "param", "r2", 700.0)
+
+
+# --------------------------------------------------------------------------- recording features
+
+XKEYS = "patient_id, exercise_id, recording"
+MOTION_CTE = S.JSEQ_CTE + f""",
+ang AS (SELECT *, CASE WHEN has_prev THEN atan2(y - lag(y) OVER w, x - lag(x) OVER w) END AS angle FROM jsteps WINDOW w AS (PARTITION BY recording, joint ORDER BY frame)),
+turn AS (SELECT *, abs(angle - lag(angle) OVER (PARTITION BY recording, joint ORDER BY frame)) AS dangle FROM ang),
+jm AS (SELECT CAST(recording // 5 AS INTEGER) AS patient_id, 'E' || CAST(recording % 5 + 1 AS VARCHAR) AS exercise_id, recording, joint,
+  sum(step) AS path, coalesce(avg(step) FILTER (WHERE has_prev), 0) AS mstep, count(*) AS t, max(x) - min(x) AS ax, max(y) - min(y) AS ay,
+  count(*) FILTER (WHERE least(dangle, 2 * pi() - dangle) > 0.5) AS dirs, count(*) FILTER (WHERE dangle > pi() / 4) AS turns FROM turn GROUP BY ALL),
+gap AS (SELECT a.recording, a.joint AS ja, b.joint AS jb, avg(sqrt((a.x - b.x) ^ 2 + (a.y - b.y) ^ 2)) AS g, sqrt(sum((a.x - b.x) ^ 2 + (a.y - b.y) ^ 2)) AS fro
+  FROM jseq a JOIN jseq b USING (recording, frame) GROUP BY ALL)"""
+
+
+def _jm(e, joint):
+    return f"max({e}) FILTER (WHERE joint = {joint})"
+
+
+def _gap(col, a, b):
+    return f"(SELECT {col} FROM gap WHERE gap.recording = jm.recording AND ja = {a} AND jb = {b})"
+
+
+def _w16_sql():
+    out = []
+    for s, pk, kn, ix in (("r", 17, 27, 19), ("l", 18, 26, 20)):
+        for nme, j in (("pinky", pk), ("knee", kn)):
+            out += [f"round({_jm('mstep', j)}, 6) AS {nme}_vel_{s}", f"round({_jm('path', j)}, 6) AS {nme}_dist_{s}", f"round({_jm('ax', j)}, 6) AS {nme}_amp_x_{s}",
+                    f"round({_jm('ay', j)}, 6) AS {nme}_amp_y_{s}", f"{_jm('dirs', j)} AS {nme}_turns_{s}", f"round({_jm('path / CASE WHEN ay = 0 THEN 1 ELSE ay END', j)}, 6) AS {nme}_dist_norm_{s}"]
+        out.append(f"round({_gap('g', pk, ix)}, 6) AS finger_gap_{s}")
+    return f"WITH {MOTION_CTE} SELECT {XKEYS}, {', '.join(out)} FROM jm GROUP BY {XKEYS}"
+
+
+@register("seq_recording_features", _w16_sql())
+def q_seq_recording_features(spark, d):
+    return round_all(seq.recording_features(tables.exercise_sequence_frame(spark, d), ["patient_id", "exercise_id", "recording"]))
+
+
+def _w17_sql():
+    on = lambda codes, e: f"CASE WHEN exercise_id IN ({', '.join(repr(c) for c in codes)}) THEN {e} END"
+    fro = lambda a, b: _gap("fro", a, b)
+    out = []
+    for s, pk, kn, ix, wr in (("r", 17, 27, 19, 16), ("l", 18, 26, 20, 15)):
+        speed = lambda j: f"round({_jm('path * 30 / t', j)}, 6)"
+        norm = lambda j: f"round({_jm('coalesce(path / nullif(2 * ay, 0), 0)', j)}, 6)"
+        amp = lambda j: f"round({_jm('ay', j)}, 6)"
+        out += [f"{on(['E3', 'E4'], speed(pk))} AS pinky_speed_{s}", f"{on(['E3', 'E4'], amp(pk))} AS pinky_amp_{s}", f"{on(['E3'], f'round({fro(pk, ix)}, 6)')} AS finger_gap_{s}",
+                f"{on(['E3'], speed(wr))} AS wrist_speed_{s}", f"{on(['E4'], norm(pk))} AS pinky_path_{s}", f"{on(['E5'], amp(kn))} AS knee_amp_{s}", f"{on(['E5'], norm(kn))} AS knee_path_{s}",
+                f"{on(['E5'], speed(kn))} AS knee_speed_{s}", f"{on(['E5'], _jm('turns', kn))} AS knee_turns_{s}"]
+    return f"WITH {MOTION_CTE} SELECT recording, exercise_id, {', '.join(out)} FROM jm GROUP BY recording, exercise_id"
+
+
+@register("seq_exercise_features", _w17_sql())
+def q_seq_exercise_features(spark, d):
+    return round_all(seq.exercise_features(tables.exercise_sequence_frame(spark, d), ["recording"], "exercise_id"))
+
+
+def _w18_sql():
+    out = []
+    for nme, r, left, codes in (("pinky", 17, 18, "'E1', 'E2', 'E3', 'E4'"), ("toe", 31, 30, "'E4', 'E5'"), ("knee", 27, 26, "'E4', 'E5'")):
+        for s, j in (("r", r), ("l", left)):
+            for f, e in (("distance", "path"), ("velocity", "path * 30 / t"), ("amplitude", "ax + ay")):
+                out.append(f"CASE WHEN exercise_id IN ({codes}) THEN round({_jm(e, j)}, 6) END AS {nme}_{s}_{f}")
+    return f"WITH {MOTION_CTE} SELECT recording, exercise_id, {', '.join(out)} FROM jm GROUP BY recording, exercise_id"
+
+
+@register("seq_feature_families", _w18_sql())
+def q_seq_feature_families(spark, d):
+    return round_all(seq.feature_families(tables.exercise_sequence_frame(spark, d), ["recording"], "exercise_id"))
+
+
+def _a14_sql():
+    m = lambda e, j, c: f"coalesce(avg({c}) FILTER (WHERE exercise_id = '{e}' AND joint = {j}), 0)"
+    out = []
+    for e, nme, r, left in (("E3", "pinky", 17, 18), ("E4", "pinky", 17, 18), ("E5", "knee", 27, 26)):
+        out += [f"round({m(e, r, 'mstep')} - {m(e, left, 'mstep')}, 6) AS {nme}_speed_{e}", f"round({m(e, r, 'ay')} - {m(e, left, 'ay')}, 6) AS {nme}_amp_{e}"]
+        if e != "E3":
+            norm = lambda j: f"coalesce({m(e, j, 'path')} / nullif(2 * {m(e, j, 'ay')}, 0), 0)"
+            out.append(f"round({norm(r)} - {norm(left)}, 6) AS {nme}_path_{e}")
+    return f"WITH {MOTION_CTE} SELECT patient_id, {', '.join(out)} FROM jm GROUP BY patient_id"
+
+
+@register("seq_asymmetry_vector", _a14_sql())
+def q_seq_asymmetry_vector(spark, d):
+    return round_all(seq.asymmetry_vector(tables.exercise_sequence_frame(spark, d), "patient_id", "recording", "exercise_id"))
+
+
+@register("seq_part_jitter", f"""WITH {S.JSEQ_CTE},
+sm AS (SELECT *, sum(x) OVER w / 4 AS mx, sum(y) OVER w / 4 AS my FROM jseq WINDOW w AS (PARTITION BY recording, joint ORDER BY frame ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)),
+pf AS (SELECT recording, frame, part, side, sum(sqrt((x - mx) ^ 2 + (y - my) ^ 2)) AS v FROM sm JOIN parts USING (joint) GROUP BY ALL)
+SELECT recording, part, side, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, round(quantile_cont(v, 0.5), 6) AS median FROM pf GROUP BY ALL""")
+def q_seq_part_jitter(spark, d):
+    st = seq.motion_steps(tables.joint_sequence_frame(spark, d), JKEYS).select("recording", "joint", "frame", "jitter")
+    return round_all(seq.part_stats(st, tables.joint_parts(spark), ["recording"], "jitter"))

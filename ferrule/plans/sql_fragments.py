@@ -52,6 +52,10 @@ POSE_CTE = """pose AS (
   FROM embeddings)"""
 
 
+POSE33_CTE = POSE_CTE + """,
+pose33 AS (SELECT row_id, patient_id, list_transform(range(132), lambda i: features[i % 64 + 1] * (1 + i // 64)) AS features FROM pose)"""
+
+
 def portable_hash_sql(expr: str, seed: int | str = 42) -> str:
     return f"CAST(('0x' || substr(md5(CAST({expr} AS VARCHAR) || '{seed}'), 1, 8)) AS BIGINT)"
 

@@ -86,6 +86,21 @@ def pose_frame(spark: SparkSession, sf_dir: str, n_groups: int = 14) -> DataFram
                       F.col("label").cast("double").alias("target"))
 
 
+def pose33_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of 33 joints (132 slots) for the full layout: slot i holds embedding[i mod 64]
+    times 1 + i div 64."""
+    wide = F.transform(F.sequence(F.lit(0), F.lit(131)), lambda i: F.element_at("features", (i % 64 + 1).cast("int")) * (1 + F.floor(i / 64)))
+    return pose_frame(spark, sf_dir).select("row_id", "patient_id", wide.alias("features"), "target")
+
+
+def exercise_sequence_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The multi-joint frame table with a patient and an exercise per recording:
+    exercise E1..E5 by recording mod 5, patient = recording div 5."""
+    return joint_sequence_frame(spark, sf_dir).withColumns({
+        "patient_id": F.floor(F.col("recording") / 5).cast("int"),
+        "exercise_id": F.concat(F.lit("E"), (F.col("recording") % 5 + 1).cast("string"))})
+
+
 def prediction_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classification predictions: ``row_id, y_true (quality), y_pred (toxic)``."""
     lb = read_table(spark, sf_dir, "labels")
