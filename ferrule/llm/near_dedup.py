@@ -17,9 +17,9 @@ is one shingle).  Two documents are linked when their weighted Jaccard similarit
 3. **Banding.** ``bands`` keys of ``rows`` components.  Each bucket links its members
    to its least id, so a bucket of any size gives one pair per member.
 4. **Verification.** Multiset overlap of the two documents of each candidate pair.
-5. **Rest of a bucket.** Members that ended up in different classes of one bucket
-   are compared among themselves, unless the triangle inequality on the distances
-   to the bucket's least id rules the pair out or the total weights do.
+5. **Rest.** Documents that ended up in different classes of one bucket are compared
+   too, unless an upper bound on their overlap or a prefix filter on their rare
+   shingles (see ``_rest``) rules the pair out; neither loses a link.
 6. Classes are the connected components of the links.
 
 A pair at the threshold shares no bucket with probability (1 - 0.8^4)^32 = 5e-8.
@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -56,7 +56,7 @@ def bag_min_hash(doc: np.ndarray, key: np.ndarray, weight: np.ndarray, n_docs: i
     step = 0
     while len(d):
         step += 1
-        r = mix(seed + U(step) * _GOLD)
+        r = mix(seed + np.uint64(step * int(_GOLD) & (1 << 64) - 1))
         x = x - np.log1p(-((r >> U(11)).astype(np.float64) * 2.0 ** -53)) / length
         s = mix(r ^ _GOLD)
         slot = d * m + (s % U(m)).astype(np.int64)
@@ -180,7 +180,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     feats = common.save(src.where("id IS NOT NULL").mapInArrow(
         _features(k, bands, rows), "id long, copy string, weight long, bands array<long>, bag binary"), "bag-features")
-    rep = feats.where("copy IS NOT NULL").groupBy("copy").agg(F.min("id").alias("rep"))
+    rep = common.save(feats.where("copy IS NOT NULL").groupBy("copy").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "bag-reps")
     copies = common.save(feats.select("id", "copy").join(rep, "copy", "left").select("id", F.coalesce("rep", "id").alias("rep")), "bag-copies")
     keys = feats.join(copies.where("id = rep").select(F.col("id").alias("k")).distinct(), F.col("id") == F.col("k"), "left_semi") \
         .where("copy IS NOT NULL").select("id", "weight", F.explode("bands").alias("key"))
@@ -194,7 +194,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = common.save(_similar(pairs, bags), "bag-stars")
     links = stars.where(F.col("sim") >= threshold).select("a", "b")
     label = components(links)
-    rest = _rest(members, stars, label, threshold)
+    rest = _rest(members, bags, label, threshold)
     if rest.limit(1).count():
         more = common.save(_similar(rest, bags).where(F.col("sim") >= threshold).select("a", "b"), "bag-more")
         label = components(links.union(more))
@@ -204,23 +204,62 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return named.union(lost)
 
 
-def _rest(members: DataFrame, stars: DataFrame, label: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of one bucket in different classes that neither the distance to the
-    bucket's pivot nor the total weight rules out, and that were not compared yet."""
-    far = 1 - threshold
+def _units(batches):
+    """Rows ``(id, family, bag)`` to a row per unit of the bag: (shingle, i-th occurrence)."""
+    for batch in batches:
+        ids, fam, bags = (c.to_pylist() for c in batch.columns)
+        for i, f, raw in zip(ids, fam, bags):
+            key, times = _open_bag(raw)
+            rep = np.repeat(np.arange(len(key)), times)
+            nth = np.arange(len(rep)) - np.repeat(np.cumsum(times) - times, times)
+            unit = mix(key[rep].astype(np.uint64) * _GOLD + nth.astype(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_pydict({"id": np.full(len(unit), i), "family": np.full(len(unit), f), "unit": unit})
+
+
+def _rest(members: DataFrame, bags: DataFrame, label: DataFrame, threshold: float) -> DataFrame:
+    """Pairs in different classes of one family that can still be links.
+
+    A family is a set of documents chained by buckets that hold several classes.  Its core
+    is the units that most of its documents hold; a unit of one document alone is shared
+    with none.  With n units, k of the core and s other shared ones, two documents
+    overlap in at most min(k, k') + min(s, s'), and a link needs t / (1 + t) * (n + n').
+    Either min(k, k') is enough, or both share one of their rarest s - r + 1 other units,
+    r = max(1, t * n - k) (prefix filter).  One document of a pair lies outside the
+    family's largest class, so the copies of a large class are never paired.
+    """
     comp = label.select(F.col("id").alias("i"), "component")
-    m = members.join(comp, members["id"] == comp["i"], "left").select(
-        "key", "id", "weight", "pivot", F.coalesce("component", "id").alias("class"))
-    mixed = m.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count(F.lit(1)).alias("n")) \
-        .where("lo < hi AND n > 2").select(F.col("key").alias("k"))
-    m = m.join(mixed, F.col("key") == F.col("k"), "left_semi")
-    m = m.join(stars.select(F.col("a").alias("id"), F.col("b").alias("pivot"), "sim"), ["id", "pivot"], "left")
-    m = common.save(m.where("id <> pivot").select("key", "id", "weight", "class", (1 - F.coalesce("sim", F.lit(0.0))).alias("dist")), "bag-mixed")
-    x, y = m.alias("x"), m.alias("y")
-    near = (F.abs(F.col("x.dist") - F.col("y.dist")) <= far + 1e-9) & (
-        F.least("x.weight", "y.weight") >= F.greatest("x.weight", "y.weight") * (threshold - 1e-9))
-    return common.save(x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") > F.col("y.id")) & (F.col("x.class") != F.col("y.class")) & near)
-                       .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "bag-rest")
+    m = members.join(comp, members["id"] == comp["i"], "left").select("key", "id", "weight", "pivot", F.coalesce("component", "id").alias("class"))
+    mixed = m.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi AND n > 2").select(F.col("key").alias("k"))
+    m = common.save(m.join(mixed, F.col("key") == F.col("k"), "left_semi").select("id", "weight", "pivot", "class").distinct(), "bag-mixed")
+    family = components(m.select(F.col("id").alias("a"), F.col("pivot").alias("b"))).withColumnRenamed("id", "i")
+    docs = common.save(m.select("id", "weight", "class").distinct().join(family, F.col("id") == F.col("i")).select("id", "weight", "class", F.col("component").alias("family")), "bag-pool")
+    size = docs.groupBy("family", "class").agg(F.count(F.lit(1)).alias("c")).groupBy("family").agg(F.sum("c").alias("size"), F.max_by("class", "c").alias("main"))
+    size = common.save(size, "bag-families").withColumnRenamed("family", "f")
+    units = common.save(docs.select("id", "family").join(bags.withColumnRenamed("id", "i"), F.col("id") == F.col("i")).select("id", "family", "bag")
+                        .mapInArrow(_units, "id long, family long, unit long"), "bag-units")
+    df = common.save(units.groupBy("family", "unit").agg(F.count(F.lit(1)).alias("df")).where("df > 1").join(size, F.col("family") == F.col("f"))
+                     .select(F.col("family").alias("f"), F.col("unit").alias("u"), "df", (F.col("df") * 2 > F.col("size")).alias("core")), "bag-df")
+    held = common.save(units.join(df, (F.col("family") == F.col("f")) & (F.col("unit") == F.col("u"))).select("id", "family", "unit", "df", "core"), "bag-held")
+    count = held.groupBy(F.col("id").alias("i")).agg(F.sum(F.col("core").cast("long")).alias("core_n"), F.sum((~F.col("core")).cast("long")).alias("other_n"))
+    docs = docs.join(count, docs["id"] == count["i"], "left").join(size, F.col("family") == F.col("f")).select(
+        "id", "weight", "class", "family", F.coalesce("core_n", F.lit(0)).alias("k"), F.coalesce("other_n", F.lit(0)).alias("s"), (F.col("class") != F.col("main")).alias("outside"))
+    docs = common.save(docs, "bag-bounds")
+    share = threshold / (1 + threshold)
+
+    def bound(extra: bool):
+        most = F.least("x.k", "y.k") + (F.least("x.s", "y.s") if extra else F.lit(0))
+        return (F.col("x.class") != F.col("y.class")) & (F.col("x.id") != F.col("y.id")) & (most >= (F.col("x.weight") + F.col("y.weight")) * share - 1e-9)
+
+    fit = docs.where(F.col("k") >= F.col("weight") * threshold - 1e-9)
+    by_core = fit.where("outside").alias("x").join(fit.alias("y"), (F.col("x.family") == F.col("y.family")) & bound(False))
+    rank = Window.partitionBy("id").orderBy("df", "unit")  # the units of one document
+    need = F.greatest(F.lit(1), F.ceil(F.col("weight") * threshold - F.col("k") - 1e-9))
+    rare = held.where("NOT core").select("id", "unit", F.row_number().over(rank).alias("r")).join(docs.withColumnRenamed("id", "i"), F.col("id") == F.col("i")) \
+        .where(F.col("r") <= F.col("s") - need + 1).select("id", "unit", "weight", "class", "family", "k", "s", "outside")
+    rare = common.save(rare, "bag-rare")
+    by_rare = rare.where("outside").alias("x").join(rare.alias("y"), (F.col("x.family") == F.col("y.family")) & (F.col("x.unit") == F.col("y.unit")) & bound(True))
+    pairs = by_core.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).union(by_rare.select("x.id", "y.id"))
+    return common.save(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "bag-rest")
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
