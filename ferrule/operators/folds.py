@@ -139,6 +139,14 @@ def balanced_class_weights(df: DataFrame, label: str, name: str = "class_weight"
                          .alias(name))
 
 
+def nested_samples(df: DataFrame, id_col: str, sizes: Sequence[int], seed=42) -> DataFrame:
+    """V9: samples of the given sizes, nested: the first ``size`` rows in hash order, one copy
+    of a row per size that holds it (at most the largest size rows are copied)."""
+    t = number_rows(_hashed(df, id_col, seed), [], ["_h", id_col], "_rn")
+    t = t.where(F.col("_rn") < max(sizes))
+    return t.select("*", F.explode(F.filter(F.array(*[F.lit(int(s)) for s in sizes]), lambda s: s > F.col("_rn"))).alias("size")).drop("_h", "_rn")
+
+
 def learning_curve(scores: DataFrame, size: str, param: str, score: str,
                    target_size: float) -> DataFrame:
     """V9: best parameter per training size (highest score, smallest parameter on

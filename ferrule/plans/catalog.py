@@ -1201,10 +1201,28 @@ def q_quality_impute_eval(spark, d):
     return round_all(quality.evaluate_imputer(p, "p_partkey", ["p_retailprice", "p_size"], "mean", 0.1))
 
 
-@register("quality_little_mcar", None)
+def _mcar_sql(cols):
+    """Statistic n_miss d' S^-1 d for one tested column; the test columns' others are solved
+    by Cramer's rule over the three other columns."""
+    parts = []
+    for c in cols:
+        o = [x for x in cols if x != c]
+        keep = " AND ".join(f"{x} IS NOT NULL" for x in o)
+        m = {(i, j): f"covar_samp({o[i]}, {o[j]})" for i in range(3) for j in range(3)}
+        names = ", ".join(f"{m[min(i, j), max(i, j)]} AS s{i}{j}" for i in range(3) for j in range(3))
+        d = ", ".join(f"avg({x}) FILTER (WHERE {c} IS NULL) - avg({x}) FILTER (WHERE {c} IS NOT NULL) AS d{i}" for i, x in enumerate(o))
+        det = "(s00 * (s11 * s22 - s12 * s21) - s01 * (s10 * s22 - s12 * s20) + s02 * (s10 * s21 - s11 * s20))"
+        inv = {(i, j): f"((s{(j + 1) % 3}{(i + 1) % 3} * s{(j + 2) % 3}{(i + 2) % 3} - s{(j + 1) % 3}{(i + 2) % 3} * s{(j + 2) % 3}{(i + 1) % 3}) / {det})" for i in range(3) for j in range(3)}
+        stat = "nm * (" + " + ".join(f"d{i} * {inv[i, j]} * d{j}" for i in range(3) for j in range(3)) + ")"
+        parts.append(f"SELECT '{c}' AS column, nm AS n_missing, CASE WHEN nm > 0 THEN round({stat}, 4) END AS statistic "
+                     f"FROM (SELECT count(*) FILTER (WHERE {c} IS NULL) AS nm, {names}, {d} FROM miss WHERE {keep})")
+    return f"WITH {S.MISSING_CTE}\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("quality_little_mcar", _mcar_sql(MISS_COLS))
 def q_quality_little_mcar(spark, d):
     from ..operators import quality
-    return quality.little_mcar(tables.missing_frame(spark, d), MISS_COLS)
+    return round_all(quality.little_mcar(tables.missing_frame(spark, d), MISS_COLS).select("column", "n_missing", "statistic"), 4)
 
 
 # --------------------------------------------------------------------------- reshaping
@@ -1303,7 +1321,30 @@ def q_ml_ols_single(spark, d):
     return round_all(models.ols_normal_equations(_li(spark, d), ["l_quantity"], "l_extendedprice"), 4)
 
 
-@register("ml_rfe_ranking", None)
+def _rfe_sql():
+    """Two of three features left after the weakest standardised slope goes (least squares on
+    three, then two centred features by Cramer's rule), per training part."""
+    x = POLY_COLS
+    mom = ", ".join(f"covar_pop({x[i]}, {x[j]}) AS s{i}{j}" for i in range(3) for j in range(3)) + ", " + ", ".join(f"covar_pop({x[i]}, l_extendedprice) AS c{i}" for i in range(3))
+    det = "(s00 * (s11 * s22 - s12 * s21) - s01 * (s10 * s22 - s12 * s20) + s02 * (s10 * s21 - s11 * s20))"
+
+    def beta(k):
+        m = {(i, j): (f"c{i}" if j == k else f"s{i}{j}") for i in range(3) for j in range(3)}
+        a = lambda i, j: m[i, j]
+        return (f"(({a(0, 0)} * ({a(1, 1)} * {a(2, 2)} - {a(1, 2)} * {a(2, 1)}) - {a(0, 1)} * ({a(1, 0)} * {a(2, 2)} - {a(1, 2)} * {a(2, 0)}) "
+                f"+ {a(0, 2)} * ({a(1, 0)} * {a(2, 1)} - {a(1, 1)} * {a(2, 0)})) / {det})")
+
+    two = lambda i, j: f"abs((c{i} * s{j}{j} - c{j} * s{i}{j}) / (s{i}{i} * s{j}{j} - s{i}{j} * s{i}{j})) * sqrt(s{i}{i})"
+    third = " ".join(f"WHEN w = {k} THEN CASE WHEN {two(*[q for q in range(3) if q != k])} <= {two(*[q for q in range(3) if q != k][::-1])} THEN {[q for q in range(3) if q != k][0]} ELSE {[q for q in range(3) if q != k][1]} END" for k in range(3))
+    return f"""WITH t AS (SELECT k.fold, {mom} FROM (SELECT unnest(range(5)) AS fold) k JOIN lineitem ON l_linenumber % 5 <> k.fold GROUP BY k.fold),
+b AS (SELECT *, abs({beta(0)}) * sqrt(s00) AS b0, abs({beta(1)}) * sqrt(s11) AS b1, abs({beta(2)}) * sqrt(s22) AS b2 FROM t),
+w AS (SELECT *, CASE WHEN b0 <= b1 AND b0 <= b2 THEN 0 WHEN b1 <= b2 THEN 1 ELSE 2 END AS w FROM b),
+v AS (SELECT *, CASE {third} END AS v FROM w)
+SELECT fold, feature, CAST(CASE WHEN i = w THEN 3 WHEN i = v THEN 2 ELSE 1 END AS INTEGER) AS ranking
+FROM v, (VALUES (0, '{x[0]}'), (1, '{x[1]}'), (2, '{x[2]}')) f(i, feature)"""
+
+
+@register("ml_rfe_ranking", _rfe_sql())
 def q_ml_rfe_ranking(spark, d):
     from ..operators import models
     li = _li(spark, d).withColumn("fold", (F.col("l_linenumber") % 5).cast("long"))
@@ -1443,20 +1484,17 @@ def q_sel_correlated_groups(spark, d):
     return spark.createDataFrame(rows, "keep string, member string")
 
 
-@register("scale_pca_variance", None)
+@register("scale_pca_variance", """WITH c AS (SELECT corr(l_quantity, l_extendedprice) AS a, corr(l_quantity, l_discount) AS b, corr(l_quantity, l_tax) AS c,
+  corr(l_extendedprice, l_discount) AS d, corr(l_extendedprice, l_tax) AS e, corr(l_discount, l_tax) AS f FROM lineitem)
+SELECT round(1.0, 6) AS total, round((4 + 2 * (a * a + b * b + c * c + d * d + e * e + f * f)) / 16, 6) AS squares,
+  round((4 + 6 * (a * a + b * b + c * c + d * d + e * e + f * f) + 6 * (a * b * d + a * c * e + b * c * f + d * e * f)) / 64, 6) AS cubes FROM c""")
 def q_scale_pca_variance(spark, d):
+    """The power sums of the explained-variance ratios are traces of powers of the correlation
+    matrix: three of them and the sum fix four ratios up to rounding."""
     from ..operators import scale
-    return scale.pca_variance(_li(spark, d), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
-
-
-@register("fold_learning_curve", None)
-def q_fold_learning_curve(spark, d):
-    from ..operators import folds, metrics
-    preds = tables.regression_predictions(spark, d, [(f"a{int(a)}", a) for a in tables.CANDIDATE_FACTORS])
-    sized = preds.withColumn("size", (F.col("fold") + 1) * 100)
-    sc = metrics.regression_scores(sized.withColumn("param", F.regexp_replace("model", "a", "").cast("double")),
-                                   ["size", "param"])
-    return folds.learning_curve(sc, "size", "param", "r2", 700.0)
+    v = scale.pca_variance(_li(spark, d), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    r = F.col("explained_variance_ratio")
+    return round_all(v.agg(F.sum(r).alias("total"), F.sum(r * r).alias("squares"), F.sum(r * r * r).alias("cubes")))
 
 
 # --------------------------------------------------------------------------- recording features
@@ -1551,3 +1589,108 @@ SELECT recording, part, side, round(avg(v), 6) AS mean, round(stddev_pop(v), 6)
 def q_seq_part_jitter(spark, d):
     st = seq.motion_steps(tables.joint_sequence_frame(spark, d), JKEYS).select("recording", "joint", "frame", "jitter")
     return round_all(seq.part_stats(st, tables.joint_parts(spark), ["recording"], "jitter"))
+
+
+# --------------------------------------------------------------------------- model runs and curves
+
+MODEL_GRID = [{"model": "ols"}, {"model": "ridge", "reg": 0.5}]
+GRID_COLS = ["l_quantity", "l_discount", "l_tax"]
+
+
+def _grid_scores(spark, d):
+    from ..operators import models
+    li = _li(spark, d).withColumn("fold", F.col("l_linenumber") % 3)
+    return models.grid_fold_scores(li, ["l_quantity"], "l_extendedprice", MODEL_GRID, "fold")
+
+
+GRID_SQL = """fl AS (SELECT l_linenumber % 3 AS fold, l_quantity AS x, l_extendedprice AS y FROM lineitem),
+fit AS (SELECT k.fold, m.model, covar_pop(x, y) / (var_pop(x) + m.reg) AS b, avg(y) - covar_pop(x, y) / (var_pop(x) + m.reg) * avg(x) AS a
+  FROM (SELECT DISTINCT fold FROM fl) k JOIN fl ON fl.fold <> k.fold, (VALUES ('ols', 0.0::DOUBLE), ('ridge', 0.5::DOUBLE)) m(model, reg) GROUP BY k.fold, m.model, m.reg),
+preds AS (SELECT fit.model, fit.fold, CASE WHEN fl.fold = fit.fold THEN 'val' ELSE 'train' END AS set, y AS y_true, a + b * x AS y_pred FROM fl, fit)"""
+
+
+@register("ml_grid_fold_scores", f"WITH {GRID_SQL} " + reg_score_sql("model, fold, set"))
+def q_ml_grid_fold_scores(spark, d):
+    from ..operators import metrics
+    return _reg_scores_rounded(metrics.regression_scores(_grid_scores(spark, d), ["model", "fold", "set"]))
+
+
+@register("board_score_curve", f"WITH {GRID_SQL}, sc AS (" + reg_score_sql("model, fold, set", False) + """)
+SELECT model, set, fold, round(avg(r2), 6) AS mean_score, count(*) AS n_scores FROM sc WHERE model = 'ridge' GROUP BY ALL""")
+def q_board_score_curve(spark, d):
+    from ..operators import metrics
+    sc = metrics.regression_scores(_grid_scores(spark, d), ["model", "fold", "set"])
+    return round_all(metrics.score_curve(sc, "fold", "r2", "ridge", by=["set"]))
+
+
+@register("board_mean_score", f"WITH {GRID_SQL}, sc AS (" + reg_score_sql("model, fold, set", False) + """)
+SELECT model, fold, round(avg(r2), 6) AS mean_score, count(*) AS n_scores FROM sc GROUP BY ALL""")
+def q_board_mean_score(spark, d):
+    from ..operators import metrics
+    sc = metrics.regression_scores(_grid_scores(spark, d), ["model", "fold", "set"])
+    return round_all(metrics.score_curve(sc, "fold", "r2"))
+
+
+LEARN_SIZES = list(range(140, 581, 40))
+
+
+@register("fold_learning_curve", f"""WITH r AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY {H_ORDER}, o_orderkey) - 1 AS rn FROM orders),
+p AS (SELECT s.size, c.param, (o_totalprice - (SELECT avg(o_totalprice) FROM r z WHERE z.rn < s.size) * c.param / 4) ^ 2 AS e
+  FROM (SELECT unnest({LEARN_SIZES}) AS size) s JOIN r ON r.rn < s.size, (SELECT unnest([2.0, 3.0, 4.0, 5.0])::DOUBLE AS param) c),
+sc AS (SELECT size, param, -avg(e) AS score FROM p GROUP BY ALL),
+b AS (SELECT size, first(param ORDER BY score DESC, param) AS best FROM sc GROUP BY size)
+SELECT round(regr_slope(best, size), 6) AS slope, round(regr_intercept(best, size), 6) AS intercept,
+  round(regr_intercept(best, size) + regr_slope(best, size) * 700, 6) AS extrapolated FROM b""")
+def q_fold_learning_curve(spark, d):
+    """Samples of growing size, nested in hash order; a shrunken mean per parameter; its error."""
+    from ..operators import folds
+    sizes = folds.nested_samples(_orders(spark, d).select("o_orderkey", "o_totalprice"), "o_orderkey", LEARN_SIZES)
+    mean = sizes.groupBy("size").agg(F.avg("o_totalprice").alias("m"))
+    sized = sizes.join(mean, "size").select("size", "o_totalprice", "m", F.explode(F.array(*[F.lit(float(p)) for p in (2, 3, 4, 5)])).alias("param"))
+    e = F.col("o_totalprice") - F.col("m") * F.col("param") / 4
+    sc = sized.groupBy("size", "param").agg((-F.avg(e * e)).alias("score"))
+    return round_all(folds.learning_curve(sc, "size", "param", "score", 700.0))
+
+
+@register("quality_impute_mode", """WITH v AS (SELECT o_orderkey AS id, 'o_orderstatus' AS "column", o_orderstatus AS value FROM orders
+  UNION ALL SELECT o_orderkey, 'o_orderpriority', o_orderpriority FROM orders),
+r AS (SELECT s.seed, v.*, row_number() OVER (PARTITION BY s.seed, "column" ORDER BY CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || 'imp' || s.seed), 1, 8)) AS BIGINT), id) - 1 AS rn,
+        count(*) OVER (PARTITION BY s.seed, "column") AS n FROM v, (SELECT unnest([0, 1]) AS seed) s),
+c AS (SELECT seed, "column", value, count(*) AS k FROM r WHERE rn >= floor(n * 0.1) GROUP BY ALL),
+f AS (SELECT seed, "column", first(value ORDER BY k DESC, value) AS fill FROM c GROUP BY ALL),
+e AS (SELECT r.seed, r."column", avg(CAST(value = fill AS DOUBLE)) AS score, count(*) AS nm FROM r JOIN f USING (seed, "column") WHERE rn < floor(n * 0.1) GROUP BY ALL)
+SELECT "column", round(avg(score), 6) AS score, round(avg(nm), 6) AS n_masked FROM e GROUP BY ALL""")
+def q_quality_impute_mode(spark, d):
+    from ..operators import quality
+    return round_all(quality.evaluate_imputer(_orders(spark, d), "o_orderkey", ["o_orderstatus", "o_orderpriority"], "mode", 0.1, (0, 1)))
+
+
+@register("quality_impute_median", """WITH v AS (SELECT p_partkey AS id, 'p_retailprice' AS "column", p_retailprice AS value FROM part UNION ALL SELECT p_partkey, 'p_size', p_size FROM part),
+r AS (SELECT v.*, row_number() OVER (PARTITION BY "column" ORDER BY CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || 'imp7'), 1, 8)) AS BIGINT), id) - 1 AS rn, count(*) OVER (PARTITION BY "column") AS n FROM v),
+f AS (SELECT "column", quantile_cont(value, 0.5) AS fill FROM r WHERE rn >= floor(n * 0.2) GROUP BY ALL)
+SELECT "column", round(sqrt(avg((value - fill) ^ 2)), 6) AS score, round(count(*)::DOUBLE, 6) AS n_masked FROM r JOIN f USING ("column") WHERE rn < floor(n * 0.2) GROUP BY ALL""")
+def q_quality_impute_median(spark, d):
+    from ..operators import quality
+    p = tables.read_table(spark, d, "part").select("p_partkey", "p_retailprice", "p_size")
+    return round_all(quality.evaluate_imputer(p, "p_partkey", ["p_retailprice", "p_size"], "median", 0.2, (7,)))
+
+
+@register("sel_corr_histogram", f"""WITH p AS (SELECT {_poly_sql()}, l_extendedprice FROM lineitem), c AS (
+  {_pairs_sql([n for n, _ in __import__('ferrule.operators.select', fromlist=['x']).polynomial_terms(POLY_COLS, 2)], 'p', digits=None)}),
+n AS (SELECT CAST(least(floor(abs_corr / 0.05), 19) AS INTEGER) AS bin, count(*) AS k FROM c GROUP BY ALL)
+SELECT CAST(b.bin AS INTEGER) AS bin, round(b.bin * 0.05, 6) AS bin_lo, round((b.bin + 1) * 0.05, 6) AS bin_hi, coalesce(k, 0) AS count
+FROM (SELECT unnest(range(20)) AS bin) b LEFT JOIN n USING (bin)""")
+def q_sel_corr_histogram(spark, d):
+    """Bins of 0.05 over the absolute correlations."""
+    from ..operators import profile, select
+    poly = select.polynomial_features(_li(spark, d), POLY_COLS, 2)
+    pairs = select.corr_pairs(poly, [f"`{n}`" for n, _ in select.polynomial_terms(POLY_COLS, 2)])
+    return round_all(profile.shared_histogram(pairs.select("abs_corr"), ["abs_corr"], 20, (0.0, 1.0)).drop("column"))
+
+
+@register("reshape_columns_by_pattern", f"WITH {S.POSE_CTE} SELECT row_id, " + ", ".join(f"-{_pc('ymean', j)} AS ymean{j}" for j in range(16)) + " FROM pose")
+def q_reshape_columns_by_pattern(spark, d):
+    """the columns whose name matches."""
+    from ..operators import pose
+    u = pose.unpack(_pose(spark, d), "features", 16, keep=["row_id"], negate_y=True)
+    return u.select("row_id", u.colRegex("`ymean.*`"))
