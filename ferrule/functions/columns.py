@@ -23,16 +23,6 @@ def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
             if isinstance(f.dataType, NUMERIC_TYPES) and f.name not in skip]
 
 
-def keep_numeric(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
-    extra = [c for c in keep if c in df.columns]
-    return df.select(*extra, *[c for c in numeric_columns(df) if c not in extra])
-
-
-def drop_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """Drop, silently ignoring absent names."""
-    return df.drop(*[c for c in cols if c in df.columns])
-
-
 def nan_to_null(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
     """NaN is the missing marker in array-land; Spark aggregates only skip NULL."""
     fl = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}

@@ -188,11 +188,6 @@ def shared_histogram(df: DataFrame, cols: Sequence[str], nbins: int | None = Non
         F.coalesce(F.col("count"), F.lit(0)).alias("count"))
 
 
-def histogram_y_max(hist: DataFrame, y_max: float = 0.0) -> DataFrame:
-    """Axis height of the histogram report: 1.1 * max(largest bin, y_max)."""
-    return hist.agg((F.greatest(F.max("count").cast("double"), F.lit(float(y_max))) * 1.1).alias("y_max"))
-
-
 def class_quantile_summary(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
     """Min, quartiles and max of every column per class."""
     return quantile_wide(df, cols, {"q0": 0.0, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q100": 1.0}, by)

@@ -29,12 +29,6 @@ from .ordering import attach_group, block_window, number_rows, own_rows, with_lo
 from .quantile import quantiles_long
 
 
-def frames_from_order(df: DataFrame, recording: Sequence[str], order: Sequence[str],
-                      name: str = "frame") -> DataFrame:
-    """Dense 0-based frame numbers from an ordering column (skew tolerant)."""
-    return number_rows(df, recording, order, name)
-
-
 def motion_steps(df: DataFrame, by: Sequence[str], frame: str = "frame", x: str = "x",
                  y: str | None = "y", smooth_window: int = 4,
                  block_rows: int = 1 << 20) -> DataFrame:
@@ -178,15 +172,6 @@ def pair_distance(df: DataFrame, recording: Sequence[str], joint_a: int, joint_b
                                      F.sqrt(F.sum(F.col("_d") * F.col("_d"))).alias("frobenius"))
 
 
-def moving_average(df: DataFrame, by: Sequence[str], value: str, window: int,
-                   frame: str = "frame", name: str | None = None) -> DataFrame:
-    """W8 trailing mean divided by ``window`` even on the first frames (zero padding)."""
-    t = with_lookback(df, frame, max(1, window - 1))
-    w = block_window(by, frame).rowsBetween(-(window - 1), 0)
-    t = t.withColumn(name or f"{value}_ma{window}", F.sum(value).over(w) / float(window))
-    return own_rows(t)
-
-
 def patient_exercise_matrix(features: DataFrame, patient: str, exercise: str,
                             codes: Sequence[str], value_cols: Sequence[str],
                             fill_value: float = 0.0) -> DataFrame:

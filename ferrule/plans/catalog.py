@@ -1694,3 +1694,63 @@ def q_reshape_columns_by_pattern(spark, d):
     from ..operators import pose
     u = pose.unpack(_pose(spark, d), "features", 16, keep=["row_id"], negate_y=True)
     return u.select("row_id", u.colRegex("`ymean.*`"))
+
+
+@register("board_best_per_family", f"WITH {GRID_SQL}, sc AS (" + reg_score_sql("model, fold, set", False) + """)
+SELECT set, model, fold, round(r2, 6) AS r2, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY set ORDER BY r2 DESC, model, fold) AS rank FROM sc) WHERE rank <= 2""")
+def q_board_best_per_family(spark, d):
+    from ..operators import metrics
+    sc = metrics.regression_scores(_grid_scores(spark, d), ["model", "fold", "set"])
+    best = metrics.best_per_group(sc, ["set"], "r2", ["model", "fold"], 2)
+    return round_all(best.select("set", "model", "fold", "r2", F.col("rank").cast("int").alias("rank")))
+
+
+@register("reshape_distinct_sorted", "SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders")
+def q_reshape_distinct_sorted(spark, d):
+    from ..operators import reshape
+    return reshape.distinct_sorted(_orders(spark, d), ["o_orderstatus", "o_orderpriority"])
+
+
+@register("reshape_rename_models", f"WITH {S.REG_PRED_CTE} SELECT regexp_replace(model, '^qty_x_', 'factor ') AS model, count(*) AS n FROM preds GROUP BY ALL")
+def q_reshape_rename_models(spark, d):
+    from ..operators import reshape
+    p = reshape.rename_models(tables.regression_predictions(spark, d), "model", "^qty_x_", "factor ")
+    return p.groupBy("model").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("prof_missing_mask", f"WITH {S.MISSING_CTE} SELECT " + ", ".join(f"CAST({c} IS NULL AS INTEGER) AS {c}" for c in MISS_COLS) + " FROM miss")
+def q_prof_missing_mask(spark, d):
+    from ..operators import profile
+    return profile.missing_mask(tables.missing_frame(spark, d), MISS_COLS)
+
+
+@register("pose_select_slots", f"WITH {S.POSE_CTE} SELECT row_id, CAST(k - 1 AS INTEGER) AS pos, features[[8, 3, 60][k] + 1] AS value FROM pose, range(1, 4) t(k)")
+def q_pose_select_slots(spark, d):
+    from ..operators import pose
+    return _pose(spark, d).select("row_id", F.posexplode(pose.select_joints("features", [8, 3, 60])).alias("pos", "value"))
+
+
+@register("pose_one_hot_observed", "SELECT o_orderkey, " + ", ".join(f"CAST(o_orderstatus = '{v}' AS INTEGER) AS o_orderstatus_{v}" for v in "FOP") + " FROM orders")
+def q_pose_one_hot_observed(spark, d):
+    from ..operators import pose
+    return pose.one_hot_observed(_orders(spark, d).select("o_orderkey", "o_orderstatus"), "o_orderstatus").drop("o_orderstatus")
+
+
+def _mi_gain_sql():
+    prods = {f"{a}*{b}": (a, b) for i, a in enumerate(POLY_COLS) for b in POLY_COLS[i + 1:]}
+    src = "wide AS (SELECT *, " + ", ".join(f'{a} * {b} AS "{k}"' for k, (a, b) in prods.items()) + " FROM lineitem)"
+    named = {**{c: c for c in POLY_COLS}, **{k: f'"{k}"' for k in prods}}
+    plain = {k: f"c{i}" for i, k in enumerate(named)}
+    src += ", lw AS (SELECT l_extendedprice, " + ", ".join(f"{v} AS {plain[k]}" for k, v in named.items()) + " FROM wide)"
+    mi = _mi_sql(list(plain.values()), "l_extendedprice").replace("lineitem", "lw").replace("WITH edges", "edges").replace("round(sum(", "(sum(").replace(", 6) AS mutual_information", ") AS mutual_information")
+    head, tail = mi.rsplit("\nSELECT", 1)
+    rows = "\nUNION ALL\n".join(f"""SELECT '{a}' AS a, '{b}' AS b, round((SELECT mutual_information FROM mi WHERE "column" = '{plain[f'{a}*{b}' if f'{a}*{b}' in prods else f'{b}*{a}']}')
+  - (SELECT mutual_information FROM mi WHERE "column" = '{plain[b]}'), 6) AS mi_gain""" for a in POLY_COLS for b in POLY_COLS if a != b)
+    return f"WITH {src}, {head},\nmi AS (SELECT{tail})\n{rows}"
+
+
+@register("sel_mi_gain_of_products", _mi_gain_sql())
+def q_sel_mi_gain_of_products(spark, d):
+    from ..operators import select
+    return round_all(select.mi_gain_of_products(_li(spark, d), POLY_COLS, "l_extendedprice", 10))

@@ -37,12 +37,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def regression_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """x = quantity/discount/tax, target = extended price."""
-    li = read_table(spark, sf_dir, "lineitem")
-    return li.select(*REGRESSION_FEATURES, F.col(REGRESSION_TARGET).alias("target"))
-
-
 def missing_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem numeric columns with deterministic holes: discount missing when
     orderkey % 7 == 0, tax missing when orderkey % 11 == 0."""
@@ -101,19 +95,6 @@ def exercise_sequence_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         "exercise_id": F.concat(F.lit("E"), (F.col("recording") % 5 + 1).cast("string"))})
 
 
-def prediction_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classification predictions: ``row_id, y_true (quality), y_pred (toxic)``."""
-    lb = read_table(spark, sf_dir, "labels")
-    return lb.select(F.col("doc_id").alias("row_id"), F.col("quality").alias("y_true"),
-                     F.col("toxic").alias("y_pred"))
-
-
-# Closed-form regression "models" used to build prediction tables
-# (y_pred = l_quantity * factor).
-REGRESSION_MODELS = [("qty_x_1500", 1500.0), ("qty_x_2000", 2000.0)]
-CANDIDATE_FACTORS = [1000.0, 1250.0, 1500.0, 1750.0, 2000.0]
-
-
 def regression_predictions(spark: SparkSession, sf_dir: str, models=None) -> DataFrame:
     """Long prediction store ``(model, fold, set, y_true, y_pred)`` over all of lineitem:
     fold = l_linenumber % 5, set = 'val' when l_orderkey % 4 == 0 else 'train'."""
