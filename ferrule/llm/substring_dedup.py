@@ -33,9 +33,9 @@ from . import common
 from .words import U, Words
 
 WINDOW = 13
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Words per hash bucket, about.
-BUCKET_WORDS = 4 << 20
+BUCKET_WORDS = 2 << 20
 
 _PACK = "chunk long, ids binary, sizes binary, body binary"
 _OUT = "doc_id long, n_words long, n_removed long, kept string, spans string"

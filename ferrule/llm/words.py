@@ -15,7 +15,7 @@ _SEP = np.zeros(256, bool)
 _SEP[[32, 9, 10, 11, 12, 13]] = True
 #: Odd multipliers of the byte, first and second window polynomials.
 _R_BYTE, _R_WIN, _R_WIN2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 
 
 def mix(h: np.ndarray) -> np.ndarray:
