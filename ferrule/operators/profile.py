@@ -82,14 +82,15 @@ def iqr_sweep(df: DataFrame, cols: Sequence[str],
     q = quantile_wide(df, cols, {"q1": 0.25, "q3": 0.75}).agg(
         *[F.max(F.when(F.col("column") == c, F.col(k))).alias(f"{c}__{k}") for c in cols for k in ("q1", "q3")])
     t = attach_row(df.select(*cols), q)
-    left_out = F.lit(0)
-    for m in ms:
+    left_out = None  # the first multiplier that keeps the row; most rows stop at the first test
+    for i, m in enumerate(ms):
         inside = F.lit(True)
         for c in cols:
             iqr = F.col(f"{c}__q3") - F.col(f"{c}__q1")
             inside = inside & F.coalesce((F.col(c) >= F.col(f"{c}__q1") - m * iqr)
                                          & (F.col(c) <= F.col(f"{c}__q3") + m * iqr), F.lit(False))
-        left_out = left_out + (~inside).cast("int")
+        left_out = F.when(inside, i) if left_out is None else left_out.when(inside, i)
+    left_out = left_out.otherwise(len(ms))
     counts = t.groupBy(left_out.alias("k")).agg(F.count(F.lit(1)).alias("c"))
     each = F.array(*[F.struct(F.lit(m).alias("multiplier"), F.sum(F.when(F.col("k") > i, F.col("c")).otherwise(0)).alias("n_outliers"))
                      for i, m in enumerate(ms)])
