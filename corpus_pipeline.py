@@ -6,7 +6,7 @@ Five stages, each one operator of ``ferrule.llm`` with its production parameters
 2. ``near_dedup``  one document of each near-duplicate class (4) stays, the least id;
 3. ``decontam``    documents with a benchmark passage or its re-parameterised twin (6) go;
 4. ``mix``         every document as often as the mix to target weights (8) takes it;
-5. ``tokens``      token records in training order (1).
+5. ``tokens``      token records in training order, written as shard files (1).
 
 A stage takes ``(spark, docs, sf_dir)``.  All but the last return the columns of
 ``documents``.  ``run`` applies them one after another; each stage's rows are written to
@@ -45,7 +45,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     common.ship(spark)
-    return tokens.training_order(docs)
+    return tokens.training_shards(docs)
 
 
 STAGES = [
@@ -60,7 +60,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the token records of the last one."""
+    """All stages over ``documents``; the places of the token records that the last one writes."""
     docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = common.save(stage(spark, docs, sf_dir), f"pipeline-{name}")

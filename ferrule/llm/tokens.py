@@ -6,7 +6,9 @@ permutation with cycle-walking sends each number to its global slot: the trainin
 is a function of key, data and sequence length alone, whatever the partitioning.  Slots
 are cut into ranges of ``shard_rows``; each range is one partition, ordered by slot, of
 records of one fixed size, so record ``s`` lies at byte ``(s mod shard_rows) * stride``
-of shard ``s div shard_rows`` and a reader resumes anywhere by arithmetic.
+of shard ``s div shard_rows`` and a reader resumes anywhere by arithmetic.  The query and
+the pipeline write the shards as files of the shared folder and return where each record
+lies; the records are not kept a second time in the result.
 
 Numbering takes no global sort: ids go to order-preserving chunks, documents are ordered
 and numbered inside a chunk, and the chunks' totals (one row each) give the offsets.
@@ -16,7 +18,10 @@ Encoded documents are written once to the shared folder between the two shuffles
 from __future__ import annotations
 
 import base64
+import hashlib
+import json
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -156,15 +161,11 @@ def _records(seq_len, end, wide):
     return run
 
 
-def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, seq_len: int = SEQ_LEN,
-                   shard_rows: int = SHARD_ROWS, key: int = KEY, end: int = END, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """``(shard, slot, byte_offset, doc_id, seq, n_tokens, tokens)``: one row per sequence.
+_RECORD = "shard long, slot long, byte_offset long, doc_id long, seq long, n_tokens long, tokens binary"
 
-    ``tokens`` is a record of ``seq_len`` little-endian ids (16 bits while ``end`` < 2^16, else
-    32), filled up with ``end``; the slots are 0..n-1 without gap.  A null or empty text
-    has no sequence; null ids come first in the numbering; rows that share an id are ordered
-    by a hash of the text (equal rows are interchangeable); other columns are ignored.
-    """
+
+def _ranged(docs, id_col, text_col, vocabulary, seq_len, shard_rows, key, end, chunk_bytes) -> tuple[DataFrame, int]:
+    """Sequences by shard and slot, bodies packed (the rows that ``_records`` takes), and their number."""
     wide = end >= 1 << 16
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("tie"))
     stat = src.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b"), F.min("id").alias("lo"), F.max("id").alias("hi")).first()
@@ -185,50 +186,105 @@ def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     cut = numbered.where("seqs > 0").join(offsets, chunks == F.col("c")).select("doc_id", "n", "offset", "start", "seqs", "body") \
         .mapInArrow(_cut(seq_len, total, key, shard_rows, end, wide), "shard long, slot long, doc_id long, seq long, n_tokens long, body binary")
     ranged = cut.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("slot")
-    return ranged.select("shard", "slot", (F.col("slot") % shard_rows * stride).alias("byte_offset"), "doc_id", "seq", "n_tokens", "body") \
-        .mapInArrow(_records(seq_len, end, wide), "shard long, slot long, byte_offset long, doc_id long, seq long, n_tokens long, tokens binary")
+    return ranged.select("shard", "slot", (F.col("slot") % shard_rows * stride).alias("byte_offset"), "doc_id", "seq", "n_tokens", "body"), total
 
 
-def write_shards(rows: DataFrame, uri: str) -> DataFrame:
-    """Write each shard to ``uri``/shard-<number>.bin and return ``(shard, first_slot, records,
-    bytes)``.  Records go out in slot order at their fixed stride; a file is written
-    under a name of its own and renamed, so a task that runs again replaces it whole, and
-    a shard that is there with its full size is left alone (a resumed run writes only the
-    rest).  ``uri`` is a folder that every executor reaches (file://, hdfs://, s3://, gs://)."""
-    def write(batches):
-        import uuid
+def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, seq_len: int = SEQ_LEN,
+                   shard_rows: int = SHARD_ROWS, key: int = KEY, end: int = END, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """``(shard, slot, byte_offset, doc_id, seq, n_tokens, tokens)``: one row per sequence.
+
+    ``tokens`` is a record of ``seq_len`` little-endian ids (16 bits while ``end`` < 2^16, else
+    32), filled up with ``end``; the slots are 0..n-1 without gap.  A null or empty text
+    has no sequence; null ids come first in the numbering; rows that share an id are ordered
+    by a hash of the text (equal rows are interchangeable); other columns are ignored.
+    """
+    ranged, _ = _ranged(docs, id_col, text_col, vocabulary, seq_len, shard_rows, key, end, chunk_bytes)
+    return ranged.mapInArrow(_records(seq_len, end, end >= 1 << 16), _RECORD)
+
+
+def training_shards(docs: DataFrame, uri: str | None = None, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, seq_len: int = SEQ_LEN,
+                    shard_rows: int = SHARD_ROWS, key: int = KEY, end: int = END, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Write the records of ``training_order`` as shard files below ``uri`` (by default a new
+    folder of the shared folder) and return ``(shard, slot, byte_offset, doc_id, seq, n_tokens,
+    file)``: the record of a row is at ``byte_offset`` of ``file``.  The files are there when
+    this returns; the rows are a saved table, so reading them writes nothing again."""
+    ranged, total = _ranged(docs, id_col, text_col, vocabulary, seq_len, shard_rows, key, end, chunk_bytes)
+    uri = (uri or f"{common.shared_dir(docs.sparkSession)}/tokens-shards-{uuid.uuid4().hex[:12]}").rstrip("/")
+    records, write = _records(seq_len, end, end >= 1 << 16), _write(uri, key, total, True)
+    return common.save(ranged.mapInArrow(lambda batches: write(records(batches)),
+                                         "shard long, slot long, byte_offset long, doc_id long, seq long, n_tokens long, file string"), "tokens-index")
+
 
+def _write(uri: str, key: int | None, total: int | None, index: bool):
+    """Batches of records in slot order to shard files; gives a row per record (``index``) or shard."""
+    def run(batches):
         from pyarrow import fs
         where, folder = fs.FileSystem.from_uri(uri)
-        where.create_dir(folder, recursive=True)
-        out, shard, state = None, None, None
+        notes = f"{folder}.manifest"
+        for path in (folder, notes):
+            where.create_dir(path, recursive=True)
+        out, shard, state, digest = None, None, None, None
+
+        def read(path):
+            if where.get_file_info(path).type != fs.FileType.File:
+                return None
+            with where.open_input_stream(path) as f:
+                return f.read()
 
         def close():
             out.close()
-            name = f"{folder}/shard-{shard:08d}.bin"
+            name, note = f"{folder}/shard-{shard:08d}.bin", f"{notes}/shard-{shard:08d}.json"
+            mine = json.dumps({"key": key, "total": total, "first_slot": state[0], "records": state[1], "bytes": state[2], "blake2b": digest.hexdigest()}).encode()
             have = where.get_file_info(name)
-            if have.type == fs.FileType.File and have.size == state[2]:
+            if have.type == fs.FileType.File and have.size == state[2] and read(note) == mine:
                 where.delete_file(state[3])
             else:
+                # No manifest while the file changes: a crash in between leaves none, so the file is not trusted.
+                if where.get_file_info(note).type == fs.FileType.File:
+                    where.delete_file(note)
                 where.move(state[3], name)
+                new = f"{notes}/.{uuid.uuid4().hex}"
+                with where.open_output_stream(new) as f:
+                    f.write(mine)
+                where.move(new, note)
             return pa.RecordBatch.from_pydict({"shard": [shard], "first_slot": [state[0]], "records": [state[1]], "bytes": [state[2]]})
 
         for b in batches:
-            for s, slot, rec in zip(*[c.to_pylist() for c in b.columns]):
+            col = {name: b.column(i) for i, name in enumerate(b.schema.names)}
+            for s, slot, rec in zip(*[col[c].to_pylist() for c in ("shard", "slot", "tokens")]):
                 if s != shard:
                     if out is not None:
-                        yield close()
-                    shard, state = s, [slot, 0, 0, f"{folder}/.shard-{s:08d}-{uuid.uuid4().hex}"]
+                        made = close()
+                        if not index:
+                            yield made
+                    shard, state, digest = s, [slot, 0, 0, f"{folder}/.shard-{s:08d}-{uuid.uuid4().hex}"], hashlib.blake2b(digest_size=16)
                     out = where.open_output_stream(state[3])
                 out.write(rec)
+                digest.update(rec)
                 state[1] += 1
                 state[2] += len(rec)
+            if index:
+                file = pa.array([f"{uri}/shard-{s:08d}.bin" for s in col["shard"].to_pylist()], pa.string())
+                yield pa.RecordBatch.from_arrays([*b.columns[:6], file], names=[*b.schema.names[:6], "file"])
         if out is not None:
-            yield close()
+            made = close()
+            if not index:
+                yield made
+
+    return run
 
-    return rows.select("shard", "slot", "tokens").mapInArrow(write, "shard long, first_slot long, records long, bytes long")
+
+def write_shards(rows: DataFrame, uri: str, key: int | None = None, total: int | None = None) -> DataFrame:
+    """Write each shard to ``uri``/shard-<number>.bin and return ``(shard, first_slot, records,
+    bytes)``.  Records go out in slot order at their fixed stride; a file is written
+    under a name of its own and renamed, so a task that runs again replaces it whole.
+    ``uri``.manifest holds a note per shard (key, total, hash of the content); a shard is left
+    as it is only where its note says the same, otherwise it is replaced.  ``total`` tells a
+    reader which shards belong to the run, should an earlier one have left more.  ``uri`` is
+    a folder that every executor reaches (file://, hdfs://, s3://, gs://)."""
+    return rows.select("shard", "slot", "tokens").mapInArrow(_write(uri.rstrip("/"), key, total, False), "shard long, first_slot long, records long, bytes long")
 
 
 def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole ``documents``: every sequence with its slot and its record."""
-    return training_order(common.table(spark, sf_dir, "documents"))
+    """Whole ``documents``: the shards as files, and every sequence with its slot and place."""
+    return training_shards(common.table(spark, sf_dir, "documents"))

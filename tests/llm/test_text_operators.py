@@ -257,6 +257,29 @@ def test_round_trip_and_layout(spark, tmp_path):
     assert sorted(tokens.write_shards(out, uri).collect()) == made  # a resumed run
 
 
+def test_query_writes_the_shards(spark, sf_dir):
+    """Every record of the registered query lies in a shard file, where its row says."""
+    from pathlib import Path
+
+    from ferrule.llm.catalog import QUERIES
+    got = QUERIES["op1_training_order"](spark, sf_dir).collect()
+    want = {r.slot: bytes(r.tokens) for r in tokens.training_order(common.table(spark, sf_dir, "documents")).collect()}
+    files = {f: Path(f.removeprefix("file://")).read_bytes() for f in {r.file for r in got}}
+    assert {r.slot: files[r.file][r.byte_offset: r.byte_offset + 2 * tokens.SEQ_LEN] for r in got} == want
+    assert sum(map(len, files.values())) == 2 * tokens.SEQ_LEN * len(want) and "tokens" not in got[0]
+
+
+def test_rerun_with_another_key_replaces_full_shards(spark, tmp_path):
+    d, uri = docs(spark, [(i, text(400, i)) for i in range(6)]), f"file://{tmp_path}/shards"
+    for key in (1, 2):
+        got = tokens.training_shards(d, uri, seq_len=64, shard_rows=20, key=key).collect()
+        want = b"".join(bytes(r.tokens) for r in sorted(tokens.training_order(d, seq_len=64, shard_rows=20, key=key).collect(), key=lambda r: r.slot))
+        assert b"".join(p.read_bytes() for p in sorted((tmp_path / "shards").iterdir())) == want and len(got) > 40
+    before = {p.name: p.stat().st_ino for p in (tmp_path / "shards").iterdir()}
+    tokens.training_shards(d, uri, seq_len=64, shard_rows=20, key=2).collect()
+    assert {p.name: p.stat().st_ino for p in (tmp_path / "shards").iterdir()} == before  # same content: left alone
+
+
 def test_tokens_empty(spark):
     assert tokens.training_order(docs(spark, [])).count() == 0
     assert tokens.training_order(docs(spark, [(1, None), (2, "")])).count() == 0
