@@ -5,12 +5,15 @@ or spelled), the unit after a number ``<unit>``, a capitalised word inside a sen
 ``<name>``, any other word its lower-case form without surrounding punctuation.  Windows
 of ``window`` template tokens (a shorter item: all its tokens) that hold enough literal
 tokens are hashed; a document's windows are joined by hash to the items' windows.  Hits
-on one alignment (same distance between document and item) make a run.  A run counts if
-its slots are consistent: every number, name or unit of the item stands for one value of
+on one alignment (same distance between document and item) are taken together if
+their slots are consistent: every number, name or unit of the item stands for one value of
 the document throughout, and different values stay different, so an exact copy counts
 and so does the same question with other numbers or names, but not a mere likeness of
-form.  A document is contaminated by an item if such runs cover ``coverage`` of it, or
-hold ``window`` tokens at least when the slots are the item's own.
+form.  Adjacent hits make a run, and each run is judged on its own for verbatim text: a
+run in the item's own values counts, and of a run with other values the stretches of
+``window`` tokens that are the item's own, slots among them.  A document is contaminated
+by an item if one run or stretch is verbatim, or if consistent alignments and verbatim
+stretches cover ``coverage`` of it.
 
 The items go to the documents' tasks in blocks of at most ``block_words`` words (the
 bound of what is broadcast); a larger benchmark takes one pass over the documents per
@@ -153,6 +156,19 @@ def _consistent(kind, a, b) -> bool:
     return len({(k, x) for k, x, _ in pairs}) == len(pairs) == len({(k, y) for k, _, y in pairs})
 
 
+def _verbatim(kind, cover, same, need: int) -> tuple[list[int], bool]:
+    """Item tokens in verbatim stretches of ``need`` tokens, and whether one counts alone:
+    a whole run of adjacent tokens, or a stretch that holds a slot of the item."""
+    out, exact = [], False
+    for run in np.split(np.arange(len(cover)), np.flatnonzero(np.diff(cover) != 1) + 1):
+        whole = same[run].all()
+        for part in [run] if whole else np.split(run, np.flatnonzero(np.diff(same[run])) + 1):
+            if len(part) >= need and same[part[0]]:
+                out += cover[part].tolist()
+                exact |= bool(whole or (kind[cover[part]] != LITERAL).any())
+    return out, exact
+
+
 def _matches(t: _Tokens, index: Index, window: int, least: int, coverage: float):
     """Per document: ``[(item id, share covered, exact)]`` of the items that contaminate it."""
     pos, at, k = index.hits(t, least)
@@ -168,10 +184,10 @@ def _matches(t: _Tokens, index: Index, window: int, least: int, coverage: float)
         cover = np.unique((at[a:b, None] + np.arange(k[a: b].max())).ravel()) if k[a] == k[a:b].max() else at[a:b]
         cover = cover[cover < index.first[item[a] + 1]]
         mine, theirs = index.value[cover], t.value[cover + off[a]]
-        if _consistent(index.kind[cover], mine, theirs):
-            s = best.setdefault((int(doc[a]), int(item[a])), [set(), True])
-            s[0].update(cover.tolist())
-            s[1] &= bool((mine == theirs).all())
+        s = best.setdefault((int(doc[a]), int(item[a])), [set(), False])
+        own, exact = _verbatim(index.kind, cover, mine == theirs, min(window, int(index.first[item[a] + 1] - index.first[item[a]])))
+        s[0].update(cover.tolist() if _consistent(index.kind[cover], mine, theirs) else own)
+        s[1] |= exact
     for (d, i), (cover, exact) in best.items():
         size = int(index.first[i + 1] - index.first[i])
         share = len(cover) / size
@@ -232,8 +248,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """``(doc_id, n_items, items, coverage, exact, contaminated)``, a row per document row.
 
     ``items`` lists the ids of the items that contaminate it (ascending), ``coverage`` is the
-    largest share of one that is covered, ``exact`` whether one run has the item's own slot
-    values.  Null texts hold nothing; items without id or text are left out; an empty
+    largest share of one that is covered, ``exact`` whether one run or stretch is verbatim.  Null texts hold nothing; items without id or text are left out; an empty
     benchmark contaminates nothing.  Of several blocks, rows that share a doc_id are merged.
     """
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

@@ -91,6 +91,16 @@ def test_templates(spark):
     assert kept == {i for i, r in got.items() if not r.contaminated}
 
 
+def test_verbatim_runs_are_judged_on_their_own(spark):
+    edited = QUESTION.replace("takes 12", "takes 13")
+    long = QUESTION + " " + " ".join(words(60, 5))
+    far = "If Peter Jones buys 40 apples at 9 dollars each and"
+    rows = [(0, edited), (1, "and then Mary takes 12 apples away from him, how " + text(20, 6) + ". " + far), (2, CASES["inconsistent"][0])]
+    got = {r.doc_id: r for r in dc.contamination(docs(spark, rows), spark.createDataFrame([(1, long)], "item_id long, text string")).collect()}
+    assert [got[i].contaminated for i in range(3)] == [True, True, False] and got[0].exact and got[1].exact
+    assert dc.contamination(docs(spark, rows[:1]), spark.createDataFrame([(1, QUESTION)], "item_id long, text string")).first().exact
+
+
 def test_every_planted_passage_is_found(spark, sf_dir):
     """Against plain substring search over whole texts."""
     d, b = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark")
