@@ -4,7 +4,10 @@ Words of documents and benchmark items become template tokens: numbers ``<num>``
 or spelled), the unit after a number ``<unit>``, a capitalised word inside a sentence
 ``<name>``, any other word its lower-case form without surrounding punctuation.  Windows
 of ``window`` template tokens (a shorter item: all its tokens) that hold enough literal
-tokens are hashed; a document's windows are joined by hash to the items' windows.  Hits
+tokens are hashed; a document's windows are joined by hash to the items' windows.  So are
+the windows of plain lower-case values, whatever they hold, with the operators between
+them: items of numbers, names or units alone, and short items that a capital or a line
+break reads in another way, are found word for word.  Hits
 on one alignment (same distance between document and item) are taken together if
 their slots are consistent: every number, name or unit of the item stands for one value of
 the document throughout, and different values stay different, so an exact copy counts
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
-from .words import U, Words, window_hash
+from .words import U, Words, mix, window_hash
 
 WINDOW, MIN_LITERAL, COVERAGE = 8, 4, 0.5
 BLOCK_WORDS = 400_000
@@ -44,6 +47,7 @@ NUMBER_WORDS = frozenset("""zero one two three four five six seven eight nine te
 nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion""".split())
 _NUMBER = re.compile(r"[+-]?[$€£]?[0-9][0-9.,:/]*(?:st|nd|rd|th)?")
 _GLUED = re.compile(r"([+-]?[$€£]?[0-9][0-9.,]*)([A-Za-z%]+)")
+_OPERATOR = re.compile(r"[-+*/=<>^×÷±−]+")
 _EDGE = re.compile(r"^[^\w$€£+%-]+|[^\w%]+$")
 
 LITERAL, NUM, UNIT, NAME, SKIP = 0, 1, 2, 3, 4
@@ -56,7 +60,7 @@ def _kind(word: bytes) -> tuple[int, str, bool, bool]:
     ends = s.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":", "…")
     low = bare.lower()
     if not any(c.isalnum() or c == "%" for c in bare):
-        return SKIP, "", False, ends
+        return SKIP, s if _OPERATOR.fullmatch(s) else "", False, ends
     if _NUMBER.fullmatch(bare) or low in NUMBER_WORDS:
         return NUM, low, False, ends
     m = _GLUED.fullmatch(bare)
@@ -95,10 +99,13 @@ class _Tokens:
             start[1:] = ends[:-1] | (w.doc[1:] != w.doc[:-1]) | (w.buf[w.start[1:] - 1] == 10)
         kind = np.where((kind == NAME) & start, LITERAL, kind)
         keep = kind != SKIP
+        # Operators since the token before (only compared inside a window).
+        signs = np.cumsum(np.where(keep | (value == _NOTHING), U(0), value))[keep]
         kind, value, unit, doc = kind[keep], value[keep], unit[keep], w.doc[keep]
         after = np.append(False, (kind[:-1] == NUM) & (doc[1:] == doc[:-1])) if len(kind) else np.zeros(0, bool)
         kind = np.where(after & unit & (kind != NUM), UNIT, kind).astype(np.int8)
         self.kind, self.value, self.doc = kind, value, doc
+        self.signed = value + mix(np.diff(signs, prepend=signs[:1]))
         self.form = np.where(kind == LITERAL, value, _SLOT[kind])
         self.first = np.searchsorted(doc, np.arange(len(texts) + 1))
         self.literal = np.append(0, np.cumsum(kind == LITERAL))
@@ -112,10 +119,23 @@ class _Tokens:
         return at, window_hash(self.form, k)[at]
 
 
+    def plain_windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(first token, hash) of the windows of k values and the operators between them."""
+        n = len(self.value)
+        if n < k:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        at = np.flatnonzero(self.doc[: n - k + 1] == self.doc[k - 1:])
+        h = mix(self.value * U(0x9E3779B97F4A7C15) + U(k))
+        if k > 1:
+            h = mix(h[: n - k + 1] + window_hash(self.signed, k - 1)[1:])
+        return at, h[at]
+
+
 def _hash(s: str) -> int:
     return int.from_bytes(hashlib.blake2b(s.encode("utf-8", "replace"), digest_size=8).digest(), "little")
 
 
+_NOTHING = U(_hash(""))
 _SLOT = np.array([0] + [_hash(f"<{i}>") for i in (NUM, UNIT, NAME)] + [0], np.uint64)
 
 
@@ -126,20 +146,21 @@ class Index:
         t = _Tokens(texts, {})
         self.ids, self.kind, self.value, self.first = ids, t.kind, t.value, t.first
         size = np.diff(t.first)
-        self.by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.by_size: dict[tuple[int, bool], tuple[np.ndarray, np.ndarray]] = {}
         for k in {window, *[int(s) for s in size if 0 < s < window]}:
-            at, h = t.windows(k, min(least, (k + 1) // 2))
-            mine = (size[t.doc[at]] == k) if k < window else np.ones(len(at), bool)
-            order = np.argsort(h[mine], kind="stable")
-            if mine.any():
-                self.by_size[k] = (h[mine][order], at[mine][order])
+            for plain in (False, True):
+                at, h = t.plain_windows(k) if plain else t.windows(k, min(least, (k + 1) // 2))
+                mine = (size[t.doc[at]] == k) if k < window else np.ones(len(at), bool)
+                order = np.argsort(h[mine], kind="stable")
+                if mine.any():
+                    self.by_size[k, plain] = (h[mine][order], at[mine][order])
         self.item = t.doc
 
     def hits(self, t: _Tokens, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document token, item token, window length) of every pair of equal windows."""
         out = []
-        for k, (h, at) in self.by_size.items():
-            pos, own = t.windows(k, min(least, (k + 1) // 2))
+        for (k, plain), (h, at) in self.by_size.items():
+            pos, own = t.plain_windows(k) if plain else t.windows(k, min(least, (k + 1) // 2))
             lo, hi = np.searchsorted(h, own), np.searchsorted(h, own, side="right")
             n = hi - lo
             some = np.flatnonzero(n)

@@ -101,6 +101,14 @@ def test_verbatim_runs_are_judged_on_their_own(spark):
     assert dc.contamination(docs(spark, rows[:1]), spark.createDataFrame([(1, QUESTION)], "item_id long, text string")).first().exact
 
 
+def test_items_without_literal_words_and_short_items(spark):
+    items = ["Compute 12 + 7 * 3 - 4", "Anna Berg, Carl Diaz, Emma Falk, Gina Holt, Ivan Jung", "Name the capital of France"]
+    rows = [(0, "so compute 12 + 7 * 3 - 4 now"), (1, "so compute 12 - 7 + 3 * 4 now"), (2, "so compute 12 + 7 * 3 - 5 now"), (3, "at last " + items[1] + " came"),
+            (4, "at last Anna Berg, Carl Diaz, Emma Falk"), (5, "He had to Name the capital\nof France then"), (6, "name the capital of\nFrance")]
+    got = {r.doc_id: list(r.items) for r in dc.contamination(docs(spark, rows), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    assert got == {0: [0], 1: [], 2: [], 3: [1], 4: [], 5: [2], 6: [2]}
+
+
 def test_every_planted_passage_is_found(spark, sf_dir):
     """Against plain substring search over whole texts."""
     d, b = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark")
