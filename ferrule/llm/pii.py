@@ -20,6 +20,7 @@ texts that hold something for them.
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 
 import pyarrow as pa
@@ -96,22 +97,29 @@ _NO_WIDTH = "­​‌‍⁠﻿"
 # Digit words.
 _DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 
-# Above U+024F only, minus what no table maps; accented Latin never gets here.
-_ODD = re.compile("[" + re.escape(_NO_WIDTH) + "ɐ-ԯՠ-֏٠-٩۰-۹०-९‐-–․−。！-～]")
+_DECIMALS = "".join(c for c in map(chr, range(128, 1 << 16)) if unicodedata.decimal(c, None) is not None)
+# Everything that _fold rewrites; above U+FFFF more than that, as one range (many are slow there).
+_ODD = re.compile("[" + re.escape(_NO_WIDTH + "".join(_LOOKALIKE) + _DECIMALS) + f"！-～{chr(1 << 16)}-{chr(sys.maxunicode)}]")
 _WORD = "(?:" + "|".join(_DIGIT_WORDS) + ")"
 _PIECE = rf"(?:(?:double|triple)[ ]+)?{_WORD}(?![A-Za-z])|[0-9]+"
 _SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?:plus[ ]+)?(?:{_PIECE})(?:(?:[ ,-]+|[ ]+(?:dot|point)[ ]+)(?:{_PIECE}))+", re.I)
-_SPELLED_AT = re.compile(rf"\b{_WORD}[ ,-]+(?:(?:dot|point)[ ]+)?(?:{_PIECE})", re.I)
+_SPELLED_AT = re.compile(rf"\b{_WORD}[ ,-]+(?:(?:dot|point)[ ]+)?(?:{_PIECE})|[0-9][ ,-]+(?:(?:dot|point)[ ]+)?(?:(?:double|triple)[ ]+)?{_WORD}(?![A-Za-z])", re.I)
 _TOKEN = re.compile(rf"(?P<times>double|triple)[ ]+(?P<rep>{_WORD})|(?P<one>{_WORD})|(?P<num>[0-9]+)|(?P<plus>plus)[ ]+|[ ]+(?P<dot>dot|point)[ ]+|(?P<gap>[ ,-]+)", re.I)
 _AT = r"(?:[ ]*[\[({<][ ]*at[ ]*[\])}>][ ]*|[ ]+at[ ]+|@)"
 _DOT = r"(?:[ ]*[\[({<][ ]*(?:dot|\.)[ ]*[\])}>][ ]*|[ ]+dot[ ]+|\.)"
-_DISGUISED = re.compile(rf"(?<![A-Za-z0-9._%+-])([A-Za-z0-9_%+-]++(?:{_DOT}[A-Za-z0-9_%+-]++)*?)({_AT})([A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)+)", re.I)
+_NAME, _LABEL = "[A-Za-z0-9_%+-]++", "[A-Za-z0-9-]++"
+# A maximal run of names joined by any at or dot, and the parts of an address in it.
+_JOINED = re.compile(rf"(?<![A-Za-z0-9._%+-]){_NAME}(?:(?:{_AT}|{_DOT}){_NAME})++", re.I)
+_SEPARATOR = re.compile(_AT, re.I)
+_HOST = re.compile(rf"{_LABEL}(?:{_DOT}{_LABEL})++", re.I)
 _DOTTED = re.compile(_DOT, re.I)
-_HINT = re.compile(r"[\[({<][ ]*(?:at|dot|\.)[ ]*[\])}>]|[ ]dot[ ]", re.I)
-_AROUND = 120
-_BARE = re.compile(r"[ ]dot[ ]+([A-Za-z0-9-]+)$", re.I)
-# Last labels that a bare "dot" may lead to (a sentence has "dot" too).
+_LAST = re.compile(r"[A-Za-z0-9-]+$")
+# Last labels that a bare "dot" or "at" may lead to (a sentence has them too).
 _TOP = frozenset("com org net edu gov mil info biz io co uk de fr es it nl eu ru cn jp br au ca ch".split())
+# Words before "at" a plain site name ("look at example.com").
+_BEFORE_SITE = frozenset("""a an and are available be been check find found go here him her hosted is it its live look looked looking me more not now on online
+or out page published read see shop site start that them there this to up us visit was website were work works you""".split())
+_HINT = re.compile(rf"[\[({{<][ ]*(?:at|dot|\.)[ ]*[\])}}>]|[ ]dot[ ]|[ ]at[ ]+(?:{_LABEL}\.)+(?:{'|'.join(sorted(_TOP))})(?![A-Za-z0-9-])", re.I)
 
 
 class _Tape:
@@ -174,25 +182,40 @@ def _spelled(t: _Tape) -> _Tape:
     return t.rewrite(pieces) if pieces else t
 
 
+def _is_address(name: str, at: str, host: str) -> bool:
+    """Whether a disguised address is meant, not a sentence with "at" and "dot" in it."""
+    joints = [d[0] for d in _DOTTED.finditer(host)]
+    bare_at, last = at.strip().lower() == "at", joints[-1].strip().lower()
+    if last != "dot" and not (bare_at and all(d == "." for d in joints)):
+        return True
+    if _LAST.search(host)[0].lower() not in _TOP:
+        return False
+    return last == "dot" or not (name.lower() in _BEFORE_SITE or host.lower().startswith("www."))
+
+
 def _addresses(t: _Tape) -> _Tape:
-    """At and dot disguises, around each hint only."""
-    pieces, done = [], 0
-    for h in _HINT.finditer(t.text):
-        if h.start() < done:
-            continue
-        lo = max(done, h.start() - _AROUND)
-        for m in _DISGUISED.finditer(t.text, lo, min(len(t.text), h.end() + _AROUND)):
-            bare = _BARE.search(m[0])
-            if m.start() < done or bare and bare[1].lower() not in _TOP:
+    """At and dot disguises: every run of names joined by them, whole."""
+    pieces = []
+    for run in _JOINED.finditer(t.text):
+        start = run.start()
+        for s in _SEPARATOR.finditer(t.text, run.start(), run.end()):
+            if s.start() < start:
                 continue
-            at, parts = m.start(), []
-            inner = [(m.start(2), m.end(2), "@")] + [(d.start(), d.end(), ".") for g in (1, 3) for d in _DOTTED.finditer(t.text, m.start(g), m.end(g))]
+            lo, start = start, s.end()
+            host = _HOST.match(t.text, s.end(), run.end())
+            if not host or lo == s.start() or lo > run.start() and t.text[lo - 1] in _LOCAL:
+                continue
+            dots = [(d.start(), d.end(), ".") for a, b in ((lo, s.start()), host.span()) for d in _DOTTED.finditer(t.text, a, b)]
+            inner = [x for x in [(*s.span(), "@"), *dots] if t.text[x[0]: x[1]] != x[2]]
+            if not inner or not _is_address(t.text[lo: s.start()], s[0], host[0]):
+                continue
+            at, parts = lo, []
             for a, b, out in sorted(inner):
                 parts += [(i, i + 1, t.text[i]) for i in range(at, a)] + [(a, b, out)]
                 at = b
-            parts += [(i, i + 1, t.text[i]) for i in range(at, m.end())]
-            pieces.append((m.start(), m.end(), parts))
-            done = m.end()
+            parts += [(i, i + 1, t.text[i]) for i in range(at, host.end())]
+            pieces.append((lo, host.end(), parts))
+            start = host.end()
     return t.rewrite(pieces) if pieces else t
 
 

@@ -187,6 +187,24 @@ def test_disguises_map_back_to_the_source(t, part, kind):
     assert (part, kind) in added
 
 
+_LONG = " dot ".join(f"part{i}" for i in range(30))
+
+
+@pytest.mark.parametrize("t, part, kind", [
+    ("๔๑๑๑ ๑๑๑๑ ๑๑๑๑ ๑๑๑๑", "๔๑๑๑ ๑๑๑๑ ๑๑๑๑ ๑๑๑๑", "card"), ("call +১ ২০২ ৫৫৫ ০১৯৯ ok", "+১ ২০২ ৫৫৫ ০১৯৯", "phone"), ("ip 𝟏𝟗𝟐.𝟏𝟔𝟖.𝟏.𝟏 up", "𝟏𝟗𝟐.𝟏𝟔𝟖.𝟏.𝟏", "ip"),
+    ("write bob at host.com soon", "bob at host.com", "email"), ("card 4111 1111 1111 111 one ok", "4111 1111 1111 111 one", "card"),
+    (f"mail {_LONG} at host dot com now", f"{_LONG} at host dot com", "email"), (f"mail bob [at] {_LONG} dot com now", f"bob [at] {_LONG} dot com", "email"),
+    ("x at john dot doe at gmail dot com", "john dot doe at gmail dot com", "email")])
+def test_prefilters_let_every_disguise_through(t, part, kind):
+    assert (part, kind) in [(t[a:b], k) for a, b, k in pii.added_spans(t, pii.base_spans(t))]
+
+
+def test_site_names_and_long_runs():
+    for t in ("look at example.com today", "see us at www.example.com", "meet at noon.later on", "a dot b at c dot d"):
+        assert pii.added_spans(t, pii.base_spans(t)) == []
+    assert pii.added_spans("a dot " * 100_000 + "a at b", []) == []  # linear
+
+
 def test_plain_text_adds_nothing():
     for t in ("look at the dot on one page", "meet at noon dot or not", "one two three go", text(500, 1), "a@b.co 1.2.3.4 +1 202 555 0199"):
         assert pii.added_spans(t, pii.base_spans(t)) == []
