@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import common, decontamination, langid, licences, mixing, near_dedup, pii, quality, substring_dedup, tokens, topk
+from . import common, decontamination, langid, licences, mixing, near_dedup, pii, quality, ranked_search, substring_dedup, tokens, topk
 
 
 def _query(fn):
@@ -24,6 +24,7 @@ QUERIES = {name: _query(fn) for name, fn in {
     "op8_pareto_mix": mixing.op8_pareto_mix,
     "op9_pii": pii.op9_pii,
     "op10_quality": quality.op10_quality,
+    "op13_ranked_search": ranked_search.op13_ranked_search,
 }.items()}
 
 ORACLES = {
@@ -32,4 +33,5 @@ ORACLES = {
     "op4_minhash_near_dedup": near_dedup.ORACLE,
     "op7_maxscore_topk": topk.ORACLE,
     "op8_pareto_mix": mixing.ORACLE,
+    "op13_ranked_search": ranked_search.ORACLE,
 }
