@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import common, decontamination, langid, licences, mixing, multiset_hash, near_dedup, pii, quality, ranked_search, substring_dedup, tokens, topk
+from . import common, conversations, decontamination, langid, licences, mixing, multiset_hash, near_dedup, pii, quality, ranked_search, substring_dedup, tokens, topk
 
 
 def _query(fn):
@@ -24,6 +24,7 @@ QUERIES = {name: _query(fn) for name, fn in {
     "op8_pareto_mix": mixing.op8_pareto_mix,
     "op9_pii": pii.op9_pii,
     "op10_quality": quality.op10_quality,
+    "op11_conversations": conversations.op11_conversations,
     "op12_fingerprints": multiset_hash.op12_fingerprints,
     "op13_ranked_search": ranked_search.op13_ranked_search,
 }.items()}
