@@ -1351,21 +1351,6 @@ def q_ml_rfe_ranking(spark, d):
     return models.rfe_ranking(li, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", 1, fold="fold")
 
 
-@register("ml_group_vote_gbt", None)
-def q_ml_group_vote_gbt(spark, d):
-    from ..operators import folds, models
-    feats = seq.motion_features(tables.sequence_frame(spark, d), KEYS)
-    lab = tables.group_labels(spark, d)
-    rows = feats.join(lab, "patient_id").withColumn("label", F.col("label").cast("double"))
-    rows = folds.strict_group_folds(rows, "patient_id", "label", k=3)
-    cols = ["path_length", "speed_mean", "amp_x", "amp_y", "direction_changes", "jitter_mean"]
-    vec = models.assemble(rows, cols)
-    train, test = vec.where(F.col("fold") != 0), vec.where(F.col("fold") == 0)
-    model = models.classifier("gbt", label="label", multiclass=False, maxIter=10).fit(train)
-    preds = model.transform(test).select("patient_id", F.col("prediction").cast("int").alias("prediction"))
-    return models.vote_table(preds, "patient_id").join(lab, "patient_id")
-
-
 @register("quality_mar_test", None)
 def q_quality_mar_test(spark, d):
     from ..operators import models
@@ -1754,3 +1739,6 @@ def _mi_gain_sql():
 def q_sel_mi_gain_of_products(spark, d):
     from ..operators import select
     return round_all(select.mi_gain_of_products(_li(spark, d), POLY_COLS, "l_extendedprice", 10))
+
+
+from . import selection  # noqa: E402, F401  (registers its queries)
