@@ -175,9 +175,8 @@ def grid_fold_scores(df: DataFrame, cols: Sequence[str], target: str, grid: Sequ
     is fitted on the rows outside a fold and scores all rows: ``(model, fold, set,
     y_true, y_pred)``, the store of the metric operators.
 
-    Least squares and ridge are solved from one centred moment pass per fold (the training
-    moments of a fold are those of the other folds, merged); other penalties go through
-    MLlib.  Rows without a feature or the target are left out of the fit and have no score.
+    All penalties are solved from one centred moment pass (the training moments of a fold are
+    those of the other folds, merged).  Rows without a feature or the target are left out of the fit and have no score.
     """
     rows = save(df.where(complete([*cols, target]) & F.col(fold).isNotNull()).select(fold, *[F.col(c).cast("double").alias(c) for c in [*cols, target]]), "fit-rows")
     folds = [r[0] for r in rows.select(fold).distinct().limit(max_folds + 1).collect()]
@@ -191,11 +190,7 @@ def grid_fold_scores(df: DataFrame, cols: Sequence[str], target: str, grid: Sequ
             raise ValueError("one fold only: nothing to train on")
         for g in grid:
             reg, l1 = float(g.get("reg", 0.0)), float(g.get("l1_ratio", 0.0))
-            if l1 == 0.0:
-                beta, b0 = _ridge(_merge(train), reg)
-            else:
-                m = linear_regression(rows.where(F.col(fold) != f), cols, target, reg=reg, l1_ratio=l1)
-                beta, b0 = [float(v) for v in m.coefficients], float(m.intercept)
+            beta, b0 = _penalised(_merge(train), reg, l1)
             pred = F.lit(float(b0))
             for c, v in zip(cols, beta):
                 pred = pred + F.col(c) * F.lit(float(v))
@@ -231,11 +226,16 @@ def _merge(parts):
     return n, mean, m2
 
 
-def _ridge(moments, reg: float):
-    """Slope and intercept of ridge regression with penalty n * reg (0: least squares)."""
+def _penalised(moments, reg: float, l1_ratio: float = 0.0):
+    """Slopes and intercept of least squares with penalty reg (l1_ratio |b|_1 + (1 - l1_ratio) |b|^2 / 2)
+    on the mean squared error's half (ridge: n * reg on the sum of squares)."""
     n, mean, m2 = moments
     p = len(mean) - 1
-    beta = np.linalg.pinv(m2[:p, :p] / n + reg * np.eye(p)) @ (m2[:p, p] / n)
+    if l1_ratio > 0 and reg > 0:
+        from .crossfit import coordinate_descent
+        beta = coordinate_descent(m2[:p, :p] / n, m2[:p, p] / n, reg, l1_ratio)
+    else:
+        beta = np.linalg.pinv(m2[:p, :p] / n + reg * np.eye(p)) @ (m2[:p, p] / n)
     return [float(b) for b in beta], float(mean[p] - mean[:p] @ beta)
 
 
