@@ -6,7 +6,8 @@ import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +46,39 @@ def save(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", "zstd").parquet(path)
+    for paths in _SCOPES[-1:]:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables saved in the ``with`` block go when it ends, but for those handed to the
+    function that it gives: nothing stays behind that no later plan reads."""
+    _SCOPES.append([])
+    kept: set[str] = set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.update(f.rsplit("/", 1)[0] for f in df.inputFiles())
+        return df
+
+    try:
+        yield keep
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        names = {k.rsplit("/", 1)[-1] for k in kept}
+        for path in _SCOPES.pop():
+            if path.rsplit("/", 1)[-1] in names:
+                for paths in _SCOPES[-1:]:
+                    paths.append(path)
+            else:
+                at = jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(conf).delete(at, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

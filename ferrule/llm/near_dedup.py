@@ -174,14 +174,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A document without a word (null, empty or blank text) is a class of its own; a row
     with a null id has a null class and takes no part; rows that share an id are one
-    document (the first by text hash gives its shingles, each row is returned).  Shingle
+    document (that with the least hash of its words gives the shingles, each row is returned).  Shingle
     ids are 64-bit in signatures and 32-bit in the overlap check.
     """
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    feats = common.save(src.where("id IS NOT NULL").mapInArrow(
+    with common.scratch(docs.sparkSession) as keep:
+        copies, label = _classes(src, k, threshold, bands, rows)
+        copies, label = keep(copies), keep(common.save(label, "bag-classes"))
+    named = copies.join(label, copies["rep"] == label["id"], "left").select(
+        copies["id"].alias("doc_id"), F.coalesce("component", "rep").alias("class_id"))
+    lost = src.where("id IS NULL").select(F.col("id").alias("doc_id"), F.lit(None).cast("long").alias("class_id"))
+    return named.union(lost)
+
+
+def _classes(src: DataFrame, k: int, threshold: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """``(id, rep)`` for every row with an id, and ``(id, component)`` of linked representatives."""
+    every = common.save(src.where("id IS NOT NULL").mapInArrow(
         _features(k, bands, rows), "id long, copy string, weight long, bands array<long>, bag binary"), "bag-features")
+    # Rows that share an id are the document with the least hash of the words.
+    shared = common.save(every.groupBy("id").agg(F.min("copy").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+                         .select(F.col("id").alias("s_id"), "first"), "bag-shared")
+    every = every.join(shared, F.col("id") == F.col("s_id"), "left")
+    feats = every.where("s_id IS NULL OR copy = first").drop("s_id", "first")
+    chosen = every.select("id", F.when(F.col("s_id").isNull(), F.col("copy")).otherwise(F.col("first")).alias("copy"))
     rep = common.save(feats.where("copy IS NOT NULL").groupBy("copy").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "bag-reps")
-    copies = common.save(feats.select("id", "copy").join(rep, "copy", "left").select("id", F.coalesce("rep", "id").alias("rep")), "bag-copies")
+    copies = common.save(chosen.join(rep, "copy", "left").select("id", F.coalesce("rep", "id").alias("rep")), "bag-copies")
     keys = feats.join(copies.where("id = rep").select(F.col("id").alias("k")).distinct(), F.col("id") == F.col("k"), "left_semi") \
         .where("copy IS NOT NULL").select("id", "weight", F.explode("bands").alias("key"))
     keys = keys.dropDuplicates(["id", "key"])
@@ -198,10 +215,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if rest.limit(1).count():
         more = common.save(_similar(rest, bags).where(F.col("sim") >= threshold).select("a", "b"), "bag-more")
         label = components(links.union(more))
-    named = copies.join(label, copies["rep"] == label["id"], "left").select(
-        copies["id"].alias("doc_id"), F.coalesce("component", "rep").alias("class_id"))
-    lost = src.where("id IS NULL").select(F.col("id").alias("doc_id"), F.lit(None).cast("long").alias("class_id"))
-    return named.union(lost)
+    return copies, label
 
 
 def _units(batches):
@@ -268,7 +282,8 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Pipeline stage: the least id of each class stays (rows with a null id stay)."""
+    """Pipeline stage: the least id of each class stays (rows with a null id stay, and all rows
+    that share the least id: they are one document)."""
     found = near_duplicates(docs, id_col, text_col, **options)
     gone = found.where("class_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")

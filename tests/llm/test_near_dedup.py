@@ -94,3 +94,28 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r.id: r.component for r in components(edges).collect()}
     assert got == {**{i: 1 for i in range(1, 41)}, 100: 100, 101: 100}
+
+
+def test_rows_that_share_an_id(spark):
+    """Whatever the order of the rows, an id is the row with the least hash of its words."""
+    a, b = " ".join(words(40, 1)), " ".join(words(40, 2))
+    rows = [(5, a), (7, a + " x"), (7, b), (9, b), (9, b), (11, None), (11, a)]
+    seen = set()
+    for seed in range(4):
+        some = list(rows)
+        random.Random(seed).shuffle(some)
+        df = docs(spark, some).repartition(3)
+        seen.add(tuple(sorted((r.doc_id, r.class_id) for r in nd.near_duplicates(df).collect())))
+    assert len(seen) == 1 and len(next(iter(seen))) == len(rows)
+    assert dict(next(iter(seen)))[11] == 5
+
+
+def test_scratch_tables_go(spark):
+    """Only what the result reads is left in the shared folder."""
+    import os
+    from ferrule.llm import common
+    base = common.shared_dir(spark).removeprefix("file://")
+    before = set(os.listdir(base))
+    out = nd.near_duplicates(docs(spark, family(30, 3, 1, 0)))
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(base)) - before}
+    assert left == {"bag-copies", "bag-classes"} and out.count() == 30
