@@ -10,9 +10,10 @@ of shard ``s div shard_rows`` and a reader resumes anywhere by arithmetic.  The
 the pipeline write the shards as files of the shared folder and return where each record
 lies; the records are not kept a second time in the result.
 
-Numbering takes no global sort: ids go to order-preserving chunks, documents are ordered
-and numbered inside a chunk, and the chunks' totals (one row each) give the offsets.
-Encoded documents are written once to the shared folder between the two shuffles.
+The encoded documents are saved once, in pieces, where they were encoded, and don't move
+to be numbered: only (id, hash of the text, number of ids) is dealt out by ranges of the
+id, summed up in order, and sent back as one file of start numbers per encoding task.
+The pieces are then cut and shuffled once, by groups of shards, packed per piece and shard.
 """
 
 from __future__ import annotations
@@ -26,9 +27,11 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordering import chunk_offsets, ranged
 from . import common
 from .words import U, mix
 
@@ -39,7 +42,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: The first free id of that vocabulary ends a document and fills its last record.
 END = 50256
 SEQ_LEN, SHARD_ROWS, KEY = 512, 16384, 20240607
-CHUNK_BYTES = 8 << 20
+MAX_RANGES = 8192
 _ROUNDS = 6
 _ENCODERS: dict[str, object] = {}
 
@@ -72,91 +75,150 @@ def feistel(x: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _encode(vocabulary, bounds, sub, lo, hi, end, wide):
+_PIECES = "piece long, doc_ids array<long>, ties array<long>, sizes array<int>, body binary"
+_LEVEL = 6  # of compression
+SLICE_BYTES = 8 << 20  # of text in a piece
+_SLICE_BITS = 24  # of a piece's number: its place in its task
+
+
+def _encode(vocabulary, end, wide, slice_bytes):
+    """Documents (id, text, hash) to pieces: the ids of a slice of texts, one after another."""
     dtype = np.uint32 if wide else np.uint16
 
     def run(batches):
-        enc, z = encoder(vocabulary), zstandard.ZstdCompressor(level=3)
-        for part, texts in common.text_slices(batches):
-            known = part.column(0).is_valid().to_numpy(zero_copy_only=False)
-            ids = part.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            chunk = np.where(known, common.ordered_chunks(ids, bounds, sub, lo, hi), -1)
-            size, body = [], []
+        enc, z = encoder(vocabulary), zstandard.ZstdCompressor(level=_LEVEL)
+        piece = TaskContext.get().partitionId() << _SLICE_BITS
+        for part, texts in common.text_slices(batches, limit=slice_bytes):
+            size, ids = [], []
             for t in texts:
                 got = enc.encode_ordinary(t.decode("utf-8", "replace")) if t else []
                 if got:
                     got.append(end)
                 size.append(len(got))
-                body.append(z.compress(np.array(got, dtype).tobytes()))
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array(chunk), "doc_id": part.column(0), "tie": part.column(2),
-                                              "n": pa.array(size, pa.int64()), "body": pa.array(body, pa.binary())})
+                ids.append(np.array(got, dtype))
+            one = lambda c, t: pa.array([c], pa.list_(t))
+            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int64()), one(part.column(0).to_pylist(), pa.int64()), one(part.column(2).to_pylist(), pa.int64()),
+                                              one(size, pa.int32()), pa.array([z.compress(np.concatenate(ids).tobytes())], pa.binary())],
+                                             names=["piece", "doc_ids", "ties", "sizes", "body"])
+            piece += 1
 
     return run
 
 
-def _number(seq_len):
-    """Rows ordered by chunk to the same with ``start``: sequences before it in the chunk."""
+def _write_starts(uri: str):
+    """Rows (piece, row, start) in order to a file of pieces and starts per encoding task."""
     def run(batches):
-        at, last = 0, None
+        from pyarrow import fs
+        where, folder = fs.FileSystem.from_uri(uri)
+        where.create_dir(folder, recursive=True)
+        task, held = None, []
+
+        def close():
+            both = np.concatenate(held, axis=1)
+            new = f"{folder}/.{task}-{uuid.uuid4().hex}"
+            with where.open_output_stream(new) as f:
+                f.write(both.tobytes())
+            where.move(new, f"{folder}/{task}")
+            return pa.RecordBatch.from_pydict({"task": pa.array([task], pa.int64()), "rows": pa.array([both.shape[1]], pa.int64())})
+
         for b in batches:
-            chunk = b.column(0).to_numpy(zero_copy_only=False)
-            seqs = -(-b.column(3).to_numpy() // seq_len)
-            before = np.cumsum(seqs) - seqs
-            head = np.append(True, chunk[1:] != chunk[:-1])
-            base = np.maximum.accumulate(np.where(head, np.arange(len(chunk)), 0))
-            start = before - before[base]
-            if len(chunk) and chunk[0] == last:
-                start[chunk == last] += at
-            if len(chunk):
-                last, at = chunk[-1], int(start[-1] + seqs[-1])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), b.column(4), pa.array(start, pa.int64()), pa.array(seqs, pa.int64())],
-                                             names=["chunk", "doc_id", "n", "body", "start", "seqs"])
+            piece, start = b.column(0).to_numpy(), b.column(2).to_numpy()
+            cuts = np.flatnonzero(np.diff(piece >> _SLICE_BITS)) + 1
+            for p, s in zip(np.split(piece, cuts), np.split(start, cuts)):
+                if not len(p):
+                    continue
+                if task is not None and task != p[0] >> _SLICE_BITS:
+                    yield close()
+                    held = []
+                task = int(p[0] >> _SLICE_BITS)
+                held.append(np.stack([p, s]))
+        if task is not None:
+            yield close()
 
     return run
 
 
-def _cut(seq_len, total, key, shard_rows, end, wide):
+_CUT = "shard long, slots binary, doc_ids array<long>, seqs binary, sizes binary, body binary"
+
+
+def _cut(uri, seq_len, total, key, shard_rows, wide):
+    """Pieces to their sequences, packed per shard."""
     dtype = np.uint32 if wide else np.uint16
 
     def run(batches):
-        z, uz = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+        from pyarrow import fs
+        where, folder = fs.FileSystem.from_uri(uri)
+        z, uz = zstandard.ZstdCompressor(level=_LEVEL), zstandard.ZstdDecompressor()
+        task, known = None, None
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                seqs = part.column(4).to_numpy()
-                first = part.column(2).to_numpy() + part.column(3).to_numpy()
-                row = np.repeat(np.arange(len(seqs)), seqs)
-                seq = np.arange(len(row)) - np.repeat(np.cumsum(seqs) - seqs, seqs)
-                slot = feistel(first[row] + seq, total, key)
-                body, size = [], []
-                for raw, n in zip(part.column(5).to_pylist(), seqs.tolist()):
-                    ids = np.frombuffer(uz.decompress(raw), dtype) if n else np.zeros(0, dtype)
-                    for i in range(n):
-                        own = ids[i * seq_len: (i + 1) * seq_len]
-                        size.append(len(own))
-                        body.append(z.compress(own.tobytes()))
-                yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array(slot // shard_rows), "slot": pa.array(slot), "doc_id": part.column(0).take(pa.array(row)),
-                    "seq": pa.array(seq, pa.int64()), "n_tokens": pa.array(size, pa.int64()), "body": pa.array(body, pa.binary())})
+            for i in range(b.num_rows):
+                piece, doc_ids, sizes, body = (c[i] for c in b.columns)
+                piece, doc_ids = piece.as_py(), doc_ids.values
+                if piece >> _SLICE_BITS != task:
+                    task = piece >> _SLICE_BITS
+                    with where.open_input_stream(f"{folder}/{task}") as f:
+                        known = np.frombuffer(f.read(), np.int64).reshape(2, -1)
+                lo, hi = np.searchsorted(known[0], [piece, piece + 1])
+                size = sizes.values.to_numpy().astype(np.int64)
+                ids = np.frombuffer(uz.decompress(body.as_py()), dtype)
+                n = -(-size // seq_len)
+                row = np.repeat(np.arange(len(n)), n)
+                seq = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                slot = feistel(known[1, lo:hi][row] + seq, total, key)
+                first = (np.cumsum(size) - size)[row] + seq * seq_len
+                own = np.minimum(size[row] - seq * seq_len, seq_len)
+                by = np.argsort(slot // shard_rows, kind="stable")
+                shard = (slot // shard_rows)[by]
+                ends = np.flatnonzero(np.append(shard[1:] != shard[:-1], True)) + 1 if len(shard) else []
+                at, out = 0, [[] for _ in range(6)]
+                for to in ends:
+                    mine = by[at:to]
+                    tokens = np.concatenate([ids[f: f + k] for f, k in zip(first[mine].tolist(), own[mine].tolist())])
+                    for col, v in zip(out, (int(shard[at]), z.compress(slot[mine].tobytes()), doc_ids.take(pa.array(row[mine])), z.compress(seq[mine].tobytes()), z.compress(own[mine].tobytes()), z.compress(tokens.tobytes()))):
+                        col.append(v)
+                    at = to
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, out[2])]), pa.int32()), pa.concat_arrays(out[2]) if out[2] else pa.array([], pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), lists, *[pa.array(c, pa.binary()) for c in out[3:]]],
+                                                 names=["shard", "slots", "doc_ids", "seqs", "sizes", "body"])
 
     return run
 
 
-def _records(seq_len, end, wide):
+def _records(seq_len, shard_rows, end, wide):
+    """Packed sequences ordered by shard to records in slot order, one shard in memory at a time."""
     dtype = np.uint32 if wide else np.uint16
+    stride = seq_len * np.dtype(dtype).itemsize
 
     def run(batches):
         uz = zstandard.ZstdDecompressor()
+        shard, held = None, []
+
+        def close():
+            slot, seq, size = (np.concatenate([h[k] for h in held]) for k in (0, 2, 3))
+            doc = pa.concat_arrays([h[1] for h in held])
+            ids = np.concatenate([np.frombuffer(uz.decompress(h[4]), dtype) for h in held])
+            first = np.cumsum(size) - size
+            order = np.argsort(slot)
+            for at in range(0, len(order), 2048):
+                o = order[at: at + 2048]
+                rec = np.full((len(o), seq_len), end, dtype)
+                for r, f, k in zip(rec, first[o].tolist(), size[o].tolist()):
+                    r[:k] = ids[f: f + k]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(o), shard), pa.int64()), pa.array(slot[o]), pa.array(slot[o] % shard_rows * stride), doc.take(pa.array(o)), pa.array(seq[o]), pa.array(size[o]),
+                     pa.array([r.tobytes() for r in rec], pa.binary())], names=["shard", "slot", "byte_offset", "doc_id", "seq", "n_tokens", "tokens"])
+
         for b in batches:
-            for at in range(0, b.num_rows, 2048):
-                part = b.slice(at, 2048)
-                out = np.full((part.num_rows, seq_len), end, dtype)
-                for i, raw in enumerate(part.column(6).to_pylist()):
-                    own = np.frombuffer(uz.decompress(raw), dtype)
-                    out[i, : len(own)] = own
-                rows = out.reshape(part.num_rows, -1).view(np.uint8)
-                yield pa.RecordBatch.from_arrays([*part.columns[:6], pa.array([r.tobytes() for r in rows], pa.binary())],
-                                                 names=["shard", "slot", "byte_offset", "doc_id", "seq", "n_tokens", "tokens"])
+            for i in range(b.num_rows):
+                s, slots, doc, seqs, sizes, body = (c[i] for c in b.columns)
+                if shard is not None and s.as_py() != shard:
+                    yield from close()
+                    held = []
+                shard = s.as_py()
+                slot, seq, size = (np.frombuffer(uz.decompress(x.as_py()), np.int64) for x in (slots, seqs, sizes))
+                held.append((slot, doc.values, seq, size, body.as_py()))
+        if held:
+            yield from close()
 
     return run
 
@@ -164,33 +226,31 @@ def _records(seq_len, end, wide):
 _RECORD = "shard long, slot long, byte_offset long, doc_id long, seq long, n_tokens long, tokens binary"
 
 
-def _ranged(docs, id_col, text_col, vocabulary, seq_len, shard_rows, key, end, chunk_bytes) -> tuple[DataFrame, int]:
-    """Sequences by shard and slot, bodies packed (the rows that ``_records`` takes), and their number."""
-    wide = end >= 1 << 16
+def _packed(docs, id_col, text_col, vocabulary, seq_len, shard_rows, key, end, slice_bytes) -> tuple[DataFrame, int]:
+    """Packed sequences in order of their shards (the rows that ``_records`` takes), and their number."""
+    spark, wide = docs.sparkSession, end >= 1 << 16
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("tie"))
-    stat = src.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b"), F.min("id").alias("lo"), F.max("id").alias("hi")).first()
-    n_chunks = max(1, math.ceil(stat["b"] / chunk_bytes))
-    bounds = common.id_bounds(src, "id", n_chunks)
-    sub = math.ceil(n_chunks / (len(bounds) + 1))
-    encoded = src.mapInArrow(_encode(vocabulary, bounds, sub, float(stat["lo"] or 0), float(stat["hi"] or 0) + 1, end, wide),
-                             "chunk long, doc_id long, tie long, n long, body binary")
-    chunks = F.col("chunk")
-    numbered = common.save(encoded.repartition(chunks).sortWithinPartitions("chunk", "doc_id", "tie", "n").mapInArrow(
-        _number(seq_len), "chunk long, doc_id long, n long, body binary, start long, seqs long"), "tokens-encoded")
-    sums = numbered.groupBy("chunk").agg(F.sum("seqs").alias("s"))
-    before = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)  # one row per chunk
-    offsets = common.save(sums.select(F.col("chunk").alias("c"), "s", F.coalesce(F.sum("s").over(before), F.lit(0)).cast("long").alias("offset")), "tokens-offsets")
-    total = int(offsets.agg(F.coalesce(F.sum("s"), F.lit(0))).first()[0])
+    pieces = common.save(src.mapInArrow(_encode(vocabulary, end, wide, slice_bytes), _PIECES), "tokens-pieces")
+    # Numbers: light rows only, dealt out by ranges of unique keys.
+    light = pieces.select("piece", F.posexplode(F.arrays_zip("doc_ids", "ties", "sizes")).alias("row", "d"))
+    light = light.select("piece", "row", F.col("d.doc_ids").alias("doc_id"), F.col("d.ties").alias("tie"), F.expr(f"(d.sizes + {seq_len - 1}) div {seq_len}").alias("seqs"))
+    order = ["doc_id", "tie", "piece", "row"]
+    dealt = ranged(light, order, "tokens-order")
+    before = Window.partitionBy("_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    counted = chunk_offsets(dealt.withColumn("start", F.coalesce(F.sum("seqs").over(before), F.lit(0))), [], "seqs")
+    starts = counted.select("piece", "row", (F.col("start") + F.col("_off")).cast("long").alias("start"))
+    uri = f"{common.shared_dir(spark)}/tokens-starts-{uuid.uuid4().hex[:12]}"
+    task = F.shiftright("piece", _SLICE_BITS)
+    common.save(starts.repartition(task).sortWithinPartitions("piece", "row").mapInArrow(_write_starts(uri), "task long, rows long"), "tokens-starts")
+    total = int(dealt.agg(F.coalesce(F.sum("seqs"), F.lit(0))).first()[0])
     shards = max(1, math.ceil(total / shard_rows))
-    stride = seq_len * (4 if wide else 2)
-    cut = numbered.where("seqs > 0").join(offsets, chunks == F.col("c")).select("doc_id", "n", "offset", "start", "seqs", "body") \
-        .mapInArrow(_cut(seq_len, total, key, shard_rows, end, wide), "shard long, slot long, doc_id long, seq long, n_tokens long, body binary")
-    ranged = cut.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("slot")
-    return ranged.select("shard", "slot", (F.col("slot") % shard_rows * stride).alias("byte_offset"), "doc_id", "seq", "n_tokens", "body"), total
+    each = math.ceil(shards / MAX_RANGES)  # shards of one range partition, written one after another
+    cut = pieces.select("piece", "doc_ids", "sizes", "body").mapInArrow(_cut(uri, seq_len, total, key, shard_rows, wide), _CUT)
+    return cut.repartitionById(math.ceil(shards / each), F.expr(f"int(shard div {each})")).sortWithinPartitions("shard"), total
 
 
 def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, seq_len: int = SEQ_LEN,
-                   shard_rows: int = SHARD_ROWS, key: int = KEY, end: int = END, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+                   shard_rows: int = SHARD_ROWS, key: int = KEY, end: int = END, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """``(shard, slot, byte_offset, doc_id, seq, n_tokens, tokens)``: one row per sequence.
 
     ``tokens`` is a record of ``seq_len`` little-endian ids (16 bits while ``end`` < 2^16, else
@@ -198,21 +258,22 @@ def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     has no sequence; null ids come first in the numbering; rows that share an id are ordered
     by a hash of the text (equal rows are interchangeable); other columns are ignored.
     """
-    ranged, _ = _ranged(docs, id_col, text_col, vocabulary, seq_len, shard_rows, key, end, chunk_bytes)
-    return ranged.mapInArrow(_records(seq_len, end, end >= 1 << 16), _RECORD)
+    packed, _ = _packed(docs, id_col, text_col, vocabulary, seq_len, shard_rows, key, end, slice_bytes)
+    return packed.mapInArrow(_records(seq_len, shard_rows, end, end >= 1 << 16), _RECORD)
 
 
 def training_shards(docs: DataFrame, uri: str | None = None, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, seq_len: int = SEQ_LEN,
-                    shard_rows: int = SHARD_ROWS, key: int = KEY, end: int = END, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+                    shard_rows: int = SHARD_ROWS, key: int = KEY, end: int = END, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Write the records of ``training_order`` as shard files below ``uri`` (by default a new
     folder of the shared folder) and return ``(shard, slot, byte_offset, doc_id, seq, n_tokens,
     file)``: the record of a row is at ``byte_offset`` of ``file``.  The files are there when
     this returns; the rows are a saved table, so reading them writes nothing again."""
-    ranged, total = _ranged(docs, id_col, text_col, vocabulary, seq_len, shard_rows, key, end, chunk_bytes)
     uri = (uri or f"{common.shared_dir(docs.sparkSession)}/tokens-shards-{uuid.uuid4().hex[:12]}").rstrip("/")
-    records, write = _records(seq_len, end, end >= 1 << 16), _write(uri, key, total, True)
-    return common.save(ranged.mapInArrow(lambda batches: write(records(batches)),
-                                         "shard long, slot long, byte_offset long, doc_id long, seq long, n_tokens long, file string"), "tokens-index")
+    with common.scratch(docs.sparkSession) as keep:
+        packed, total = _packed(docs, id_col, text_col, vocabulary, seq_len, shard_rows, key, end, slice_bytes)
+        records, write = _records(seq_len, shard_rows, end, end >= 1 << 16), _write(uri, key, total, True)
+        return keep(common.save(packed.mapInArrow(lambda batches: write(records(batches)),
+                                                  "shard long, slot long, byte_offset long, doc_id long, seq long, n_tokens long, file string"), "tokens-index"))
 
 
 def _write(uri: str, key: int | None, total: int | None, index: bool):

@@ -270,7 +270,7 @@ def test_feistel_is_a_keyed_permutation():
 def test_round_trip_and_layout(spark, tmp_path):
     rows = odd_rows() + [(10 + i, text(300 + 40 * i, i)) for i in range(12)]
     d = docs(spark, rows)
-    out = tokens.training_order(clashing(d), seq_len=128, shard_rows=50, chunk_bytes=20_000)
+    out = tokens.training_order(clashing(d), seq_len=128, shard_rows=50, slice_bytes=20_000)
     got = out.collect()
     assert sorted(r.slot for r in got) == list(range(len(got)))
     assert {r.slot: (r.doc_id, r.seq, bytes(r.tokens)) for r in tokens.training_order(d.repartition(5), seq_len=128, shard_rows=50).collect()} == {r.slot: (r.doc_id, r.seq, bytes(r.tokens)) for r in got}
@@ -319,3 +319,18 @@ def test_rerun_with_another_key_replaces_full_shards(spark, tmp_path):
 def test_tokens_empty(spark):
     assert tokens.training_order(docs(spark, [])).count() == 0
     assert tokens.training_order(docs(spark, [(1, None), (2, "")])).count() == 0
+
+
+def test_slots_are_the_permuted_plain_numbering(spark):
+    """Every slot is the Feistel image of the sequence's place in the order of the ids (null first)."""
+    rows = [(i * 7 % 101, text(i * 13 % 90, i)) for i in range(101)] + [(None, text(40, 500)), (200, None), (201, "")]
+    out = tokens.training_order(docs(spark, rows).repartition(4), seq_len=16, shard_rows=9, key=3, slice_bytes=300).collect()
+    enc, place, want = tokens.encoder(tokens.VOCABULARY), 0, {}
+    total = sum(-(-(len(enc.encode_ordinary(t)) + 1) // 16) for _, t in rows if t)
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        if t:
+            for seq in range(-(-(len(enc.encode_ordinary(t)) + 1) // 16)):
+                want[i, seq] = int(tokens.feistel(np.array([place]), total, 3)[0])
+                place += 1
+    assert {(r.doc_id, r.seq): r.slot for r in out} == want and len(out) == total == place
+    assert all(r.shard == r.slot // 9 and r.byte_offset == r.slot % 9 * 32 for r in out)
