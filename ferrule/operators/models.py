@@ -210,8 +210,8 @@ def fold_moments(rows: DataFrame, cols: Sequence[str], fold: str) -> dict:
     for r in got:
         m2 = np.zeros((len(cols), len(cols)))
         for i, j in pairs:
-            m2[i, j] = m2[j, i] = r[f"c{i}_{j}"] * r["n"]
-        out[r[fold]] = (r["n"], np.array([r[f"m{i}"] for i in range(len(cols))]), m2)
+            m2[i, j] = m2[j, i] = (r[f"c{i}_{j}"] or 0.0) * r["n"]
+        out[r[fold]] = (r["n"], np.array([r[f"m{i}"] for i in range(len(cols))], float), m2)
     return out
 
 

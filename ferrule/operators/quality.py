@@ -1,7 +1,7 @@
 """Missingness tests, imputation checks and stage probes.
 
 D1 needs a p x p (pseudo-)inverse: the moments come from one distributed
-aggregate per tested column, the algebra is p x p on the driver.
+aggregate, the algebra is p x p on the driver.
 """
 
 from __future__ import annotations
@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import portable_hash
 from ..storage import save
+from .models import _merge, fold_moments
 from .ordering import attach_group, number_rows
 from .quantile import quantiles_long, to_long
 from .select import chi2_sf
@@ -23,34 +24,29 @@ def little_mcar(df: DataFrame, cols: Sequence[str], alpha: float = 0.05) -> Data
     """D1 per column c: rows whose *other* columns are complete; d = mean(others |
     c missing) - mean(others | c present); S = n_miss * d' pinv(Sigma) d with Sigma the
     sample covariance (ddof 1) of the others over the kept rows; p = chi2 tail with
-    p' = #others degrees of freedom.  NULL result when one side is empty."""
-    spark = df.sparkSession
-    rows = []
-    for c in cols:
-        others = [o for o in cols if o != c]
-        kept = df.where(F.lit(True) if not others else
-                        F.expr(" AND ".join(f"`{o}` IS NOT NULL" for o in others)))
-        miss = F.col(c).isNull()
-        aggs = [F.count_if(miss).alias("_nm"), F.count_if(~miss).alias("_no"), F.count(F.lit(1)).alias("_n")]
-        for k, o in enumerate(others):
-            aggs += [F.avg(F.when(miss, F.col(o))).alias(f"_mm{k}"), F.avg(F.when(~miss, F.col(o))).alias(f"_mo{k}")]
-        for i in range(len(others)):
-            for j in range(i, len(others)):
-                aggs.append(F.covar_samp(others[i], others[j]).alias(f"_v{i}_{j}"))
-        r = kept.agg(*aggs).first().asDict()
-        if not others or r["_nm"] == 0 or r["_no"] == 0:
-            rows.append((c, int(r["_nm"]), None, None, None))
+    p' = #others degrees of freedom.  NULL result when one side is empty.
+
+    One scan: only rows without a hole or with one matter, so the moments are grouped by
+    which column is missing (#columns + 1 groups) and merged per tested column."""
+    cols, p = list(cols), len(cols)
+    gaps = [F.col(c).isNull().cast("int") for c in cols]
+    missing = sum(gaps[1:], gaps[0])
+    which = F.coalesce(*[F.when(g == 1, F.lit(i)) for i, g in enumerate(gaps)], F.lit(-1))
+    rows = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)], missing.alias("_m"), which.alias("_w")).where("_m <= 1")
+    parts = fold_moments(rows, [f"x{i}" for i in range(p)], "_w")
+    out = []
+    for i, c in enumerate(cols):
+        others = [k for k in range(p) if k != i]
+        own = [(n, mean[others].astype(float), m2[np.ix_(others, others)]) for n, mean, m2 in (parts[k] for k in (i, -1) if k in parts)]
+        if not others or len(own) < 2:
+            out.append((c, int(parts[i][0]) if i in parts else 0, None, None, None))
             continue
-        p = len(others)
-        d = np.array([r[f"_mm{k}"] - r[f"_mo{k}"] for k in range(p)])
-        sig = np.zeros((p, p))
-        for i in range(p):
-            for j in range(i, p):
-                sig[i, j] = sig[j, i] = r[f"_v{i}_{j}"] or 0.0
-        stat = float(r["_nm"] * d @ np.linalg.pinv(sig) @ d)
-        pval = chi2_sf(stat, p)
-        rows.append((c, int(r["_nm"]), stat, pval, pval >= alpha))
-    return spark.createDataFrame(rows, "column string, n_missing long, statistic double, p_value double, mcar boolean")
+        d = own[0][1] - own[1][1]
+        n, _, m2 = _merge(own)
+        stat = float(own[0][0] * d @ np.linalg.pinv(m2 / (n - 1)) @ d)
+        pval = chi2_sf(stat, len(others))
+        out.append((c, int(own[0][0]), stat, pval, pval >= alpha))
+    return df.sparkSession.createDataFrame(out, "column string, n_missing long, statistic double, p_value double, mcar boolean")
 
 
 def fill_constant(df: DataFrame, value: float = 0.0, cols: Sequence[str] | None = None) -> DataFrame:
@@ -102,3 +98,22 @@ def stage_sizes(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+class StageProbe:
+    """D8 while the pipeline runs: ``watch`` marks a stage, and once a result of the pipeline has
+    been computed ``sizes`` tells how many rows passed each.  Nothing is computed for it: the
+    rows are counted as they go by (one observation per stage).  A failed task's rows don't
+    count; a stage that Spark computes again after a lost shuffle counts again."""
+
+    def __init__(self):
+        self.stages: list[tuple[str, Observation, int]] = []
+
+    def watch(self, name: str, df: DataFrame) -> DataFrame:
+        seen = Observation(f"stage-{len(self.stages)}-{name}")
+        self.stages.append((name, seen, len(df.columns)))
+        return df.observe(seen, F.count(F.lit(1)).alias("n_rows"))
+
+    def sizes(self, spark: SparkSession) -> DataFrame:
+        rows = [(name, int(seen.get["n_rows"]), n) for name, seen, n in self.stages]
+        return spark.createDataFrame(rows, "stage string, n_rows long, n_features int")

@@ -1184,6 +1184,22 @@ def q_quality_stage_sizes(spark, d):
     return quality.stage_sizes([("raw", m), ("complete", m.dropna()), ("numeric_pair", m.select("l_quantity", "l_tax"))])
 
 
+@register("quality_stage_probe", f"""WITH {S.MISSING_CTE}, c AS (SELECT * FROM miss WHERE l_discount IS NOT NULL AND l_tax IS NOT NULL)
+SELECT 'raw' AS stage, count(*) AS n_rows, 4 AS n_features FROM miss
+UNION ALL SELECT 'complete', count(*), 4 FROM c
+UNION ALL SELECT 'terms', count(*), 14 FROM c
+UNION ALL SELECT 'cheap', count(*), 14 FROM c WHERE l_quantity * l_extendedprice < 500000""")
+def q_quality_stage_probe(spark, d):
+    """Rows counted while the pipeline is written, not stage by stage."""
+    from ..operators import quality, select
+    from ..storage import save
+    probe = quality.StageProbe()
+    m = probe.watch("complete", probe.watch("raw", tables.missing_frame(spark, d)).dropna())
+    terms = probe.watch("terms", select.polynomial_features(m, MISS_COLS, 2))
+    save(probe.watch("cheap", terms.where("`l_quantity l_extendedprice` < 500000")), "stages")
+    return probe.sizes(spark)
+
+
 @register("quality_impute_eval", f"""WITH v AS (
   SELECT p_partkey, 'p_retailprice' AS "column", p_retailprice AS value FROM part
   UNION ALL SELECT p_partkey, 'p_size', CAST(p_size AS DOUBLE) FROM part),
@@ -1214,15 +1230,20 @@ def _mcar_sql(cols):
         det = "(s00 * (s11 * s22 - s12 * s21) - s01 * (s10 * s22 - s12 * s20) + s02 * (s10 * s21 - s11 * s20))"
         inv = {(i, j): f"((s{(j + 1) % 3}{(i + 1) % 3} * s{(j + 2) % 3}{(i + 2) % 3} - s{(j + 1) % 3}{(i + 2) % 3} * s{(j + 2) % 3}{(i + 1) % 3}) / {det})" for i in range(3) for j in range(3)}
         stat = "nm * (" + " + ".join(f"d{i} * {inv[i, j]} * d{j}" for i in range(3) for j in range(3)) + ")"
-        parts.append(f"SELECT '{c}' AS column, nm AS n_missing, CASE WHEN nm > 0 THEN round({stat}, 4) END AS statistic "
+        parts.append(f"SELECT '{c}' AS \"column\", nm AS n_missing, CASE WHEN nm > 0 THEN {stat} END AS s "
                      f"FROM (SELECT count(*) FILTER (WHERE {c} IS NULL) AS nm, {names}, {d} FROM miss WHERE {keep})")
-    return f"WITH {S.MISSING_CTE}\n" + "\nUNION ALL\n".join(parts)
+    # Chi-square tail with 3 degrees of freedom: one less the series of the lower incomplete gamma function.
+    tail = ("1 - exp(1.5 * ln(s / 2) - s / 2 - lgamma(2.5)) * list_sum(list_transform(range(400), "
+            "lambda k: exp(k * ln(s / 2) + lgamma(2.5) - lgamma(2.5 + k))))")
+    return (f"WITH {S.MISSING_CTE}, t AS (\n" + "\nUNION ALL\n".join(parts) + f"), p AS (SELECT *, CASE WHEN s IS NOT NULL THEN {tail} END AS p FROM t)\n"
+            "SELECT \"column\", n_missing, round(s, 4) AS statistic, round(p, 6) AS p_value, p >= 0.05 AS mcar FROM p")
 
 
 @register("quality_little_mcar", _mcar_sql(MISS_COLS))
 def q_quality_little_mcar(spark, d):
     from ..operators import quality
-    return round_all(quality.little_mcar(tables.missing_frame(spark, d), MISS_COLS).select("column", "n_missing", "statistic"), 4)
+    out = quality.little_mcar(tables.missing_frame(spark, d), MISS_COLS)
+    return round_all(out.withColumn("statistic", F.round("statistic", 4)))
 
 
 # --------------------------------------------------------------------------- reshaping

@@ -195,3 +195,22 @@ SELECT feature, CAST(CASE WHEN best.n = 3 OR i = u THEN 1 WHEN best.n = 2 THEN C
   best.n = 3 OR i = u OR (best.n = 2 AND i = v) AS chosen FROM al, best, (VALUES (0, 'l_quantity'), (1, 'l_discount'), (2, 'l_tax')) f(i, feature)""")
 def q_ml_rfe_cv_chosen(spark, d):
     return _rfe(spark, d)[1]
+
+
+# --------------------------------------------------------------------------- greedy folds
+
+@register("fold_greedy_group", f"""WITH RECURSIVE cls AS (SELECT o_orderpriority, row_number() OVER (ORDER BY o_orderpriority) AS j, count(*)::DOUBLE AS tot FROM orders GROUP BY 1),
+v AS (SELECT o_custkey, [{', '.join(f'count(*) FILTER (WHERE j = {j})' for j in range(1, 6))}] AS v FROM orders JOIN cls USING (o_orderpriority) GROUP BY 1),
+q AS (SELECT *, row_number() OVER (ORDER BY 5 * list_sum(list_transform(v, lambda c: c * c)) - list_sum(v) ^ 2 DESC, v, {S.portable_hash_sql('o_custkey')}, o_custkey) AS s FROM v),
+t AS (SELECT list(tot ORDER BY j) AS t FROM cls),
+r AS (SELECT 0::BIGINT AS s, list_transform(range(25), lambda i: 0.0::DOUBLE) AS c, -1::BIGINT AS f
+  UNION ALL SELECT s, list_transform(range(25), lambda i: c[i + 1] + CASE WHEN i // 5 = f THEN v[i % 5 + 1] ELSE 0 END), f FROM (
+    SELECT q.s, r.c, q.v, list_sort(list_transform(range(5), lambda f: {{'x': round(list_sum(list_transform(range(5), lambda j:
+      list_aggregate(list_transform(range(5), lambda g: (r.c[g * 5 + j + 1] + CASE WHEN g = f THEN q.v[j + 1] ELSE 0 END) / t.t[j + 1]), 'stddev_pop'))), 12),
+      'n': list_sum(list_slice(r.c, f * 5 + 1, f * 5 + 5)), 'f': f}}))[1].f AS f FROM r JOIN q ON q.s = r.s + 1, t)),
+d AS (SELECT v, list(f ORDER BY f) AS fs, min(q.s) AS s0 FROM r JOIN q USING (s) GROUP BY v),
+g AS (SELECT o_custkey, CAST(fs[s - s0 + 1] AS INTEGER) AS fold FROM q JOIN d USING (v))
+SELECT o_orderkey, o.o_custkey, g.fold FROM orders o JOIN g USING (o_custkey)""")
+def q_fold_greedy_group(spark, d):
+    o = tables.read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    return folds.greedy_group_kfold(o, "o_custkey", "o_orderpriority", 5).drop("o_orderpriority")

@@ -220,3 +220,84 @@ def test_dominant_sets_and_grid_order(spark):
     assert grid == [{"p": 1, "q": "x"}, {"p": 2, "q": "x"}, {"p": 1, "q": "y"}, {"p": 2, "q": "y"}]
     gdf = {r["ordinal"]: (r["p"], r["q"]) for r in select.parameter_grid_df(spark, {"p": [1, 2], "q": ["x", "y"]}).collect()}
     assert gdf == {0: ("1", "x"), 1: ("2", "x"), 2: ("1", "y"), 3: ("2", "y")}
+
+
+def test_greedy_group_folds(spark):
+    """Equal to a plain greedy over single groups, in one fold each, and no worse balanced than the round-robin."""
+    import numpy as np
+    from ferrule.operators import folds
+    r = np.random.default_rng(4)
+    rows = [(g, int(r.integers(3))) for g in range(60) for _ in range(int(r.pareto(1.2) * 3) + 1)] + [(None, 1)] * 4 + [(100 + i, 0) for i in range(30)]
+    df = spark.createDataFrame(rows, "g long, y int")
+    got = {}
+    for x in folds.greedy_group_kfold(df, "g", "y", 4).collect():
+        got.setdefault(x.g, set()).add(x.fold)
+    assert len(got) == 91 and all(len(f) == 1 for f in got.values())
+    count = {g: np.array([sum(1 for a, b in rows if a == g and b == c) for c in range(3)]) for g in got}
+    total, held, want = sum(count.values()), np.zeros((4, 3)), {}
+    for g in sorted(count, key=lambda g: (-(3 * (count[g] ** 2).sum() - count[g].sum() ** 2), tuple(count[g]))):
+        cost = []
+        for f in range(4):
+            h = held.copy()
+            h[f] += count[g]
+            cost.append((round(float((h / total).std(axis=0).sum()), 12), held[f].sum(), f))
+        held[min(cost)[2]] += count[g]
+        want.setdefault(tuple(count[g]), []).append(min(cost)[2])
+    have = {}
+    for g, f in got.items():
+        have.setdefault(tuple(count[g]), []).extend(f)
+    assert {v: sorted(f) for v, f in have.items()} == {v: sorted(f) for v, f in want.items()}
+
+    def spread(fold_of):
+        h = np.zeros((4, 3))
+        for g, f in fold_of.items():
+            h[f] += count[g]
+        return (h / total).std(axis=0).sum()
+
+    plain = {x.g: x.fold for x in folds.stratified_group_kfold(df, "g", "y", 4).collect()}
+    assert spread({g: min(f) for g, f in got.items()}) <= spread(plain)
+
+
+def test_greedy_group_folds_of_many_equal_groups(spark):
+    from ferrule.operators import folds
+    df = spark.range(20000).select(F.col("id").alias("g"), (F.col("id") % 2).cast("int").alias("y"))
+    got = folds.greedy_group_kfold(df, "g", "y", 3).groupBy("fold", "y").count().collect()
+    assert len(got) == 6 and all(3300 < r["count"] < 3370 for r in got)
+    assert folds.greedy_group_kfold(df.limit(0), "g", "y", 3).collect() == []
+
+
+def test_mcar_reads_its_input_once(spark):
+    """One aggregate over the rows; statistic and tail as from plain NumPy."""
+    import numpy as np
+    from ferrule.operators import quality, select
+    r = np.random.default_rng(9)
+    x = r.normal(size=(400, 3)) + [1e6, 0, 5]
+    hole = r.random((400, 3)) < 0.1
+    rows = [tuple(None if h else float(v) for v, h in zip(a, b)) for a, b in zip(x, hole)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {q["column"]: q for q in quality.little_mcar(df, ["a", "b", "c"]).collect()}
+    for i, c in enumerate("abc"):
+        o = [k for k in range(3) if k != i]
+        kept = ~hole[:, o].any(axis=1)
+        v, miss = x[kept][:, o], hole[kept][:, i]
+        d = v[miss].mean(0) - v[~miss].mean(0)
+        stat = miss.sum() * d @ np.linalg.pinv(np.cov(v.T)) @ d
+        assert got[c]["n_missing"] == miss.sum() and abs(got[c]["statistic"] - stat) < 1e-6 * stat
+        assert abs(got[c]["p_value"] - np.exp(-stat / 2)) < 1e-9 and abs(select.chi2_sf(stat, 2) - np.exp(-stat / 2)) < 1e-9
+
+
+def test_stage_probe(spark):
+    """Counts come from the one run of the pipeline."""
+    from ferrule.operators import quality
+    probe = quality.StageProbe()
+    ran = spark.sparkContext.accumulator(0)
+
+    def once(batches):
+        for b in batches:
+            ran.add(b.num_rows)
+            yield b
+
+    a = probe.watch("all", spark.range(100).mapInArrow(once, "id long"))
+    b = probe.watch("even", a.where("id % 2 = 0").withColumn("x", F.lit(1)))
+    assert b.groupBy().sum("id").first()[0] == 2450
+    assert [tuple(r) for r in probe.sizes(spark).collect()] == [("all", 100, 1), ("even", 50, 2)] and ran.value == 100
