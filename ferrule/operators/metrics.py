@@ -17,7 +17,6 @@ from ..storage import save
 from .ordering import attach_group
 from .quantile import histogram_ranks, read_quantiles, trimmed_mean_long, value_ranks
 
-MAX_LABELS = 10_000  # labels of one group's confusion table
 EPS = 2.220446049250313e-16  # float64 machine epsilon (MAPE denominator floor)
 
 
@@ -49,34 +48,33 @@ def winsorized_mape(preds: DataFrame, keys: Sequence[str], q: float = 0.95,
         (F.sum(F.least(F.col("value"), F.col("_thr")) * F.col("cnt")) / F.sum("cnt")).alias("wmape"))
 
 
+def confusion_cells(preds: DataFrame, keys: Sequence[str] = (), y: str = "y_true", p: str = "y_pred", weight: str | None = None) -> DataFrame:
+    """(keys, true, pred, n): the cells that occur, one aggregate."""
+    w = F.col(weight) if weight else F.lit(1)
+    return preds.groupBy(*keys, F.col(y).alias("true"), F.col(p).alias("pred")).agg(F.sum(w).alias("n"))
+
+
 def confusion(preds: DataFrame, keys: Sequence[str] = (), y: str = "y_true", p: str = "y_pred",
               weight: str | None = None) -> DataFrame:
     """M7: (keys, true, pred, n), zero-filled over the labels that the group itself holds,
-    true or predicted.  The label list is per group; a table of more than
-    ``MAX_LABELS`` labels is refused."""
+    true or predicted.  The result has a row per pair of labels; the counts are joined to it
+    null-safe, so a NULL key or label is one like any other."""
     keys = list(keys)
-    w = F.col(weight) if weight else F.lit(1)
-    counts = preds.groupBy(*keys, F.col(y).alias("true"), F.col(p).alias("pred")).agg(F.sum(w).alias("n"))
-    pair = counts.groupBy(*keys).agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array("true", "pred"))))).alias("_ls"),
-        F.map_from_entries(F.collect_list(F.struct(F.struct("true", "pred"), "n"))).alias("_m"))
-    ok = F.when(F.size("_ls") <= MAX_LABELS, F.col("_ls")).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_LABELS} labels in a group")))
-    grid = pair.select(*keys, F.explode(ok).alias("true"), "_ls", "_m").select(
-        *keys, "true", F.explode("_ls").alias("pred"), "_m")
-    return grid.select(*keys, "true", "pred", F.coalesce(F.try_element_at("_m", F.struct("true", "pred")), F.lit(0)).alias("n"))
-
-
-def per_class(conf: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    cells = save(confusion_cells(preds, keys, y, p, weight), "confusion-cells")
+    labels = cells.groupBy(*keys).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array("true", "pred"))))).alias("_ls"))
+    grid = labels.select(*keys, F.explode("_ls").alias("true"), "_ls").select(*keys, "true", F.explode("_ls").alias("pred"))
+    return attach_group(grid, cells, [*keys, "true", "pred"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+
+
+def per_class(cells: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Per class of the group precision, recall, F1 (zero division -> 0) and support,
-    from one pass over the confusion cells."""
-    keys = list(keys)
-    cells = conf.select(*keys, F.explode(F.array(
-        F.struct(F.col("true").alias("label"), F.col("n").alias("s"), F.lit(0).cast(conf.schema["n"].dataType).alias("p"),
-                 F.when(F.col("true") == F.col("pred"), F.col("n")).otherwise(0).alias("tp")),
-        F.struct(F.col("pred").alias("label"), F.lit(0).cast(conf.schema["n"].dataType).alias("s"), F.col("n").alias("p"),
-                 F.lit(0).cast(conf.schema["n"].dataType).alias("tp")))).alias("c")).select(*keys, "c.*")
-    t = cells.groupBy(*keys, "label").agg(F.sum("tp").alias("tp"), F.sum("s").alias("support"), F.sum("p").alias("predicted"))
+    from one pass over the confusion cells that occur."""
+    keys, kind = list(keys), cells.schema["n"].dataType
+    zero = F.lit(0).cast(kind)
+    both = cells.select(*keys, F.explode(F.array(
+        F.struct(F.col("true").alias("label"), F.col("n").alias("s"), zero.alias("p"), F.when(F.col("true").eqNullSafe(F.col("pred")), F.col("n")).otherwise(zero).alias("tp")),
+        F.struct(F.col("pred").alias("label"), zero.alias("s"), F.col("n").alias("p"), zero.alias("tp")))).alias("c")).select(*keys, "c.*")
+    t = both.groupBy(*keys, "label").agg(F.sum("tp").alias("tp"), F.sum("s").alias("support"), F.sum("p").alias("predicted"))
     prec, rec = div_or("tp", "predicted"), div_or("tp", "support")
     t = t.select(*keys, "label", prec.alias("precision"), rec.alias("recall"), "support", "tp")
     return t.withColumn("f1", div_or(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
@@ -87,7 +85,7 @@ def classification_report(preds: DataFrame, keys: Sequence[str] = (), y: str = "
     """M8: per-class rows plus ``accuracy``, ``macro avg`` and ``weighted avg`` rows:
     ``(keys, row, precision, recall, f1, support)``."""
     keys = list(keys)
-    pc = save(per_class(confusion(preds, keys, y, p, weight), keys), "class-scores")
+    pc = save(per_class(confusion_cells(preds, keys, y, p, weight), keys), "class-scores")
     cls = pc.select(*keys, F.col("label").cast("string").alias("row"), "precision", "recall", "f1",
                     F.col("support").cast("double").alias("support"))
     weighted = lambda c: F.try_divide(F.sum(F.col(c) * F.col("support")), F.sum("support"))
@@ -112,7 +110,7 @@ def classification_scores(preds: DataFrame, keys: Sequence[str] = (), y: str = "
     the classes that occur) and the macro-F1 loss 1 - F1 per group (weights replace
     counts when given)."""
     keys = list(keys)
-    pc = per_class(confusion(preds, keys, y, p, weight), keys)
+    pc = per_class(confusion_cells(preds, keys, y, p, weight), keys)
     return pc.groupBy(*keys).agg(
         F.try_divide(F.sum("tp"), F.sum("support")).alias("accuracy"), F.avg("precision").alias("macro_precision"),
         F.avg("recall").alias("macro_recall"), F.avg("f1").alias("macro_f1"),
@@ -154,7 +152,7 @@ def group_scores(preds: DataFrame, fold: str, group: str, y: str = "y_true", p:
     ``(fold, group, fold_accuracy)``, best fold first (O6)."""
     acc = preds.groupBy(fold).agg(F.avg((F.col(y) == F.col(p)).cast("double")).alias("fold_accuracy"))
     groups = preds.select(fold, group).distinct()
-    return groups.join(acc, fold).orderBy(F.desc("fold_accuracy"), fold, group)
+    return attach_group(groups, acc, [fold]).orderBy(F.desc("fold_accuracy"), fold, group)
 
 
 def overfit_table(scores: DataFrame, keys: Sequence[str], metric: str = "metric", model: str = "model",

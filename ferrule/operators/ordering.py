@@ -32,12 +32,12 @@ from ..storage import save
 DEFAULT_BLOCK_ROWS = 1 << 20
 
 
-def _key_join(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+def _key_join(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str, how: str = "inner") -> DataFrame:
     """Join ``right`` (columns renamed ``prefix+key``) on null-safe key equality."""
     cond = F.lit(True)
     for k in keys:
         cond = cond & left[k].eqNullSafe(right[prefix + k])
-    return left.join(right, cond, "inner").drop(*[prefix + k for k in keys])
+    return left.join(right, cond, how).drop(*[prefix + k for k in keys])
 
 
 def ranged(df: DataFrame, keys: Sequence[str], tag: str = "ranged") -> DataFrame:
@@ -76,11 +76,11 @@ def number_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], name: st
     return out.drop("_chunk", "_lrn", "_one", "_off", "_total")
 
 
-def attach_group(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+def attach_group(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join per-group columns to the rows; a NULL key is a group like any other, so
-    every row stays."""
+    every row whose group is there stays (all rows with ``how`` "left")."""
     renamed = groups.select(*[F.col(c).alias("_g_" + c) if c in keys else F.col(c) for c in groups.columns])
-    return _key_join(df, renamed, list(keys), "_g_")
+    return _key_join(df, renamed, list(keys), "_g_", how)
 
 
 def with_lookback(df: DataFrame, frame: str, halo: int,
@@ -111,3 +111,13 @@ def first_n_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column |
     group and a hot group never lands whole in one task."""
     w = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= n)
+
+
+def side_by_side(left: DataFrame, right: DataFrame, left_order: Sequence[str], right_order: Sequence[str]) -> DataFrame:
+    """The columns of two tables next to each other, row by row of their own orders (unique
+    keys, NULL first), with the position ``pos``.  Where one table is shorter its columns are
+    NULL.  Both are numbered without a single-task sort and joined on the position."""
+    a = number_rows(left, [], left_order, "pos")
+    b = number_rows(right, [], right_order, "_pos")
+    out = a.join(b, a["pos"] == b["_pos"], "full_outer")
+    return out.withColumn("pos", F.coalesce("pos", "_pos")).drop("_pos")

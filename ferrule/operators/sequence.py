@@ -151,7 +151,7 @@ def part_stats(steps: DataFrame, parts: DataFrame, recording: Sequence[str], val
     moments = per_frame.groupBy(*rec, "part", "side").agg(F.avg("_v").alias("mean"), std.alias("std"))
     med = quantiles_long(per_frame, [*rec, "part", "side"], [0.5], value="_v").select(
         *rec, "part", "side", F.col("quantile").alias("median"))
-    return moments.join(med, [*rec, "part", "side"], "left")
+    return attach_group(moments, med, [*rec, "part", "side"], "left")
 
 
 def side_totals(stats: DataFrame, recording: Sequence[str]) -> DataFrame:
@@ -166,12 +166,25 @@ def pair_distance(df: DataFrame, recording: Sequence[str], joint_a: int, joint_b
     """W12 mean and W13 Frobenius distance between two joints over common frames."""
     a = df.where(F.col(joint) == joint_a).select(*recording, frame, F.col(x).alias("_ax"), F.col(y).alias("_ay"))
     b = df.where(F.col(joint) == joint_b).select(*recording, frame, F.col(x).alias("_bx"), F.col(y).alias("_by"))
-    d = a.join(b, [*recording, frame], "inner").withColumn(
+    d = attach_group(a.where(F.col(frame).isNotNull()), b, [*recording, frame]).withColumn(
         "_d", F.hypot(F.col("_ax") - F.col("_bx"), F.col("_ay") - F.col("_by")))
     return d.groupBy(*recording).agg(F.coalesce(F.avg("_d"), F.lit(0.0)).alias("mean_distance"),
                                      F.sqrt(F.sum(F.col("_d") * F.col("_d"))).alias("frobenius"))
 
 
+def flatten_frames(df: DataFrame, by: Sequence[str], values: Sequence[str], frames: int, fill: float = 0.0, frame: str = "frame", name: str = "f") -> DataFrame:
+    """A sequence as wide rows ``(by..., piece, n_frames, f0..fN)``: the values of ``frames``
+    frames side by side in order, ``fill`` where a frame or a value is missing.  A sequence longer
+    than that goes on in the next piece, so no group is larger than a piece and the width
+    doesn't grow with the data.  Frames count from 0; a NULL frame has no place and is left out;
+    of frames that occur twice the greatest values are taken."""
+    at = F.col(frame).cast("long")
+    rows = df.where(at.isNotNull()).select(*by, F.expr(f"`{frame}` div {frames}").alias("piece"), (at % frames).cast("int").alias("_at"),
+                                           *[F.col(v).cast("double").alias(f"_v{j}") for j, v in enumerate(values)])
+    slots = [F.expr(f"coalesce(max(IF(_at = {i}, _v{j}, NULL)), {float(fill)}D) AS {name}{i * len(values) + j}") for i in range(frames) for j in range(len(values))]
+    return rows.groupBy(*by, "piece").agg(F.count_distinct("_at").alias("n_frames"), *slots)
+
+
 def patient_exercise_matrix(features: DataFrame, patient: str, exercise: str,
                             codes: Sequence[str], value_cols: Sequence[str],
                             fill_value: float = 0.0) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import round_all
 from ..operators import sequence as seq
+from ..operators.ordering import attach_group
 from ..sources import tables
 from . import sql_fragments as S
 
@@ -162,8 +163,8 @@ def q_flagship_group_vote(spark, d):
     votes = counts.groupBy("patient_id").agg(F.min_by("pred", F.struct(-F.col("c"), F.col("pred"))).alias("vote"),
                                              F.sum("c").alias("n_recordings"))
     fold = folds.strict_group_folds(tables.group_labels(spark, d), "patient_id", "label", k=5)
-    return fold.join(votes, "patient_id").select("patient_id", "label", "fold", "vote", "n_recordings",
-                                                 (F.col("vote") == F.col("label")).alias("correct"))
+    return attach_group(fold, votes, ["patient_id"]).select("patient_id", "label", "fold", "vote", "n_recordings",
+                                                            (F.col("vote") == F.col("label")).alias("correct"))
 
 
 # --------------------------------------------------------------------------- folds
@@ -1333,6 +1334,30 @@ def q_reshape_smallest_abs(spark, d):
                                 "l_extendedprice", 10)
 
 
+@register("reshape_first_rows_per_class", """SELECT o_orderpriority, o_orderkey, o_totalprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS r FROM orders) WHERE r <= 5""")
+def q_reshape_first_rows_per_class(spark, d):
+    from ..operators.ordering import first_n_per_group
+    o = _orders(spark, d).select("o_orderpriority", "o_orderkey", "o_totalprice")
+    return first_n_per_group(o, ["o_orderpriority"], ["o_orderkey"], 5).drop("rank")
+
+
+@register("reshape_side_by_side", """WITH a AS (SELECT c_custkey, c_acctbal, row_number() OVER (ORDER BY c_custkey) - 1 AS pos FROM customer),
+b AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS pos FROM orders)
+SELECT coalesce(a.pos, b.pos) AS pos, c_custkey, c_acctbal, o_orderkey, o_totalprice FROM a FULL JOIN b ON a.pos = b.pos""")
+def q_reshape_side_by_side(spark, d):
+    from ..operators.ordering import side_by_side
+    c = tables.read_table(spark, d, "customer").select("c_custkey", "c_acctbal")
+    return side_by_side(c, _orders(spark, d).select("o_orderkey", "o_totalprice"), ["c_custkey"], ["o_totalprice", "o_orderkey"])
+
+
+@register("seq_flatten_frames", f"""WITH {S.SEQ_CTE}, p AS (SELECT patient_id, exercise_id, frame // 8 AS piece, frame % 8 AS i, x, y FROM seq)
+SELECT patient_id, exercise_id, piece, count(*) AS n_frames, {", ".join(f"coalesce(max({v}) FILTER (WHERE i = {i}), 0) AS f{2 * i + j}" for i in range(8) for j, v in enumerate("xy"))}
+FROM p GROUP BY ALL""")
+def q_seq_flatten_frames(spark, d):
+    return seq.flatten_frames(tables.sequence_frame(spark, d), ["patient_id", "exercise_id"], ["x", "y"], 8)
+
+
 # --------------------------------------------------------------------------- models
 
 @register("ml_ols_single", """SELECT '_1' AS term, round(regr_intercept(l_extendedprice, l_quantity), 4) AS coef FROM lineitem
