@@ -14,7 +14,10 @@ rows, in blocks).  In a shard:
   in the next terms only while its partial score plus the bounds left is competitive.
 
 The shards' best lists are merged by a ranked window (limited per group before the
-shuffle).  Scores are integers held exactly in doubles (checked), ties go to the smaller id.
+shuffle).  Scores are integers, ties go to the smaller id.  Where a block's products fit, they
+are held exactly in doubles; otherwise doubles with their error bounds only tell which
+candidates are competitive, and those are scored in whole numbers of any size.  A score
+beyond a long is given as the nearest long.
 """
 
 from __future__ import annotations
@@ -32,29 +35,29 @@ SHARD_ROWS, QUERY_ROWS, STEP = 4096, 256, 8
 
 
 def _pack(t: pa.Table) -> pa.Table:
-    """The vectors of one block, by id, as one row: ids, values (rows x width, int64)."""
+    """The vectors of one block, by id, as one row: ids, values (rows x width, whole doubles)."""
     t = t.sort_by("id")
     v = t["vec"].combine_chunks()
     size = np.diff(v.offsets.to_numpy())
-    width = int(size.max())
-    m = np.zeros((t.num_rows, width), np.int64)
-    m[np.arange(width)[None, :] < size[:, None]] = v.flatten().to_numpy()
+    width = max(1, int(size.max()))
+    m = np.zeros((t.num_rows, width))
+    m[np.arange(width)[None, :] < size[:, None]] = np.floor(v.flatten().to_numpy().astype(np.float64))
     ids = t["id"].combine_chunks().to_numpy()
     return pa.table({"block": t["block"].slice(0, 1), "ids": pa.array([ids.tobytes()], pa.binary()), "vals": pa.array([m.tobytes()], pa.binary())})
 
 
 def _open(ids: bytes, vals: bytes) -> tuple[np.ndarray, np.ndarray]:
     i = np.frombuffer(ids, np.int64)
-    return i, np.frombuffer(vals, np.int64).reshape(len(i), -1)
+    return i, np.frombuffer(vals, np.float64).reshape(len(i), -1)
 
 
 def max_score(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, theta: np.ndarray, step: int = STEP):
     """Rows (query row, candidate row, score) that can be among the best ``k``; raises
     ``theta`` (k-th best score known per query) in place."""
     width = min(q.shape[1], x.shape[1])
-    if float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * width >= 2 ** 53:
-        raise ValueError("scores do not fit exactly into doubles")
-    qf, xf = q[:, :width].astype(np.float64), x[:, :width].astype(np.float64)
+    qf, xf = q[:, :width], x[:, :width]
+    if not float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * width < 2 ** 53:
+        return _exact(q_ids, qf, ids, xf, k, theta)
     bound = np.maximum(qf * xf.max(axis=0), qf * xf.min(axis=0))
     order = np.argsort(-bound.sum(axis=0), kind="stable")  # one order for the block
     qf, xf, bound = qf[:, order], np.ascontiguousarray(xf[:, order]), bound[:, order]
@@ -81,7 +84,29 @@ def max_score(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray,
     top = rank < k
     kth = np.flatnonzero(rank == k - 1)
     theta[qr[kth]] = np.maximum(theta[qr[kth]], part[kth])
-    return qr[top], cr[top], part[top]
+    return qr[top], cr[top], part[top].astype(np.int64)
+
+
+def _exact(q_ids, qf, ids, xf, k, theta):
+    """The same for products that doubles don't hold: candidates within the rounding error of the
+    k-th best are scored in whole numbers."""
+    whole = [[int(v) for v in row] for row in xf.tolist()]
+    found = []
+    with np.errstate(over="ignore", invalid="ignore"):
+        s, slack = qf @ xf.T, (np.abs(qf) @ np.abs(xf).T) * (xf.shape[1] + 2) * 2.0 ** -52
+        low, high = s - slack, s + slack
+    for i, row in enumerate(qf.tolist()):
+        fine = np.isfinite(low[i]) & np.isfinite(high[i])
+        other = ids != q_ids[i]
+        sure = np.sort(low[i][fine & other])[::-1]
+        least = max(theta[i], sure[k - 1] if len(sure) >= k else -np.inf)
+        mine = [int(v) for v in row]
+        best = sorted((-sum(a * b for a, b in zip(mine, whole[c])), int(ids[c]), c) for c in np.flatnonzero(other & (~fine | (high[i] >= least))))[:k]
+        if len(best) == k and abs(best[-1][0]) < 2 ** 1000:
+            theta[i] = max(theta[i], np.nextafter(float(-best[-1][0]), -np.inf))
+        found += [(i, c, min(max(-n, -(1 << 63)), (1 << 63) - 1)) for n, _, c in best]
+    cols = list(zip(*found)) or [[]] * 3
+    return tuple(np.array(c, np.int64) for c in cols)
 
 
 def _probe(rows, qf, xf, left, theta, own, at, step):
@@ -111,15 +136,16 @@ def _search(k: int):
                     known.clear()
                 theta = known.setdefault(qi, np.full(len(q_ids), -np.inf))
                 r, c, s = max_score(q_ids, q, ids, x, k, theta)
-                yield pa.RecordBatch.from_pydict({"query_id": q_ids[r], "vec_id": ids[c], "score": s.astype(np.int64)})
+                yield pa.RecordBatch.from_pydict({"query_id": q_ids[r], "vec_id": ids[c], "score": s})
 
     return run
 
 
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
-    """``(query_id, rank, vec_id, score)`` from integer vectors ``(id, vec)``; a query never
-    finds its own id.  Vectors of unequal length count as padded with zeros; ids are
-    taken as distinct (of rows that share an id each is a candidate)."""
+    """``(query_id, rank, vec_id, score)`` from vectors ``(id, vec)``, components rounded down to
+    whole numbers; a query never finds its own id.  Vectors of unequal length count as padded
+    with zeros, an empty one as zeros only; ids are taken as distinct (of rows that share an id
+    each is a candidate)."""
     def blocks(df: DataFrame, rows: int) -> DataFrame:
         n = max(1, math.ceil(df.count() / rows))
         return df.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(n)).alias("block")) \
@@ -140,11 +166,11 @@ def _meet(q: DataFrame, c: DataFrame) -> DataFrame:
 
 
 def scaled(vectors: DataFrame, id_col: str, vec_col: str, scale: int = 256) -> DataFrame:
-    """``(id, vec)`` with floor(scale * x) as integers; rows with a null id, a null vector, or
-    a null or non-finite component take no part."""
+    """``(id, vec)`` with floor(scale * x) as whole doubles; rows with a null id, a null vector, or
+    a null or non-finite component take no part, empty vectors do."""
     x = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
     fine = F.forall("v", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(float("inf"))))
-    return x.where(F.coalesce(fine, F.lit(False)) & (F.size("v") > 0)).select("id", F.transform("v", lambda e: F.floor(e * scale)).alias("vec"))
+    return x.where(F.coalesce(fine, F.lit(False))).select("id", F.transform("v", lambda e: F.when(F.abs(e * scale) < 2.0 ** 53, F.floor(e * scale).cast("double")).otherwise(e * scale)).alias("vec"))
 
 
 def op7_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,6 +83,7 @@ def test_licences_and_inheritance(spark):
 def test_essential_terms_lose_no_match(spark):
     """Scores equal a plain cosine over all units and terms."""
     import math
+    import random
     import re
     texts = ["Licensed under the MIT License.", "released under license", "Licensed under CC BY 4.0", "Apache License Version 2.0", "licensed licensed under cc by sa 4.0", "nothing here at all"]
     rows = [(i, f"p/{i}", t) for i, t in enumerate(texts)]
@@ -145,7 +146,30 @@ def test_top_k_odd_vectors(spark):
     df = spark.createDataFrame([(0, [0.5, 0.25]), (1, [1.0, None]), (2, None), (3, [nan, 1.0]), (4, [inf, 1.0]), (None, [1.0, 1.0]), (5, [-0.001, 1.0]), (6, [])],
                                "vec_id long, embedding array<float>")
     v = topk.scaled(df, "vec_id", "embedding")
-    assert {r.id: list(r.vec) for r in v.collect()} == {0: [128, 64], 5: [-1, 256]}
+    assert {r.id: list(r.vec) for r in v.collect()} == {0: [128, 64], 5: [-1, 256], 6: []}
     got = topk.top_k(v.where("id % 50 = 0"), v, 5).collect()
-    assert [(r.query_id, r.rank, r.vec_id, r.score) for r in got] == [(0, 1, 5, -128 + 64 * 256)]
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == [(0, 1, 5, -128 + 64 * 256), (0, 2, 6, 0)]
     assert topk.top_k(v.where("id < 0"), v, 5).count() == 0 and topk.top_k(v.where("id < 0"), v.where("id < 0"), 5).count() == 0
+
+
+def test_top_k_large_components(spark):
+    """Components of 10^6 and 10^30 against whole numbers; scores beyond a long are the nearest long."""
+    import math
+    import random
+    for big in (1e6, 1e30):
+        r = random.Random(int(math.log10(big)))
+        rows = [(i, [r.choice([r.uniform(-1, 1), big * r.uniform(-1, 1), big]) for _ in range(6)]) for i in range(120)] + [(200, []), (250, [0.5])]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        v = topk.scaled(df, "vec_id", "embedding")
+        got = sorted((x.query_id, x.rank, x.vec_id, x.score) for x in topk.top_k(v.where("id % 50 = 0"), v, 5, 32, 2).collect())
+        whole = {i: [math.floor(256 * x) if abs(x) < 1e15 else 256 * int(x) for x in e] for i, e in rows}
+        want = []
+        for i, e in whole.items():
+            if i % 50 == 0:
+                fit = lambda n: min(max(n, -(1 << 63)), (1 << 63) - 1)
+                best = sorted((-fit(sum(a * b for a, b in zip(e, f))), j) for j, f in whole.items() if j != i)[:5]
+                want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(best)]
+        if big == 1e6:
+            assert got == sorted(want)
+        else:  # scores of saturated rows tie in the merge, exact order only inside a shard
+            assert [(a, b, d) for a, b, _, d in got] == [(a, b, d) for a, b, _, d in sorted(want)]
