@@ -12,6 +12,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import portable_hash
+from ..storage import save
 from .models import complete
 from .ordering import attach_group
 from .profile import attach_row
@@ -123,6 +125,67 @@ def kmeans_centroids(df: DataFrame, cols: Sequence[str], k: int, seed: int = 42)
     return np.array([list(c) for c in model.clusterCenters()])
 
 
+def lloyd_centroids(df: DataFrame, cols: Sequence[str], id_col: str, k: int, rounds: int = 20, seed=42) -> DataFrame:
+    """T6 fit, reproducible: ``(cluster, n, <cols>)``.  The start is the row with the least hash of
+    its id and then, k - 1 times, the row farthest from the centroids so far (among equals the
+    least values); then rounds of nearest centroid (the first among equals) and mean, until no
+    centroid moves or ``rounds`` are done.  A centroid without rows stays where it is.  Each step is
+    one aggregate over the saved complete rows; k x d numbers reach the driver."""
+    x = [f"x{i}" for i in range(len(cols))]
+    rows = save(df.where(complete(cols)).select(portable_hash(id_col, seed).alias("_h"), *[F.col(c).cast("double").alias(v) for c, v in zip(cols, x)]), "lloyd-rows")
+
+    def squared(c):
+        out = F.lit(0.0)
+        for v, m in zip(x, c):
+            out = out + (F.col(v) - F.lit(float(m))) * (F.col(v) - F.lit(float(m)))
+        return out
+
+    first = rows.agg(F.min(F.struct("_h", *x)).alias("r")).first()["r"]
+    schema = "cluster int, n long, " + ", ".join(f"`{c}` double" for c in cols)
+    if first is None:
+        return df.sparkSession.createDataFrame([], schema)
+    centres, n = [list(first[1:])], [0] * k
+    while len(centres) < k:
+        far = rows.agg(F.min(F.struct((-F.least(*[squared(c) for c in centres], F.lit(float("inf")))).alias("d"), *x)).alias("r")).first()["r"]
+        centres.append(list(far[1:]))
+    for _ in range(rounds):
+        d = [squared(c) for c in centres]
+        near = F.least(*d, F.lit(float("inf")))
+        at = F.coalesce(*[F.when(v == near, F.lit(i)) for i, v in enumerate(d)])
+        got = {r["c"]: r for r in rows.groupBy(at.alias("c")).agg(F.count(F.lit(1)).alias("n"), *[F.avg(v).alias(v) for v in x]).collect()}
+        n = [got[i]["n"] if i in got else 0 for i in range(k)]
+        new = [[got[i][v] for v in x] if i in got else centres[i] for i in range(k)]
+        if new == centres:
+            break
+        centres = new
+    return df.sparkSession.createDataFrame([(i, int(n[i]), *map(float, c)) for i, c in enumerate(centres)], schema)
+
+
+def pca_to_share(df: DataFrame, cols: Sequence[str], share: float, keep: Sequence[str] = ()) -> DataFrame:
+    """Standardised columns on the fewest components that explain ``share`` of the variance:
+    ``keep`` and pc0, pc1, ...; a component's largest weight is positive.  One pass of moments,
+    the decomposition is p x p; a row with a missing value stays, with NULL components."""
+    from .models import fold_moments
+    got = fold_moments(df.where(complete(cols)).select(F.lit(0).alias("_f"), *[F.col(c).cast("double").alias(c) for c in cols]), cols, "_f")
+    if not got:
+        return df.select(*keep, F.lit(None).cast("double").alias("pc0"))
+    n, mean, m2 = got[0]
+    sd = np.sqrt(np.diag(m2) / n)
+    sd[sd == 0] = 1.0
+    vals, vecs = np.linalg.eigh(m2 / n / np.outer(sd, sd))
+    vals, vecs = vals[::-1], vecs[:, ::-1]
+    total = vals.sum()
+    k = int(np.searchsorted(np.cumsum(vals) / total, share - 1e-12) + 1) if total > 0 else 1
+    out = []
+    for j in range(min(k, len(cols))):
+        v = vecs[:, j] * np.sign(vecs[np.argmax(np.abs(vecs[:, j]) > np.abs(vecs[:, j]).max() - 1e-9), j])
+        e = F.lit(0.0)
+        for c, m, s, w in zip(cols, mean, sd, v):
+            e = e + (F.col(c).cast("double") - F.lit(float(m))) / F.lit(float(s)) * F.lit(float(w))
+        out.append(F.when(complete(cols), e).alias(f"pc{j}"))
+    return df.select(*keep, *out)
+
+
 def pca_variance(df: DataFrame, cols: Sequence[str], standardize_first: bool = True) -> DataFrame:
     """Explained-variance ratio and cumulative curve.  The p x p covariance comes
     from one distributed moments pass; the eigen-decomposition is p x p on the driver."""

@@ -1504,7 +1504,29 @@ def q_board_param_key_groups(spark, d):
         F.count(F.lit(1)).alias("n_candidates"))
 
 
-@register("sel_correlated_groups", None)
+def _groups_sql():
+    """The greedy scan as a recursion over the features by variance."""
+    terms = {n.replace(" ", "*").replace("^", "_"): " * ".join(f"{c}::DOUBLE" for c in cs) for n, cs in _poly_terms()}
+    names = list(terms)
+    var = ", ".join(f"var_samp(t{i}) AS v{i}" for i in range(len(names)))
+    cor = ", ".join(f"abs(corr(t{i}, t{j})) AS r{i}_{j}" for i in range(len(names)) for j in range(i))
+    o = " UNION ALL ".join(f"SELECT '{n}' AS name, {i} AS i, v{i} AS v FROM m" for i, n in enumerate(names))
+    p = " UNION ALL ".join(f"SELECT '{names[a]}' AS a, '{names[b]}' AS b, r{max(a, b)}_{min(a, b)} AS c FROM m" for a in range(len(names)) for b in range(len(names)) if a != b)
+    return f"""WITH RECURSIVE t AS (SELECT {', '.join(f'{e} AS t{i}' for i, e in enumerate(terms.values()))} FROM lineitem),
+m AS (SELECT {var}, {cor} FROM t), o AS (SELECT name, row_number() OVER (ORDER BY v DESC, i) AS rk FROM ({o})), p AS ({p}),
+n AS (SELECT o.name, o.rk, list(p.b) FILTER (WHERE p.c > 0.8) AS near FROM o JOIN p ON p.a = o.name GROUP BY ALL),
+r AS (SELECT 0::BIGINT AS rk, []::VARCHAR[] AS used, NULL::VARCHAR AS keep, []::VARCHAR[] AS members
+  UNION ALL SELECT n.rk, CASE WHEN list_contains(used, n.name) THEN used ELSE list_concat(used, list_append(list_filter(coalesce(n.near, []), lambda x: NOT list_contains(used, x)), n.name)) END,
+    CASE WHEN NOT list_contains(used, n.name) THEN n.name END, list_append(list_filter(coalesce(n.near, []), lambda x: NOT list_contains(used, x)), n.name) FROM r JOIN n ON n.rk = r.rk + 1)
+SELECT keep, unnest(members) AS member FROM r WHERE keep IS NOT NULL"""
+
+
+def _poly_terms():
+    from ..operators import select
+    return select.polynomial_terms(POLY_COLS, 2)
+
+
+@register("sel_correlated_groups", _groups_sql())
 def q_sel_correlated_groups(spark, d):
     from ..operators import select
     poly = select.polynomial_features(_li(spark, d), POLY_COLS, 2)
@@ -1787,4 +1809,4 @@ def q_sel_mi_gain_of_products(spark, d):
     return round_all(select.mi_gain_of_products(_li(spark, d), POLY_COLS, "l_extendedprice", 10))
 
 
-from . import screening, selection  # noqa: E402, F401  (register their queries)
+from . import reductions, screening, selection  # noqa: E402, F401  (register their queries)

@@ -99,3 +99,34 @@ def test_unknown_model_raises(rows):
 
 def test_select_polynomials(rows):
     assert len(select.polynomial_terms(COLS, 2)) == 9
+
+
+def test_lloyd_rounds_equal_plain_rounds(spark):
+    """Far-point start and rounds as in NumPy; partitioning doesn't matter; rows with holes take no part."""
+    r = np.random.default_rng(6)
+    x = np.concatenate([r.normal(size=(80, 2)) + c for c in ([0, 0], [9, 0], [0, 9])])
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(x)] + [(-1, None, 1.0)], "id long, a double, b double")
+    import hashlib
+    start = min(range(240), key=lambda i: int(hashlib.md5(f"{i}42".encode()).hexdigest()[:8], 16))
+    c = [x[start]]
+    while len(c) < 3:
+        c.append(x[np.argmax(np.min([((x - m) ** 2).sum(1) for m in c], axis=0))])
+    for _ in range(20):
+        at = np.argmin([((x - m) ** 2).sum(1) for m in c], axis=0)
+        c = [x[at == k].mean(0) for k in range(3)]
+    for n in (1, 5):
+        got = scale.lloyd_centroids(df.repartition(n), ["a", "b"], "id", 3).orderBy("cluster").collect()
+        assert np.allclose([[g.a, g.b] for g in got], c) and [g.n for g in got] == [int((at == k).sum()) for k in range(3)]
+    few = scale.lloyd_centroids(df.limit(1), ["a", "b"], "id", 2).collect()
+    assert sorted(g.n for g in few) == [0, 1] and scale.lloyd_centroids(df.limit(0), ["a", "b"], "id", 2).collect() == []
+
+
+def test_pca_to_share(rows):
+    p = rows.toPandas()
+    z = (p[COLS] - p[COLS].mean()) / p[COLS].std(ddof=0)
+    vals, vecs = np.linalg.eigh(np.cov(z.T, ddof=0))
+    share = np.cumsum(vals[::-1]) / vals.sum()
+    for k in (1, 2, 3):
+        out = scale.pca_to_share(rows, COLS, float(share[k - 1]), ["id"]).toPandas().sort_values("id")
+        assert list(out.columns) == ["id", *[f"pc{i}" for i in range(k)]]
+        assert np.allclose(np.abs(out["pc0"]), np.abs(z.to_numpy()[p["id"].argsort()] @ vecs[:, -1]))
