@@ -64,3 +64,25 @@ def q_scale_pls_scores(spark, d):
     li, cols = _li(spark, d), ["l_quantity", "l_discount", "l_tax"]
     fit = scale.pls_weights(li, cols, "l_extendedprice", 1)
     return round_all(scale.pls_scores(li, cols, fit, ["l_orderkey", "l_linenumber"]))
+
+
+# --------------------------------------------------------------------------- saved pipeline
+
+@register("ml_saved_pipeline", """WITH li AS (SELECT l_orderkey, l_linenumber, l_quantity::DOUBLE AS x, l_quantity::DOUBLE ^ 2 AS y, l_extendedprice::DOUBLE AS t FROM lineitem),
+m AS (SELECT avg(x) AS mx, avg(y) AS my, avg(t) AS mt, var_pop(x) AS xx, var_pop(y) AS yy, covar_pop(x, y) AS xy, covar_pop(x, t) AS xt, covar_pop(y, t) AS yt FROM li)
+SELECT l_orderkey, l_linenumber, round(mt + (x - mx) * (xt * yy - yt * xy) / (xx * yy - xy * xy) + (y - my) * (yt * xx - xt * xy) / (xx * yy - xy * xy), 2) AS prediction FROM li, m""")
+def q_ml_saved_pipeline(spark, d):
+    """Terms, scaling and a linear model fitted on raw rows, saved, loaded, and applied to raw rows."""
+    import uuid
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    from ..operators import stages
+    from ..storage import shared_dir
+    li = _li(spark, d).select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    names = ["l_quantity", "l_quantity^2"]
+    pipe = Pipeline(stages=[stages.PolynomialTerms(inputCols=["l_quantity"], degree=2), stages.StandardScale(inputCols=names),
+                            VectorAssembler(inputCols=names, outputCol="v"), LinearRegression(featuresCol="v", labelCol="l_extendedprice", solver="normal")])
+    path = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex[:12]}"
+    pipe.fit(li).write().save(path)
+    return round_all(stages.score_saved(path, li, ["l_quantity"]).select("l_orderkey", "l_linenumber", "prediction"), 2)

@@ -130,3 +130,36 @@ def test_pca_to_share(rows):
         out = scale.pca_to_share(rows, COLS, float(share[k - 1]), ["id"]).toPandas().sort_values("id")
         assert list(out.columns) == ["id", *[f"pc{i}" for i in range(k)]]
         assert np.allclose(np.abs(out["pc0"]), np.abs(z.to_numpy()[p["id"].argsort()] @ vecs[:, -1]))
+
+
+def test_saved_pipeline_takes_raw_rows(spark, rows, tmp_path):
+    """Feature stages are saved with the model; a new session scores raw rows the same, holes give NULL."""
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    from ferrule.operators import stages
+    terms = stages.PolynomialTerms(inputCols=["a", "b"], degree=2)
+    names = ["a", "b", *terms.names(), "rbf0", "rbf1"]
+    pipe = Pipeline(stages=[stages.RbfFeatures(inputCols=["a", "b"], idCol="id", k=2), terms, stages.StandardScale(inputCols=["a", "b"]), stages.RobustScale(inputCols=terms.names()),
+                            VectorAssembler(inputCols=names, outputCol="v"), LinearRegression(featuresCol="v", labelCol="target")])
+    raw = rows.select("id", "a", "b", "target")
+    model, path = pipe.fit(raw), f"file://{tmp_path}/pipe"
+    model.write().save(path)
+    want = {r.id: r.prediction for r in model.transform(raw).collect()}
+    other = spark.newSession().createDataFrame(raw.collect() + [(999, None, 1.0, 0.0)], raw.schema)
+    got = {r.id: r.prediction for r in stages.score_saved(path, other, ["a", "b"]).collect()}
+    assert got.pop(999) is None and got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in want)
+    assert [type(s).__name__ for s in PipelineModel.load(path).stages[:4]] == ["RbfModel", "PolynomialTerms", "AffineScaleModel", "AffineScaleModel"]
+    kept = stages.score_saved(path, other, ["a", "b"])
+    assert kept.columns == ["id", "a", "b", "target", "prediction"] and kept.where("id = 999 AND a IS NULL").count() == 1
+
+
+def test_pose_stage_equals_the_operator(spark, sf_dir, tmp_path):
+    from pyspark.ml import Pipeline, PipelineModel
+    from ferrule.operators import pose, stages
+    from ferrule.sources import tables
+    p33 = tables.pose33_frame(spark, sf_dir)
+    path = f"file://{tmp_path}/pose"
+    Pipeline(stages=[stages.PoseFeatures(inputCol="features")]).fit(p33).write().save(path)
+    got = PipelineModel.load(path).transform(p33).drop("features", "patient_id", "target").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, pose.feature_row(p33, "features", pose.POSE33, keep=["row_id"]).collect()))
