@@ -213,25 +213,30 @@ def _matches(t: _Tokens, index: Index, window: int, least: int, coverage: float)
         size = int(index.first[i + 1] - index.first[i])
         share = len(cover) / size
         if exact or share >= coverage:
-            found.setdefault(d, {})[index.ids[i]] = (share, exact)
+            known = found.setdefault(d, {}).get(index.ids[i], (0.0, False))  # items may share an id
+            found[d][index.ids[i]] = (max(known[0], share), known[1] or exact)
     return found
 
 
-_ROW = "doc_id long, n_items long, items array<long>, coverage double, exact boolean, contaminated boolean"
+_ROW = "doc_id long, text string, items array<long>, coverage double, exact boolean"
 
 
 def _scan(index: Index, window: int, least: int, coverage: float):
+    """Rows of ``_ROW`` with what this block of items adds to them."""
     def run(batches):
         known: dict[int, tuple] = {}
         for part, texts in common.text_slices(batches):
             found = _matches(_Tokens(texts, known), index, window, least, coverage)
-            rows = [found.get(i, {}) for i in range(len(texts))]
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": part.column(0), "n_items": pa.array([len(r) for r in rows], pa.int64()),
-                "items": pa.array([sorted(r) for r in rows], pa.list_(pa.int64())),
-                "coverage": pa.array([max((s for s, _ in r.values()), default=0.0) for r in rows], pa.float64()),
-                "exact": pa.array([any(e for _, e in r.values()) for r in rows], pa.bool_()),
-                "contaminated": pa.array([bool(r) for r in rows], pa.bool_())})
+            if not found:
+                yield part
+                continue
+            items, cover, exact = (part.column(i).to_pylist() for i in (2, 3, 4))
+            for i, got in found.items():
+                items[i] = sorted({*items[i], *got})
+                cover[i] = max(cover[i], *[s for s, _ in got.values()])
+                exact[i] = exact[i] or any(e for _, e in got.values())
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(items, pa.list_(pa.int64())), pa.array(cover, pa.float64()), pa.array(exact, pa.bool_())],
+                                             names=["doc_id", "text", "items", "coverage", "exact"])
 
     return run
 
@@ -269,22 +274,16 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """``(doc_id, n_items, items, coverage, exact, contaminated)``, a row per document row.
 
     ``items`` lists the ids of the items that contaminate it (ascending), ``coverage`` is the
-    largest share of one that is covered, ``exact`` whether one run or stretch is verbatim.  Null texts hold nothing; items without id or text are left out; an empty
-    benchmark contaminates nothing.  Of several blocks, rows that share a doc_id are merged.
+    largest share of one that is covered, ``exact`` whether one run or stretch is verbatim.  Null
+    texts hold nothing; items without id or text are left out; an empty benchmark contaminates
+    nothing.  Every block of items adds to the rows as they pass, so the result doesn't depend
+    on the number of blocks, and rows that share an id stay rows of their own.
     """
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    parts = [src.mapInArrow(_scan(ix, window, least, coverage), _ROW) for ix in item_blocks(items, item_id, item_text, window, least, block_words)]
-    if not parts:
-        return src.select("doc_id", F.lit(0).cast("long").alias("n_items"), F.array().cast("array<long>").alias("items"),
-                          F.lit(0.0).alias("coverage"), F.lit(False).alias("exact"), F.lit(False).alias("contaminated"))
-    if len(parts) == 1:
-        return parts[0]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.union(p)
-    return every.groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.max("coverage").alias("coverage"),
-                                       F.max("exact").alias("exact"), F.max("contaminated").alias("contaminated")) \
-        .select("doc_id", F.size("items").cast("long").alias("n_items"), "items", "coverage", "exact", "contaminated")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.array().cast("array<long>").alias("items"),
+                       F.lit(0.0).alias("coverage"), F.lit(False).alias("exact"))
+    for ix in item_blocks(items, item_id, item_text, window, least, block_words):
+        rows = rows.mapInArrow(_scan(ix, window, least, coverage), _ROW)
+    return rows.select("doc_id", F.size("items").cast("long").alias("n_items"), "items", "coverage", "exact", (F.size("items") > 0).alias("contaminated"))
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -334,3 +334,15 @@ def test_slots_are_the_permuted_plain_numbering(spark):
                 place += 1
     assert {(r.doc_id, r.seq): r.slot for r in out} == want and len(out) == total == place
     assert all(r.shard == r.slot // 9 and r.byte_offset == r.slot % 9 * 32 for r in out)
+
+
+def test_decontamination_by_blocks(spark):
+    """Any number of blocks gives the same rows: repeated and null ids stay rows of their own, items that share an id count once."""
+    from ferrule.llm import decontamination
+    qs = [text(30, 900 + i) for i in range(6)]
+    items = spark.createDataFrame([(1, qs[0]), (2, qs[1]), (2, qs[2]), (3, qs[3]), (4, qs[4])], "item_id long, text string")
+    rows = [(1, "intro " + qs[0]), (1, text(40, 1)), (None, qs[3] + " and " + qs[1]), (None, text(40, 2)), (2, qs[1] + " then " + qs[2]), (3, None), (4, qs[5])]
+    key = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    one = key(decontamination.contamination(docs(spark, rows), items))
+    many = key(decontamination.contamination(docs(spark, rows), items, block_words=40))
+    assert one == many and [(r[0], r[2]) for r in one if r[5]] == [(1, [1]), (2, [2]), (None, [2, 3])] and len(one) == len(rows)
