@@ -1809,4 +1809,4 @@ def q_sel_mi_gain_of_products(spark, d):
     return round_all(select.mi_gain_of_products(_li(spark, d), POLY_COLS, "l_extendedprice", 10))
 
 
-from . import reductions, screening, selection  # noqa: E402, F401  (register their queries)
+from . import artifact_queries, reductions, screening, selection  # noqa: E402, F401  (register their queries)

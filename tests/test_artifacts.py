@@ -101,3 +101,36 @@ def test_candidates_roundtrip_and_leaderboard(spark):
     artifacts.write_candidates(df, out, sep=";")
     back = spark.read.option("header", True).option("sep", ";").csv(out)
     assert back.count() == 2
+
+
+def test_sectioned_reports(spark, tmp_path):
+    """A file of many sections is cut anywhere and read by several tasks, each section once; the
+    commit leaves only whole files; appending adds files."""
+    from ferrule.sources import reports
+    rows = [(f, r, 0.125 * (f % 8), 0.5, 0.25, float(f)) for f in range(60) for r in ("0", "1", "macro avg")] + [(f, "accuracy", 0.75, 0.75, 0.75, 9.0) for f in range(60)]
+    df = spark.createDataFrame(rows, "fold int, row string, precision double, recall double, f1 double, support double")
+    uri = f"file://{tmp_path}/rep"
+    reports.write_report(df, uri)
+    want = sorted((f, r, float(f"{p:.3f}"), a, b, n) for f, r, p, a, b, n in rows)
+    for split in (97, 1000, 1 << 20):
+        got = reports.read_report(spark, uri, split)
+        assert sorted(tuple(r)[1:] for r in got.collect()) == want
+    assert reports.read_report(spark, uri, 1000).rdd.getNumPartitions() > 10
+    assert all(p.name.startswith("report-") for p in (tmp_path / "rep").iterdir())
+    reports.write_report(df.where("fold = 3"), uri)
+    assert reports.read_report(spark, uri).count() == len(rows) + 4
+    reports.write_report(df.limit(0), f"file://{tmp_path}/none")
+    assert reports.read_report(spark, f"file://{tmp_path}/none").count() == 0
+
+
+def test_failed_report_write_leaves_nothing(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from ferrule.sources import reports
+    bad = spark.range(50).select(F.col("id").cast("int").alias("fold"), F.lit("0").alias("row"), F.when(F.col("id") == 40, F.raise_error(F.lit("no"))).otherwise(F.lit(0.5)).cast("double").alias("precision"),
+                                 F.lit(0.5).alias("recall"), F.lit(0.5).alias("f1"), F.lit(1.0).alias("support"))
+    try:
+        reports.write_report(bad, f"file://{tmp_path}/bad")
+        raise AssertionError("written")
+    except Exception as e:
+        assert "written" not in str(e)
+    assert not (tmp_path / "bad").exists() or not list((tmp_path / "bad").iterdir())
