@@ -20,6 +20,9 @@ from ..functions.columns import nan_to_null
 from .quantile import quantiles_long, to_long
 
 
+NATIVE_PAIRS = 66  # pairs of columns that one aggregate takes
+
+
 def _stack(row: DataFrame, structs) -> DataFrame:
     return row.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
@@ -52,12 +55,18 @@ def _gram_rows(n_by: int, p: int, centre: list[float]):
 def corr_pairs(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Upper-triangle Pearson correlation table ``(by..., i, j, a, b, corr, abs_corr)``
     (pairwise-complete rows, like pandas ``corr``; NaN is missing).  J6 + FS12 (with
-    ``by``).  No row is copied: a first aggregate gives the column means, then every
-    task adds up one p x p Gram matrix of the centred values per group and ships one
-    row per pair."""
+    ``by``).  No row is copied.  Up to ``NATIVE_PAIRS`` pairs are one aggregate of ``corr``;
+    of more columns a first aggregate gives the means, then every task adds up one p x p
+    Gram matrix of the centred values per group and ships one row per pair."""
     by, p = list(by), len(cols)
     names = [c.strip("`") for c in cols]
     src = df.select(*[F.col(b) for b in by], *[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(cols)])
+    pairs = list(itertools.combinations(range(p), 2))
+    if 0 < len(pairs) <= NATIVE_PAIRS:
+        one = nan_to_null(src, [f"_c{i}" for i in range(p)]).groupBy(*by).agg(*[F.corr(f"_c{i}", f"_c{j}").alias(f"_r{i}_{j}") for i, j in pairs])
+        rows = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(names[i]).alias("a"), F.lit(names[j]).alias("b"),
+                                            F.nanvl(F.col(f"_r{i}_{j}"), F.lit(None).cast("double")).alias("corr")) for i, j in pairs])).alias("_p")
+        return one.select(*by, rows).select(*by, "_p.*").withColumn("abs_corr", F.abs("corr"))
     row = nan_to_null(src, [f"_c{i}" for i in range(p)]).agg(*[F.avg(f"_c{i}").alias(f"_c{i}") for i in range(p)]).first()
     centre = [float(row[f"_c{i}"] or 0.0) for i in range(p)]
     fields = ", ".join([*[f"_b{q} {src.schema[b].dataType.simpleString()}" for q, b in enumerate(by)], "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"])

@@ -9,6 +9,7 @@ with it.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="ferrule-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
