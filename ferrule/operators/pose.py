@@ -98,13 +98,13 @@ def unpack(df: DataFrame, col: str, n_joints: int, keep: Sequence[str] = (), neg
 def to_interleaved(col: str, n_joints: int) -> Column:
     """Blocked -> ``[x, y, xstd, ystd] * n``."""
     n = n_joints
-    return F.expr(f"flatten(transform(sequence(0, {n - 1}), i -> array(`{col}`[2 * i], `{col}`[2 * i + 1], "
-                  f"`{col}`[{2 * n} + 2 * i], `{col}`[{2 * n} + 2 * i + 1])))")
+    return F.expr(f"flatten(transform(sequence(0, {n - 1}), _j -> array(`{col}`[2 * _j], `{col}`[2 * _j + 1], "
+                  f"`{col}`[{2 * n} + 2 * _j], `{col}`[{2 * n} + 2 * _j + 1])))")
 
 
 def component(col: str, n_joints: int, c: int) -> Column:
     """Component c (0 x, 1 y, 2 xstd, 3 ystd) of an interleaved array."""
-    return F.expr(f"transform(sequence(0, {n_joints - 1}), i -> `{col}`[4 * i + {c}])")
+    return F.expr(f"transform(sequence(0, {n_joints - 1}), _j -> `{col}`[4 * _j + {c}])")
 
 
 def negate_y(col: str, n_joints: int) -> Column:

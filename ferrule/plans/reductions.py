@@ -86,3 +86,51 @@ def q_ml_saved_pipeline(spark, d):
     path = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex[:12]}"
     pipe.fit(li).write().save(path)
     return round_all(stages.score_saved(path, li, ["l_quantity"]).select("l_orderkey", "l_linenumber", "prediction"), 2)
+
+
+# --------------------------------------------------------------------------- logistic regression on PLS scores
+
+def _pls_logistic_sql(steps: int = 8) -> str:
+    """Newton's method on intercept and slope, a scan of the rows each."""
+    out = ["""li AS (SELECT l_quantity::DOUBLE AS a, l_discount::DOUBLE AS b, l_tax::DOUBLE AS c, (l_returnflag = 'R')::INT::DOUBLE AS y FROM lineitem),
+m AS (SELECT avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, covar_pop(a, y) AS ca, covar_pop(b, y) AS cb, covar_pop(c, y) AS cc FROM li),
+s AS (SELECT ((a - ma) * ca + (b - mb) * cb + (c - mc) * cc) / sqrt(ca * ca + cb * cb + cc * cc) AS x, y FROM li, m),
+n0 AS (SELECT 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1)"""]
+    for k in range(steps):
+        out.append(f"""e{k} AS (SELECT b0, b1, x, y, 1 / (1 + exp(-b0 - b1 * x)) AS p FROM s, n{k}),
+h{k} AS (SELECT any_value(b0) AS b0, any_value(b1) AS b1, sum(y - p) AS g0, sum((y - p) * x) AS g1, sum(p * (1 - p)) AS w0, sum(p * (1 - p) * x) AS w1, sum(p * (1 - p) * x * x) AS w2 FROM e{k}),
+n{k + 1} AS (SELECT b0 + (g0 * w2 - g1 * w1) / (w0 * w2 - w1 * w1) AS b0, b1 + (g1 * w0 - g0 * w1) / (w0 * w2 - w1 * w1) AS b1 FROM h{k})""")
+    return f"WITH {', '.join(out)} SELECT 'intercept' AS term, round(b0, 5) AS coef FROM n{steps} UNION ALL SELECT 'pls0', round(b1, 5) FROM n{steps}"
+
+
+@register("ml_pls_logistic", _pls_logistic_sql())
+def q_ml_pls_logistic(spark, d):
+    """ML2: one PLS score against a returned item, then logistic regression on it."""
+    from ..operators import models
+    li = tables.read_table(spark, d, "lineitem").withColumn("y", (F.col("l_returnflag") == "R").cast("double"))
+    cols = ["l_quantity", "l_discount", "l_tax"]
+    scored = scale.pls_scores(li, cols, scale.pls_weights(li, cols, "y", 1), ["y"])
+    est = models.classifier("logistic", label="y", tol=1e-13, maxIter=500)
+    m = est.fit(models.assemble(scored, ["pls0"]))
+    return round_all(spark.createDataFrame([("intercept", float(m.intercept)), ("pls0", float(m.coefficients[0]))], "term string, coef double"), 5)
+
+
+# --------------------------------------------------------------------------- columns
+
+@register("prof_numeric_means", """SELECT 'o_orderkey' AS "column", round(avg(o_orderkey), 4) AS mean FROM orders
+UNION ALL SELECT 'o_custkey', round(avg(o_custkey), 4) FROM orders UNION ALL SELECT 'o_totalprice', round(avg(o_totalprice), 4) FROM orders""")
+def q_prof_numeric_means(spark, d):
+    """the numeric columns that are left when some (one of them absent) are dropped."""
+    from ..functions.columns import numeric_columns
+    o = tables.read_table(spark, d, "orders").drop("o_shippriority", "not_there")
+    cols = numeric_columns(o)
+    means = o.agg(*[F.avg(c).alias(c) for c in cols])
+    return round_all(means.unpivot([], cols, "column", "mean"), 4)
+
+
+@register("pose_components", f"WITH {S.POSE_CTE} SELECT row_id, " + ", ".join(f"features[{2 * j + 1}] AS x{j}, features[{33 + 2 * j}] AS xstd{j}" for j in (0, 7, 15)) + " FROM pose")
+def q_pose_components(spark, d):
+    """The component arrays of interleaved poses."""
+    from ..operators import pose
+    p = tables.pose_frame(spark, d).withColumn("i", pose.to_interleaved("features", 16)).withColumns({"x": pose.component("i", 16, 0), "s": pose.component("i", 16, 2)})
+    return p.select("row_id", *[F.get(c, F.lit(j)).alias(f"{n}{j}") for j in (0, 7, 15) for n, c in (("x", "x"), ("xstd", "s"))])

@@ -214,3 +214,30 @@ SELECT o_orderkey, o.o_custkey, g.fold FROM orders o JOIN g USING (o_custkey)"""
 def q_fold_greedy_group(spark, d):
     o = tables.read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     return folds.greedy_group_kfold(o, "o_custkey", "o_orderpriority", 5).drop("o_orderpriority")
+
+
+# --------------------------------------------------------------------------- other learners out of fold
+
+@register("ml_model_comparison", None)
+def q_ml_model_comparison(spark, d):
+    """ML3/ML5/ML6: forest, perceptron and linear SVM on the recordings, each row scored by the
+    model that didn't see its patient: accuracy and macro F1 per model."""
+    from ..operators import metrics
+    cols = ["path_length", "amp_x", "amp_y"]
+    rows = _recordings(spark, d).withColumn("label", F.col("label").cast("double")).select("patient_id", "fold", "label", *cols)
+    out = None
+    for kind, extra in (("random_forest", {"numTrees": 20}), ("mlp", {"layers": [3, 4, 2], "maxIter": 30}), ("linear_svc", {"maxIter": 10})):
+        est = models.classifier(kind, label="label", multiclass=kind == "linear_svc", **extra)
+        p = crossfit.cross_fit_classifier(rows, cols, "label", "fold", 5, est).select(F.lit(kind).alias("model"), F.col("label").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"))
+        out = p if out is None else out.unionByName(p)
+    scores = metrics.classification_scores(out, ["model"])
+    return scores.join(out.groupBy("model").agg(F.count(F.lit(1)).alias("n_rows")), "model").select("model", "n_rows", "accuracy", "macro_f1")
+
+
+@register("ml_forest_importances", None)
+def q_ml_forest_importances(spark, d):
+    """FS11: importances of a forest that tells the exercise from the recording's features."""
+    cols = ["path_length", "amp_x", "amp_y"]
+    rows = _recordings(spark, d).withColumn("label", (F.substring("exercise_id", 2, 1).cast("int") - 1).cast("double"))
+    model = models.classifier("random_forest", label="label", numTrees=20).fit(models.assemble(rows, cols))
+    return models.feature_importances(model, cols, 3)

@@ -29,7 +29,7 @@ CORE = sorted(n for n in set(QUERIES) - set(ORACLES) if not n.startswith("op") a
 
 
 def test_queries_without_oracle_are_known():
-    assert CORE == ["ml_group_vote_gbt", "quality_mar_test"]
+    assert CORE == ["ml_forest_importances", "ml_group_vote_gbt", "ml_model_comparison", "quality_mar_test"]
 
 
 def test_group_vote_model(spark, sf_dir):
@@ -41,6 +41,20 @@ def test_group_vote_model(spark, sf_dir):
     assert {r["fold"] for r in rows} == set(range(5)) and all(r["label"] == r["patient_id"] % 2 for r in rows)
 
 
+def test_model_comparison(spark, sf_dir):
+    """Three learners, each scoring every recording once, out of fold; the label is the parity of the
+    patient, so none can be much better or worse than chance."""
+    rows = {r["model"]: r for r in QUERIES["ml_model_comparison"](spark, sf_dir).collect()}
+    assert set(rows) == {"random_forest", "mlp", "linear_svc"} and len({r["n_rows"] for r in rows.values()}) == 1
+    assert all(0.3 < r["accuracy"] < 0.7 for r in rows.values())
+
+
+def test_forest_importances(spark, sf_dir):
+    rows = QUERIES["ml_forest_importances"](spark, sf_dir).collect()
+    assert [r["importance"] for r in rows] == sorted((r["importance"] for r in rows), reverse=True) and abs(sum(r["importance"] for r in rows) - 1) < 1e-9
+    assert {r["feature"] for r in rows} == {"path_length", "amp_x", "amp_y"}
+
+
 def test_mar_test(spark, sf_dir):
     """Only l_discount has holes (by order key, at random): its AUC is near one half, the
     other columns have no AUC in any fold."""
