@@ -227,15 +227,12 @@ def _scan(index: Index, window: int, least: int, coverage: float):
         known: dict[int, tuple] = {}
         for part, texts in common.text_slices(batches):
             found = _matches(_Tokens(texts, known), index, window, least, coverage)
-            if not found:
-                yield part
-                continue
-            items, cover, exact = (part.column(i).to_pylist() for i in (2, 3, 4))
+            ids, cover, exact = (part.column(i).to_pylist() for i in (2, 3, 4))
             for i, got in found.items():
-                items[i] = sorted({*items[i], *got})
+                ids[i] = sorted({*ids[i], *got})
                 cover[i] = max(cover[i], *[s for s, _ in got.values()])
                 exact[i] = exact[i] or any(e for _, e in got.values())
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(items, pa.list_(pa.int64())), pa.array(cover, pa.float64()), pa.array(exact, pa.bool_())],
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.list_(pa.int64())), pa.array(cover, pa.float64()), pa.array(exact, pa.bool_())],
                                              names=["doc_id", "text", "items", "coverage", "exact"])
 
     return run

@@ -345,4 +345,6 @@ def test_decontamination_by_blocks(spark):
     key = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
     one = key(decontamination.contamination(docs(spark, rows), items))
     many = key(decontamination.contamination(docs(spark, rows), items, block_words=40))
+    clean = [(i, text(20, i)) for i in range(10, 40)]  # slices with and without a hit in one task
+    assert len(key(decontamination.contamination(docs(spark, clean + rows + clean).coalesce(1), items, block_words=40))) == len(rows) + 60
     assert one == many and [(r[0], r[2]) for r in one if r[5]] == [(1, [1]), (2, [2]), (None, [2, 3])] and len(one) == len(rows)
