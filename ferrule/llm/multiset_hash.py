@@ -77,10 +77,6 @@ def _sums(x: DataFrame, keys: list[str]) -> DataFrame:
     return x.select(*keys, F.aggregate(rest, F.get("_blocks", F.lit(0)), plus).alias("vector"))
 
 
-def zero() -> Column:
-    return F.array_repeat(F.lit(0).cast("long"), WIDTH)
-
-
 def plus(a: Column, b: Column) -> Column:
     """Vector of the paragraphs of both (insertion)."""
     return F.zip_with(a, b, lambda x, y: _and(x + y, _LOW))
