@@ -3,7 +3,7 @@
 Vectors are integers; a component is a term, a vector's value its impact.  The
 candidates are hashed into shards of about ``shard_rows`` vectors and the queries
 into blocks; every query block meets every shard (a stated query set against all
-rows, in blocks).  In a shard:
+rows), in groups of blocks and shards that are shuffled together.  In a shard:
 
 * a term's upper bound for a query is the largest product of the query's value with
   any value the shard holds, so postings with a product of 0 or less never raise it;
@@ -13,7 +13,7 @@ rows, in blocks).  In a shard:
 * the essential postings are traversed for all candidates, and a candidate is probed
   in the next terms only while its partial score plus the bounds left is competitive.
 
-The shards' best lists are merged by a ranked window (limited per group before the
+The lists of a group's shards are merged where they are made, those of the groups by a ranked window (limited per group before the
 shuffle).  Scores are integers, ties go to the smaller id.  Where a block's products fit, they
 are held exactly in doubles; otherwise doubles with their error bounds only tell which
 candidates are competitive, and those are scored in whole numbers of any size.  A score
@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from . import common
 
 SHARD_ROWS, QUERY_ROWS, STEP = 4096, 256, 8
+#: Blocks that meet in one group, at most, and the bytes of either side.
+QUERY_BLOCKS, SHARDS, GROUP_BYTES = 64, 16, 32 << 20
 
 
 def _pack(t: pa.Table) -> pa.Table:
@@ -126,17 +128,23 @@ def _probe(rows, qf, xf, left, theta, own, at, step):
 
 
 def _search(k: int):
-    def run(batches):
-        known: dict[bytes, np.ndarray] = {}  # thresholds of this task's query blocks
-        for batch in batches:
-            for qi, qv, ci, cv in zip(*[c.to_pylist() for c in batch.columns]):
-                q_ids, q = _open(qi, qv)
-                ids, x = _open(ci, cv)
-                if len(known) > 64:
-                    known.clear()
-                theta = known.setdefault(qi, np.full(len(q_ids), -np.inf))
-                r, c, s = max_score(q_ids, q, ids, x, k, theta)
-                yield pa.RecordBatch.from_pydict({"query_id": q_ids[r], "vec_id": ids[c], "score": s})
+    """One query group against one group of shards: the best ``k`` of each query."""
+    def run(queries: pa.Table, shards: pa.Table) -> pa.Table:
+        out = [(np.zeros(0, np.int64),) * 3]
+        if queries.num_rows and shards.num_rows:
+            shards = shards.sort_by("block")
+            opened = [_open(i.as_py(), v.as_py()) for i, v in zip(shards["ids"], shards["vals"])]
+            for qi, qv in zip(queries["ids"], queries["vals"]):
+                q_ids, q = _open(qi.as_py(), qv.as_py())
+                theta = np.full(len(q_ids), -np.inf)
+                found = [(r, ids[c], s) for ids, x in opened for r, c, s in [max_score(q_ids, q, ids, x, k, theta)]]
+                row, vec, score = (np.concatenate(c) for c in zip(*found))
+                best = np.lexsort((vec, ~score, row))  # ~: descending, without overflow
+                row, vec, score = row[best], vec[best], score[best]
+                top = np.arange(len(row)) - np.searchsorted(row, row) < k
+                out.append((q_ids[row[top]], vec[top], score[top]))
+        q_id, vec, score = (np.concatenate(c) for c in zip(*out))
+        return pa.table({"query_id": q_id, "vec_id": vec, "score": score})
 
     return run
 
@@ -146,23 +154,36 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, shard_rows: int =
     whole numbers; a query never finds its own id.  Vectors of unequal length count as padded
     with zeros, an empty one as zeros only; ids are taken as distinct (of rows that share an id
     each is a candidate)."""
-    def blocks(df: DataFrame, rows: int) -> DataFrame:
+    def blocks(df: DataFrame, rows: int, tag: str) -> tuple[DataFrame, int]:
         n = max(1, math.ceil(df.count() / rows))
-        return df.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(n)).alias("block")) \
-            .groupBy("block").applyInArrow(_pack, "block long, ids binary, vals binary")
+        return common.save(df.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(n)).alias("block"))
+                           .groupBy("block").applyInArrow(_pack, "block long, ids binary, vals binary"), tag), n
 
-    q = common.save(blocks(queries, query_rows), "topk-queries").select(F.col("ids").alias("q_ids"), F.col("vals").alias("q_vals"), F.col("block").alias("q_block"))
-    c = common.save(blocks(vectors, shard_rows), "topk-shards").select("block", "ids", "vals")
-    found = _meet(q, c).mapInArrow(_search(k), "query_id long, vec_id long, score long")
+    found = _meet(*blocks(queries, query_rows, "topk-queries"), *blocks(vectors, shard_rows, "topk-shards"), k)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _meet(q: DataFrame, c: DataFrame) -> DataFrame:
-    """Every query block with every shard: each query block is sent to each shard number."""
-    n = int(c.agg(F.coalesce(F.max("block"), F.lit(-1))).first()[0]) + 1
-    to = q.select("q_block", "q_ids", "q_vals", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(n - 1, 0)).cast("long"))).alias("block"))
-    return to.join(c, "block").select("q_ids", "q_vals", "ids", "vals")
+def _held(blocks: DataFrame, limit: int) -> int:
+    """Blocks that a group may hold: ``limit``, or fewer of wide vectors."""
+    largest = blocks.agg(F.max(F.octet_length("vals"))).first()[0] or 1
+    return max(1, min(limit, GROUP_BYTES // largest))
+
+
+def _meet(q: DataFrame, n_q: int, c: DataFrame, n_c: int, k: int) -> DataFrame:
+    """Every query block with every shard, in groups of both: a block is sent once to each
+    group of the other side, by shuffle (a table of block copies is many times what its
+    files say, so it must not be broadcast)."""
+    a, b = _held(q, QUERY_BLOCKS), _held(c, SHARDS)
+    tasks = 4 * q.sparkSession.sparkContext.defaultParallelism
+    while (a > 1 or b > 1) and math.ceil(n_q / a) * math.ceil(n_c / b) < tasks:
+        a, b = (math.ceil(a / 2), b) if b == 1 or a > b else (a, math.ceil(b / 2))
+
+    def sent(df: DataFrame, mine: str, per: int, other: str, groups: int) -> DataFrame:
+        return df.select(F.expr(f"block div {per}").alias(mine), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias(other), "block", "ids", "vals")
+
+    left, right = sent(q, "_q", a, "_c", math.ceil(n_c / b)), sent(c, "_c", b, "_q", math.ceil(n_q / a))
+    return left.groupBy("_q", "_c").cogroup(right.groupBy("_q", "_c")).applyInArrow(_search(k), "query_id long, vec_id long, score long")
 
 
 def scaled(vectors: DataFrame, id_col: str, vec_col: str, scale: int = 256) -> DataFrame:

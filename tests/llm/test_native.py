@@ -141,6 +141,15 @@ def test_top_k_matches_brute_force(spark):
         assert got == brute_top(vecs, k)
 
 
+def test_top_k_sends_blocks_by_shuffle(spark):
+    """Blocks meet in groups of both sides: no table of block copies is broadcast, however small its files."""
+    r = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, r.integers(-9, 9, 8).astype(float).tolist()) for i in range(400)], "id long, vec array<double>")
+    got = topk.top_k(df.where("id % 5 = 0"), df, 3, 16, 4)
+    assert "Broadcast" not in plan(got)
+    assert got.count() == 80 * 3
+
+
 def test_top_k_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     df = spark.createDataFrame([(0, [0.5, 0.25]), (1, [1.0, None]), (2, None), (3, [nan, 1.0]), (4, [inf, 1.0]), (None, [1.0, 1.0]), (5, [-0.001, 1.0]), (6, [])],
