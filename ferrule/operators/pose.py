@@ -152,47 +152,52 @@ def feature_row(df: DataFrame, col: str, sk: Skeleton, keep: Sequence[str] = ())
     return df.select(*keep, *out)
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used: names and
+    projections are expanded where they stand, the variable of a lambda is not."""
+    return F.transform(F.array(value), use)[0]
+
+
 def centre_and_scale(col: str, n_joints: int, center: str = "root", root_index: int | None = None,
                      scale: str = "torso", torso_pair: tuple[int, int] | None = None) -> Column:
     """C4: struct(features, scale, cx, cy).  centre: centroid mean, median root or a
     joint; scale: none, bbox, std (ddof 0), torso pair or mean magnitude; a scale
-    below 1e-9 becomes 1.  Means are centred and scaled, stds only scaled."""
-    n = n_joints
-    a = f"`{col}`"
-    xs = f"transform(sequence(0, {n - 1}), i -> {a}[2 * i])"
-    ys = f"transform(sequence(0, {n - 1}), i -> {a}[2 * i + 1])"
-    med = lambda arr: (f"(CASE WHEN {n} % 2 = 1 THEN array_sort({arr})[{n // 2}] "
-                       f"ELSE (array_sort({arr})[{n // 2 - 1}] + array_sort({arr})[{n // 2}]) / 2 END)")
-    mean = lambda arr: f"(aggregate({arr}, 0D, (s, v) -> s + v) / {n})"
-    if center == "centroid":
-        cx, cy = mean(xs), mean(ys)
-    elif root_index is None:
-        cx, cy = med(xs), med(ys)
-    else:
-        cx, cy = f"{a}[{2 * root_index}]", f"{a}[{2 * root_index + 1}]"
-    xc = f"transform({xs}, v -> v - ({cx}))"
-    yc = f"transform({ys}, v -> v - ({cy}))"
-    if scale == "none":
-        s = "1D"
-    elif scale == "bbox":
-        s = f"greatest(array_max({xc}) - array_min({xc}), array_max({yc}) - array_min({yc}))"
-    elif scale == "std":
-        both = f"concat({xc}, {yc})"
-        s = f"sqrt(aggregate({both}, 0D, (q, v) -> q + v * v) / {2 * n} - pow(aggregate({both}, 0D, (q, v) -> q + v) / {2 * n}, 2))"
-    elif scale == "torso" and torso_pair is not None:
-        i1, i2 = torso_pair
-        s = f"sqrt(pow({a}[{2 * i1}] - {a}[{2 * i2}], 2) + pow({a}[{2 * i1 + 1}] - {a}[{2 * i2 + 1}], 2))"
-    elif scale == "torso":
-        s = (f"(aggregate(sequence(0, {n - 1}), 0D, (q, i) -> q + sqrt(pow({a}[2 * i] - ({cx}), 2) "
-             f"+ pow({a}[2 * i + 1] - ({cy}), 2))) / {n})")
-    else:
+    below 1e-9 becomes 1.  Means are centred and scaled, stds only scaled.  Every part is
+    worked out once per row."""
+    n, a = n_joints, F.col(col)
+    if scale not in ("none", "bbox", "std", "torso"):
         raise ValueError(f"unknown scale mode {scale}")
-    cxs, cys = F.expr(cx), F.expr(cy)
-    sc_raw = F.expr(s)
-    sc = F.when(F.abs(sc_raw) < EPS, F.lit(1.0)).otherwise(sc_raw)
-    feats = F.transform(F.col(col), lambda v, i: F.when((i < 2 * n) & (i % 2 == 0), (v - cxs) / sc)
-                        .when(i < 2 * n, (v - cys) / sc).otherwise(v / sc))
-    return F.struct(feats.alias("features"), sc.alias("scale"), cxs.alias("cx"), cys.alias("cy"))
+    slots = lambda k: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: a[2 * i + k])
+    total = lambda arr, f: F.aggregate(arr, F.lit(0.0), lambda s, v: s + f(v))
+    middle = lambda t: t[n // 2] if n % 2 else (t[n // 2 - 1] + t[n // 2]) / 2
+
+    def centre_of(values: Column, k: int) -> Column:
+        if center == "centroid":
+            return total(values, lambda v: v) / n
+        return _let(F.array_sort(values), middle) if root_index is None else a[2 * root_index + k]
+
+    def spread(xs: Column, ys: Column, c: Column) -> Column:
+        if scale == "none":
+            return F.lit(1.0)
+        if scale == "torso" and torso_pair is not None:
+            i1, i2 = torso_pair
+            return F.sqrt(F.pow(a[2 * i1] - a[2 * i2], F.lit(2)) + F.pow(a[2 * i1 + 1] - a[2 * i2 + 1], F.lit(2)))
+        if scale == "torso":
+            far = F.zip_with(xs, ys, lambda x, y: F.sqrt(F.pow(x - c["cx"], F.lit(2)) + F.pow(y - c["cy"], F.lit(2))))
+            return total(far, lambda v: v) / n
+        moved = F.struct(F.transform(xs, lambda v: v - c["cx"]).alias("x"), F.transform(ys, lambda v: v - c["cy"]).alias("y"))
+        if scale == "bbox":
+            return _let(moved, lambda m: F.greatest(F.array_max(m["x"]) - F.array_min(m["x"]), F.array_max(m["y"]) - F.array_min(m["y"])))
+        return _let(F.concat(moved["x"], moved["y"]), lambda m: F.sqrt(total(m, lambda v: v * v) / (2 * n) - F.pow(total(m, lambda v: v) / (2 * n), F.lit(2))))
+
+    def scaled(c: Column, sc: Column) -> Column:
+        feats = F.transform(a, lambda v, i: F.when((i < 2 * n) & (i % 2 == 0), (v - c["cx"]) / sc).when(i < 2 * n, (v - c["cy"]) / sc).otherwise(v / sc))
+        return F.struct(feats.alias("features"), sc.alias("scale"), c["cx"].alias("cx"), c["cy"].alias("cy"))
+
+    one = lambda r: F.when(F.abs(r) < EPS, F.lit(1.0)).otherwise(r)
+    return _let(F.struct(slots(0).alias("xs"), slots(1).alias("ys")), lambda p: _let(
+        F.struct(centre_of(p["xs"], 0).alias("cx"), centre_of(p["ys"], 1).alias("cy")), lambda c: _let(
+            spread(p["xs"], p["ys"], c), lambda r: _let(one(r), lambda sc: scaled(c, sc)))))
 
 
 def impairment_side(df: DataFrame, row_features: DataFrame | None, patient: str,

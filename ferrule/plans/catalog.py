@@ -1039,8 +1039,8 @@ def q_pose_centre_scale(spark, d):
         "features", 16, c, r, "torso" if sc == "pair" else sc, (1, 11) if sc == "pair" else None).alias("n"))
         for k, (c, r) in enumerate(CENTRE_MODES) for m, sc in enumerate(SCALE_MODES)]
     x = _pose(spark, d).select("row_id", F.explode(F.array(*modes)).alias("m"))
-    return round_all(x.select("m.mode", "row_id", F.posexplode("m.n.features").alias("pos", "value"), F.col("m.n.scale").alias("scale"),
-                              F.col("m.n.cx").alias("cx"), F.col("m.n.cy").alias("cy")))
+    x = round_all(x.select("m.mode", "row_id", F.col("m.n.features").alias("features"), F.col("m.n.scale").alias("scale"), F.col("m.n.cx").alias("cx"), F.col("m.n.cy").alias("cy")))
+    return round_all(x.select("mode", "row_id", F.posexplode("features").alias("pos", "value"), "scale", "cx", "cy"), cols=["value"])
 
 
 # Slot numbers of the geometry set, written apart from the operator (1-based, 33 joints).

@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -330,3 +331,15 @@ def test_flatten_and_side_by_side(spark):
     assert got == {("a", 0): (3, 0.0, 0.0, 1.0, -1.0, 2.0, 20.0), ("a", 1): (1, -1.0, -1.0, 4.0, 40.0, -1.0, -1.0), (None, 0): (1, 7.0, 8.0, -1.0, -1.0, -1.0, -1.0)}
     a, b = spark.createDataFrame([(3,), (1,), (2,)], "u int"), spark.createDataFrame([("z",), ("x",)], "v string")
     assert sorted(map(tuple, side_by_side(a, b, ["u"], ["v"]).select("pos", "u", "v").collect())) == [(0, 1, "x"), (1, 2, "z"), (2, 3, None)]
+
+
+def test_centre_and_scale_works_out_each_part_once(spark):
+    df = spark.createDataFrame([(1, [float(i * i % 7) for i in range(64)])], "id int, features array<double>")
+    n = df.select(pose.centre_and_scale("features", 16).alias("n"))
+    assert n._jdf.queryExecution().optimizedPlan().toString().count("array_sort") == 2
+    x = np.array([i * i % 7 for i in range(64)], float)
+    cx, cy = np.median(x[0:32:2]), np.median(x[1:32:2])
+    s = np.hypot(x[0:32:2] - cx, x[1:32:2] - cy).mean()
+    want = np.concatenate(((x[:32].reshape(16, 2) - [cx, cy]).ravel(), x[32:])) / s
+    row = n.first()["n"]
+    assert row["features"] == pytest.approx(want.tolist()) and (row["cx"], row["cy"], row["scale"]) == pytest.approx((cx, cy, s))
