@@ -17,10 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null
-from .quantile import quantiles_long, to_long
+from ..storage import save
+from .quantile import quantiles
 
 
 NATIVE_PAIRS = 66  # pairs of columns that one aggregate takes
+MI_CELLS = 20_000  # cells of bins that a task counts at once
 
 
 def _stack(row: DataFrame, structs) -> DataFrame:
@@ -188,18 +190,27 @@ def binned_mutual_information(df: DataFrame, cols: Sequence[str], target: str, b
     or its binned value).  One contingency aggregate per feature set."""
     probs = [k / bins for k in range(1, bins)]
     feats = list(cols) + ([] if target_is_class else [target])
-    edges = quantiles_long(to_long(df, feats), ["column"], probs).groupBy("column").agg(
-        F.array_sort(F.collect_list("quantile")).alias("_edges"))
-    edge_row = edges.agg(*[F.max(F.when(F.col("column") == c, F.col("_edges"))).alias(f"_e{k}")
-                           for k, c in enumerate(feats)])
-    from .profile import attach_row
-    t = attach_row(df.select(*feats, *([target] if target_is_class else [])), edge_row)
-    binned = lambda c, k: F.size(F.filter(F.col(f"_e{k}"), lambda e: e < F.col(c)))
-    ycol = F.col(target).cast("string") if target_is_class else binned(target, len(cols)).cast("string")
-    long = t.select(ycol.alias("_y"), F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), binned(c, k).alias("_x")) for k, c in enumerate(cols)])).alias("s")) \
-        .select("s.column", "s._x", "_y")
-    joint = long.groupBy("column", "_x", "_y").agg(F.count(F.lit(1)).alias("_nxy"))
+    edges = {c: [] for c in feats}
+    for r in quantiles(df, feats, probs).collect():
+        edges[r["column"]].append(r["quantile"])
+
+    def binned(c):
+        """Edges below the value; NULL for a column without values."""
+        below = F.lit(0) if edges[c] else F.lit(None).cast("int")
+        for e in edges[c]:
+            below = below + F.when(F.lit(e) < F.col(c), 1).otherwise(0)
+        return below
+
+    # Cells of a few columns at once: rows are copied once per set of columns, not per column.
+    per = max(1, int(math.log(MI_CELLS, max(bins, 2))) - 1)
+    sets = [list(range(a, min(a + per, len(cols)))) for a in range(0, len(cols), per)]
+    t = df.select((F.col(target).cast("string") if target_is_class else binned(target)).alias("_y"), *[binned(c).alias(f"_x{k}") for k, c in enumerate(cols)])
+    packed = t.select("_y", F.inline(F.array(*[F.struct(F.lit(i).alias("_s"), *[(F.col(f"_x{s[j]}") if j < len(s) else F.lit(None).cast("int")).alias(f"_v{j}")
+                                                                              for j in range(per)]) for i, s in enumerate(sets)])))
+    cells = packed.groupBy("_y", "_s", *[f"_v{j}" for j in range(per)]).agg(F.count(F.lit(1)).alias("_c"))
+    names = F.array(*[F.lit(c) for c in cols])
+    long = cells.select("_y", "_c", F.inline(F.array(*[F.struct(F.get(names, F.col("_s") * per + j).alias("column"), F.col(f"_v{j}").alias("_x")) for j in range(per)])))
+    joint = save(long.where(F.col("column").isNotNull()).groupBy("column", "_x", "_y").agg(F.sum("_c").alias("_nxy")), "mi-cells")
     mx = joint.groupBy("column", "_x").agg(F.sum("_nxy").alias("_nx"))
     my = joint.groupBy("column", "_y").agg(F.sum("_nxy").alias("_ny"))
     n = joint.groupBy("column").agg(F.sum("_nxy").alias("_n"))

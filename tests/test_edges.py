@@ -343,3 +343,26 @@ def test_centre_and_scale_works_out_each_part_once(spark):
     want = np.concatenate(((x[:32].reshape(16, 2) - [cx, cy]).ravel(), x[32:])) / s
     row = n.first()["n"]
     assert row["features"] == pytest.approx(want.tolist()) and (row["cx"], row["cy"], row["scale"]) == pytest.approx((cx, cy, s))
+
+
+def test_quantiles_rank_a_small_share_of_the_values(spark, monkeypatch):
+    """Values between the sketch's brackets are only counted; ties, gaps, infinities, NaN and NULL included."""
+    rng = np.random.default_rng(5)
+    a, b = rng.lognormal(size=60_000), rng.integers(0, 7, 60_000).astype(float)
+    a[:50], b[50:90] = np.nan, np.inf
+    df = spark.createDataFrame([(float(x), None if i % 9 == 0 else float(y)) for i, (x, y) in enumerate(zip(a, b))], "a double, b double")
+    ranked, whole = [], quantile.histogram_ranks
+    monkeypatch.setattr(quantile, "histogram_ranks", lambda hist, *r: ranked.append(hist.count()) or whole(hist, *r))
+    probs = [0.0, 0.1, 0.1001, 0.5, 0.9, 1.0]
+    keep = b[np.arange(60_000) % 9 != 0]
+    want = {("a", p): np.quantile(a[50:], p) for p in probs} | {("b", p): np.quantile(keep, p, method="lower") for p in probs}
+    got = {(r["column"], r["prob"]): r["quantile"] for r in quantile.quantiles(df, ["a", "b"], probs, accuracy=500, least_rows=1000).collect()}
+    assert got.keys() == want.keys() and sum(ranked) < 6000
+    assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want if k != ("b", 1.0))
+
+
+def test_quantiles_where_the_sketch_misses(spark, monkeypatch):
+    df = spark.range(5000).select((F.col("id") * 3).cast("double").alias("x"))
+    monkeypatch.setattr(quantile, "_brackets", lambda *a: {"c0": [(30.0, 60.0), (9000.0, 9003.0)]})
+    got = [r["quantile"] for r in quantile.quantiles(df, ["x"], [0.25, 0.5]).orderBy("prob").collect()]
+    assert got == pytest.approx([3 * 0.25 * 4999, 3 * 0.5 * 4999])
