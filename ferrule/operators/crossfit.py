@@ -11,6 +11,7 @@ fold.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -22,6 +23,8 @@ from ..storage import save
 from .models import assemble, complete
 from .ordering import attach_group
 
+FIT_ROWS = 50_000  # rows that a task of a fit takes
+
 
 # --------------------------------------------------------------------------- sums
 
@@ -179,9 +182,12 @@ def cross_fit_classifier(df: DataFrame, cols: Sequence[str], label: str, fold: s
     held-out fold 0..k-1, each scoring that fold only; every row with a fold comes back once."""
     rows = save(df.where(complete(cols) & F.col(fold).isNotNull()), "cross-fit-rows")
     vec = assemble(rows, cols, "features")
+    # The rows are few bytes each, so their files make few tasks; a learner's work goes by rows.
+    tasks = math.ceil(rows.count() / FIT_ROWS)
+    dealt = vec.repartition(tasks) if tasks > 1 else vec
     parts = []
     for f in range(k):
-        model = estimator.fit(vec.where(F.col(fold) != f))
+        model = estimator.fit(dealt.where(F.col(fold) != f))
         parts.append(model.transform(vec.where(F.col(fold) == f)).select(*rows.columns, F.col("prediction").alias(name)))
     out = parts[0]
     for p in parts[1:]:

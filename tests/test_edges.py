@@ -333,18 +333,6 @@ def test_flatten_and_side_by_side(spark):
     assert sorted(map(tuple, side_by_side(a, b, ["u"], ["v"]).select("pos", "u", "v").collect())) == [(0, 1, "x"), (1, 2, "z"), (2, 3, None)]
 
 
-def test_centre_and_scale_works_out_each_part_once(spark):
-    df = spark.createDataFrame([(1, [float(i * i % 7) for i in range(64)])], "id int, features array<double>")
-    n = df.select(pose.centre_and_scale("features", 16).alias("n"))
-    assert n._jdf.queryExecution().optimizedPlan().toString().count("array_sort") == 2
-    x = np.array([i * i % 7 for i in range(64)], float)
-    cx, cy = np.median(x[0:32:2]), np.median(x[1:32:2])
-    s = np.hypot(x[0:32:2] - cx, x[1:32:2] - cy).mean()
-    want = np.concatenate(((x[:32].reshape(16, 2) - [cx, cy]).ravel(), x[32:])) / s
-    row = n.first()["n"]
-    assert row["features"] == pytest.approx(want.tolist()) and (row["cx"], row["cy"], row["scale"]) == pytest.approx((cx, cy, s))
-
-
 def test_quantiles_rank_a_small_share_of_the_values(spark, monkeypatch):
     """Values between the sketch's brackets are only counted; ties, gaps, infinities, NaN and NULL included."""
     rng = np.random.default_rng(5)
@@ -366,3 +354,40 @@ def test_quantiles_where_the_sketch_misses(spark, monkeypatch):
     monkeypatch.setattr(quantile, "_brackets", lambda *a: {"c0": [(30.0, 60.0), (9000.0, 9003.0)]})
     got = [r["quantile"] for r in quantile.quantiles(df, ["x"], [0.25, 0.5]).orderBy("prob").collect()]
     assert got == pytest.approx([3 * 0.25 * 4999, 3 * 0.5 * 4999])
+
+
+def test_centre_and_scale_works_out_each_part_once(spark):
+    df = spark.createDataFrame([(1, [float(i * i % 7) for i in range(64)])], "id int, features array<double>")
+    n = df.select(pose.centre_and_scale("features", 16).alias("n"))
+    assert n._jdf.queryExecution().optimizedPlan().toString().count("array_sort") == 2
+    x = np.array([i * i % 7 for i in range(64)], float)
+    cx, cy = np.median(x[0:32:2]), np.median(x[1:32:2])
+    s = np.hypot(x[0:32:2] - cx, x[1:32:2] - cy).mean()
+    want = np.concatenate(((x[:32].reshape(16, 2) - [cx, cy]).ravel(), x[32:])) / s
+    row = n.first()["n"]
+    assert row["features"] == pytest.approx(want.tolist()) and (row["cx"], row["cy"], row["scale"]) == pytest.approx((cx, cy, s))
+
+
+def test_recordings_are_read_from_saved_rows(spark, sf_dir):
+    """Fits read the features again and again: the events and their features are not behind them."""
+    from ferrule.plans import selection
+    rows = selection._recordings(spark, sf_dir)
+    assert rows.inputFiles() and not [f for f in rows.inputFiles() if "events" in f]
+
+
+def test_cross_fit_deals_rows_out(spark, monkeypatch):
+    from ferrule.operators import crossfit
+    monkeypatch.setattr(crossfit, "FIT_ROWS", 100)
+    seen = []
+
+    class Fake:
+        def fit(self, df):
+            seen.append(df.rdd.getNumPartitions())
+            return self
+
+        def transform(self, df):
+            return df.withColumn("prediction", F.lit(0.0))
+
+    df = spark.range(600).coalesce(1).select((F.col("id") % 2).cast("int").alias("fold"), F.col("id").cast("double").alias("x"), F.lit(0.0).alias("label"))
+    out = crossfit.cross_fit_classifier(df, ["x"], "label", "fold", 2, Fake())
+    assert seen == [6, 6] and out.count() == 600
