@@ -104,3 +104,10 @@ def test_insert_and_delete(spark):
     row = vs.groupBy().pivot("k", list(v)).agg(F.first("vector"))
     row = row.select(mh.plus(mh.minus(F.col("old"), F.col("out")), F.col("in")).alias("made"), "new", F.col("old")).first()
     assert row.made == row.new == vector(new) and row.old == vector(old)
+
+
+def test_narrow_lanes_come_back(spark):
+    lanes = [0, 1, (1 << 31) - 1, 1 << 31, (1 << 32) - 1]
+    df = spark.createDataFrame([(lanes,)], "v array<long>").select(mh.narrow(F.col("v")).alias("n"))
+    assert df.dtypes == [("n", "array<int>")]
+    assert df.select(mh.widened(F.col("n"))).first()[0] == lanes
