@@ -75,12 +75,22 @@ def feistel(x: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-_PIECES = "piece long, doc_ids array<long>, ties array<long>, sizes array<int>, body binary"
+_PIECES = "piece long, doc_ids array<long>, ties array<long>, sizes array<int>, often array<int>, counts array<int>, body binary"
 _LEVEL = 6  # of compression
 SLICE_BYTES = 8 << 20  # of text in a piece
 _SLICE_BITS = 24  # of a piece's number: its place in its task
 
 
+def _ranked(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ids that occur, most frequent first, how often each does, and every id as its place
+    among them: small numbers, which compress better than ids."""
+    n = np.bincount(ids, minlength=1)
+    often = np.argsort(-n, kind="stable")[:np.count_nonzero(n)]
+    place = np.zeros(len(n), ids.dtype)
+    place[often] = np.arange(len(often))
+    return often.astype(np.int32), n[often].astype(np.int32), place[ids]
+
+
 def _encode(vocabulary, end, wide, slice_bytes):
     """Documents (id, text, hash) to pieces: the ids of a slice of texts, one after another."""
     dtype = np.uint32 if wide else np.uint16
@@ -97,9 +107,10 @@ def _encode(vocabulary, end, wide, slice_bytes):
                 size.append(len(got))
                 ids.append(np.array(got, dtype))
             one = lambda c, t: pa.array([c], pa.list_(t))
+            often, counts, places = _ranked(np.concatenate(ids))
             yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int64()), one(part.column(0).to_pylist(), pa.int64()), one(part.column(2).to_pylist(), pa.int64()),
-                                              one(size, pa.int32()), pa.array([z.compress(np.concatenate(ids).tobytes())], pa.binary())],
-                                             names=["piece", "doc_ids", "ties", "sizes", "body"])
+                                              one(size, pa.int32()), one(often, pa.int32()), one(counts, pa.int32()), pa.array([z.compress(places.tobytes())], pa.binary())],
+                                             names=["piece", "doc_ids", "ties", "sizes", "often", "counts", "body"])
             piece += 1
 
     return run
@@ -141,9 +152,11 @@ def _write_starts(uri: str):
 _CUT = "shard long, slots binary, doc_ids array<long>, seqs binary, sizes binary, body binary"
 
 
-def _cut(uri, seq_len, total, key, shard_rows, wide):
-    """Pieces to their sequences, packed per shard."""
+def _cut(uri, seq_len, total, key, shard_rows, wide, often):
+    """Pieces to their sequences, packed per shard, ids as their places in ``often``."""
     dtype = np.uint32 if wide else np.uint16
+    place = np.zeros(int(often.max(initial=0)) + 1, dtype)
+    place[often] = np.arange(len(often))
 
     def run(batches):
         from pyarrow import fs
@@ -152,7 +165,7 @@ def _cut(uri, seq_len, total, key, shard_rows, wide):
         task, known = None, None
         for b in batches:
             for i in range(b.num_rows):
-                piece, doc_ids, sizes, body = (c[i] for c in b.columns)
+                piece, doc_ids, sizes, here, body = (c[i] for c in b.columns)
                 piece, doc_ids = piece.as_py(), doc_ids.values
                 if piece >> _SLICE_BITS != task:
                     task = piece >> _SLICE_BITS
@@ -160,7 +173,7 @@ def _cut(uri, seq_len, total, key, shard_rows, wide):
                         known = np.frombuffer(f.read(), np.int64).reshape(2, -1)
                 lo, hi = np.searchsorted(known[0], [piece, piece + 1])
                 size = sizes.values.to_numpy().astype(np.int64)
-                ids = np.frombuffer(uz.decompress(body.as_py()), dtype)
+                ids = place[here.values.to_numpy()][np.frombuffer(uz.decompress(body.as_py()), dtype)]
                 n = -(-size // seq_len)
                 row = np.repeat(np.arange(len(n)), n)
                 seq = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
@@ -184,9 +197,10 @@ def _cut(uri, seq_len, total, key, shard_rows, wide):
     return run
 
 
-def _records(seq_len, shard_rows, end, wide):
+def _records(seq_len, shard_rows, end, wide, often):
     """Packed sequences ordered by shard to records in slot order, one shard in memory at a time."""
     dtype = np.uint32 if wide else np.uint16
+    ids_of = often.astype(dtype)
     stride = seq_len * np.dtype(dtype).itemsize
 
     def run(batches):
@@ -196,7 +210,7 @@ def _records(seq_len, shard_rows, end, wide):
         def close():
             slot, seq, size = (np.concatenate([h[k] for h in held]) for k in (0, 2, 3))
             doc = pa.concat_arrays([h[1] for h in held])
-            ids = np.concatenate([np.frombuffer(uz.decompress(h[4]), dtype) for h in held])
+            ids = ids_of[np.concatenate([np.frombuffer(uz.decompress(h[4]), dtype) for h in held])]
             first = np.cumsum(size) - size
             order = np.argsort(slot)
             for at in range(0, len(order), 2048):
@@ -226,8 +240,9 @@ def _records(seq_len, shard_rows, end, wide):
 _RECORD = "shard long, slot long, byte_offset long, doc_id long, seq long, n_tokens long, tokens binary"
 
 
-def _packed(docs, id_col, text_col, vocabulary, seq_len, shard_rows, key, end, slice_bytes) -> tuple[DataFrame, int]:
-    """Packed sequences in order of their shards (the rows that ``_records`` takes), and their number."""
+def _packed(docs, id_col, text_col, vocabulary, seq_len, shard_rows, key, end, slice_bytes) -> tuple[DataFrame, int, np.ndarray]:
+    """Packed sequences in order of their shards (the rows that ``_records`` takes), their number,
+    and the ids by frequency, which the packed numbers are places in."""
     spark, wide = docs.sparkSession, end >= 1 << 16
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("tie"))
     pieces = common.save(src.mapInArrow(_encode(vocabulary, end, wide, slice_bytes), _PIECES), "tokens-pieces")
@@ -245,8 +260,10 @@ def _packed(docs, id_col, text_col, vocabulary, seq_len, shard_rows, key, end, s
     total = int(dealt.agg(F.coalesce(F.sum("seqs"), F.lit(0))).first()[0])
     shards = max(1, math.ceil(total / shard_rows))
     each = math.ceil(shards / MAX_RANGES)  # shards of one range partition, written one after another
-    cut = pieces.select("piece", "doc_ids", "sizes", "body").mapInArrow(_cut(uri, seq_len, total, key, shard_rows, wide), _CUT)
-    return cut.repartitionById(math.ceil(shards / each), F.expr(f"int(shard div {each})")).sortWithinPartitions("shard"), total
+    used = pieces.select(F.inline(F.arrays_zip("often", "counts"))).groupBy("often").agg(F.sum("counts").alias("n")).collect()  # at most the vocabulary
+    often = np.array([r["often"] for r in sorted(used, key=lambda r: (-r["n"], r["often"]))], np.int64)
+    cut = pieces.select("piece", "doc_ids", "sizes", "often", "body").mapInArrow(_cut(uri, seq_len, total, key, shard_rows, wide, often), _CUT)
+    return cut.repartitionById(math.ceil(shards / each), F.expr(f"int(shard div {each})")).sortWithinPartitions("shard"), total, often
 
 
 def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, seq_len: int = SEQ_LEN,
@@ -258,8 +275,8 @@ def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     has no sequence; null ids come first in the numbering; rows that share an id are ordered
     by a hash of the text (equal rows are interchangeable); other columns are ignored.
     """
-    packed, _ = _packed(docs, id_col, text_col, vocabulary, seq_len, shard_rows, key, end, slice_bytes)
-    return packed.mapInArrow(_records(seq_len, shard_rows, end, end >= 1 << 16), _RECORD)
+    packed, _, often = _packed(docs, id_col, text_col, vocabulary, seq_len, shard_rows, key, end, slice_bytes)
+    return packed.mapInArrow(_records(seq_len, shard_rows, end, end >= 1 << 16, often), _RECORD)
 
 
 def training_shards(docs: DataFrame, uri: str | None = None, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, seq_len: int = SEQ_LEN,
@@ -270,8 +287,8 @@ def training_shards(docs: DataFrame, uri: str | None = None, id_col: str = "doc_
     this returns; the rows are a saved table, so reading them writes nothing again."""
     uri = (uri or f"{common.shared_dir(docs.sparkSession)}/tokens-shards-{uuid.uuid4().hex[:12]}").rstrip("/")
     with common.scratch(docs.sparkSession) as keep:
-        packed, total = _packed(docs, id_col, text_col, vocabulary, seq_len, shard_rows, key, end, slice_bytes)
-        records, write = _records(seq_len, shard_rows, end, end >= 1 << 16), _write(uri, key, total, True)
+        packed, total, often = _packed(docs, id_col, text_col, vocabulary, seq_len, shard_rows, key, end, slice_bytes)
+        records, write = _records(seq_len, shard_rows, end, end >= 1 << 16, often), _write(uri, key, total, True)
         return keep(common.save(packed.mapInArrow(lambda batches: write(records(batches)),
                                                   "shard long, slot long, byte_offset long, doc_id long, seq long, n_tokens long, file string"), "tokens-index"))
 
